@@ -47,9 +47,12 @@ def view_chat_pairs(t: Tables, days: DayRange) -> DataFrame:
 
 
 def chat_counts(chats: DataFrame, days: DayRange) -> DataFrame:
-    """Per (day, bot): ``COUNT(event_id)`` and ``COUNT(DISTINCT user_id)`` of chat messages."""
+    """Per (day, bot) of chat messages: ``COUNT(*)`` as ``n_msgs``, ``COUNT(event_id)`` as
+    ``n_events`` and ``COUNT(DISTINCT user_id)`` as ``n_users`` (unused ones are pruned)."""
     return within(chats, days).groupBy(*KEYS).agg(
-        F.count("event_id").alias("n_events"), F.countDistinct("user_id").alias("n_users"))
+        F.count(F.lit(1)).alias("n_msgs"),
+        F.count("event_id").alias("n_events"),
+        F.countDistinct("user_id").alias("n_users"))
 
 
 def click_rate_daily(t: Tables, days: DayRange) -> DataFrame:

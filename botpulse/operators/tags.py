@@ -35,6 +35,22 @@ def luna_tags(t: Tables, days: DayRange) -> DataFrame:
     return t.prompt_tag_link.join(tags, "tag_id").select("prompt_id", "tag", "event_date")
 
 
+def enrich_v5(t: Tables, aigc_tag: DataFrame) -> DataFrame:
+    """``aigc_tag`` rows (bot → workflow, per day) joined to each bot's V5 tags.
+
+    Distinct per day, then the days are stacked without their date.
+    """
+    aigc = aigc_tag.select("event_date", "prompt_id", F.col("tag").alias("workflow"))
+    v5 = _tags_on_paths(t, is_v5_path).select("tag_id", strip_v5_prefix(F.col("name")).alias("tags"))
+    bot_v5 = t.prompt_tag_link.join(v5, "tag_id").select("prompt_id", "tags")
+    return (
+        aigc.join(bot_v5, "prompt_id")
+        .select("event_date", "prompt_id", "workflow", "tags")
+        .distinct()
+        .select("prompt_id", "workflow", "tags")
+    )
+
+
 def v5_tags(t: Tables, days: DayRange, aigc_tag: DataFrame | None = None) -> DataFrame:
     """D3: ``(prompt_id, workflow, tags)`` — each AIGC bot's V5 tags, "V5 " prefix removed.
 
@@ -46,15 +62,7 @@ def v5_tags(t: Tables, days: DayRange, aigc_tag: DataFrame | None = None) -> Dat
     aigc = aigc_tag if aigc_tag is not None else t.aigc_tag
     if aigc is None:
         aigc = luna_tags(t, days)
-    aigc = within(aigc, days).select("event_date", "prompt_id", F.col("tag").alias("workflow"))
-    v5 = _tags_on_paths(t, is_v5_path).select("tag_id", strip_v5_prefix(F.col("name")).alias("tags"))
-    bot_v5 = t.prompt_tag_link.join(v5, "tag_id").select("prompt_id", "tags")
-    return (
-        aigc.join(bot_v5, "prompt_id")
-        .select("event_date", "prompt_id", "workflow", "tags")
-        .distinct()
-        .select("prompt_id", "workflow", "tags")
-    )
+    return enrich_v5(t, within(aigc, days))
 
 
 def dimension(t: Tables, days: DayRange) -> DataFrame:

@@ -65,47 +65,50 @@ def event_tables(events: DataFrame) -> dict[str, DataFrame]:
 
 
 def catalog_tables(spark: SparkSession, part: DataFrame) -> dict[str, DataFrame]:
-    pp = part.select(
-        F.concat(F.lit("p"), F.col("p_partkey").cast("string")).alias("prompt_id"),
-        "p_type", "p_size", "p_brand", "p_retailprice",
-        F.regexp_extract("p_name", r"^[a-z]+", 0).alias("style"),
-        F.regexp_extract("p_name", r"[a-z]+$", 0).alias("obj"),
-    )
-    paths = spark.createDataFrame(TAG_PATHS, "id int, path string")
-
-    style_tags = pp.select(
-        F.concat(F.lit("s:"), "style").alias("id"),
-        F.when(F.col("style") == "small", F.lit("V5 small, cozy"))  # a comma inside a name
-        .otherwise(F.concat(F.lit("V5 "), "style")).alias("name"),
-        F.lit(1).alias("path_id"), _ntz(CREATED_DAY_1).alias("created_at"),
-    ).distinct()
-    object_tags = pp.select(
-        F.concat(F.lit("o:"), "obj").alias("id"),
-        F.concat(F.lit("V5   "), "obj", F.lit(" ")).alias("name"),  # extra blanks
-        F.lit(2).alias("path_id"), _ntz(CREATED_DAY_1).alias("created_at"),
-    ).distinct()
-    workflow_tags = pp.select(
-        F.concat(F.lit("w:"), "p_type").alias("id"),
-        F.when(F.col("p_type") == "SMALL", F.lit("")).otherwise(F.lower("p_type")).alias("name"),  # blank workflow
-        F.lit(3).alias("path_id"),
-        F.when(F.col("p_type").isin(*LATE_WORKFLOWS), _ntz(CREATED_DAY_2))
-        .otherwise(_ntz(CREATED_DAY_1)).alias("created_at"),
-    ).distinct()
-    legacy_tag = spark.range(1).select(
-        F.lit("x:old").alias("id"), F.lit("old").alias("name"), F.lit(4).alias("path_id"),
-        _ntz(CREATED_DAY_1).alias("created_at"))
-    tags = style_tags.unionByName(object_tags).unionByName(workflow_tags).unionByName(legacy_tag)
-
-    links = (
-        pp.select("prompt_id", F.concat(F.lit("s:"), "style").alias("tag_id"))
-        .unionByName(pp.select("prompt_id", F.concat(F.lit("o:"), "obj").alias("tag_id")))
-        .unionByName(pp.where(F.col("p_size") <= 30)
-                     .select("prompt_id", F.concat(F.lit("w:"), "p_type").alias("tag_id")))
-        .unionByName(pp.where(F.col("p_brand").isin(*SECOND_WORKFLOW_BRANDS) & (F.col("p_type") != "PROMO"))
-                     .select("prompt_id", F.lit("w:PROMO").alias("tag_id")))
-        .unionByName(pp.where(F.col("p_retailprice") < 950).select("prompt_id", F.lit("x:old").alias("tag_id")))
+    """Tag catalogue from one pass over ``part``: each part yields the tags it is
+    linked to as ``(tag_id, name, path_id, created_at)`` structs."""
+    style = F.regexp_extract("p_name", r"^[a-z]+", 0)
+    obj = F.regexp_extract("p_name", r"[a-z]+$", 0)
+    p_type = F.col("p_type")
+
+    def tag(tag_id, name, path_id, created):
+        return F.struct(tag_id.alias("tag_id"), name.alias("name"), F.lit(path_id).alias("path_id"),
+                        created.alias("created_at"))
+
+    style_tag = tag(F.concat(F.lit("s:"), style),
+                    F.when(style == "small", F.lit("V5 small, cozy"))  # a comma inside a name
+                    .otherwise(F.concat(F.lit("V5 "), style)), 1, _ntz(CREATED_DAY_1))
+    object_tag = tag(F.concat(F.lit("o:"), obj), F.concat(F.lit("V5   "), obj, F.lit(" ")), 2,  # extra blanks
+                     _ntz(CREATED_DAY_1))
+    workflow_tag = tag(F.concat(F.lit("w:"), p_type),
+                       F.when(p_type == "SMALL", F.lit("")).otherwise(F.lower(p_type)), 3,  # blank workflow
+                       F.when(p_type.isin(*LATE_WORKFLOWS), _ntz(CREATED_DAY_2)).otherwise(_ntz(CREATED_DAY_1)))
+    promo_tag = tag(F.lit("w:PROMO"), F.lit("promo"), 3, _ntz(CREATED_DAY_2))
+    legacy_tag = tag(F.lit("x:old"), F.lit("old"), 4, _ntz(CREATED_DAY_1))
+
+    linked = F.filter(
+        F.array(
+            style_tag,
+            object_tag,
+            F.when(F.col("p_size") <= 30, workflow_tag),
+            F.when(F.col("p_brand").isin(*SECOND_WORKFLOW_BRANDS) & (p_type != "PROMO"), promo_tag),
+            F.when(F.col("p_retailprice") < 950, legacy_tag),
+        ),
+        lambda x: x.isNotNull(),
     )
-    return {"prompt_tag_link": links, "prompt_tag": tags, "prompt_tag_path": paths}
+    links = part.select(
+        F.concat(F.lit("p"), F.col("p_partkey").cast("string")).alias("prompt_id"),
+        F.explode(linked).alias("t"))
+    # Every tag of the catalogue, linked or not (type tags of bots above the size cut included).
+    every_tag = F.array(style_tag, object_tag, workflow_tag, legacy_tag)
+    tags = part.select(F.inline(every_tag)).withColumnRenamed("tag_id", "id").distinct()
+    paths = spark.range(1).select(F.inline(F.array(*[
+        F.struct(F.lit(i).alias("id"), F.lit(p).alias("path")) for i, p in TAG_PATHS])))
+    return {
+        "prompt_tag_link": links.select("prompt_id", "t.tag_id"),
+        "prompt_tag": tags,
+        "prompt_tag_path": paths,
+    }
 
 
 def fixture_tables(spark: SparkSession, sf_dir: str) -> Tables:
@@ -115,7 +118,12 @@ def fixture_tables(spark: SparkSession, sf_dir: str) -> Tables:
     return Tables(**event_tables(events), **catalog_tables(spark, part))
 
 
+_DAYS: dict[str, DayRange] = {}
+
+
 def fixture_days(spark: SparkSession, sf_dir: str) -> DayRange:
-    """Every day present in ``{sf_dir}/events.parquet``."""
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    return DayRange.covering(events.select(F.to_date("ts").alias("event_date")))
+    """Every day present in ``{sf_dir}/events.parquet`` (read-only data: computed once per folder)."""
+    if sf_dir not in _DAYS:
+        events = spark.read.parquet(f"{sf_dir}/events.parquet")
+        _DAYS[sf_dir] = DayRange.covering(events.select(F.to_date("ts").alias("event_date")))
+    return _DAYS[sf_dir]

@@ -1,0 +1,19 @@
+from __future__ import annotations
+
+import os
+import sys
+
+import pytest
+
+REPO = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, REPO)
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
+
+@pytest.fixture(scope="session")
+def spark():
+    from botpulse.session import local_session
+
+    session = local_session(cores="*", shuffle_partitions=8, app="botpulse-tests")
+    yield session
+    session.stop()

@@ -31,5 +31,7 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partitioned:
 
 
 def read_table(spark, name: str, path: str) -> DataFrame:
-    """Read back a table written by :func:`write_table` with its declared schema."""
-    return spark.read.schema(schemas.OUTPUTS[name]).parquet(path)
+    """Read back a table written by :func:`write_table` with its declared schema and column order
+    (the reader puts partition columns last)."""
+    schema = schemas.OUTPUTS[name]
+    return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())

@@ -1,0 +1,39 @@
+"""Every registered query against its DuckDB oracle on the smallest test data."""
+
+from __future__ import annotations
+
+import os
+import sys
+
+import pytest
+
+REPO = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, os.path.join(REPO, "tools"))
+
+import __spark_entry__ as entry  # noqa: E402
+from check_oracles import compare, duck  # noqa: E402
+
+SF = "/root/testdata/sf0.001"
+NAMES = sorted(entry.queries())
+
+
+@pytest.fixture(scope="module")
+def con():
+    return duck(SF)
+
+
+def test_every_query_has_an_oracle():
+    assert set(entry.oracle_sql()) == set(entry.queries())
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_query_matches_oracle(spark, con, name):
+    sdf = entry.queries()[name](spark, SF)
+    assert compare(sdf, con.sql(entry.oracle_sql()[name])) == "OK"
+
+
+def test_entry_smoke(spark):
+    df = entry.entry(spark)
+    assert df.columns == ["event_date", "prompt_id", "workflow", "tags", "click_event_cnt", "show_event_cnt",
+                          "click_rate"]
+    assert df.count() > 0

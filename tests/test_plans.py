@@ -1,0 +1,53 @@
+"""Physical-plan properties that matter at scale."""
+
+from __future__ import annotations
+
+import contextlib
+import io
+import re
+
+import pytest
+
+import __spark_entry__ as entry
+
+SF = "/root/testdata/sf0.001"
+
+
+def plan(df) -> str:
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain(mode="formatted")
+    return buf.getvalue()
+
+
+@pytest.fixture(scope="module")
+def plans(spark):
+    return {name: plan(fn(spark, SF)) for name, fn in entry.queries().items()}
+
+
+def test_no_cartesian_or_nested_loop_or_python(plans):
+    for name, text in plans.items():
+        for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
+                    "FlatMapGroupsInPandas", "MapInPandas"):
+            assert bad not in text, f"{name}: {bad}"
+
+
+def test_event_scans_prune_columns_and_push_filters(plans):
+    text = plans["chat_start_daily"]
+    scans = [blk for blk in text.split("\n\n") if "events.parquet" in blk]
+    assert scans
+    for blk in scans:
+        assert "PushedFilters" in blk and ("EqualTo(event_type" in blk or "In(event_type" in blk)
+        assert "value:" not in blk  # unused column not read
+
+
+def test_tag_cap_limits_before_shuffle(plans):
+    text = plans["bot_tags_daily"]
+    assert "WindowGroupLimit" in text and "Partial" in text
+
+
+def test_distinct_counts_shuffle_on_distinct_keys(plans):
+    # COUNT(DISTINCT event_id) per (day, bot): first exchange keyed by the distinct column too,
+    # so a hot bot is spread over tasks before the per-bot count.
+    text = plans["click_rate_daily"]
+    assert re.search(r"hashpartitioning\(event_date#\d+, \w+#\d+, event_id#\d+L?, \d+\)", text)

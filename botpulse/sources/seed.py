@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,3 +38,15 @@ def seed_tags(spark: SparkSession, path: str, stamp: dt.date | str) -> DataFrame
         .dropna(subset=["prompt_id", "tag"])
         .withColumn("event_date", F.lit(stamp))
     )
+
+
+def export_seed_csv(df: DataFrame, folder: str) -> str:
+    """Write ``(prompt_id, tag)`` rows as an ``id,workflow`` CSV (header, CRLF) under ``folder``.
+
+    The reverse of :func:`seed_tags`; used to hand a bot → workflow list to the
+    seed load. Returns the written directory.
+    """
+    path = f"{folder.rstrip('/')}/seed-{uuid.uuid4().hex}"
+    (df.select(F.col("prompt_id").alias("id"), F.col("tag").alias("workflow"))
+       .write.option("header", True).option("lineSep", "\r\n").csv(path))
+    return path

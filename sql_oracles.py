@@ -314,9 +314,18 @@ A3 = f"""a3 AS (
   FROM per_bot GROUP BY event_date, bot_type)"""
 
 
+# Rows with a missing id or workflow (pandas' missing-value tokens) dropped, fixed stamp.
+NA_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+             "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
+_NA_LIST = ", ".join("'" + t + "'" for t in NA_TOKENS)
+SEED = f"""SELECT prompt_id, tag, DATE '2025-05-10' AS event_date FROM aigc_tag
+WHERE prompt_id IS NOT NULL AND tag IS NOT NULL AND prompt_id NOT IN ({_NA_LIST}) AND tag NOT IN ({_NA_LIST})"""
+
+
 def oracles() -> dict[str, str]:
     q = with_fixture
     return {
+        "seed_tags": q(body=SEED),
         "luna_tags": q(body="SELECT prompt_id, tag, event_date FROM aigc_tag"),
         "v5_tags": q(body="SELECT prompt_id, workflow, tags FROM aigc_v5"),
         "tags_exploded": q(TAGS_X, body="SELECT prompt_id, tag FROM tags_x"),

@@ -1,0 +1,50 @@
+"""The streaming refresh reruns exactly the days that receive new event files."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from botpulse.functions.dates import DayRange
+from botpulse.sources.fixtures import catalog_tables, event_tables
+from botpulse.sources.catalog import Tables
+from botpulse.sources.sinks import read_table
+from botpulse.streaming.refresh import contiguous_ranges, start_refresh
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_contiguous_ranges():
+    d = dt.date(2024, 1, 1)
+    days = [d, d + dt.timedelta(days=1), d + dt.timedelta(days=5), d]
+    assert contiguous_ranges(days) == [DayRange(d, d + dt.timedelta(days=1)), DayRange.of(d + dt.timedelta(days=5))]
+
+
+def test_refresh_follows_landed_files(spark, tmp_path):
+    events = spark.read.parquet(f"{SF}/events.parquet")
+    landing = str(tmp_path / "landing")
+    day = F.to_date("ts")
+    events.where(day <= "2024-01-02").write.parquet(landing)
+    part = spark.read.parquet(f"{SF}/part.parquet")
+
+    def tables() -> Tables:
+        return Tables(**event_tables(spark.read.parquet(landing)), **catalog_tables(spark, part))
+
+    out = str(tmp_path / "out")
+    stream = spark.readStream.schema(events.schema).parquet(landing).select(day.alias("event_date"))
+
+    q = start_refresh(stream, tables, out, checkpoint=str(tmp_path / "ckpt"))
+    q.awaitTermination(600)
+    assert q.exception() is None
+    got = read_table(spark, "click_rate_daily", f"{out}/click_rate_daily")
+    assert sorted(r[0].isoformat() for r in got.select("event_date").distinct().collect()) == [
+        "2024-01-01", "2024-01-02"]
+
+    events.where(day == "2024-01-05").write.mode("append").parquet(landing)
+    q = start_refresh(stream, tables, out, checkpoint=str(tmp_path / "ckpt"))
+    q.awaitTermination(600)
+    assert q.exception() is None
+    got = read_table(spark, "chat_depth_total_compare", f"{out}/chat_depth_total_compare")
+    assert sorted(r[0].isoformat() for r in got.select("event_date").distinct().collect()) == [
+        "2024-01-01", "2024-01-02", "2024-01-05"]

@@ -304,3 +304,32 @@ def test_unknown_metric_type(spark):
         rollups.metrics_by_tag(t, DAY1, "bounce_rate")
     one = rollups.metrics_by_workflow(t, DAY1, "chat_depth_user")
     assert rows(one, "metric_type") == [("chat_depth_user",)]
+
+
+# ---- sources ---------------------------------------------------------------------------------------
+def test_mirror_columns_renamed(spark):
+    from botpulse.sources.catalog import normalize_mirror_columns
+
+    from pyspark.sql import types as T
+
+    schema = T.StructType([T.StructField('"PromptId"', T.StringType()), T.StructField('"PromptTagId"', T.StringType()),
+                           T.StructField('"pathId"', T.IntegerType())])
+    df = spark.createDataFrame([("p", "t", 1)], schema)
+    assert normalize_mirror_columns(df).columns == ["prompt_id", "tag_id", "path_id"]
+
+
+def test_from_parquet_and_catalog(spark, tmp_path):
+    from helpers import make_tables
+
+    from botpulse.sources import schemas
+    from botpulse.sources.catalog import Tables
+
+    t = make_tables(spark, shows=[(D1, 1, "p1", 1)], v5=[("p1", "wf", "a")])
+    for name in schemas.INPUTS:
+        getattr(t, name).write.parquet(str(tmp_path / name))
+    back = Tables.from_parquet(spark, str(tmp_path))
+    assert rows(back.show_prompt_card) == [(D1, 1, "p1", 1)]
+    for name in schemas.INPUTS:
+        getattr(t, name).createOrReplaceTempView(f"v_{name}")
+    cat = Tables.from_catalog(spark, **{name: f"v_{name}" for name in schemas.INPUTS})
+    assert rows(cat.show_prompt_card) == [(D1, 1, "p1", 1)]

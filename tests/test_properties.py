@@ -1,0 +1,72 @@
+"""Property tests: Spark formulations vs plain-Python models of the original semantics."""
+
+from __future__ import annotations
+
+from collections import Counter
+from decimal import ROUND_HALF_UP, Decimal
+
+from helpers import CREATED, D1, D2, make_tables, rows
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from botpulse.functions.dates import DayRange
+from botpulse.functions.metrics import ratio
+from botpulse.operators import prompt_metrics as pm
+from botpulse.operators import tags
+
+SETTINGS = settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.too_slow])
+
+event = st.tuples(st.sampled_from([D1, D2]), st.sampled_from(["a", "b"]), st.sampled_from([1, 2, 3, None]))
+
+
+@SETTINGS
+@given(views=st.lists(event, max_size=12), chats=st.lists(event, max_size=12))
+def test_view_chat_pairs_equals_row_join(spark, views, chats):
+    t = make_tables(
+        spark,
+        views=[(d, i, b, u) for i, (d, b, u) in enumerate(views)],
+        chats=[(d, i, b, u, None) for i, (d, b, u) in enumerate(chats)],
+    )
+    want: Counter = Counter()
+    matched: Counter = Counter()
+    for d, b, u in views:
+        hits = sum(1 for cd, cb, cu in chats if (cd, cb) == (d, b) and u is not None and cu == u)
+        want[(d, b)] += max(hits, 1)
+        matched[(d, b)] += hits
+    expected = sorted(((d, b, want[(d, b)], matched[(d, b)]) for d, b in want), key=str)
+    got = sorted(rows(pm.view_chat_pairs(t, DayRange(D1, D2))), key=str)
+    assert got == expected
+
+
+name = st.text(alphabet="ab, ", max_size=6)
+
+
+@SETTINGS
+@given(names=st.lists(st.one_of(st.none(), name), min_size=1, max_size=30))
+def test_tag_explosion_equals_concat_split_model(spark, names):
+    t = make_tables(
+        spark,
+        shows=[(D1, 1, "p1", 1)],
+        links=[("p1", f"t{i}") for i in range(len(names))],
+        tags=[(f"t{i}", n, 1, CREATED) for i, n in enumerate(names)],
+    )
+    present = sorted(n for n in names if n is not None)
+    expected = []
+    if present:
+        pieces = ",".join(present).split(",")[:20]
+        expected = sorted(p.strip(" ") for p in pieces if p.strip(" "))
+    got = sorted(r[0] for r in rows(tags.bot_tags_daily(t, DayRange.of(D1)), "tag"))
+    assert got == expected
+
+
+@SETTINGS
+@given(pairs=st.lists(st.tuples(st.integers(0, 5000), st.integers(0, 5000)), min_size=1, max_size=40),
+       decimals=st.sampled_from([2, 4]))
+def test_ratio_is_half_up(spark, pairs, decimals):
+    df = spark.createDataFrame(pairs, "a long, b long")
+    got = [r[0] for r in df.select(ratio(F.col("a"), F.col("b"), decimals)).collect()]
+    q = Decimal(1).scaleb(-decimals)
+    expected = [None if b == 0 else float((Decimal(a) / Decimal(b)).quantize(q, rounding=ROUND_HALF_UP))
+                for a, b in pairs]
+    assert got == expected

@@ -16,11 +16,15 @@ One-row-per-day branches (C1/C2 all bots, A1/A2 both sides) are global
 aggregates in the original per-day SQL, so they exist even on days without
 input. Here they are aggregated per day and then left-joined onto the day
 spine; sums stay NULL and counts become 0 on empty days.
+
+The AIGC sides read stored per-prompt daily tables when given (as the daily
+run does); standalone they sum per-bot event counts weighted by each bot's
+number of per-prompt rows, with the same result and no days × dimension grid.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from botpulse.functions.constants import (
@@ -29,12 +33,43 @@ from botpulse.functions.constants import (
 from botpulse.functions.dates import DayRange, day_spine, within
 from botpulse.functions.metrics import bot_type, ratio, zero_if_null
 from botpulse.operators import prompt_metrics as pm
+from botpulse.operators.grouped import rows_per_prompt, weighted_rollup
 from botpulse.operators.tags import bot_tags_daily, dimension
 from botpulse.sources.catalog import Tables
 
 
+def _named() -> Column:
+    """A non-NULL, non-empty workflow."""
+    return F.col("workflow").isNotNull() & (F.col("workflow") != "")
+
+
 def _named_workflow(df: DataFrame) -> DataFrame:
-    return df.where(F.col("workflow").isNotNull() & (F.col("workflow") != ""))
+    return df.where(_named())
+
+
+def _m1_counts(t: Tables, days: DayRange) -> DataFrame:
+    return pm.click_show_counts(t, days, "event_id")
+
+
+def _m2_counts(t: Tables, days: DayRange) -> DataFrame:
+    return pm.view_chat_pairs(t, days).select(
+        *pm.KEYS, F.col("click_user_cnt").alias("e"), F.col("chat_user_cnt").alias("u"))
+
+
+def _aigc_by_workflow(t: Tables, days: DayRange, per_prompt: DataFrame) -> DataFrame:
+    """``(event_date, workflow, total_events, total_users)``: what summing a per-prompt daily
+    table (one row per distinct bot, workflow, tag) over named workflows gives."""
+    keyed = (dimension(t, days).select("prompt_id", "workflow", "tags").distinct().where(_named())
+             .groupBy("prompt_id", "workflow").agg(F.count(F.lit(1)).alias("we")).withColumn("wu", F.col("we")))
+    return weighted_rollup(keyed, per_prompt, days, "workflow").drop("prompt_count")
+
+
+def _aigc_per_day(t: Tables, days: DayRange, per_prompt: DataFrame, named_only: bool) -> DataFrame:
+    """``(event_date, total_events, total_users)`` summed over all AIGC rows of a per-prompt
+    daily table, one row per day — absent on days that table would have no rows."""
+    keyed = rows_per_prompt(dimension(t, days), True, "we", _named() if named_only else None).select(
+        "prompt_id", F.lit(AIGC).alias("group"), "we", F.col("we").alias("wu"))
+    return weighted_rollup(keyed, per_prompt, days, "group").select("event_date", "total_events", "total_users")
 
 
 def all_bots_clicks(t: Tables, days: DayRange) -> DataFrame:
@@ -67,10 +102,13 @@ def all_bots_chat_users(t: Tables, days: DayRange) -> DataFrame:
 
 def click_compare(t: Tables, days: DayRange, click_rate: DataFrame | None = None) -> DataFrame:
     """AIGC click rate per named workflow, plus one ``ALL``/``AllBots`` row per day."""
-    m1 = within(click_rate if click_rate is not None else pm.click_rate_daily(t, days), days)
-    aigc = _named_workflow(m1).groupBy("event_date", "workflow").agg(
-        F.sum("click_event_cnt").alias("total_clicks"), F.sum("show_event_cnt").alias("total_shows")
-    ).select("event_date", "workflow", F.lit(AIGC).alias("bot_type"), "total_clicks", "total_shows")
+    if click_rate is not None:
+        sums = _named_workflow(within(click_rate, days)).groupBy("event_date", "workflow").agg(
+            F.sum("click_event_cnt").alias("total_clicks"), F.sum("show_event_cnt").alias("total_shows"))
+    else:
+        sums = _aigc_by_workflow(t, days, _m1_counts(t, days)).withColumnsRenamed(
+            {"total_events": "total_clicks", "total_users": "total_shows"})
+    aigc = sums.select("event_date", "workflow", F.lit(AIGC).alias("bot_type"), "total_clicks", "total_shows")
     every = all_bots_clicks(t, days).select(
         "event_date", F.lit(ALL_WORKFLOWS).alias("workflow"), F.lit(ALL_BOTS).alias("bot_type"),
         "total_clicks", "total_shows")
@@ -80,10 +118,14 @@ def click_compare(t: Tables, days: DayRange, click_rate: DataFrame | None = None
 
 def chat_start_compare(t: Tables, days: DayRange, chat_start: DataFrame | None = None) -> DataFrame:
     """AIGC chat start rate per named workflow, plus one ``ALL``/``AllBots`` row per day."""
-    m2 = within(chat_start if chat_start is not None else pm.chat_start_daily(t, days), days)
-    aigc = _named_workflow(m2).groupBy("event_date", "workflow").agg(
-        F.sum("click_user_cnt").alias("total_click_users"), F.sum("chat_user_cnt").alias("total_chat_users")
-    ).select("event_date", "workflow", F.lit(AIGC).alias("bot_type"), "total_click_users", "total_chat_users")
+    if chat_start is not None:
+        sums = _named_workflow(within(chat_start, days)).groupBy("event_date", "workflow").agg(
+            F.sum("click_user_cnt").alias("total_click_users"), F.sum("chat_user_cnt").alias("total_chat_users"))
+    else:
+        sums = _aigc_by_workflow(t, days, _m2_counts(t, days)).withColumnsRenamed(
+            {"total_events": "total_click_users", "total_users": "total_chat_users"})
+    aigc = sums.select("event_date", "workflow", F.lit(AIGC).alias("bot_type"), "total_click_users",
+                       "total_chat_users")
     every = all_bots_chat_users(t, days).select(
         "event_date", F.lit(ALL_WORKFLOWS).alias("workflow"), F.lit(ALL_BOTS).alias("bot_type"),
         F.col("click_users").alias("total_click_users"), F.col("chat_users").alias("total_chat_users"))
@@ -153,9 +195,12 @@ def chat_depth_by_tag(t: Tables, days: DayRange, bot_tags: DataFrame | None = No
 
 def click_total_compare(t: Tables, days: DayRange, click_rate: DataFrame | None = None) -> DataFrame:
     """A1: one AIGC row (named workflows) and one AllBots row per day."""
-    m1 = within(click_rate if click_rate is not None else pm.click_rate_daily(t, days), days)
-    aigc_day = _named_workflow(m1).groupBy("event_date").agg(
-        F.sum("click_event_cnt").alias("total_clicks"), F.sum("show_event_cnt").alias("total_shows"))
+    if click_rate is not None:
+        aigc_day = _named_workflow(within(click_rate, days)).groupBy("event_date").agg(
+            F.sum("click_event_cnt").alias("total_clicks"), F.sum("show_event_cnt").alias("total_shows"))
+    else:
+        aigc_day = _aigc_per_day(t, days, _m1_counts(t, days), named_only=True).withColumnsRenamed(
+            {"total_events": "total_clicks", "total_users": "total_shows"})
     aigc = day_spine(t.spark, days).join(aigc_day, "event_date", "left").select(
         "event_date", F.lit(AIGC).alias("bot_type"), "total_clicks", "total_shows")
     every = all_bots_clicks(t, days).select(
@@ -166,9 +211,12 @@ def click_total_compare(t: Tables, days: DayRange, click_rate: DataFrame | None
 
 def chat_start_total_compare(t: Tables, days: DayRange, chat_start: DataFrame | None = None) -> DataFrame:
     """A2: one AIGC row (every workflow, empty ones included) and one AllBots row per day."""
-    m2 = within(chat_start if chat_start is not None else pm.chat_start_daily(t, days), days)
-    aigc_day = m2.groupBy("event_date").agg(
-        F.sum("click_user_cnt").alias("click_user_cnt"), F.sum("chat_user_cnt").alias("chat_user_cnt"))
+    if chat_start is not None:
+        aigc_day = within(chat_start, days).groupBy("event_date").agg(
+            F.sum("click_user_cnt").alias("click_user_cnt"), F.sum("chat_user_cnt").alias("chat_user_cnt"))
+    else:
+        aigc_day = _aigc_per_day(t, days, _m2_counts(t, days), named_only=False).withColumnsRenamed(
+            {"total_events": "click_user_cnt", "total_users": "chat_user_cnt"})
     aigc = day_spine(t.spark, days).join(aigc_day, "event_date", "left").select(
         "event_date", F.lit(AIGC).alias("workflow"), F.lit(AIGC).alias("bot_type"),
         "click_user_cnt", "chat_user_cnt")

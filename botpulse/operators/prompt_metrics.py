@@ -28,6 +28,13 @@ def distinct_per_bot(events: DataFrame, days: DayRange, bot_col: str, value_col:
         F.countDistinct(value_col).alias(name))
 
 
+def click_show_counts(t: Tables, days: DayRange, value_col: str) -> DataFrame:
+    """Per (day, bot): distinct ``value_col`` of bot views as ``e`` and of card shows as ``u``."""
+    clicks = distinct_per_bot(t.bot_view, days, "bot_id", value_col, "e")
+    shows = distinct_per_bot(t.show_prompt_card, days, "prompt_id", value_col, "u")
+    return clicks.join(shows, KEYS, "full")
+
+
 def view_chat_pairs(t: Tables, days: DayRange) -> DataFrame:
     """Per (day, bot): rows of ``views LEFT JOIN chats ON (user, bot)`` and how many matched.
 

@@ -7,7 +7,8 @@ per-prompt daily table.
 Fan-out (kept from the original jobs): W1/W2 join the *raw* dimension, so a
 bot's counts are multiplied by its number of (workflow, tag) rows; W3 uses
 distinct (bot, workflow). T1–T3 sum the per-prompt daily tables, which hold one
-row per (bot, workflow, tag).
+row per (bot, workflow, tag); computed standalone, the same sums come from
+per-bot event counts weighted by those row counts.
 """
 
 from __future__ import annotations
@@ -17,9 +18,10 @@ from pyspark.sql import functions as F
 
 from botpulse.functions.constants import (
     CHAT_DEPTH_USER, CHAT_START_RATE, CLICK_RATE, METRIC_TYPES, RATE_DECIMALS, ROUNDS_DECIMALS)
-from botpulse.functions.dates import DayRange, spread_over_days, within
-from botpulse.functions.metrics import ratio, zero_if_null
+from botpulse.functions.dates import DayRange, within
+from botpulse.functions.metrics import ratio
 from botpulse.operators import prompt_metrics as pm
+from botpulse.operators.grouped import rows_per_prompt, weighted_rollup
 from botpulse.operators.tags import dimension, tags_exploded
 from botpulse.sources.catalog import Tables
 
@@ -33,57 +35,39 @@ def _metric(total_events: str, total_users: str, metric_type: str) -> object:
     return ratio(total_events, total_users, ROUNDS_DECIMALS)
 
 
-def _by_workflow(dim_pw: DataFrame, per_prompt: DataFrame, days: DayRange, metric_type: str) -> DataFrame:
-    """Roll ``per_prompt (event_date, prompt_id, e, u)`` up to workflows.
-
-    ``dim_pw (prompt_id, workflow, dim_rows)`` carries the fan-out factor. The
-    event sums are joined (null-safe on workflow) onto a small days × workflows
-    grid holding each workflow's distinct bot count.
-    """
-    sums = per_prompt.join(dim_pw, "prompt_id").groupBy(
-        F.col("event_date").alias("s_date"), F.col("workflow").alias("s_workflow")
-    ).agg(
-        F.sum(F.col("dim_rows") * zero_if_null("e")).alias("s_events"),
-        F.sum(F.col("dim_rows") * zero_if_null("u")).alias("s_users"),
-    )
-    grid = spread_over_days(dim_pw.groupBy("workflow").agg(F.countDistinct("prompt_id").alias("prompt_count")), days)
-    joined = grid.join(
-        sums, (F.col("event_date") == F.col("s_date")) & F.col("workflow").eqNullSafe(F.col("s_workflow")), "left")
-    return joined.select(
-        "event_date",
-        F.lit(metric_type).alias("metric_type"),
-        "workflow",
-        zero_if_null("s_events").alias("total_events"),
-        zero_if_null("s_users").alias("total_users"),
-        "prompt_count",
+def _finish(rolled: DataFrame, key: str, metric_type: str) -> DataFrame:
+    return rolled.select(
+        "event_date", F.lit(metric_type).alias("metric_type"), key, "total_events", "total_users", "prompt_count",
     ).withColumn("metric_value", _metric("total_events", "total_users", metric_type))
 
 
 def _raw_fanout(t: Tables, days: DayRange) -> DataFrame:
-    return dimension(t, days).groupBy("prompt_id", "workflow").agg(F.count(F.lit(1)).alias("dim_rows"))
+    """``(prompt_id, workflow, we, wu)``: weight = the bot's raw dimension rows in the workflow."""
+    return dimension(t, days).groupBy("prompt_id", "workflow").agg(F.count(F.lit(1)).alias("we")).withColumn(
+        "wu", F.col("we"))
 
 
 def workflow_click_rate(t: Tables, days: DayRange) -> DataFrame:
     """Distinct viewing users / distinct card-seeing users per workflow (raw fan-out)."""
-    clicks = pm.distinct_per_bot(t.bot_view, days, "bot_id", "user_id", "e")
-    shows = pm.distinct_per_bot(t.show_prompt_card, days, "prompt_id", "user_id", "u")
-    per_prompt = clicks.join(shows, pm.KEYS, "full")
-    return _by_workflow(_raw_fanout(t, days), per_prompt, days, CLICK_RATE)
+    per_prompt = pm.click_show_counts(t, days, "user_id")
+    return _finish(weighted_rollup(_raw_fanout(t, days), per_prompt, days, "workflow"), "workflow", CLICK_RATE)
 
 
 def workflow_chat_start(t: Tables, days: DayRange) -> DataFrame:
     """Joined view rows and matched chat rows per workflow (raw fan-out)."""
     per_prompt = pm.view_chat_pairs(t, days).select(
         *pm.KEYS, F.col("click_user_cnt").alias("e"), F.col("chat_user_cnt").alias("u"))
-    return _by_workflow(_raw_fanout(t, days), per_prompt, days, CHAT_START_RATE)
+    return _finish(weighted_rollup(_raw_fanout(t, days), per_prompt, days, "workflow"), "workflow",
+                   CHAT_START_RATE)
 
 
 def workflow_chat_depth(t: Tables, days: DayRange) -> DataFrame:
     """Chat messages / distinct chatting users per workflow (distinct bot, workflow)."""
-    dim_pw = dimension(t, days).select("prompt_id", "workflow").distinct().withColumn("dim_rows", F.lit(1))
+    keyed = dimension(t, days).select("prompt_id", "workflow").distinct().select(
+        "prompt_id", "workflow", F.lit(1).alias("we"), F.lit(1).alias("wu"))
     per_prompt = pm.chat_counts(t.chat_send, days).select(
         *pm.KEYS, F.col("n_events").alias("e"), F.col("n_users").alias("u"))
-    return _by_workflow(dim_pw, per_prompt, days, CHAT_DEPTH_USER)
+    return _finish(weighted_rollup(keyed, per_prompt, days, "workflow"), "workflow", CHAT_DEPTH_USER)
 
 
 WORKFLOW_METRICS = {
@@ -99,8 +83,9 @@ def metrics_by_workflow(t: Tables, days: DayRange, metric_types=METRIC_TYPES) ->
 
 
 # ---- by tag -------------------------------------------------------------------------
-def _by_tag(daily: DataFrame, tags: DataFrame, days: DayRange, events_col: str, users_col: str,
-            metric_type: str) -> DataFrame:
+def _by_tag_from_daily(daily: DataFrame, tags: DataFrame, days: DayRange, events_col: str, users_col: str,
+                       metric_type: str) -> DataFrame:
+    """T from a stored per-prompt daily table, as the original reads it."""
     per_prompt = within(daily, days).groupBy(*pm.KEYS).agg(
         F.sum(events_col).alias("e"), F.sum(users_col).alias("u"))
     return (
@@ -114,22 +99,50 @@ def _by_tag(daily: DataFrame, tags: DataFrame, days: DayRange, events_col: str,
     )
 
 
+def _tag_weights(t: Tables, days: DayRange, raw_events: bool) -> DataFrame:
+    """``(prompt_id, tag, we, wu)``: a bot's per-prompt daily rows are its distinct
+    (workflow, tag) dimension rows, so its counts enter each of its tags that many
+    times — except M3's message count, which already carries the raw row count."""
+    dim = dimension(t, days)
+    weights = rows_per_prompt(dim, True, "k")
+    if raw_events:
+        weights = weights.join(rows_per_prompt(dim, False, "r"), "prompt_id")
+    return tags_exploded(t, days).select("prompt_id", "tag").join(weights, "prompt_id").select(
+        "prompt_id", "tag", F.col("r" if raw_events else "k").alias("we"), F.col("k").alias("wu"))
+
+
 def tag_click_rate(t: Tables, days: DayRange, click_rate: DataFrame | None = None) -> DataFrame:
-    """Per tag, summed clicks (total_events) and card shows (total_users) of M1."""
-    daily = click_rate if click_rate is not None else pm.click_rate_daily(t, days)
-    return _by_tag(daily, tags_exploded(t, days), days, "click_event_cnt", "show_event_cnt", CLICK_RATE)
+    """Per tag, summed clicks (total_events) and card shows (total_users) of M1.
+
+    From a stored M1 table when given; otherwise straight from the events with
+    the same result (no days × dimension grid).
+    """
+    if click_rate is not None:
+        return _by_tag_from_daily(click_rate, tags_exploded(t, days), days, "click_event_cnt", "show_event_cnt",
+                                  CLICK_RATE)
+    per_prompt = pm.click_show_counts(t, days, "event_id")
+    return _finish(weighted_rollup(_tag_weights(t, days, False), per_prompt, days, "tag"), "tag", CLICK_RATE)
 
 
 def tag_chat_start(t: Tables, days: DayRange, chat_start: DataFrame | None = None) -> DataFrame:
     """Per tag, summed view rows (total_events) and chat rows (total_users) of M2."""
-    daily = chat_start if chat_start is not None else pm.chat_start_daily(t, days)
-    return _by_tag(daily, tags_exploded(t, days), days, "click_user_cnt", "chat_user_cnt", CHAT_START_RATE)
+    if chat_start is not None:
+        return _by_tag_from_daily(chat_start, tags_exploded(t, days), days, "click_user_cnt", "chat_user_cnt",
+                                  CHAT_START_RATE)
+    per_prompt = pm.view_chat_pairs(t, days).select(
+        *pm.KEYS, F.col("click_user_cnt").alias("e"), F.col("chat_user_cnt").alias("u"))
+    return _finish(weighted_rollup(_tag_weights(t, days, False), per_prompt, days, "tag"), "tag",
+                   CHAT_START_RATE)
 
 
 def tag_chat_depth(t: Tables, days: DayRange, chat_rounds: DataFrame | None = None) -> DataFrame:
     """Per tag, summed chat messages and chatting users of M3."""
-    daily = chat_rounds if chat_rounds is not None else pm.chat_rounds_daily(t, days)
-    return _by_tag(daily, tags_exploded(t, days), days, "total_chat_events", "unique_users", CHAT_DEPTH_USER)
+    if chat_rounds is not None:
+        return _by_tag_from_daily(chat_rounds, tags_exploded(t, days), days, "total_chat_events", "unique_users",
+                                  CHAT_DEPTH_USER)
+    per_prompt = pm.chat_counts(t.chat_send, days).select(
+        *pm.KEYS, F.col("n_events").alias("e"), F.col("n_users").alias("u"))
+    return _finish(weighted_rollup(_tag_weights(t, days, True), per_prompt, days, "tag"), "tag", CHAT_DEPTH_USER)
 
 
 TAG_METRICS = {

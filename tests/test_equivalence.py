@@ -101,7 +101,9 @@ def test_daily_run_matches_standalone_jobs(spark, tmp_path):
     assert all(s.ok for s in status.values())
     stored = t.with_(aigc_tag_v5=read_table(spark, "aigc_tag_v5", f"{out}/aigc_tag_v5"))
     for name, job in [("metrics_by_tag", rollups.metrics_by_tag), ("chat_depth_by_tag", compare.chat_depth_by_tag),
-                      ("click_total_compare", compare.click_total_compare)]:
+                      ("click_total_compare", compare.click_total_compare),
+                      ("chat_start_total_compare", compare.chat_start_total_compare),
+                      ("click_compare", compare.click_compare), ("chat_start_compare", compare.chat_start_compare)]:
         assert rows(read_table(spark, name, f"{out}/{name}")) == rows(job(stored, RANGE)), name
 
 

@@ -333,3 +333,12 @@ def test_from_parquet_and_catalog(spark, tmp_path):
         getattr(t, name).createOrReplaceTempView(f"v_{name}")
     cat = Tables.from_catalog(spark, **{name: f"v_{name}" for name in schemas.INPUTS})
     assert rows(cat.show_prompt_card) == [(D1, 1, "p1", 1)]
+
+
+def test_aigc_totals_null_without_named_workflows(spark):
+    t = make_tables(spark, v5=[("p1", "", "a")], shows=[(D1, 1, "p1", 1)], views=[(D1, 2, "p1", 1)])
+    a1 = rows(compare.click_total_compare(t, DAY1), "bot_type", "total_clicks", "total_shows", "click_rate")
+    assert ("AIGC", None, None, None) in a1
+    a2 = rows(compare.chat_start_total_compare(t, DAY1), "bot_type", "click_user_cnt", "chat_user_cnt")
+    assert ("AIGC", 1, 0) in a2  # A2 keeps blank workflows
+    assert rows(compare.click_compare(t, DAY1), "bot_type") == [("AllBots",)]

@@ -51,3 +51,25 @@ def test_distinct_counts_shuffle_on_distinct_keys(plans):
     # so a hot bot is spread over tasks before the per-bot count.
     text = plans["click_rate_daily"]
     assert re.search(r"hashpartitioning\(event_date#\d+, \w+#\d+, event_id#\d+L?, \d+\)", text)
+
+
+def test_day_filter_prunes_event_partitions(spark, tmp_path):
+    from helpers import D1, D2, make_tables
+
+    from botpulse.functions.dates import DayRange
+    from botpulse.operators.prompt_metrics import chat_start_daily
+    from botpulse.sources import schemas
+    from botpulse.sources.catalog import Tables
+
+    t = make_tables(spark, shows=[(D1, 1, "p1", 1), (D2, 2, "p1", 1)], views=[(D1, 3, "p1", 1), (D2, 4, "p1", 2)],
+                    chats=[(D2, 5, "p1", 2, None)], v5=[("p1", "wf", "a")])
+    for name in schemas.INPUTS:
+        df = getattr(t, name)
+        writer = df.write.partitionBy("event_date") if "event_date" in df.columns else df.write
+        writer.parquet(str(tmp_path / name))
+    stored = Tables.from_parquet(spark, str(tmp_path)).with_(aigc_tag_v5=t.aigc_tag_v5)
+    df = chat_start_daily(stored, DayRange.of(D2))
+    text = plan(df)
+    scans = [blk for blk in text.split("\n\n") if "Scan parquet" in blk and ("bot_view" in blk or "chat_send" in blk)]
+    assert scans and all("PartitionFilters: [isnotnull(event_date" in blk and "2024-01-02" in blk for blk in scans)
+    assert [tuple(r) for r in df.select("click_user_cnt", "chat_user_cnt").collect()] == [(1, 1)]

@@ -47,9 +47,12 @@ def local_session(cores: int | str = "8", shuffle_partitions: int = 8, app: str
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for lineage cuts: ``spark.checkpoint.dir`` as the cluster
     sets it; only when unset (local tests) a fresh temporary folder."""
-    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         path = tempfile.mkdtemp(prefix="botpulse-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+    try:  # classic sessions: make DataFrame.checkpoint() use the same folder
+        spark.sparkContext.setCheckpointDir(path)
+    except Exception:  # Spark Connect has no SparkContext; the conf alone is used there
+        pass
     return path

@@ -1,8 +1,9 @@
 """Results stay exact when one bot and one user hold a third of all events.
 
-The jobs aggregate events before any join, so joins see one row per key even
-for the hot bot and user; AQE's skew-join split (thresholds forced low here,
-broadcasts off so every join is a shuffle join) then finds nothing to split.
+The jobs aggregate events before any join, so the event side of every join
+holds one row per key even for the hot bot and user; AQE's skew-join split
+(thresholds forced low here, broadcasts off so every join is a shuffle join)
+finds nothing to split in these runs.
 These runs check that the hot key goes through the partial aggregations and
 shuffle joins with exact results."""
 

@@ -1,8 +1,13 @@
 """The ordered daily run: every table for a range of days, producers first.
 
-Order: tag dimensions (D2 [+ D1 seed] → D3 → D4), per-prompt KPIs (M1–M3),
-by-workflow (W4) and by-tag (T4) tables, comparisons (C3, C2, C1), the daily
-tag explosion (C4), chat depth by tag (C5) and the totals (A1–A3).
+Levels (a level starts when the previous one is written; tables within a
+level are independent and run concurrently):
+
+0. ``aigc_tag`` — Luna tags (D2) [+ seed CSV (D1)]
+1. ``aigc_tag_v5`` — V5 enrichment (D3)
+2. everything that needs only the dimension: D4, M1–M3, W4, C3, C4, A3
+3. everything that reads a table of level 2: T4 (M1–M3, D4), C1/A1 (M1),
+   C2/A2 (M2), C5 (C4)
 
 Consumers read the *written* producer tables, as the original jobs read the
 warehouse: each write cuts the lineage, so a lost executor only recomputes
@@ -18,6 +23,7 @@ import logging
 import time
 import traceback
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -49,20 +55,26 @@ def run_reports(
     mode: str = "overwrite",
     seed_csv: str | None = None,
     seed_date: dt.date | str | None = None,
+    parallelism: int = 4,
 ) -> dict[str, TableStatus]:
     """Compute and write every table for ``days`` (default: yesterday) under ``out``.
 
-    Returns a status per table: rows written (from an ``Observation`` on the
-    write), duration, or the error. ``seed_csv`` adds the bot → workflow seed
-    list (D1) to ``aigc_tag`` stamped with ``seed_date``.
+    Tables run in dependency levels; the tables of one level are submitted
+    concurrently from ``parallelism`` driver threads (Spark schedules their jobs
+    side by side), a level starts when the previous one is written. Returns a
+    status per table: rows written (from an ``Observation`` on the write),
+    duration, or the error. A consumer whose producer failed derives that input
+    from the sources instead of reading a stale table. ``seed_csv`` adds the
+    bot → workflow seed list (D1) to ``aigc_tag`` stamped with ``seed_date``.
     """
     days = days or DayRange.yesterday()
     spark = t.spark
     path = {name: f"{out.rstrip('/')}/{name}" for name in _ORDER}
     status: dict[str, TableStatus] = {}
 
-    def stored(name: str) -> DataFrame:
-        return read_table(spark, name, path[name])
+    def stored(name: str) -> DataFrame | None:
+        """The table written by this run, or None when its step failed."""
+        return read_table(spark, name, path[name]) if status.get(name, TableStatus(False)).ok else None
 
     def step(name: str, build: Callable[[], DataFrame]) -> None:
         t0 = time.perf_counter()
@@ -75,6 +87,14 @@ def run_reports(
                                        f"{type(exc).__name__}: {exc}")
             log.error("table %s failed: %s", name, traceback.format_exc())
 
+    def level(steps: list[tuple[str, Callable[[], DataFrame]]]) -> None:
+        if parallelism <= 1 or len(steps) == 1:
+            for name, build in steps:
+                step(name, build)
+            return
+        with ThreadPoolExecutor(max_workers=parallelism, thread_name_prefix="botpulse") as pool:
+            list(pool.map(lambda s: step(*s), steps))
+
     def aigc_tag() -> DataFrame:
         rows = tags.luna_tags(t, days)
         if seed_csv is not None:
@@ -84,38 +104,35 @@ def run_reports(
     # The V5 dimension has no date: rebuilt as a whole from every stored aigc_tag day
     # (idempotent), or, in append mode, the run's days appended as the original does.
     def aigc_tag_v5() -> DataFrame:
-        source = stored("aigc_tag")
-        return tags.enrich_v5(t, source if mode == "overwrite" else source.where(
-            source.event_date.between(days.start, days.end)))
-
-    step("aigc_tag", aigc_tag)
-    step("aigc_tag_v5", aigc_tag_v5)
-    dim = t.with_(aigc_tag_v5=_maybe(stored, "aigc_tag_v5", status))
-    step("tags_exploded", lambda: tags.tags_exploded(dim.with_(tags_exploded=None), days))
-    dim = dim.with_(tags_exploded=_maybe(stored, "tags_exploded", status))
-
-    step("click_rate_daily", lambda: pm.click_rate_daily(dim, days))
-    step("chat_start_daily", lambda: pm.chat_start_daily(dim, days))
-    step("chat_rounds_daily", lambda: pm.chat_rounds_daily(dim, days))
-    step("metrics_by_workflow", lambda: rollups.metrics_by_workflow(dim, days))
-    step("metrics_by_tag", lambda: rollups.metrics_by_tag(
-        dim, days, click_rate=stored("click_rate_daily"), chat_start=stored("chat_start_daily"),
-        chat_rounds=stored("chat_rounds_daily")))
-    step("chat_depth_compare", lambda: compare.chat_depth_compare(dim, days))
-    step("chat_start_compare", lambda: compare.chat_start_compare(dim, days, stored("chat_start_daily")))
-    step("click_compare", lambda: compare.click_compare(dim, days, stored("click_rate_daily")))
-    step("bot_tags_daily", lambda: tags.bot_tags_daily(dim, days))
-    step("chat_depth_by_tag", lambda: compare.chat_depth_by_tag(dim, days, stored("bot_tags_daily")))
-    step("click_total_compare", lambda: compare.click_total_compare(dim, days, stored("click_rate_daily")))
-    step("chat_start_total_compare", lambda: compare.chat_start_total_compare(
-        dim, days, stored("chat_start_daily")))
-    step("chat_depth_total_compare", lambda: compare.chat_depth_total_compare(dim, days))
-    return status
-
-
-def _maybe(stored: Callable[[str], DataFrame], name: str, status: dict[str, TableStatus]) -> DataFrame | None:
-    """The stored table if its step succeeded (else None: consumers derive it)."""
-    return stored(name) if status.get(name, TableStatus(False)).ok else None
+        source = read_table(spark, "aigc_tag", path["aigc_tag"])
+        if mode != "overwrite":
+            source = source.where(source.event_date.between(days.start, days.end))
+        return tags.enrich_v5(t, source)
+
+    level([("aigc_tag", aigc_tag)])
+    level([("aigc_tag_v5", aigc_tag_v5)])
+    dim = t.with_(aigc_tag_v5=stored("aigc_tag_v5"))
+    level([
+        ("tags_exploded", lambda: tags.tags_exploded(dim.with_(tags_exploded=None), days)),
+        ("click_rate_daily", lambda: pm.click_rate_daily(dim, days)),
+        ("chat_start_daily", lambda: pm.chat_start_daily(dim, days)),
+        ("chat_rounds_daily", lambda: pm.chat_rounds_daily(dim, days)),
+        ("metrics_by_workflow", lambda: rollups.metrics_by_workflow(dim, days)),
+        ("chat_depth_compare", lambda: compare.chat_depth_compare(dim, days)),
+        ("bot_tags_daily", lambda: tags.bot_tags_daily(dim, days)),
+        ("chat_depth_total_compare", lambda: compare.chat_depth_total_compare(dim, days)),
+    ])
+    dim = dim.with_(tags_exploded=stored("tags_exploded"))
+    m1, m2, m3 = stored("click_rate_daily"), stored("chat_start_daily"), stored("chat_rounds_daily")
+    level([
+        ("metrics_by_tag", lambda: rollups.metrics_by_tag(dim, days, click_rate=m1, chat_start=m2, chat_rounds=m3)),
+        ("chat_start_compare", lambda: compare.chat_start_compare(dim, days, m2)),
+        ("click_compare", lambda: compare.click_compare(dim, days, m1)),
+        ("chat_depth_by_tag", lambda: compare.chat_depth_by_tag(dim, days, stored("bot_tags_daily"))),
+        ("click_total_compare", lambda: compare.click_total_compare(dim, days, m1)),
+        ("chat_start_total_compare", lambda: compare.chat_start_total_compare(dim, days, m2)),
+    ])
+    return {name: status[name] for name in _ORDER if name in status}
 
 
 _ORDER = [

@@ -131,3 +131,19 @@ def test_invariants(spark, fixed):
 def test_day_range_from_data(spark):
     days = fixture_days(spark, SF)
     assert (days.start, days.end) == (dt.date(2024, 1, 1), dt.date(2024, 1, 30))
+
+
+def test_failed_producer_does_not_feed_consumers(spark, tmp_path, monkeypatch):
+    t = fixture_tables(spark, SF)
+
+    def boom(*_args, **_kwargs):
+        raise RuntimeError("simulated failure")
+
+    monkeypatch.setattr(pm, "click_rate_daily", boom)
+    out = str(tmp_path / "out")
+    status = run_reports(t, RANGE, out, parallelism=1)
+    assert not status["click_rate_daily"].ok and "simulated failure" in status["click_rate_daily"].error
+    assert all(s.ok for k, s in status.items() if k != "click_rate_daily")
+    stored = t.with_(aigc_tag_v5=read_table(spark, "aigc_tag_v5", f"{out}/aigc_tag_v5"))
+    for name, job in [("click_compare", compare.click_compare), ("click_total_compare", compare.click_total_compare)]:
+        assert rows(read_table(spark, name, f"{out}/{name}")) == rows(job(stored, RANGE)), name

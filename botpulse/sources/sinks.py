@@ -18,11 +18,17 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partitioned:
     rerunning any range of days is safe; ``mode="append"`` adds rows. Tables
     without a day column are replaced (or appended to) as a whole. The row count
     comes from an ``Observation`` on the write itself, not from a second pass.
+
+    Day-partitioned writes go through a ``rebalance`` on ``event_date``: AQE then
+    sizes the write tasks (small days coalesced into few files, a large day split
+    into several), instead of every task writing a file for every day it holds.
     """
     if mode not in ("overwrite", "append"):
         raise ValueError(f"unsupported write mode {mode!r}")
     obs = Observation()
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+    if partitioned:
+        observed = observed.hint("rebalance", PARTITION_COL)
     writer = observed.write.mode(mode)
     if partitioned:
         writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(PARTITION_COL)

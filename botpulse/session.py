@@ -19,6 +19,25 @@ JOB_CONF = {
 }
 
 
+def cluster_conf(total_cores: int) -> dict[str, str]:
+    """Starting settings for a large cluster (say 1,000 executors over ~100 TB of events).
+
+    Shuffle width about 3x the cores; AQE coalesces reduce partitions toward
+    128 MB by size (not by core count) and splits skewed ones; scans split files
+    into 256 MB tasks; broadcasts happen only for sides measured under 64 MB at
+    runtime. Apply with ``SparkSession.builder.config(map=cluster_conf(n))``.
+    """
+    return {
+        **JOB_CONF,
+        "spark.sql.shuffle.partitions": str(max(8, 3 * total_cores)),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.files.maxPartitionBytes": "256m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    }
+
+
 def configure(spark: SparkSession) -> SparkSession:
     for key, value in JOB_CONF.items():
         spark.conf.set(key, value)

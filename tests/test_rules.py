@@ -342,3 +342,12 @@ def test_aigc_totals_null_without_named_workflows(spark):
     a2 = rows(compare.chat_start_total_compare(t, DAY1), "bot_type", "click_user_cnt", "chat_user_cnt")
     assert ("AIGC", 1, 0) in a2  # A2 keeps blank workflows
     assert rows(compare.click_compare(t, DAY1), "bot_type") == [("AllBots",)]
+
+
+def test_cluster_conf():
+    from botpulse.session import cluster_conf
+
+    conf = cluster_conf(4000)
+    assert conf["spark.sql.shuffle.partitions"] == "12000"
+    assert conf["spark.sql.adaptive.enabled"] == "true"
+    assert conf["spark.sql.sources.partitionOverwriteMode"] == "dynamic"

@@ -351,3 +351,20 @@ def test_cluster_conf():
     assert conf["spark.sql.shuffle.partitions"] == "12000"
     assert conf["spark.sql.adaptive.enabled"] == "true"
     assert conf["spark.sql.sources.partitionOverwriteMode"] == "dynamic"
+
+
+# ---- P4: empty inputs ----------------------------------------------------------------------------------
+@pytest.mark.parametrize("dim", [[("p1", "wf", "a")], []], ids=["no-events", "nothing"])
+def test_every_job_on_empty_inputs(spark, dim):
+    from botpulse.plans.jobs import JOBS
+
+    t = make_tables(spark, v5=dim)
+    counts = {name: job(t, DAYS12).count() for name, job in JOBS.items()}
+    per_dim_day = 2 * len(dim)
+    assert counts["click_rate_daily"] == counts["chat_start_daily"] == counts["chat_rounds_daily"] == per_dim_day
+    assert counts["metrics_by_workflow"] == counts["metrics_by_tag"] == 3 * per_dim_day
+    assert counts["click_total_compare"] == counts["chat_start_total_compare"] == 4  # AIGC + AllBots per day
+    assert counts["click_compare"] == counts["chat_start_compare"] == 2 + per_dim_day
+    for name in ("chat_depth_compare", "chat_depth_total_compare", "chat_depth_by_tag", "bot_tags_daily",
+                 "luna_tags", "seed_tags"):
+        assert counts[name] == 0, name

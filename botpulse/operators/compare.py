@@ -28,12 +28,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from botpulse.functions.constants import (
-    AIGC, ALL_BOTS, ALL_WORKFLOWS, EVENT_SHOW_PROMPT_CARD, EVENT_VIEW_BOT, METHOD_REGENERATE, RATE_DECIMALS,
-    ROUNDS_DECIMALS)
+    AIGC, ALL_BOTS, ALL_WORKFLOWS, EVENT_SHOW_PROMPT_CARD, EVENT_VIEW_BOT, RATE_DECIMALS, ROUNDS_DECIMALS)
 from botpulse.functions.dates import DayRange, day_spine, within
 from botpulse.functions.metrics import bot_type, ratio, zero_if_null
 from botpulse.operators import prompt_metrics as pm
 from botpulse.operators.grouped import rows_per_prompt, weighted_rollup
+from botpulse.operators.summaries import chat_summary, view_summary
 from botpulse.operators.tags import bot_tags_daily, dimension
 from botpulse.sources.catalog import Tables
 
@@ -48,7 +48,7 @@ def _named_workflow(df: DataFrame) -> DataFrame:
 
 
 def _m1_counts(t: Tables, days: DayRange) -> DataFrame:
-    return pm.click_show_counts(t, days, "event_id")
+    return pm.click_show_events(t, days)
 
 
 def _m2_counts(t: Tables, days: DayRange) -> DataFrame:
@@ -91,8 +91,8 @@ def all_bots_clicks(t: Tables, days: DayRange) -> DataFrame:
 def all_bots_chat_users(t: Tables, days: DayRange) -> DataFrame:
     """Per day: ``(event_date, click_users, chat_users)`` — distinct users with a bot view
     and how many of them sent any chat message that day; 0 on empty days."""
-    viewers = within(t.bot_view, days).select("event_date", "user_id").distinct()
-    chatters = within(t.chat_send, days).select("event_date", "user_id").distinct().withColumn("chatted", F.lit(1))
+    viewers = view_summary(t, days).select("event_date", "user_id").distinct()
+    chatters = chat_summary(t, days).select("event_date", "user_id").distinct().withColumn("chatted", F.lit(1))
     per_day = viewers.join(chatters, ["event_date", "user_id"], "left").groupBy("event_date").agg(
         F.count("user_id").alias("click_users"), F.count("chatted").alias("chat_users"))
     return day_spine(t.spark, days).join(per_day, "event_date", "left").select(
@@ -144,7 +144,7 @@ def chat_depth_compare(t: Tables, days: DayRange) -> DataFrame:
     A bot in two workflows counts fully in each (distinct bot, workflow).
     """
     dim = dimension(t, days).select("prompt_id", "workflow").distinct().withColumn("in_dim", F.lit(True))
-    per_bot = pm.chat_counts(t.chat_send, days).join(dim, "prompt_id", "left")
+    per_bot = pm.chat_counts(t, days).join(dim, "prompt_id", "left")
     return (
         per_bot.groupBy("event_date", bot_type(F.col("in_dim").isNotNull()).alias("bot_type"), "workflow")
         .agg(F.sum("n_msgs").alias("total_msgs"), F.sum("n_users").alias("user_count"))
@@ -159,7 +159,7 @@ def chat_depth_total_compare(t: Tables, days: DayRange) -> DataFrame:
     dimension row, its users once.
     """
     dim_rows = dimension(t, days).groupBy("prompt_id").agg(F.count(F.lit(1)).alias("dim_rows"))
-    per_bot = pm.chat_counts(t.chat_send, days).join(dim_rows, "prompt_id", "left")
+    per_bot = pm.chat_counts(t, days).join(dim_rows, "prompt_id", "left")
     return (
         per_bot.groupBy("event_date", bot_type(F.col("dim_rows").isNotNull()).alias("bot_type"))
         .agg(F.sum(F.col("n_msgs") * F.coalesce(F.col("dim_rows"), F.lit(1))).alias("total_msgs"),
@@ -174,9 +174,7 @@ def chat_depth_by_tag(t: Tables, days: DayRange, bot_tags: DataFrame | None = No
     A bot's per-day counts are multiplied by its number of raw AIGC dimension
     rows (1 for other bots). Days without qualifying messages give no rows.
     """
-    method = F.col("method")
-    chats = t.chat_send.where(method.isNull() | (method != METHOD_REGENERATE))
-    per_bot = pm.chat_counts(chats, days)
+    per_bot = pm.chat_counts(t, days, kept_only=True)
     tags_daily = within(bot_tags if bot_tags is not None else bot_tags_daily(t, days), days)
     dim_rows = dimension(t, days).groupBy("prompt_id").agg(F.count(F.lit(1)).alias("dim_rows"))
     tagged = tags_daily.join(dim_rows, "prompt_id", "left").select(

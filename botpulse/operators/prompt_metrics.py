@@ -16,10 +16,12 @@ from pyspark.sql import functions as F
 from botpulse.functions.constants import RATE_DECIMALS, ROUNDS_DECIMALS
 from botpulse.functions.dates import DayRange, spread_over_days, within
 from botpulse.functions.metrics import ratio, zero_if_null
+from botpulse.operators.summaries import chat_summary, show_summary, view_summary
 from botpulse.operators.tags import dimension
 from botpulse.sources.catalog import Tables
 
 KEYS = ["event_date", "prompt_id"]
+USER_KEYS = ["event_date", "user_id", "prompt_id"]
 
 
 def distinct_per_bot(events: DataFrame, days: DayRange, bot_col: str, value_col: str, name: str) -> DataFrame:
@@ -28,13 +30,21 @@ def distinct_per_bot(events: DataFrame, days: DayRange, bot_col: str, value_col:
         F.countDistinct(value_col).alias(name))
 
 
-def click_show_counts(t: Tables, days: DayRange, value_col: str) -> DataFrame:
-    """Per (day, bot): distinct ``value_col`` of bot views as ``e`` and of card shows as ``u``."""
-    clicks = distinct_per_bot(t.bot_view, days, "bot_id", value_col, "e")
-    shows = distinct_per_bot(t.show_prompt_card, days, "prompt_id", value_col, "u")
+def click_show_events(t: Tables, days: DayRange) -> DataFrame:
+    """Per (day, bot): distinct event ids of bot views as ``e`` and of card shows as ``u``."""
+    clicks = distinct_per_bot(t.bot_view, days, "bot_id", "event_id", "e")
+    shows = distinct_per_bot(t.show_prompt_card, days, "prompt_id", "event_id", "u")
     return clicks.join(shows, KEYS, "full")
 
 
+def click_show_users(t: Tables, days: DayRange) -> DataFrame:
+    """Per (day, bot): distinct users with a bot view as ``e`` and with a card show as ``u``
+    (one summary row per user, so a count of non-NULL users)."""
+    viewers = view_summary(t, days).groupBy(*KEYS).agg(F.count("user_id").alias("e"))
+    card_viewers = show_summary(t, days).groupBy(*KEYS).agg(F.count("user_id").alias("u"))
+    return viewers.join(card_viewers, KEYS, "full")
+
+
 def view_chat_pairs(t: Tables, days: DayRange) -> DataFrame:
     """Per (day, bot): rows of ``views LEFT JOIN chats ON (user, bot)`` and how many matched.
 
@@ -43,23 +53,25 @@ def view_chat_pairs(t: Tables, days: DayRange) -> DataFrame:
     the same numbers as the row-level join without its ``v * c`` blow-up.
     Output ``(event_date, prompt_id, click_user_cnt, chat_user_cnt)``.
     """
-    views = within(t.bot_view, days).groupBy(
-        "event_date", "user_id", F.col("bot_id").alias("prompt_id")).agg(F.count(F.lit(1)).alias("v"))
-    chats = within(t.chat_send, days).groupBy("event_date", "user_id", "prompt_id").agg(
-        F.count(F.lit(1)).alias("c"))
-    return views.join(chats, ["event_date", "user_id", "prompt_id"], "left").groupBy(*KEYS).agg(
+    views = view_summary(t, days).select(*USER_KEYS, F.col("n_views").alias("v"))
+    chats = chat_summary(t, days).select(*USER_KEYS, F.col("n_msgs").alias("c"))
+    return views.join(chats, USER_KEYS, "left").groupBy(*KEYS).agg(
         F.sum(F.col("v") * F.coalesce(F.col("c"), F.lit(1))).alias("click_user_cnt"),
         F.sum(F.col("v") * zero_if_null("c")).alias("chat_user_cnt"),
     )
 
 
-def chat_counts(chats: DataFrame, days: DayRange) -> DataFrame:
+def chat_counts(t: Tables, days: DayRange, kept_only: bool = False) -> DataFrame:
     """Per (day, bot) of chat messages: ``COUNT(*)`` as ``n_msgs``, ``COUNT(event_id)`` as
-    ``n_events`` and ``COUNT(DISTINCT user_id)`` as ``n_users`` (unused ones are pruned)."""
-    return within(chats, days).groupBy(*KEYS).agg(
-        F.count(F.lit(1)).alias("n_msgs"),
-        F.count("event_id").alias("n_events"),
-        F.countDistinct("user_id").alias("n_users"))
+    ``n_events`` and ``COUNT(DISTINCT user_id)`` as ``n_users``; with ``kept_only`` over the
+    messages whose method is not ``regenerate`` (``n_msgs``, ``n_users`` only)."""
+    summary = chat_summary(t, days)
+    if kept_only:
+        summary = summary.where(F.col("n_kept") > 0).withColumn("n_msgs", F.col("n_kept"))
+    return summary.groupBy(*KEYS).agg(
+        F.sum("n_msgs").alias("n_msgs"),
+        F.sum("n_events").alias("n_events"),
+        F.count("user_id").alias("n_users"))
 
 
 def click_rate_daily(t: Tables, days: DayRange) -> DataFrame:
@@ -109,7 +121,7 @@ def chat_rounds_daily(t: Tables, days: DayRange) -> DataFrame:
     without users.
     """
     dim = dimension(t, days).groupBy("prompt_id", "workflow", "tags").agg(F.count(F.lit(1)).alias("dim_rows"))
-    chats = chat_counts(t.chat_send, days)
+    chats = chat_counts(t, days)
     total = F.col("dim_rows") * zero_if_null("n_events")
     users = zero_if_null("n_users")
     return spread_over_days(dim, days).join(chats, KEYS, "left").select(

@@ -49,7 +49,7 @@ def _raw_fanout(t: Tables, days: DayRange) -> DataFrame:
 
 def workflow_click_rate(t: Tables, days: DayRange) -> DataFrame:
     """Distinct viewing users / distinct card-seeing users per workflow (raw fan-out)."""
-    per_prompt = pm.click_show_counts(t, days, "user_id")
+    per_prompt = pm.click_show_users(t, days)
     return _finish(weighted_rollup(_raw_fanout(t, days), per_prompt, days, "workflow"), "workflow", CLICK_RATE)
 
 
@@ -65,7 +65,7 @@ def workflow_chat_depth(t: Tables, days: DayRange) -> DataFrame:
     """Chat messages / distinct chatting users per workflow (distinct bot, workflow)."""
     keyed = dimension(t, days).select("prompt_id", "workflow").distinct().select(
         "prompt_id", "workflow", F.lit(1).alias("we"), F.lit(1).alias("wu"))
-    per_prompt = pm.chat_counts(t.chat_send, days).select(
+    per_prompt = pm.chat_counts(t, days).select(
         *pm.KEYS, F.col("n_events").alias("e"), F.col("n_users").alias("u"))
     return _finish(weighted_rollup(keyed, per_prompt, days, "workflow"), "workflow", CHAT_DEPTH_USER)
 
@@ -120,7 +120,7 @@ def tag_click_rate(t: Tables, days: DayRange, click_rate: DataFrame | None = Non
     if click_rate is not None:
         return _by_tag_from_daily(click_rate, tags_exploded(t, days), days, "click_event_cnt", "show_event_cnt",
                                   CLICK_RATE)
-    per_prompt = pm.click_show_counts(t, days, "event_id")
+    per_prompt = pm.click_show_events(t, days)
     return _finish(weighted_rollup(_tag_weights(t, days, False), per_prompt, days, "tag"), "tag", CLICK_RATE)
 
 
@@ -140,7 +140,7 @@ def tag_chat_depth(t: Tables, days: DayRange, chat_rounds: DataFrame | None = No
     if chat_rounds is not None:
         return _by_tag_from_daily(chat_rounds, tags_exploded(t, days), days, "total_chat_events", "unique_users",
                                   CHAT_DEPTH_USER)
-    per_prompt = pm.chat_counts(t.chat_send, days).select(
+    per_prompt = pm.chat_counts(t, days).select(
         *pm.KEYS, F.col("n_events").alias("e"), F.col("n_users").alias("u"))
     return _finish(weighted_rollup(_tag_weights(t, days, True), per_prompt, days, "tag"), "tag", CHAT_DEPTH_USER)
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from botpulse.functions.constants import MAX_TAG_PIECES, TAG_SEPARATOR
 from botpulse.functions.dates import DayRange, within
 from botpulse.functions.tagtext import is_luna_path, is_v5_path, leading_pieces, strip_v5_prefix
+from botpulse.operators.summaries import show_summary
 from botpulse.sources.catalog import Tables
 
 
@@ -111,5 +112,5 @@ def bot_tags_daily(t: Tables, days: DayRange) -> DataFrame:
 
     Tags keep their "V5 " prefix; duplicates are kept; at most 20 pieces per bot.
     """
-    shown = within(t.show_prompt_card, days).select("event_date", "prompt_id").distinct()
+    shown = show_summary(t, days).select("event_date", "prompt_id").distinct()
     return shown.join(v5_tag_pieces(t), "prompt_id").select("event_date", "prompt_id", "tag")

@@ -3,7 +3,9 @@
 Levels (a level starts when the previous one is written; tables within a
 level are independent and run concurrently):
 
-0. ``aigc_tag`` — Luna tags (D2) [+ seed CSV (D1)]
+0. ``aigc_tag`` — Luna tags (D2) [+ seed CSV (D1)]; the per (day, user, bot)
+   summaries of chats, bot views and card shows — the only reads of the event
+   tables except M1's distinct event ids
 1. ``aigc_tag_v5`` — V5 enrichment (D3)
 2. everything that needs only the dimension: D4, M1–M3, W4, C3, C4, A3
 3. everything that reads a table of level 2: T4 (M1–M3, D4), C1/A1 (M1),
@@ -29,7 +31,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from botpulse.functions.dates import DayRange
-from botpulse.operators import compare, rollups, tags
+from botpulse.operators import compare, rollups, summaries, tags
 from botpulse.operators import prompt_metrics as pm
 from botpulse.sources.catalog import Tables
 from botpulse.sources.seed import seed_tags
@@ -109,7 +111,14 @@ def run_reports(
             source = source.where(source.event_date.between(days.start, days.end))
         return tags.enrich_v5(t, source)
 
-    level([("aigc_tag", aigc_tag)])
+    level([
+        ("aigc_tag", aigc_tag),
+        ("chat_user_bot_daily", lambda: summaries.summarize_chats(t.chat_send, days)),
+        ("view_user_bot_daily", lambda: summaries.summarize_views(t.bot_view, days)),
+        ("show_user_bot_daily", lambda: summaries.summarize_shows(t.show_prompt_card, days)),
+    ])
+    t = t.with_(chat_summary=stored("chat_user_bot_daily"), view_summary=stored("view_user_bot_daily"),
+                show_summary=stored("show_user_bot_daily"))
     level([("aigc_tag_v5", aigc_tag_v5)])
     dim = t.with_(aigc_tag_v5=stored("aigc_tag_v5"))
     level([
@@ -136,6 +145,7 @@ def run_reports(
 
 
 _ORDER = [
+    "chat_user_bot_daily", "view_user_bot_daily", "show_user_bot_daily",
     "aigc_tag", "aigc_tag_v5", "tags_exploded",
     "click_rate_daily", "chat_start_daily", "chat_rounds_daily",
     "metrics_by_workflow", "metrics_by_tag",

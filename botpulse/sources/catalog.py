@@ -31,6 +31,10 @@ class Tables:
     aigc_tag: DataFrame | None = None
     aigc_tag_v5: DataFrame | None = None
     tags_exploded: DataFrame | None = None
+    # Per (day, user, bot) event summaries; None means "summarize the event tables".
+    chat_summary: DataFrame | None = None
+    view_summary: DataFrame | None = None
+    show_summary: DataFrame | None = None
 
     def with_(self, **changes: DataFrame | None) -> Tables:
         return dataclasses.replace(self, **changes)

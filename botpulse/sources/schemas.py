@@ -72,7 +72,15 @@ CHAT_START_TOTAL_COMPARE = _schema(
 CHAT_DEPTH_TOTAL_COMPARE = _schema(
     ("event_date", D), ("bot_type", S), ("total_msgs", L), ("user_count", L), ("chat_depth_user", DBL))
 
+CHAT_USER_BOT_DAILY = _schema(
+    ("event_date", D), ("user_id", L), ("prompt_id", S), ("n_msgs", L), ("n_events", L), ("n_kept", L))
+VIEW_USER_BOT_DAILY = _schema(("event_date", D), ("user_id", L), ("prompt_id", S), ("n_views", L))
+SHOW_USER_BOT_DAILY = _schema(("event_date", D), ("user_id", L), ("prompt_id", S), ("n_shows", L))
+
 OUTPUTS = {
+    "chat_user_bot_daily": CHAT_USER_BOT_DAILY,
+    "view_user_bot_daily": VIEW_USER_BOT_DAILY,
+    "show_user_bot_daily": SHOW_USER_BOT_DAILY,
     "aigc_tag": AIGC_TAG,
     "aigc_tag_v5": AIGC_TAG_V5,
     "tags_exploded": TAGS_EXPLODED,

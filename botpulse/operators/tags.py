@@ -41,15 +41,12 @@ def enrich_v5(t: Tables, aigc_tag: DataFrame) -> DataFrame:
 
     Distinct per day, then the days are stacked without their date.
     """
-    aigc = aigc_tag.select("event_date", "prompt_id", F.col("tag").alias("workflow"))
+    # Both sides are made distinct before the join (same result as distinct after it):
+    # repeated copies of a link or an aigc row collapse map-side instead of multiplying.
+    aigc = aigc_tag.select("event_date", "prompt_id", F.col("tag").alias("workflow")).distinct()
     v5 = _tags_on_paths(t, is_v5_path).select("tag_id", strip_v5_prefix(F.col("name")).alias("tags"))
-    bot_v5 = t.prompt_tag_link.join(v5, "tag_id").select("prompt_id", "tags")
-    return (
-        aigc.join(bot_v5, "prompt_id")
-        .select("event_date", "prompt_id", "workflow", "tags")
-        .distinct()
-        .select("prompt_id", "workflow", "tags")
-    )
+    bot_v5 = t.prompt_tag_link.join(v5, "tag_id").select("prompt_id", "tags").distinct()
+    return aigc.join(bot_v5, "prompt_id").select("prompt_id", "workflow", "tags")
 
 
 def v5_tags(t: Tables, days: DayRange, aigc_tag: DataFrame | None = None) -> DataFrame:

@@ -70,3 +70,24 @@ def test_ratio_is_half_up(spark, pairs, decimals):
     expected = [None if b == 0 else float((Decimal(a) / Decimal(b)).quantize(q, rounding=ROUND_HALF_UP))
                 for a, b in pairs]
     assert got == expected
+
+
+chat = st.tuples(st.sampled_from([D1, D2]), st.sampled_from(["a", "b", None]), st.sampled_from([1, 2, None]),
+                 st.sampled_from([None, "send", "regenerate"]), st.booleans())
+
+
+@SETTINGS
+@given(chats=st.lists(chat, max_size=20))
+def test_chat_counts_from_summary_equal_direct_counts(spark, chats):
+    t = make_tables(spark, chats=[(d, i if has_id else None, b, u, m) for i, (d, b, u, m, has_id) in enumerate(chats)])
+    days = DayRange(D1, D2)
+    c = t.chat_send
+    kept = F.col("method").isNull() | (F.col("method") != "regenerate")
+    direct = c.groupBy("event_date", "prompt_id").agg(
+        F.count(F.lit(1)).alias("n_msgs"), F.count("event_id").alias("n_events"),
+        F.countDistinct("user_id").alias("n_users"))
+    direct_kept = c.where(kept).groupBy("event_date", "prompt_id").agg(
+        F.count(F.lit(1)).alias("n_msgs"), F.countDistinct("user_id").alias("n_users"))
+    assert rows(pm.chat_counts(t, days)) == rows(direct)
+    assert rows(pm.chat_counts(t, days, kept_only=True), "event_date", "prompt_id", "n_msgs", "n_users") == rows(
+        direct_kept)

@@ -12,6 +12,7 @@ import dataclasses
 import re
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,10 +55,10 @@ class Tables:
         frames = {}
         for name, schema in schemas.INPUTS.items():
             path = paths.get(name, f"{base.rstrip('/')}/{name}")
-            frames[name] = spark.read.schema(schema).parquet(path)
+            frames[name] = _read_parquet(spark, path, schema)
         for name in ("aigc_tag", "aigc_tag_v5", "tags_exploded"):
             if name in paths:
-                frames[name] = spark.read.schema(schemas.OUTPUTS[name]).parquet(paths[name])
+                frames[name] = _read_parquet(spark, paths[name], schemas.OUTPUTS[name])
         return cls(**frames)
 
     @classmethod
@@ -66,8 +67,8 @@ class Tables:
         (default: the input's own name). Mirror-style quoted camel-case columns are renamed."""
         frames = {}
         for name in schemas.INPUTS:
-            df = normalize_mirror_columns(spark.table(names.get(name, name)))
-            frames[name] = df.select(*schemas.INPUTS[name].fieldNames())
+            frames[name] = _conform(normalize_mirror_columns(spark.table(names.get(name, name))),
+                                    schemas.INPUTS[name])
         return cls(**frames)
 
     @classmethod
@@ -85,11 +86,26 @@ class Tables:
             reader = spark.read.format("jdbc").option("url", url).option("dbtable", tables[name])
             for key, value in {**properties, **(partitioning or {}).get(name, {})}.items():
                 reader = reader.option(key, value)
-            df = normalize_mirror_columns(reader.load())
-            frames[name] = df.select(*[F.col(f.name).cast(f.dataType) for f in schemas.INPUTS[name].fields])
+            frames[name] = _conform(normalize_mirror_columns(reader.load()), schemas.INPUTS[name])
         return cls(**frames)
 
 
+def _read_parquet(spark: SparkSession, path: str, schema) -> DataFrame:
+    """Parquet with the file's own column types conformed to ``schema``; an empty
+    folder (nothing to infer from) is read with ``schema`` directly."""
+    try:
+        df = spark.read.parquet(path)
+    except AnalysisException:
+        return spark.read.schema(schema).parquet(path)
+    return _conform(df, schema)
+
+
+def _conform(df: DataFrame, schema) -> DataFrame:
+    """The declared columns, cast to the declared types (no-ops where they already match;
+    e.g. a TIMESTAMP ``created_at`` becomes TIMESTAMP_NTZ in the session time zone)."""
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
 _QUOTED = re.compile(r'^"(.*)"$')
 _CAMEL = re.compile(r"(?<=[a-z0-9])([A-Z])")
 

@@ -368,3 +368,20 @@ def test_every_job_on_empty_inputs(spark, dim):
     for name in ("chat_depth_compare", "chat_depth_total_compare", "chat_depth_by_tag", "bot_tags_daily",
                  "luna_tags", "seed_tags"):
         assert counts[name] == 0, name
+
+
+def test_from_parquet_accepts_local_timestamps(spark, tmp_path):
+    from helpers import make_tables
+
+    from botpulse.sources import schemas
+    from botpulse.sources.catalog import Tables
+
+    t = make_tables(spark, links=[("p1", "a")], tags=[("a", "wf", 2, CREATED)])
+    for name in schemas.INPUTS:
+        df = getattr(t, name)
+        if name == "prompt_tag":  # stored as TIMESTAMP (with time zone semantics), not TIMESTAMP_NTZ
+            df = df.withColumn("created_at", F.col("created_at").cast("timestamp"))
+        df.write.parquet(str(tmp_path / name))
+    back = Tables.from_parquet(spark, str(tmp_path))
+    assert dict(back.prompt_tag.dtypes)["created_at"] == "timestamp_ntz"
+    assert rows(tags.luna_tags(back, DAY1)) == [("p1", "wf", D1)]

@@ -47,7 +47,8 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(cores: int | str = "8", shuffle_partitions: int = 8, app: str = "botpulse") -> SparkSession:
+def local_session(cores: int | str = "8", shuffle_partitions: int = 8, app: str = "botpulse",
+                  extra: dict[str, str] | None = None) -> SparkSession:
     """A local session for tests and benchmarks (UI off, small shuffle width)."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -58,7 +59,7 @@ def local_session(cores: int | str = "8", shuffle_partitions: int = 8, app: str
         .config("spark.driver.memory", os.environ.get("BOTPULSE_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
-    for key, value in JOB_CONF.items():
+    for key, value in {**JOB_CONF, **(extra or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

@@ -40,6 +40,9 @@ from botpulse.sources.sinks import read_table, write_table
 log = logging.getLogger(__name__)
 
 UNDATED = {"aigc_tag_v5", "tags_exploded"}
+# Run-internal inputs of the reports: always replaced per day, also in append mode
+# (appending them would double every count derived from them).
+INTERMEDIATE = {"chat_user_bot_daily", "view_user_bot_daily", "show_user_bot_daily"}
 
 
 @dataclass(frozen=True)
@@ -81,7 +84,8 @@ def run_reports(
     def step(name: str, build: Callable[[], DataFrame]) -> None:
         t0 = time.perf_counter()
         try:
-            rows = write_table(build(), path[name], mode=mode, partitioned=name not in UNDATED)
+            table_mode = "overwrite" if name in INTERMEDIATE else mode
+            rows = write_table(build(), path[name], mode=table_mode, partitioned=name not in UNDATED)
             status[name] = TableStatus(True, rows, round(time.perf_counter() - t0, 3))
             log.info("wrote %s: %d rows", name, rows)
         except Exception as exc:  # per-table isolation: record and continue

@@ -147,3 +147,20 @@ def test_failed_producer_does_not_feed_consumers(spark, tmp_path, monkeypatch):
     stored = t.with_(aigc_tag_v5=read_table(spark, "aigc_tag_v5", f"{out}/aigc_tag_v5"))
     for name, job in [("click_compare", compare.click_compare), ("click_total_compare", compare.click_total_compare)]:
         assert rows(read_table(spark, name, f"{out}/{name}")) == rows(job(stored, RANGE)), name
+
+
+def test_append_mode_keeps_summaries_single(spark, tmp_path):
+    t = fixture_tables(spark, SF)
+    out = str(tmp_path / "out")
+    day = DayRange.of("2024-01-02")
+    first = run_reports(t, day, out, mode="append")
+    second = run_reports(t, day, out, mode="append")
+    assert all(s.ok for s in second.values())
+    summary = read_table(spark, "chat_user_bot_daily", f"{out}/chat_user_bot_daily")
+    assert summary.count() == first["chat_user_bot_daily"].rows
+    # Reports accumulate, as appends do. M1 uses the distinct dimension, so its second copy
+    # equals the first (jobs over the raw dimension see its appended second copy, as the
+    # original's accumulating table does).
+    m1 = rows(read_table(spark, "click_rate_daily", f"{out}/click_rate_daily"))
+    assert len(m1) == 2 * first["click_rate_daily"].rows
+    assert m1[0::2] == m1[1::2]

@@ -164,3 +164,19 @@ def test_append_mode_keeps_summaries_single(spark, tmp_path):
     m1 = rows(read_table(spark, "click_rate_daily", f"{out}/click_rate_daily"))
     assert len(m1) == 2 * first["click_rate_daily"].rows
     assert m1[0::2] == m1[1::2]
+
+
+def test_daily_run_with_seed_csv(spark, tmp_path):
+    t = fixture_tables(spark, SF)
+    seed = tmp_path / "seed.csv"
+    # p150 has V5 tags in the catalogue but no Luna workflow link; the seed makes it AIGC
+    seed.write_bytes(b"id,workflow\r\np150,seeded\r\n,empty-id\r\n")
+    out = str(tmp_path / "out")
+    status = run_reports(t, DayRange.of("2024-01-01"), out, seed_csv=str(seed), seed_date="2024-01-01")
+    assert all(s.ok for s in status.values())
+    aigc = rows(read_table(spark, "aigc_tag", f"{out}/aigc_tag").where("prompt_id = 'p150'"))
+    assert aigc == [("p150", "seeded", dt.date(2024, 1, 1))]
+    v5 = read_table(spark, "aigc_tag_v5", f"{out}/aigc_tag_v5").where("workflow = 'seeded'")
+    assert v5.count() >= 1
+    m1 = read_table(spark, "click_rate_daily", f"{out}/click_rate_daily").where("prompt_id = 'p150'")
+    assert m1.count() == v5.count()

@@ -2,8 +2,9 @@
 
 Each statement carries the test-data mapping of ``botpulse.sources.fixtures``
 as leading CTEs (only the base tables are registered in the oracle), runs
-over every day present in ``events``, and follows the original per-day SQL
-literally: row-level joins, raw dimension fan-out, numbers-table explode.
+over every day present in ``events``, and states the original per-day
+semantics in the most direct SQL form: row-level joins, raw dimension fan-out,
+numbers-table explode.
 The Spark jobs use different, pre-aggregated plans, so agreement checks the
 rewrites.
 

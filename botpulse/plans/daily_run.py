@@ -157,3 +157,38 @@ _ORDER = [
     "bot_tags_daily", "chat_depth_by_tag",
     "click_total_compare", "chat_start_total_compare", "chat_depth_total_compare",
 ]
+
+
+def main(argv: list[str] | None = None) -> int:
+    """``spark-submit botpulse/plans/daily_run.py --inputs BASE --out OUT [--start D] [--end D]``.
+
+    Reads every input from ``BASE/<input>`` (Parquet), runs all tables for the
+    range (default: yesterday) and exits non-zero if any table failed.
+    """
+    import argparse
+
+    from pyspark.sql import SparkSession
+
+    from botpulse.session import configure
+
+    parser = argparse.ArgumentParser(description="Write every KPI table for a range of days.")
+    parser.add_argument("--inputs", required=True, help="folder holding one Parquet folder per input table")
+    parser.add_argument("--out", required=True, help="folder for the output tables")
+    parser.add_argument("--start", help="first day, YYYY-MM-DD (default: yesterday)")
+    parser.add_argument("--end", help="last day, YYYY-MM-DD (default: --start)")
+    parser.add_argument("--mode", choices=["overwrite", "append"], default="overwrite")
+    parser.add_argument("--seed-csv", help="bot → workflow seed CSV (id,workflow) added to aigc_tag")
+    parser.add_argument("--parallelism", type=int, default=4)
+    args = parser.parse_args(argv)
+
+    days = DayRange.of(args.start, args.end) if args.start else DayRange.yesterday()
+    spark = configure(SparkSession.builder.appName("botpulse-daily").getOrCreate())
+    status = run_reports(Tables.from_parquet(spark, args.inputs), days, args.out, mode=args.mode,
+                         seed_csv=args.seed_csv, parallelism=args.parallelism)
+    for name, s in status.items():
+        print(f"{name}\t{'ok' if s.ok else 'FAILED'}\t{s.rows if s.ok else s.error}\t{s.seconds}s")
+    return 0 if all(s.ok for s in status.values()) else 1
+
+
+if __name__ == "__main__":
+    raise SystemExit(main())

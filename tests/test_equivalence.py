@@ -180,3 +180,21 @@ def test_daily_run_with_seed_csv(spark, tmp_path):
     assert v5.count() >= 1
     m1 = read_table(spark, "click_rate_daily", f"{out}/click_rate_daily").where("prompt_id = 'p150'")
     assert m1.count() == v5.count()
+
+
+def test_command_line_entry(spark, tmp_path, capsys):
+    from helpers import D1, make_tables
+
+    from botpulse.plans.daily_run import main
+    from botpulse.sources import schemas
+
+    t = make_tables(spark, shows=[(D1, 1, "p1", 1)], views=[(D1, 2, "p1", 1)], chats=[(D1, 3, "p1", 1, None)],
+                    links=[("p1", "w"), ("p1", "v")], tags=[("w", "flow", 2, dt.datetime(2024, 1, 1, 9)),
+                                                           ("v", "V5 x", 1, dt.datetime(2024, 1, 1, 9))])
+    for name in schemas.INPUTS:
+        getattr(t, name).write.parquet(str(tmp_path / "in" / name))
+    out = str(tmp_path / "out")
+    assert main(["--inputs", str(tmp_path / "in"), "--out", out, "--start", "2024-01-01"]) == 0
+    assert "click_rate_daily\tok\t1\t" in capsys.readouterr().out
+    assert rows(read_table(spark, "click_rate_daily", f"{out}/click_rate_daily"),
+                "prompt_id", "workflow", "tags", "click_event_cnt", "show_event_cnt") == [("p1", "flow", "x", 1, 1)]

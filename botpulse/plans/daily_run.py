@@ -160,7 +160,8 @@ _ORDER = [
 
 
 def main(argv: list[str] | None = None) -> int:
-    """``spark-submit botpulse/plans/daily_run.py --inputs BASE --out OUT [--start D] [--end D]``.
+    """``spark-submit run_daily.py --inputs BASE --out OUT [--start D] [--end D]``
+    (or ``python -m botpulse.plans.daily_run ...``).
 
     Reads every input from ``BASE/<input>`` (Parquet), runs all tables for the
     range (default: yesterday) and exits non-zero if any table failed.

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from botpulse.llm import quality, token_counts
+from botpulse.llm import quality, substring_dedup, token_counts
 from botpulse.llm.common import read_documents
 
 
@@ -22,9 +22,14 @@ def op8_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.substring_dedup(read_documents(spark, sf_dir), window=35, keep_text=False)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality": op2_quality,
     "op8_tokens": op8_tokens,
+    "op10_substring_dedup": op10_substring_dedup,
 }
 
 ORACLES: dict[str, str] = {}

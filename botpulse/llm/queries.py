@@ -5,11 +5,52 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from botpulse.llm import quality, substring_dedup, token_counts
+from botpulse.llm import line_dedup, quality, substring_dedup, token_counts
 from botpulse.llm.common import read_documents
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = line_dedup.line_dedup(read_documents(spark, sf_dir))
+    return done.select("doc_id", "n_removed", F.length("kept_text").cast("long").alias("kept_chars"),
+                       F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+# Runs of three lines: content of each window, its first place, lines covered by later places.
+OP1_SQL = r"""
+WITH raw AS (
+  SELECT doc_id, coalesce(text, '') AS text FROM documents
+), parts AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+         generate_subscripts(string_split(text, chr(10)), 1) AS place FROM raw
+), stripped AS (
+  SELECT *, trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS body FROM parts
+), numbered AS (
+  SELECT doc_id, place, body, row_number() OVER (PARTITION BY doc_id ORDER BY place) AS number
+  FROM stripped WHERE body <> ''
+), windows AS (
+  SELECT doc_id, place, number,
+         body || chr(10) || lead(body, 1) OVER w || chr(10) || lead(body, 2) OVER w AS content
+  FROM numbered WINDOW w AS (PARTITION BY doc_id ORDER BY number)
+), ranked AS (
+  SELECT doc_id, place, number, content IS NOT NULL
+         AND row_number() OVER (PARTITION BY content ORDER BY doc_id, number) > 1 AS later FROM windows
+), lines_out AS (
+  SELECT doc_id, place, max(later::INT) OVER (PARTITION BY doc_id ORDER BY number
+         ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS gone FROM ranked
+), marked AS (
+  SELECT s.doc_id, s.place, s.line, coalesce(l.gone, 0) AS gone
+  FROM stripped s LEFT JOIN lines_out l ON s.doc_id = l.doc_id AND s.place = l.place
+), kept AS (
+  SELECT doc_id, sum(gone)::BIGINT AS n_removed,
+         coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE gone = 0), '') AS kept_text
+  FROM marked GROUP BY doc_id
+)
+SELECT doc_id, n_removed, length(kept_text)::BIGINT AS kept_chars, sha256(kept_text) AS kept_sha256 FROM kept
+"""
+
+
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(read_documents(spark, sf_dir)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -27,9 +68,12 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_line_dedup": op1_line_dedup,
     "op2_quality": op2_quality,
     "op8_tokens": op8_tokens,
     "op10_substring_dedup": op10_substring_dedup,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_line_dedup": OP1_SQL,
+}

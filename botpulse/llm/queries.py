@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from botpulse.llm import line_dedup, quality, substring_dedup, token_counts
+from botpulse.llm import dart_minhash, line_dedup, quality, substring_dedup, token_counts
 from botpulse.llm.common import read_documents
 
 
@@ -56,6 +56,11 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_documents(spark, sf_dir)
+    return dart_minhash.near_duplicate_classes(docs).select("doc_id", "class_id", "class_keeps")
+
+
 def op8_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -70,6 +75,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_quality": op2_quality,
+    "op4_near_duplicates": op4_near_duplicates,
     "op8_tokens": op8_tokens,
     "op10_substring_dedup": op10_substring_dedup,
 }

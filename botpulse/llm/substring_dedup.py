@@ -31,6 +31,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from botpulse.llm.common import staged, text_of
 from botpulse.llm.fm_index import FMIndex
@@ -113,7 +114,7 @@ def row_key(docs: DataFrame, id_col: str, text: Column) -> list[Column]:
             F.xxhash64(F.lit(0x5EED), docs[f"`{id_col}`"], text).alias("r2")]
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(T.BinaryType())
 def _packed(texts: pd.Series) -> pd.Series:
     """Texts compressed for the shuffle."""
     import zstandard

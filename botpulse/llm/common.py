@@ -38,3 +38,10 @@ def text_of(docs: DataFrame, text_col: str = "text") -> Column:
 def content_key(text: Column) -> list[Column]:
     """Two independently seeded 64-bit hashes of a text: the identity of its content."""
     return [F.xxhash64(text).alias("k1"), F.xxhash64(F.lit(0x5EED), text).alias("k2")]
+
+
+def once(column: Column) -> Column:
+    """``column`` as an expression that the optimiser neither copies into a consumer nor pushes a
+    filter through (it holds the task's partition number, which is not deterministic to the
+    optimiser): costly array expressions that several consumers use are then computed once a row."""
+    return F.when(F.spark_partition_id() >= 0, column)

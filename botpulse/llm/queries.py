@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from botpulse.llm import dart_minhash, line_dedup, quality, substring_dedup, token_counts
+from botpulse.llm import (
+    dart_minhash, decontaminate, line_dedup, mixing, quality, secrets, substring_dedup, token_counts)
 from botpulse.llm.common import read_documents
 
 
@@ -56,11 +57,28 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.secret_spans(read_documents(spark, sf_dir).select("doc_id", "text"))
+
+    def count(kind: int):
+        return F.size(F.filter("secrets", lambda s: s.kind == kind)).cast("long")
+
+    base = F.filter("secrets", lambda s: s.kind < 3)
+    return found.select("doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"),
+                        F.sha2(secrets.as_text(base), 256).alias("base_sha256"),
+                        secrets.as_text(F.col("secrets")).alias("spans"))
+
+
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_documents(spark, sf_dir)
     return dart_minhash.near_duplicate_classes(docs).select("doc_id", "class_id", "class_keeps")
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    leaks = decontaminate.find_leaks(read_documents(spark, sf_dir), read_documents(spark, sf_dir, "benchmark"))
+    return leaks.drop("key")
+
+
 def op8_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -68,6 +86,11 @@ def op8_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(read_documents(spark, sf_dir)).select(
+        "doc_id", "source", "lang", "topic", "n_tokens", "probability", "weight", "kept")
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.substring_dedup(read_documents(spark, sf_dir), window=35, keep_text=False)
 
@@ -75,8 +98,11 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_quality": op2_quality,
+    "op3_secrets": op3_secrets,
     "op4_near_duplicates": op4_near_duplicates,
+    "op5_decontaminate": op5_decontaminate,
     "op8_tokens": op8_tokens,
+    "op9_mixing": op9_mixing,
     "op10_substring_dedup": op10_substring_dedup,
 }
 

@@ -91,6 +91,7 @@ def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     place = F.struct("id", "r1", "r2", "at")
     origins = (windows.groupBy("fingerprint", "mark").agg(F.count("*").alias("c"), F.min(place).alias("origin"))
                .where("c > 1").drop("c").join(shared, "fingerprint", "left_semi"))
+    origins = staged(origins, "line-origins")  # a plain join of two tables: a hot key can be split
     return (windows.join(origins, ["fingerprint", "mark"]).where(place != F.col("origin"))
             .select("r1", "r2", F.col("at").alias("start")))
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from botpulse.llm import (
-    dart_minhash, decontaminate, line_dedup, mixing, quality, secrets, substring_dedup, token_counts)
+    dart_minhash, decontaminate, license_scan, line_dedup, mixing, pii, quality, secrets, substring_dedup, token_counts)
 from botpulse.llm.common import read_documents
 
 
@@ -79,6 +79,26 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks.drop("key")
 
 
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.license_scan(read_documents(spark, sf_dir))
+    return found.select("doc_id", F.size("licenses").cast("long").alias("n_licenses"),
+                        F.array_join(F.transform("licenses", lambda m: F.concat_ws(
+                            ":", m.license, m.start.cast("string"), m.end.cast("string"))), ",").alias("licenses"),
+                        F.coalesce(F.array_max(F.transform("licenses", lambda m: m.coverage)), F.lit(0.0)).alias("coverage"))
+
+
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.pii_spans(read_documents(spark, sf_dir))
+
+    def count(kind: int):
+        return F.size(F.filter("spans", lambda s: s.kind == kind)).cast("long")
+
+    base = F.filter("spans", lambda s: s.kind < pii.N_BASE)
+    return found.select("doc_id", *[count(i).alias(f"n_{k}") for i, k in enumerate(pii.KINDS[:pii.N_BASE])],
+                        F.sha2(pii.as_text(base), 256).alias("base_sha256"),
+                        pii.as_text(F.col("spans")).alias("spans"))
+
+
 def op8_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -101,6 +121,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_secrets": op3_secrets,
     "op4_near_duplicates": op4_near_duplicates,
     "op5_decontaminate": op5_decontaminate,
+    "op6_licenses": op6_licenses,
+    "op7_pii": op7_pii,
     "op8_tokens": op8_tokens,
     "op9_mixing": op9_mixing,
     "op10_substring_dedup": op10_substring_dedup,

@@ -40,6 +40,22 @@ def content_key(text: Column) -> list[Column]:
     return [F.xxhash64(text).alias("k1"), F.xxhash64(F.lit(0x5EED), text).alias("k2")]
 
 
+class Numbered:
+    """``docs`` with its columns renamed by position, so that no name of theirs can clash with a
+    column an operator makes; ``restore`` gives the names back."""
+
+    def __init__(self, docs: DataFrame):
+        self.names = docs.columns
+        self.frame = docs.toDF(*[f"__c{i}" for i in range(len(self.names))])
+
+    def __call__(self, name: str) -> str:
+        return f"__c{self.names.index(name)}"
+
+    def restore(self, df: DataFrame, *added: str) -> DataFrame:
+        """The columns of ``docs`` but those named like ``added``, then ``added``."""
+        return df.select(*[F.col(f"__c{i}").alias(n) for i, n in enumerate(self.names) if n not in added], *added)
+
+
 def once(column: Column) -> Column:
     """``column`` as an expression that the optimiser neither copies into a consumer nor pushes a
     filter through (it holds the task's partition number, which is not deterministic to the

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from botpulse.llm.common import WHITE, staged, text_of
+from botpulse.llm.common import WHITE, Numbered, staged, text_of
 from botpulse.llm.substring_dedup import _Digests, cut, row_key
 
 RUN = 3
@@ -115,11 +115,12 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     if run < 1:
         raise ValueError("run must be at least 1")
-    text = text_of(docs, text_col)
-    starts = repeated_runs(docs, id_col, text_col, run).groupBy("r1", "r2").agg(
+    own = Numbered(docs)
+    base, id_col, text_col = own.frame, own(id_col), own(text_col)
+    text = text_of(base, text_col)
+    starts = repeated_runs(base, id_col, text_col, run).groupBy("r1", "r2").agg(
         F.sort_array(F.collect_set("start")).alias("__starts"))
-    r1, r2 = row_key(docs, id_col, text)
-    base = docs.drop("kept_text", "n_removed", "__starts", "__r1", "__r2")
+    r1, r2 = row_key(base, id_col, text)
     base = base.withColumns({"__r1": r1, "__r2": r2})
     joined = base.join(starts, (F.col("__r1") == starts.r1) & (F.col("__r2") == starts.r2), "left")
     whole = text_of(joined, text_col)
@@ -129,10 +130,10 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     covered = F.aggregate(  # union of [s, s + run) over the sorted starts
         starts_at, F.struct(F.lit(0).alias("n"), F.lit(0).alias("end")),
         lambda a, s: F.struct((a.n + s + width - F.greatest(a.end, s)).alias("n"), (s + width).alias("end")))
-    return joined.withColumns({
+    return own.restore(joined.withColumns({
         "kept_text": F.coalesce(edited, whole),
         "n_removed": F.coalesce(covered.n, F.lit(0)).cast("long"),
-    }).drop("r1", "r2", "__starts", "__r1", "__r2")
+    }), "kept_text", "n_removed")
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run: int = RUN,
@@ -140,14 +141,15 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """``docs`` with their deduplicated texts, without the documents of which no line is left.
 
     ``length_col``, if there, is set to the new text's length where lines were deleted."""
-    found = line_dedup(docs.withColumnRenamed(text_col, "__text"), id_col, "__text", run)
+    own = Numbered(docs)
+    found = line_dedup(own.frame, own(id_col), own(text_col), run)
     emptied = (F.col("n_removed") > 0) & ~F.col("kept_text").rlike(r"[^\x20\x09-\x0D]")
     out = []
-    for field in docs.schema.fields:
-        c = F.col(f"`{field.name}`")
+    for i, field in enumerate(docs.schema.fields):
+        c = F.col(f"__c{i}").alias(field.name)
         if field.name == text_col:
-            c = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("__text")).alias(text_col)
+            c = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col(f"__c{i}")).alias(text_col)
         elif field.name == length_col:
-            c = F.when(F.col("n_removed") > 0, F.length("kept_text").cast(field.dataType)).otherwise(c).alias(field.name)
+            c = F.when(F.col("n_removed") > 0, F.length("kept_text").cast(field.dataType)).otherwise(F.col(f"__c{i}")).alias(field.name)
         out.append(c)
     return found.where(~emptied).select(*out)

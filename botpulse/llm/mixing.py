@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from botpulse.llm.common import staged, text_of
+from botpulse.llm.common import Numbered, staged, text_of
 
 DIMENSIONS = ("source", "lang", "topic")
 MAX_CELLS = 100_000
@@ -157,13 +157,17 @@ def mix(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, tem
     unknown = set(targets) - set(DIMENSIONS)
     if unknown:
         raise ValueError(f"no such dimension: {sorted(unknown)}")
+    named = Numbered(docs)
+    has_topic, source_col, lang_col = "topic" in docs.columns, named("source"), named("lang")
+    topic_col = named("topic") if has_topic else None
+    docs, id_col, text_col = named.frame, named(id_col), named(text_col)
     text = text_of(docs, text_col)
-    topic = docs["topic"].cast("string") if "topic" in docs.columns else topic_of(text)
+    topic = docs[topic_col].cast("string") if has_topic else topic_of(text)
     own = F.col(f"`{id_col}`")
     base = docs.withColumns({
         "topic": F.coalesce(topic, F.lit(MISSING)), "n_tokens": estimated_tokens(text),
-        "__source": F.coalesce(docs["source"].cast("string"), F.lit(MISSING)),
-        "__lang": F.coalesce(docs["lang"].cast("string"), F.lit(MISSING)),
+        "__source": F.coalesce(docs[source_col].cast("string"), F.lit(MISSING)),
+        "__lang": F.coalesce(docs[lang_col].cast("string"), F.lit(MISSING)),
         "__u": F.shiftrightunsigned(F.xxhash64(F.lit(seed), own, F.when(own.isNull(), text)), 11) * F.lit(2.0 ** -53)})
     cells = staged(base.groupBy(F.col("__source").alias("source"), F.col("__lang").alias("lang"), "topic")
                    .agg(F.sum("n_tokens").alias("tokens")), "mix-cells")
@@ -176,5 +180,5 @@ def mix(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, tem
                          F.col("probability").alias("__p"), F.col("weight").alias("__w"))
     joined = base.join(rated, (F.col("__source") == F.col("__s")) & (F.col("__lang") == F.col("__l"))
                        & (F.col("topic") == F.col("__t")), "left")
-    return (joined.withColumns({"probability": F.col("__p"), "weight": F.col("__w"), "kept": F.col("__u") < F.col("__p")})
-            .drop("__source", "__lang", "__u", "__s", "__l", "__t", "__p", "__w"))
+    mixed = joined.withColumns({"probability": F.col("__p"), "weight": F.col("__w"), "kept": F.col("__u") < F.col("__p")})
+    return named.restore(mixed, "topic", "n_tokens", "probability", "weight", "kept")

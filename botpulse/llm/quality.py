@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from botpulse.llm.common import WHITE, staged, text_of
+from botpulse.llm.common import WHITE, Numbered, staged, text_of
 
 # The most common words of each language (articles, pronouns, prepositions).
 COMMON_WORDS = {
@@ -212,17 +212,20 @@ def quality_rules(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
     judged by character classes against the profile of all other languages. Repeated
     rows each keep their row; an empty table gives an empty one; texts are read whole.
     """
-    found = staged(quality_features(docs, text_col, lang_col).drop(text_col), "quality-features")
+    own = Numbered(docs)
+    found = quality_features(own.frame, own(text_col), own(lang_col))
+    found = staged(found.withColumn(own(text_col), F.lit(None).cast("string")), "quality-features")
     judged = judge(found, fit_references(found, **limits), **limits)
-    return judged.withColumns({n: F.col(f"quality_features.{n}") for n in
-                               _BASE}).drop("quality_features", "quality_profile")
+    judged = judged.withColumns({n: F.col(f"quality_features.{n}") for n in _BASE})
+    return own.restore(judged, *_BASE, "base_failed", "class_distance", "common_distance", "kept").drop(text_col)
 
 
 def keep_quality(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", **limits) -> DataFrame:
     """The rows of ``docs`` that :func:`quality_rules` keeps, with the columns of ``docs``.
 
     The references are fitted first, from a staged table of figures without texts."""
-    found = quality_features(docs, text_col, lang_col)
+    own = Numbered(docs)
+    found = quality_features(own.frame, own(text_col), own(lang_col))
     fitted = fit_references(staged(found.select("quality_profile", "quality_features", "base_failed"),
                                    "quality-features"), **limits)
-    return judge(found, fitted, **limits).where("kept").select(*[f"`{c}`" for c in docs.columns])
+    return own.restore(judge(found, fitted, **limits).where("kept"))

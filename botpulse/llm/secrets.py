@@ -17,7 +17,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from botpulse.llm.common import once, text_of
+from botpulse.llm.common import Numbered, once, text_of
 
 WINDOW = 20
 KINDS = ("assign", "access", "hex", "entropy")
@@ -110,10 +110,11 @@ def secret_spans(docs: DataFrame, text_col: str = "text", allowed: tuple[str, ..
     empty (no spans). Repeated rows keep their rows, an empty table gives an empty one. Texts are
     searched whole. A column named secrets is replaced.
     """
-    text = text_of(docs, text_col)
+    numbered = Numbered(docs)
+    text = text_of(numbered.frame, numbered(text_col))
     own = {"__assign": _spans(text, ASSIGN, lambda g: F.length(g) >= 6, 2), "__access": _spans(text, ACCESS),
            "__hex": _spans(text, HEX)}
-    found = docs.drop("secrets", "__words", *own).withColumns({k: once(v) for k, v in own.items()})
+    found = numbered.frame.withColumns({k: once(v) for k, v in own.items()})
     found = found.withColumn("__words", once(_spans(text, CANDIDATE, lambda w: _secret(w, WINDOW, allowed))))
 
     def tagged(name: str, kind: int) -> Column:
@@ -123,7 +124,7 @@ def secret_spans(docs: DataFrame, text_col: str = "text", allowed: tuple[str, ..
     found = found.withColumn("__base", once(base))
     fresh = F.filter(tagged("__words", 3), lambda w: ~F.exists(
         "__base", lambda b: (b.start < w.end) & (w.start < b.end)))
-    return found.withColumn("secrets", once(F.array_sort(F.concat("__base", fresh)))).drop("__base", "__words", *own)
+    return numbered.restore(found.withColumn("secrets", once(F.array_sort(F.concat("__base", fresh)))), "secrets")
 
 
 def as_text(spans: Column, kinds: tuple[str, ...] = KINDS) -> Column:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from botpulse.llm.common import text_of
+from botpulse.llm.common import Numbered, text_of
 
 TABLE_SIZE = 32_768  # entries of the broadcast table
 PER_TASK = 4_096  # heavy hitters a task hands on
@@ -135,8 +135,7 @@ def token_counts(docs: DataFrame, model_file: str, limit: int = 4096, text_col:
         for texts in batches:
             yield pd.Series([lengths.of(t) for t in texts], dtype="int64")
 
-    text = text_of(docs, text_col)
-    return docs.withColumns({
-        "n_bytes": F.octet_length(text).cast("long"),
-        "n_tokens": count(text),
-    }).withColumn("over_limit", F.col("n_tokens") > limit)
+    own = Numbered(docs)
+    text = text_of(own.frame, own(text_col))
+    counted = own.frame.withColumns({"n_bytes": F.octet_length(text).cast("long"), "n_tokens": count(text)})
+    return own.restore(counted.withColumn("over_limit", F.col("n_tokens") > limit), "n_bytes", "n_tokens", "over_limit")

@@ -215,12 +215,13 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     anchors = (segments.groupBy("anchor")
                .agg(F.count("*").alias("c"), F.min("digest").alias("a"), F.max("digest").alias("b"))
                .where("c > 1").select("anchor", (F.col("a") != F.col("b")).alias("mixed")))
-    again = staged(segments.join(anchors, "anchor"), "repeated-anchors")
+    # Written tables on both sides: nothing but exchanges below the joins, so hot anchors can be split.
+    again = staged(segments.join(staged(anchors, "anchors"), "anchor"), "repeated-anchors")
 
     mixed = again.where("mixed")
     kinds = staged(mixed.groupBy("anchor", "digest").agg(
         F.count("*").alias("copies"), F.min(F.struct("r1", "r2", "first", "n")).alias("one")), "segment-kinds")
-    crowds = kinds.groupBy("anchor").agg(F.count("*").alias("kinds")).where(F.col("kinds") > hot)
+    crowds = staged(kinds.groupBy("anchor").agg(F.count("*").alias("kinds")).where(F.col("kinds") > hot), "crowds")
     wanted = (kinds.groupBy("one.r1", "one.r2")
               .agg(F.collect_list(F.struct("anchor", "digest", "copies", "one.first", "one.n")).alias("segments")))
     contents = staged(rows.select("r1", "r2", _packed("text").alias("packed")).join(wanted, ["r1", "r2"])

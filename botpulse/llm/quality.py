@@ -6,10 +6,9 @@ with the reference of the document's language by the Jensen-Shannon distance
 (base 2, in [0, 1]). A histogram is judged only when the text is long enough for it
 (minimum-length guards); a short text that passes the base rules is kept.
 
-The references are trained on the corpus itself: the mean histogram of the language's
-documents that pass the base rules and the guards, each document with the same weight
-whatever its length, then once more without the documents far from that first
-mean. Shares are summed as whole numbers (parts in 10^8), so the references do not
+The references are trained on the corpus itself, each document with the same weight
+whatever its length: first the median of each bin over the language's documents that pass the base
+rules, then the mean histogram of the documents that are near these medians. Shares are summed as whole numbers (parts in 10^8), so the references do not
 depend on the order of rows. They are one row per language of ``COMMON_WORDS`` and one for
 all others, so their size is fixed.
 
@@ -44,6 +43,7 @@ N_CLASSES = 9
 _LOWER, _UPPER, _DIGIT, _SPACE, _PUNCT, _SYMBOL, _LATIN_LOWER, _LATIN_UPPER, _BEYOND = range(N_CLASSES)
 _LATIN_END = 0x250
 PARTS = 100_000_000
+STEP = 10_000  # medians are taken over shares in steps of 1 / 10,000, so their tables have a fixed size
 
 
 def _class_table() -> np.ndarray:
@@ -153,9 +153,9 @@ def quality_features(docs: DataFrame, text_col: str = "text", lang_col: str = "l
                             | (100 * f.n_repeat_words > max_repeat_pct * f.n_words))
 
 
-def _mean_histograms(rows: DataFrame) -> dict[str, dict[str, list[float]]]:
-    """Per profile the summed shares of the rows' histograms (at most one row per profile is collected)."""
-    sums = [F.sum(F.get(F.col(f"quality_features.{name}"), F.lit(i))).alias(f"{name}_{i}")
+def _histograms(rows: DataFrame, summary) -> dict[str, dict[str, list[float]]]:
+    """Per profile a summary of the rows' shares, bin by bin (at most one row per profile is collected)."""
+    sums = [summary(F.get(F.col(f"quality_features.{name}"), F.lit(i))).alias(f"{name}_{i}")
             for name, width in _WIDTHS.items() for i in range(width)]
     return {r.quality_profile: {name: [float(r[f"{name}_{i}"] or 0) for i in range(width)]
                                 for name, width in _WIDTHS.items()}
@@ -192,11 +192,11 @@ def judge(found: DataFrame, references: dict, class_min_words: int = 60, class_l
 
 
 def fit_references(found: DataFrame, **limits) -> dict[str, dict[str, list[float]]]:
-    """References from the rows of :func:`quality_features` that pass the base rules, refined once
-    without the rows that the first references reject."""
+    """References from the rows of :func:`quality_features` that pass the base rules: first the medians of
+    the bins, which a minority of junk does not move, then the means over the rows that these keep."""
     sound = found.where(~F.col("base_failed") & (F.col("quality_features.n_words") >= 20))
-    first = _mean_histograms(sound)
-    second = _mean_histograms(judge(sound, first, **limits).where("kept"))
+    first = _histograms(sound, lambda share: F.percentile(F.floor(share / STEP), 0.5))
+    second = _histograms(judge(sound, first, **limits).where("kept"), F.sum)
     return {**first, **second}
 
 

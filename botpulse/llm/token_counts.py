@@ -50,6 +50,8 @@ def pre_tokens(text: str) -> Iterator[list[str]]:
     ``w`` stands for one space mark and ``w`` (so ``""`` is a lone mark), and
     ``"\\n" + w`` for a word at the start of a later line, which has no mark.
     """
+    if "\u2581" in text:  # the model's space mark, written out, is a space to it
+        text = text.replace("\u2581", " ")
     for number, line in enumerate(text.split("\n")):
         if number and not line:
             continue

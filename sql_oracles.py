@@ -1,12 +1,11 @@
 """DuckDB oracle SQL for every registered query.
 
 Each statement carries the test-data mapping of ``botpulse.sources.fixtures``
-as leading CTEs (only the base tables are registered in the oracle), runs
-over every day present in ``events``, and states the original per-day
-semantics in the most direct SQL form: row-level joins, raw dimension fan-out,
-numbers-table explode.
-The Spark jobs use different, pre-aggregated plans, so agreement checks the
-rewrites.
+as leading CTEs (only the base tables are registered in the oracle) and runs
+over every day present in ``events``. The bodies are derived from the metric
+rules: all events in one tidy relation, every count per (day, bot) from it, and the
+dimension as rows with multiplicities. The Spark jobs use other plans, so
+agreement checks them.
 
 Rounding: DuckDB's ``round(double)`` is not exact HALF_UP on ties, so ratios
 are rounded with integer arithmetic, see :func:`rnd`. Sums are cast to
@@ -62,22 +61,17 @@ prompt_tag_link AS (
   UNION ALL SELECT prompt_id, 'x:old' FROM pp WHERE p_retailprice < 950),
 bounds AS (SELECT min(event_date) AS lo, max(event_date) AS hi FROM ev),
 spine AS (SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS event_date FROM bounds),
+bot_tag AS (
+  SELECT prompt_id AS bot, name, path, CAST(created_at AS DATE) AS born
+  FROM prompt_tag_link, prompt_tag, prompt_tag_path
+  WHERE tag_id = prompt_tag.id AND path_id = prompt_tag_path.id),
 aigc_tag AS (
-  SELECT ptl.prompt_id, pt.name AS tag, CAST(pt.created_at AS DATE) AS event_date
-  FROM prompt_tag_link ptl
-  JOIN prompt_tag pt ON ptl.tag_id = pt.id
-  JOIN prompt_tag_path ptp ON pt.path_id = ptp.id
-  WHERE ptp.path LIKE '%Luna%'
-    AND CAST(pt.created_at AS DATE) BETWEEN (SELECT lo FROM bounds) AND (SELECT hi FROM bounds)),
+  SELECT bot AS prompt_id, name AS tag, born AS event_date FROM bot_tag, bounds
+  WHERE contains(path, 'Luna') AND born BETWEEN lo AND hi),
+style AS (SELECT DISTINCT bot, trim(regexp_replace(name, '^V5\s+', '')) AS tags FROM bot_tag WHERE contains(path, 'V5')),
 aigc_v5 AS (
-  SELECT prompt_id, workflow, tags FROM (
-    SELECT DISTINCT a.event_date, a.prompt_id, a.tag AS workflow,
-           TRIM(regexp_replace(pt.name, '^V5\s+', '')) AS tags
-    FROM aigc_tag a
-    JOIN prompt_tag_link ptl ON a.prompt_id = ptl.prompt_id
-    JOIN prompt_tag pt ON ptl.tag_id = pt.id
-    JOIN prompt_tag_path ptp ON pt.path_id = ptp.id
-    WHERE ptp.path LIKE '%V5%') per_day)"""
+  SELECT flow.prompt_id, flow.tag AS workflow, style.tags
+  FROM (SELECT DISTINCT event_date, prompt_id, tag FROM aigc_tag) flow JOIN style ON style.bot = flow.prompt_id)"""
 
 
 def rnd(num: str, den: str, decimals: int) -> str:
@@ -92,230 +86,161 @@ def with_fixture(*ctes: str, body: str) -> str:
     return "WITH " + ",\n".join(parts) + "\n" + body.strip()
 
 
-# ---- per-prompt daily (M1-M3) ------------------------------------------------------
-M1 = f"""m1 AS (
-  WITH dim_rows AS (SELECT DISTINCT prompt_id, workflow, tags FROM aigc_v5),
-  clicks_per_bot AS (
-    SELECT event_date, bot_id, COUNT(DISTINCT event_id) AS n_clicks FROM bot_view
-    WHERE bot_id IN (SELECT prompt_id FROM aigc_v5) GROUP BY event_date, bot_id),
-  shows_per_bot AS (
-    SELECT event_date, prompt_id, COUNT(DISTINCT event_id) AS n_shows FROM show_prompt_card
-    WHERE prompt_id IN (SELECT prompt_id FROM aigc_v5) GROUP BY event_date, prompt_id)
-  SELECT s.event_date, a.prompt_id, a.workflow, a.tags,
-         COALESCE(v.n_clicks, 0) AS click_event_cnt,
-         COALESCE(sc.n_shows, 0) AS show_event_cnt,
-         {rnd('COALESCE(v.n_clicks, 0)', 'sc.n_shows', 4)} AS click_rate
-  FROM spine s CROSS JOIN dim_rows a
-  LEFT JOIN clicks_per_bot v ON v.event_date = s.event_date AND a.prompt_id = v.bot_id
-  LEFT JOIN shows_per_bot sc ON sc.event_date = s.event_date AND a.prompt_id = sc.prompt_id)"""
-
-# views LEFT JOIN chats on (day, user, bot), row level
-FLAGGED = """view_chat_rows AS (
-  SELECT v.event_date, v.bot_id, v.user_id, CASE WHEN c.user_id IS NOT NULL THEN 1 ELSE 0 END AS matched
-  FROM bot_view v
-  LEFT JOIN chat_send c ON v.event_date = c.event_date AND v.user_id = c.user_id AND v.bot_id = c.prompt_id)"""
-
-M2 = f"""m2 AS (
-  WITH dim_rows AS (SELECT DISTINCT prompt_id, workflow, tags FROM aigc_v5),
-  per_bot AS (
-    SELECT event_date, bot_id, COUNT(*) AS n_rows, SUM(matched) AS n_matched,
-           {rnd('SUM(matched)', 'COUNT(*)', 4)} AS rate
-    FROM view_chat_rows GROUP BY event_date, bot_id)
-  SELECT s.event_date, a.prompt_id, a.workflow, a.tags,
-         COALESCE(g.n_rows, 0) AS click_user_cnt,
-         CAST(COALESCE(g.n_matched, 0) AS BIGINT) AS chat_user_cnt,
-         COALESCE(g.rate, 0) AS chat_start_rate
-  FROM spine s CROSS JOIN dim_rows a
-  LEFT JOIN per_bot g ON g.event_date = s.event_date AND g.bot_id = a.prompt_id)"""
-
-M3 = f"""m3 AS (
-  WITH aigc_chats AS (SELECT * FROM chat_send WHERE prompt_id IN (SELECT prompt_id FROM aigc_v5))
-  SELECT s.event_date, a.prompt_id, a.workflow, a.tags,
-         COUNT(c.event_id) AS total_chat_events,
-         COUNT(DISTINCT c.user_id) AS unique_users,
-         {rnd('COUNT(c.event_id)', 'COUNT(DISTINCT c.user_id)', 2)} AS avg_chat_rounds_per_user
-  FROM spine s CROSS JOIN aigc_v5 a
-  LEFT JOIN aigc_chats c ON c.event_date = s.event_date AND a.prompt_id = c.prompt_id
-  GROUP BY s.event_date, a.prompt_id, a.workflow, a.tags)"""
-
-# ---- tag explosion (C4) -------------------------------------------------------------
-C4 = """c4 AS (
-  WITH shown_bots AS (SELECT DISTINCT event_date, prompt_id FROM show_prompt_card),
-  name_lists AS (
-    SELECT s.event_date, ptl.prompt_id, string_agg(pt.name, ',' ORDER BY pt.name) AS tag_str
-    FROM prompt_tag_link ptl
-    JOIN prompt_tag pt ON ptl.tag_id = pt.id
-    JOIN prompt_tag_path ptp ON pt.path_id = ptp.id
-    JOIN shown_bots s ON s.prompt_id = ptl.prompt_id
-    WHERE ptp.path LIKE '%V5%'
-    GROUP BY s.event_date, ptl.prompt_id),
-  piece_no AS (SELECT CAST(range AS INTEGER) AS i FROM range(1, 21))
-  SELECT r.event_date, r.prompt_id, TRIM(split_part(r.tag_str, ',', k.i)) AS tag
-  FROM name_lists r
-  JOIN piece_no k ON k.i <= length(r.tag_str) - length(replace(r.tag_str, ',', '')) + 1
-  WHERE TRIM(split_part(r.tag_str, ',', k.i)) <> '')"""
-
-# ---- by workflow (W1-W3) --------------------------------------------------------------
-W1 = f"""w1 AS (
-  WITH viewers_per_bot AS (
-    SELECT event_date, bot_id AS prompt_id, COUNT(DISTINCT user_id) AS n_viewers FROM bot_view GROUP BY 1, 2),
-  card_viewers_per_bot AS (
-    SELECT event_date, prompt_id, COUNT(DISTINCT user_id) AS n_card_viewers FROM show_prompt_card GROUP BY 1, 2)
-  SELECT s.event_date, 'click_rate' AS metric_type, p.workflow,
-         CAST(COALESCE(SUM(c.n_viewers), 0) AS BIGINT) AS total_events,
-         CAST(COALESCE(SUM(sc.n_card_viewers), 0) AS BIGINT) AS total_users,
-         COUNT(DISTINCT p.prompt_id) AS prompt_count,
-         {rnd('SUM(COALESCE(c.n_viewers, 0))', 'SUM(COALESCE(sc.n_card_viewers, 0))', 4)} AS metric_value
-  FROM spine s CROSS JOIN aigc_v5 p
-  LEFT JOIN viewers_per_bot c ON c.event_date = s.event_date AND p.prompt_id = c.prompt_id
-  LEFT JOIN card_viewers_per_bot sc ON sc.event_date = s.event_date AND p.prompt_id = sc.prompt_id
-  GROUP BY s.event_date, p.workflow)"""
-
-W2 = f"""w2 AS (
-  WITH per_bot AS (
-    SELECT event_date, bot_id, COUNT(*) AS n_rows, SUM(matched) AS n_matched FROM view_chat_rows GROUP BY 1, 2)
-  SELECT s.event_date, 'chat_start_rate' AS metric_type, p.workflow,
-         CAST(SUM(COALESCE(a.n_rows, 0)) AS BIGINT) AS total_events,
-         CAST(SUM(COALESCE(a.n_matched, 0)) AS BIGINT) AS total_users,
-         COUNT(DISTINCT p.prompt_id) AS prompt_count,
-         {rnd('SUM(COALESCE(a.n_matched, 0))', 'SUM(COALESCE(a.n_rows, 0))', 4)} AS metric_value
-  FROM spine s CROSS JOIN aigc_v5 p
-  LEFT JOIN per_bot a ON a.event_date = s.event_date AND p.prompt_id = a.bot_id
-  GROUP BY s.event_date, p.workflow)"""
-
-W3 = f"""w3 AS (
-  WITH bot_workflow AS (SELECT DISTINCT prompt_id, workflow FROM aigc_v5),
-  per_bot AS (
-    SELECT event_date, prompt_id, COUNT(event_id) AS n_msgs, COUNT(DISTINCT user_id) AS n_users
-    FROM chat_send GROUP BY 1, 2)
-  SELECT s.event_date, 'chat_depth_user' AS metric_type, v.workflow,
-         CAST(SUM(COALESCE(a.n_msgs, 0)) AS BIGINT) AS total_events,
-         CAST(SUM(COALESCE(a.n_users, 0)) AS BIGINT) AS total_users,
-         COUNT(DISTINCT v.prompt_id) AS prompt_count,
-         {rnd('SUM(COALESCE(a.n_msgs, 0))', 'SUM(COALESCE(a.n_users, 0))', 2)} AS metric_value
-  FROM spine s CROSS JOIN bot_workflow v
-  LEFT JOIN per_bot a ON a.event_date = s.event_date AND v.prompt_id = a.prompt_id
-  GROUP BY s.event_date, v.workflow)"""
-
-# ---- by tag (T1-T3) -------------------------------------------------------------------
-TAGS_X = """tags_x AS (SELECT DISTINCT prompt_id, tags AS tag FROM aigc_v5)"""
-
-
-def _by_tag(name: str, daily: str, ev: str, us: str, metric: str, num: str, den: str, decimals: int) -> str:
-    return f"""{name} AS (
-  WITH per_bot AS (
-    SELECT event_date, prompt_id, SUM({ev}) AS ev, SUM({us}) AS us FROM {daily} GROUP BY event_date, prompt_id)
-  SELECT p.event_date, '{metric}' AS metric_type, t.tag,
-         CAST(SUM(p.ev) AS BIGINT) AS total_events, CAST(SUM(p.us) AS BIGINT) AS total_users,
-         COUNT(DISTINCT p.prompt_id) AS prompt_count,
-         {rnd(f'SUM(p.{num})', f'SUM(p.{den})', decimals)} AS metric_value
-  FROM per_bot p JOIN tags_x t ON p.prompt_id = t.prompt_id
-  GROUP BY p.event_date, t.tag)"""
-
-
-T1 = _by_tag("t1", "m1", "click_event_cnt", "show_event_cnt", "click_rate", "ev", "us", 4)
-T2 = _by_tag("t2", "m2", "click_user_cnt", "chat_user_cnt", "chat_start_rate", "us", "ev", 4)
-T3 = _by_tag("t3", "m3", "total_chat_events", "unique_users", "chat_depth_user", "ev", "us", 2)
-
-# ---- comparisons ------------------------------------------------------------------------
-ALL_CLICKS = f"""all_clicks AS (
-  SELECT s.event_date, x.total_clicks, x.total_shows,
-         {rnd('x.total_clicks', 'x.total_shows', 4)} AS click_rate
-  FROM spine s, LATERAL (
-    SELECT CAST(SUM(CASE WHEN b.event_name = 'view_bot' THEN b.events ELSE 0 END) AS BIGINT) AS total_clicks,
-           CAST(SUM(CASE WHEN b.event_name = 'show_prompt_card' THEN b.events ELSE 0 END) AS BIGINT) AS total_shows
-    FROM event_version_count b
-    WHERE b.event_date = s.event_date AND b.event_name IN ('view_bot', 'show_prompt_card')) x)"""
-
-ALL_CHAT_USERS = f"""all_chat_users AS (
-  SELECT s.event_date, x.click_users, x.chat_users, {rnd('x.chat_users', 'x.click_users', 4)} AS rate
-  FROM spine s, LATERAL (
-    SELECT COUNT(DISTINCT v.user_id) AS click_users, COUNT(DISTINCT c.user_id) AS chat_users
-    FROM (SELECT DISTINCT user_id FROM bot_view WHERE event_date = s.event_date) v
-    LEFT JOIN (SELECT DISTINCT user_id FROM chat_send WHERE event_date = s.event_date) c
-      ON v.user_id = c.user_id) x)"""
-
-C1 = f"""c1 AS (
-  SELECT a.event_date, a.workflow, 'AIGC' AS bot_type,
-         CAST(SUM(a.click_event_cnt) AS BIGINT) AS total_clicks, CAST(SUM(a.show_event_cnt) AS BIGINT) AS total_shows,
-         {rnd('SUM(a.click_event_cnt)', 'SUM(a.show_event_cnt)', 4)} AS click_rate
-  FROM m1 a WHERE a.workflow IS NOT NULL AND a.workflow <> ''
-  GROUP BY a.event_date, a.workflow
-  UNION ALL
-  SELECT event_date, 'ALL', 'AllBots', total_clicks, total_shows, click_rate FROM all_clicks)"""
-
-C2 = f"""c2 AS (
-  SELECT a.event_date, a.workflow, 'AIGC' AS bot_type,
-         CAST(SUM(a.click_user_cnt) AS BIGINT) AS total_click_users,
-         CAST(SUM(a.chat_user_cnt) AS BIGINT) AS total_chat_users,
-         {rnd('SUM(a.chat_user_cnt)', 'SUM(a.click_user_cnt)', 4)} AS chat_start_rate
-  FROM m2 a WHERE a.workflow IS NOT NULL AND a.workflow <> ''
-  GROUP BY a.event_date, a.workflow
-  UNION ALL
-  SELECT event_date, 'ALL', 'AllBots', click_users, chat_users, rate FROM all_chat_users)"""
-
-C3 = f"""c3 AS (
-  WITH bot_workflow AS (SELECT DISTINCT prompt_id, workflow FROM aigc_v5),
-  per_bot AS (
-    SELECT c.event_date, c.prompt_id AS bot_id, a.workflow,
-           CASE WHEN a.prompt_id IS NOT NULL THEN 'AIGC' ELSE 'AllBots' END AS bot_type,
-           COUNT(*) AS total_msgs, COUNT(DISTINCT c.user_id) AS user_count
-    FROM chat_send c LEFT JOIN bot_workflow a ON c.prompt_id = a.prompt_id
-    GROUP BY c.event_date, c.prompt_id, a.workflow, bot_type)
-  SELECT event_date, bot_type, workflow,
-         CAST(SUM(total_msgs) AS BIGINT) AS total_msgs, CAST(SUM(user_count) AS BIGINT) AS user_count,
-         CASE WHEN SUM(user_count) = 0 THEN 0.0
-              ELSE {rnd('SUM(total_msgs)', 'SUM(user_count)', 4)} END AS chat_depth_user
-  FROM per_bot GROUP BY event_date, bot_type, workflow)"""
-
-C5 = f"""c5 AS (
-  WITH chats_per_bot AS (
-    SELECT c.event_date, c.prompt_id, COUNT(*) AS n_msgs, COUNT(DISTINCT c.user_id) AS n_users
-    FROM chat_send c WHERE (c.method IS NULL OR c.method <> 'regenerate')
-    GROUP BY c.event_date, c.prompt_id),
-  tagged_bots AS (
-    SELECT t.prompt_id, t.event_date, t.tag,
-           CASE WHEN a.prompt_id IS NOT NULL THEN 'AIGC' ELSE 'AllBots' END AS bot_type
-    FROM c4 t LEFT JOIN aigc_v5 a ON t.prompt_id = a.prompt_id)
-  SELECT b.event_date, m.tag, m.bot_type,
-         CAST(SUM(b.n_msgs) AS BIGINT) AS total_chat_events,
-         CAST(SUM(b.n_users) AS BIGINT) AS total_chat_user_count,
-         {rnd('SUM(b.n_msgs)', 'SUM(b.n_users)', 2)} AS chat_depth_user
-  FROM chats_per_bot b JOIN tagged_bots m ON b.prompt_id = m.prompt_id AND b.event_date = m.event_date
-  GROUP BY b.event_date, m.tag, m.bot_type
-  HAVING SUM(b.n_msgs) > 0)"""
-
-A1 = f"""a1 AS (
-  SELECT s.event_date, 'AIGC' AS bot_type, x.total_clicks, x.total_shows,
-         {rnd('x.total_clicks', 'x.total_shows', 4)} AS click_rate
-  FROM spine s, LATERAL (
-    SELECT CAST(SUM(a.click_event_cnt) AS BIGINT) AS total_clicks, CAST(SUM(a.show_event_cnt) AS BIGINT) AS total_shows
-    FROM m1 a WHERE a.event_date = s.event_date AND a.workflow IS NOT NULL AND a.workflow <> '') x
-  UNION ALL
-  SELECT event_date, 'AllBots', total_clicks, total_shows, click_rate FROM all_clicks)"""
-
-A2 = f"""a2 AS (
-  SELECT s.event_date, 'AIGC' AS workflow, 'AIGC' AS bot_type, x.click_user_cnt, x.chat_user_cnt,
-         {rnd('x.chat_user_cnt', 'x.click_user_cnt', 4)} AS chat_start_rate
-  FROM spine s, LATERAL (
-    SELECT CAST(SUM(a.click_user_cnt) AS BIGINT) AS click_user_cnt, CAST(SUM(a.chat_user_cnt) AS BIGINT) AS chat_user_cnt
-    FROM m2 a WHERE a.event_date = s.event_date) x
-  UNION ALL
-  SELECT event_date, 'ALL', 'AllBots', click_users, chat_users, rate FROM all_chat_users)"""
-
-A3 = f"""a3 AS (
-  WITH per_bot AS (
-    SELECT c.event_date, c.prompt_id AS bot_id,
-           CASE WHEN a.prompt_id IS NOT NULL THEN 'AIGC' ELSE 'AllBots' END AS bot_type,
-           COUNT(*) AS total_msgs, COUNT(DISTINCT c.user_id) AS user_count
-    FROM chat_send c LEFT JOIN aigc_v5 a ON c.prompt_id = a.prompt_id
-    GROUP BY c.event_date, c.prompt_id, bot_type)
-  SELECT event_date, bot_type,
-         CAST(SUM(total_msgs) AS BIGINT) AS total_msgs, CAST(SUM(user_count) AS BIGINT) AS user_count,
-         CASE WHEN SUM(user_count) = 0 THEN 0.0
-              ELSE {rnd('SUM(total_msgs)', 'SUM(user_count)', 4)} END AS chat_depth_user
-  FROM per_bot GROUP BY event_date, bot_type)"""
-
+# One tidy relation of all app events, its counts per (day, bot), and the dimension as
+# rows with multiplicities. Every report is arithmetic on these three.
+FACTS = """touch AS (
+  SELECT event_date, 'open' AS kind, bot_id AS bot, user_id, event_id, false AS redone FROM bot_view
+  UNION ALL SELECT event_date, 'card', prompt_id, user_id, event_id, false FROM show_prompt_card
+  UNION ALL SELECT event_date, 'chat', prompt_id, user_id, event_id, method IS NOT DISTINCT FROM 'regenerate'
+  FROM chat_send),
+counted AS (
+  SELECT event_date, bot,
+         COUNT(DISTINCT event_id) FILTER (kind = 'open') AS open_ids,
+         COUNT(DISTINCT event_id) FILTER (kind = 'card') AS card_ids,
+         COUNT(DISTINCT user_id) FILTER (kind = 'open') AS openers,
+         COUNT(DISTINCT user_id) FILTER (kind = 'card') AS card_users,
+         COUNT(*) FILTER (kind = 'chat') AS msgs,
+         COUNT(event_id) FILTER (kind = 'chat') AS msg_ids,
+         COUNT(DISTINCT user_id) FILTER (kind = 'chat') AS chatters,
+         COUNT(*) FILTER (kind = 'chat' AND NOT redone) AS fresh_msgs,
+         COUNT(DISTINCT user_id) FILTER (kind = 'chat' AND NOT redone) AS fresh_chatters
+  FROM touch GROUP BY ALL),
+meetings AS (
+  SELECT event_date, bot, user_id, COUNT(*) FILTER (kind = 'open') AS opened, COUNT(*) FILTER (kind = 'chat') AS said
+  FROM touch GROUP BY ALL),
+paired AS (
+  SELECT event_date, bot,
+         CAST(SUM(opened * IF(user_id IS NULL, 1, greatest(said, 1))) AS BIGINT) AS pair_rows,
+         CAST(SUM(IF(user_id IS NULL, 0, opened * said)) AS BIGINT) AS pair_hits
+  FROM meetings GROUP BY ALL),
+facts AS (SELECT * FROM counted JOIN paired USING (event_date, bot)),
+member AS (SELECT prompt_id AS bot, workflow, tags, COUNT(*) AS copies FROM aigc_v5 GROUP BY ALL),
+weight AS (SELECT bot, COUNT(*) AS kinds, CAST(SUM(copies) AS BIGINT) AS copies FROM member GROUP BY bot),
+flow AS (SELECT bot, workflow, CAST(SUM(copies) AS BIGINT) AS copies, COUNT(*) AS kinds FROM member GROUP BY ALL),
+daily AS (  -- every day with every fact, 0 where nothing happened
+  SELECT day.event_date, w.bot,
+         COALESCE(open_ids, 0) AS open_ids, COALESCE(card_ids, 0) AS card_ids, COALESCE(openers, 0) AS openers,
+         COALESCE(card_users, 0) AS card_users, COALESCE(msg_ids, 0) AS msg_ids, COALESCE(chatters, 0) AS chatters,
+         COALESCE(pair_rows, 0) AS pair_rows, COALESCE(pair_hits, 0) AS pair_hits
+  FROM weight w JOIN spine day ON true LEFT JOIN facts f ON f.bot = w.bot AND f.event_date = day.event_date)"""
+
+
+def long(x: str) -> str:
+    return f"CAST({x} AS BIGINT)"
+
+
+def per_prompt(left: str, right: str, names: tuple[str, str, str], num: str, den: str, decimals: int,
+               empty: str = "NULL") -> str:
+    """One row per day and distinct dimension row; ``left`` and ``right`` are its two counts."""
+    return f"""SELECT event_date, bot AS prompt_id, workflow, tags, {long(left)} AS {names[0]}, {long(right)} AS {names[1]},
+       COALESCE({rnd(num, den, decimals)}, {empty}) AS {names[2]}
+FROM daily JOIN member USING (bot)"""
+
+
+PER_PROMPT = {
+    "click_rate_daily": per_prompt("open_ids", "card_ids", ("click_event_cnt", "show_event_cnt", "click_rate"),
+                                   "open_ids", "card_ids", 4),
+    "chat_start_daily": per_prompt("pair_rows", "pair_hits", ("click_user_cnt", "chat_user_cnt", "chat_start_rate"),
+                                   "pair_hits", "pair_rows", 4, "0"),
+    "chat_rounds_daily": per_prompt("copies * msg_ids", "chatters",
+                                    ("total_chat_events", "unique_users", "avg_chat_rounds_per_user"),
+                                    "copies * msg_ids", "chatters", 2),
+}
+
+
+def rolled(source: str, key: str, metric: str, events: str, users: str, decimals: int) -> str:
+    """A KPI summed over the bots of each ``key``; the value is events over users, or the other way for the start rate."""
+    up, down = (users, events) if metric == "chat_start_rate" else (events, users)
+    return f"""SELECT event_date, '{metric}' AS metric_type, {key}, {long(f'SUM({events})')} AS total_events,
+       {long(f'SUM({users})')} AS total_users, COUNT(DISTINCT bot) AS prompt_count,
+       {rnd(f'SUM({up})', f'SUM({down})', decimals)} AS metric_value
+FROM daily JOIN {source} USING (bot) GROUP BY event_date, {key}"""
+
+
+BY_WORKFLOW = {
+    "workflow_click_rate": rolled("flow", "workflow", "click_rate", "copies * openers", "copies * card_users", 4),
+    "workflow_chat_start": rolled("flow", "workflow", "chat_start_rate", "copies * pair_rows", "copies * pair_hits", 4),
+    "workflow_chat_depth": rolled("flow", "workflow", "chat_depth_user", "msg_ids", "chatters", 2),
+}
+
+# A bot's counts enter each of its tags as often as the per-prompt tables hold the bot.
+TAGGED = "(SELECT DISTINCT bot, tags AS tag, kinds, weight.copies FROM member JOIN weight USING (bot))"
+BY_TAG = {
+    "tag_click_rate": rolled(TAGGED, "tag", "click_rate", "kinds * open_ids", "kinds * card_ids", 4),
+    "tag_chat_start": rolled(TAGGED, "tag", "chat_start_rate", "kinds * pair_rows", "kinds * pair_hits", 4),
+    "tag_chat_depth": rolled(TAGGED, "tag", "chat_depth_user", "copies * msg_ids", "kinds * chatters", 2),
+}
+
+EXPLODED = """pieces AS (
+  SELECT bot, trim(unnest(string_split(name, ','))) AS tag FROM bot_tag WHERE contains(path, 'V5') AND name IS NOT NULL),
+bot_day_tag AS (
+  SELECT event_date, bot, tag FROM facts JOIN pieces USING (bot) WHERE tag <> ''
+    AND EXISTS (FROM touch x WHERE kind = 'card' AND x.bot = facts.bot AND x.event_date = facts.event_date))"""
+
+# Whole-app rows: one per day, also for days without events.
+APP = """app_clicks AS (
+  SELECT event_date, CASE WHEN COUNT(event_name) > 0 THEN CAST(SUM(IF(event_name = 'view_bot', events, 0)) AS BIGINT) END AS a,
+         CASE WHEN COUNT(event_name) > 0 THEN CAST(SUM(IF(event_name = 'show_prompt_card', events, 0)) AS BIGINT) END AS b
+  FROM spine LEFT JOIN (FROM event_version_count WHERE event_name IN ('view_bot', 'show_prompt_card')) USING (event_date)
+  GROUP BY event_date),
+person AS (
+  SELECT event_date, user_id, bool_or(kind = 'open') AS opens, bool_or(kind = 'chat') AS chats
+  FROM touch WHERE user_id IS NOT NULL GROUP BY ALL),
+app_chats AS (
+  SELECT event_date, COUNT(user_id) FILTER (opens) AS a, COUNT(user_id) FILTER (opens AND chats) AS b
+  FROM spine LEFT JOIN person USING (event_date) GROUP BY event_date)"""
+
+
+def against_app(labels: str, app_labels: str, source: str, a: str, b: str, names: tuple[str, str, str], app: str,
+                start: bool, by: str) -> str:
+    """AIGC sums grouped ``by``, stacked on the whole app's row per day."""
+    up, down = ("b", "a") if start else ("a", "b")
+    return f"""WITH both_sides AS (
+  SELECT event_date, {labels}, {long(f'SUM({a})')} AS a, {long(f'SUM({b})')} AS b FROM {source} GROUP BY {by}
+  UNION ALL SELECT event_date, {app_labels}, a, b FROM {app})
+SELECT * EXCLUDE (a, b), a AS {names[0]}, b AS {names[1]}, {rnd(up, down, 4)} AS {names[2]} FROM both_sides"""
+
+
+NAMED = "(SELECT * FROM daily JOIN flow USING (bot) WHERE workflow <> '')"
+CLICKS = ("total_clicks", "total_shows", "click_rate")
+COMPARED = {
+    "click_compare": against_app(
+        "workflow, 'AIGC' AS bot_type", "'ALL', 'AllBots'", NAMED, "kinds * open_ids", "kinds * card_ids", CLICKS,
+        "app_clicks", False, "event_date, workflow"),
+    "chat_start_compare": against_app(
+        "workflow, 'AIGC' AS bot_type", "'ALL', 'AllBots'", NAMED, "kinds * pair_rows", "kinds * pair_hits",
+        ("total_click_users", "total_chat_users", "chat_start_rate"), "app_chats", True, "event_date, workflow"),
+    "click_total_compare": against_app(
+        "'AIGC' AS bot_type", "'AllBots'", f"spine LEFT JOIN {NAMED} USING (event_date)", "kinds * open_ids",
+        "kinds * card_ids", CLICKS, "app_clicks", False, "event_date"),
+    "chat_start_total_compare": against_app(
+        "'AIGC' AS workflow, 'AIGC' AS bot_type", "'ALL', 'AllBots'",
+        "spine LEFT JOIN (FROM daily JOIN flow USING (bot)) USING (event_date)", "kinds * pair_rows", "kinds * pair_hits",
+        ("click_user_cnt", "chat_user_cnt", "chat_start_rate"), "app_chats", True, "event_date"),
+}
+
+
+def depth(source: str, keys: str, msgs: str, users: str, names: tuple[str, str], decimals: int, having: str = "") -> str:
+    """Messages per user of the bots that chatted; 0 without users unless ``having`` leaves them out."""
+    value = rnd(f"SUM({msgs})", f"SUM({users})", decimals)
+    value = value if having else f"IF(SUM({users}) = 0, 0.0, {value})"
+    return f"""SELECT event_date, {keys}, {long(f'SUM({msgs})')} AS {names[0]}, {long(f'SUM({users})')} AS {names[1]},
+       {value} AS chat_depth_user
+FROM {source} GROUP BY ALL {having}"""
+
+
+SIDE = "IF(bot IN (SELECT bot FROM weight), 'AIGC', 'AllBots') AS bot_type"
+TOTALS = ("total_msgs", "user_count")
+DEPTHS = {
+    "chat_depth_compare": depth("(FROM facts LEFT JOIN flow USING (bot) WHERE msgs > 0)", f"{SIDE}, workflow", "msgs", "chatters",
+                                TOTALS, 4),
+    "chat_depth_total_compare": depth("(FROM facts LEFT JOIN weight USING (bot) WHERE msgs > 0)", SIDE,
+                                      "msgs * COALESCE(copies, 1)", "chatters", TOTALS, 4),
+    "chat_depth_by_tag": depth(
+        "(FROM facts JOIN bot_day_tag USING (event_date, bot) LEFT JOIN weight USING (bot) WHERE fresh_msgs > 0)",
+        f"tag, {SIDE}", "fresh_msgs * COALESCE(copies, 1)", "fresh_chatters * COALESCE(copies, 1)",
+        ("total_chat_events", "total_chat_user_count"), 2, "HAVING SUM(fresh_msgs) > 0"),
+}
 
 # Rows with a missing id or workflow (pandas' missing-value tokens) dropped, fixed stamp.
 _NA_LIST = ", ".join("'" + t + "'" for t in PANDAS_NA_TOKENS)
@@ -323,34 +248,24 @@ SEED = f"""SELECT prompt_id, tag, DATE '2025-05-10' AS event_date FROM aigc_tag
 WHERE prompt_id IS NOT NULL AND tag IS NOT NULL AND prompt_id NOT IN ({_NA_LIST}) AND tag NOT IN ({_NA_LIST})"""
 
 
+def _stacked(parts: dict[str, str]) -> str:
+    return "\nUNION ALL\n".join(parts.values())
+
+
 def oracles() -> dict[str, str]:
-    q = with_fixture
-    return {
-        "seed_tags": q(body=SEED),
-        "luna_tags": q(body="SELECT prompt_id, tag, event_date FROM aigc_tag"),
-        "v5_tags": q(body="SELECT prompt_id, workflow, tags FROM aigc_v5"),
-        "tags_exploded": q(TAGS_X, body="SELECT prompt_id, tag FROM tags_x"),
-        "bot_tags_daily": q(C4, body="SELECT event_date, prompt_id, tag FROM c4"),
-        "click_rate_daily": q(M1, body="SELECT * FROM m1"),
-        "chat_start_daily": q(FLAGGED, M2, body="SELECT * FROM m2"),
-        "chat_rounds_daily": q(M3, body="SELECT * FROM m3"),
-        "workflow_click_rate": q(W1, body="SELECT * FROM w1"),
-        "workflow_chat_start": q(FLAGGED, W2, body="SELECT * FROM w2"),
-        "workflow_chat_depth": q(W3, body="SELECT * FROM w3"),
-        "metrics_by_workflow": q(
-            FLAGGED, W1, W2, W3,
-            body="SELECT * FROM w1 UNION ALL SELECT * FROM w2 UNION ALL SELECT * FROM w3"),
-        "tag_click_rate": q(M1, TAGS_X, T1, body="SELECT * FROM t1"),
-        "tag_chat_start": q(FLAGGED, M2, TAGS_X, T2, body="SELECT * FROM t2"),
-        "tag_chat_depth": q(M3, TAGS_X, T3, body="SELECT * FROM t3"),
-        "metrics_by_tag": q(
-            M1, FLAGGED, M2, M3, TAGS_X, T1, T2, T3,
-            body="SELECT * FROM t1 UNION ALL SELECT * FROM t2 UNION ALL SELECT * FROM t3"),
-        "click_compare": q(M1, ALL_CLICKS, C1, body="SELECT * FROM c1"),
-        "chat_start_compare": q(FLAGGED, M2, ALL_CHAT_USERS, C2, body="SELECT * FROM c2"),
-        "chat_depth_compare": q(C3, body="SELECT * FROM c3"),
-        "chat_depth_by_tag": q(C4, C5, body="SELECT * FROM c5"),
-        "click_total_compare": q(M1, ALL_CLICKS, A1, body="SELECT * FROM a1"),
-        "chat_start_total_compare": q(FLAGGED, M2, ALL_CHAT_USERS, A2, body="SELECT * FROM a2"),
-        "chat_depth_total_compare": q(A3, body="SELECT * FROM a3"),
+    found = {
+        "seed_tags": with_fixture(body=SEED),
+        "luna_tags": with_fixture(body="SELECT prompt_id, tag, event_date FROM aigc_tag"),
+        "v5_tags": with_fixture(body="SELECT prompt_id, workflow, tags FROM aigc_v5"),
+        "tags_exploded": with_fixture(body="SELECT DISTINCT prompt_id, tags AS tag FROM aigc_v5"),
+        "bot_tags_daily": with_fixture(FACTS, EXPLODED, body="SELECT event_date, bot AS prompt_id, tag FROM bot_day_tag"),
     }
+    for group in (PER_PROMPT, BY_WORKFLOW, BY_TAG):
+        found |= {name: with_fixture(FACTS, body=sql) for name, sql in group.items()}
+    found["metrics_by_workflow"] = with_fixture(FACTS, body=_stacked(BY_WORKFLOW))
+    found["metrics_by_tag"] = with_fixture(FACTS, body=_stacked(BY_TAG))
+    for name, sql in COMPARED.items():
+        found[name] = f"SELECT * FROM ({with_fixture(FACTS, APP, body='SELECT 1').rsplit('SELECT 1', 1)[0].rstrip()}, " \
+                      f"{sql.removeprefix('WITH ')})"
+    found |= {name: with_fixture(FACTS, EXPLODED, body=sql) for name, sql in DEPTHS.items()}
+    return found

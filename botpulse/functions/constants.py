@@ -9,7 +9,6 @@ Fixed values (kept verbatim, in natural order):
 * tag path markers (case-sensitive substring): ``V5``, ``Luna``
 * V5 tag-name prefix pattern removed by the enrichment job: ``^V5\\s+``
 * separator of the concatenated tag list: ``,``
-* maximum tag pieces kept per bot and day: ``20``
 * decimals: 4 for rates and the compare-report chat depth, 2 for per-user chat rounds
 """
 
@@ -32,7 +31,6 @@ PATH_LUNA = "Luna"
 V5_PREFIX_PATTERN = r"^V5\s+"
 
 TAG_SEPARATOR = ","
-MAX_TAG_PIECES = 20
 
 RATE_DECIMALS = 4
 ROUNDS_DECIMALS = 2

@@ -59,6 +59,10 @@ class DayRange:
     def n_days(self) -> int:
         return (self.end - self.start).days + 1
 
+    def back_to_start(self) -> DayRange:
+        """Every day up to this range's end."""
+        return DayRange(dt.date(1000, 1, 1), self.end)
+
     def days(self) -> list[dt.date]:
         return [self.start + dt.timedelta(days=i) for i in range(self.n_days)]
 
@@ -68,7 +72,14 @@ class DayRange:
 
 
 def within(df: DataFrame, days: DayRange, col: str = "event_date") -> DataFrame:
-    """Keep rows whose day falls in ``days``; prunes ``event_date`` partitions."""
+    """Keep rows whose day falls in ``days``; prunes ``event_date`` partitions.
+
+    A day delivered as ``YYYY-MM-DD`` text is compared as text, so that the range still reaches the
+    scan, and becomes a date afterwards.
+    """
+    if df.schema[col].dataType.typeName() == "string":
+        kept = df.where(F.col(col).between(F.lit(days.start.isoformat()), F.lit(days.end.isoformat())))
+        return kept.withColumn(col, F.col(col).cast("date"))
     return df.where(F.col(col).between(F.lit(days.start), F.lit(days.end)))
 
 
@@ -81,6 +92,21 @@ def spread_over_days(df: DataFrame, days: DayRange, col: str = "event_date") ->
     return df.select(F.explode(days.sequence()).alias(col), *df.columns)
 
 
+def daily_values(dim: DataFrame, counts: DataFrame, days: DayRange, key: str = "prompt_id",
+                 col: str = "event_date") -> DataFrame:
+    """Every row of ``dim`` on every day with its key's ``counts`` of the day (null without any).
+
+    The counts of a key become one map *day → counts* (at most a day of the range each), the undated
+    dimension is joined to them, and the days are exploded after the join: what is shuffled does
+    not grow with days × dimension rows.
+    """
+    names = [c for c in counts.columns if c not in (key, col)]
+    by_day = counts.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct(col, F.struct(*names)))).alias("by_day"))
+    dated = dim.join(by_day, key, "left").select(F.explode(days.sequence()).alias(col), *dim.columns, "by_day")
+    value = F.try_element_at("by_day", F.col(col))
+    return dated.select(col, *dim.columns, *[value[n].alias(n) for n in names])
+
+
 def day_spine(spark: SparkSession, days: DayRange, col: str = "event_date") -> DataFrame:
     """One row per day of the range (``days.n_days`` rows)."""
     return spark.range(1).select(F.explode(days.sequence()).alias(col))

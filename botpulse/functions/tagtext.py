@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from botpulse.functions.constants import MAX_TAG_PIECES, PATH_LUNA, PATH_V5, TAG_SEPARATOR, V5_PREFIX_PATTERN
+from botpulse.functions.constants import PATH_LUNA, PATH_V5, TAG_SEPARATOR, V5_PREFIX_PATTERN
 
 
 def is_v5_path(path: Column) -> Column:
@@ -23,6 +23,6 @@ def strip_v5_prefix(name: Column) -> Column:
     return F.trim(F.regexp_replace(name, V5_PREFIX_PATTERN, ""))
 
 
-def leading_pieces(joined: Column, limit: int = MAX_TAG_PIECES) -> Column:
-    """First ``limit`` comma-separated pieces of ``joined`` (empty pieces kept)."""
-    return F.slice(F.split(joined, TAG_SEPARATOR, -1), 1, limit)
+def pieces(joined: Column) -> Column:
+    """The comma-separated pieces of ``joined`` (empty pieces kept)."""
+    return F.split(joined, TAG_SEPARATOR, -1)

@@ -8,7 +8,7 @@ and the day grid is days × groups, not days × dimension rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from botpulse.functions.dates import DayRange, spread_over_days
@@ -44,6 +44,24 @@ def weighted_rollup(keyed: DataFrame, per_prompt: DataFrame, days: DayRange, key
     )
 
 
+def weighted_stack(keyed: DataFrame, facts: DataFrame, days: DayRange, key: str,
+                   sums: dict[str, tuple[Column, Column]]) -> DataFrame:
+    """Several metrics of each ``key`` group from one join and one aggregation.
+
+    ``keyed (prompt_id, key, weights...)``, ``facts (event_date, prompt_id, counts...)``; ``sums[metric]`` are the
+    row expressions whose sums are the metric's total_events and total_users. Returns ``(event_date, key,
+    prompt_count, metric_type, total_events, total_users)`` for every day, group and metric."""
+    names = {m: (f"s{i}_events", f"s{i}_users") for i, m in enumerate(sums)}
+    totals = facts.join(keyed, "prompt_id").groupBy(F.col("event_date").alias("s_date"), F.col(key).alias("s_key")).agg(
+        *[F.sum(zero_if_null(c)).alias(n) for m, pair in sums.items() for c, n in zip(pair, names[m])])
+    groups = keyed.groupBy(key).agg(F.countDistinct("prompt_id").alias("prompt_count"))
+    joined = spread_over_days(groups, days).join(
+        totals, (F.col("event_date") == F.col("s_date")) & F.col(key).eqNullSafe(F.col("s_key")), "left")
+    rows = F.array(*[F.struct(F.lit(m).alias("metric_type"), zero_if_null(e).alias("total_events"),
+                              zero_if_null(u).alias("total_users")) for m, (e, u) in names.items()])
+    return joined.select("event_date", key, "prompt_count", F.inline(rows))
+
+
 def rows_per_prompt(dim: DataFrame, distinct: bool, name: str, where=None) -> DataFrame:
     """``(prompt_id, name)``: a bot's number of dimension rows (all, or distinct
     (prompt, workflow, tags) rows), optionally only rows matching ``where``."""

@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from botpulse.functions.constants import RATE_DECIMALS, ROUNDS_DECIMALS
-from botpulse.functions.dates import DayRange, spread_over_days, within
+from botpulse.functions.dates import DayRange, daily_values, within
+from botpulse.functions.joins import only_bots
 from botpulse.functions.metrics import ratio, zero_if_null
 from botpulse.operators.summaries import chat_summary, show_summary, view_summary
 from botpulse.operators.tags import dimension
@@ -24,16 +25,22 @@ KEYS = ["event_date", "prompt_id"]
 USER_KEYS = ["event_date", "user_id", "prompt_id"]
 
 
-def distinct_per_bot(events: DataFrame, days: DayRange, bot_col: str, value_col: str, name: str) -> DataFrame:
-    """``COUNT(DISTINCT value_col)`` per (day, bot) as ``(event_date, prompt_id, name)``."""
-    return within(events, days).groupBy("event_date", F.col(bot_col).alias("prompt_id")).agg(
+def distinct_per_bot(events: DataFrame, days: DayRange, bot_col: str, value_col: str, name: str,
+                     bots: DataFrame) -> DataFrame:
+    """``COUNT(DISTINCT value_col)`` per (day, bot) of ``bots`` as ``(event_date, prompt_id, name)``.
+
+    Events of other bots are left out by a semi-join before the aggregation: event ids are nearly
+    unique, so its shuffle is as large as its input."""
+    kept = only_bots(within(events, days), bots, bot_col, ["event_date", bot_col, value_col])
+    return kept.groupBy("event_date", F.col(bot_col).alias("prompt_id")).agg(
         F.countDistinct(value_col).alias(name))
 
 
 def click_show_events(t: Tables, days: DayRange) -> DataFrame:
-    """Per (day, bot): distinct event ids of bot views as ``e`` and of card shows as ``u``."""
-    clicks = distinct_per_bot(t.bot_view, days, "bot_id", "event_id", "e")
-    shows = distinct_per_bot(t.show_prompt_card, days, "prompt_id", "event_id", "u")
+    """Per day and AIGC bot: distinct event ids of bot views as ``e`` and of card shows as ``u``."""
+    bots = dimension(t, days)
+    clicks = distinct_per_bot(t.bot_view, days, "bot_id", "event_id", "e", bots)
+    shows = distinct_per_bot(t.show_prompt_card, days, "prompt_id", "event_id", "u", bots)
     return clicks.join(shows, KEYS, "full")
 
 
@@ -61,11 +68,12 @@ def view_chat_pairs(t: Tables, days: DayRange) -> DataFrame:
     )
 
 
-def chat_counts(t: Tables, days: DayRange, kept_only: bool = False) -> DataFrame:
+def chat_counts(t: Tables, days: DayRange, kept_only: bool = False, bots: DataFrame | None = None) -> DataFrame:
     """Per (day, bot) of chat messages: ``COUNT(*)`` as ``n_msgs``, ``COUNT(event_id)`` as
     ``n_events`` and ``COUNT(DISTINCT user_id)`` as ``n_users``; with ``kept_only`` over the
-    messages whose method is not ``regenerate`` (``n_msgs``, ``n_users`` only)."""
-    summary = chat_summary(t, days)
+    messages whose method is not ``regenerate`` (``n_msgs``, ``n_users`` only). ``bots`` limits it to
+    these bots, by a semi-join below the aggregation."""
+    summary = chat_summary(t, days, bots)
     if kept_only:
         summary = summary.where(F.col("n_kept") > 0).withColumn("n_msgs", F.col("n_kept"))
     return summary.groupBy(*KEYS).agg(
@@ -80,13 +88,10 @@ def click_rate_daily(t: Tables, days: DayRange) -> DataFrame:
     Dimension made distinct first. Counts 0 and rate NULL without shows.
     """
     dim = dimension(t, days).select("prompt_id", "workflow", "tags").distinct()
-    clicks = distinct_per_bot(t.bot_view, days, "bot_id", "event_id", "clicks")
-    shows = distinct_per_bot(t.show_prompt_card, days, "prompt_id", "event_id", "shows")
+    counts = click_show_events(t, days).withColumnsRenamed({"e": "clicks", "u": "shows"})
     clicks_n, shows_n = zero_if_null("clicks"), zero_if_null("shows")
     return (
-        spread_over_days(dim, days)
-        .join(clicks, KEYS, "left")
-        .join(shows, KEYS, "left")
+        daily_values(dim, counts, days)
         .select(
             "event_date", "prompt_id", "workflow", "tags",
             clicks_n.alias("click_event_cnt"),
@@ -105,7 +110,7 @@ def chat_start_daily(t: Tables, days: DayRange) -> DataFrame:
     dim = dimension(t, days).select("prompt_id", "workflow", "tags").distinct()
     per_bot = view_chat_pairs(t, days).withColumn(
         "rate", ratio("chat_user_cnt", "click_user_cnt", RATE_DECIMALS))
-    return spread_over_days(dim, days).join(per_bot, KEYS, "left").select(
+    return daily_values(dim, per_bot, days).select(
         "event_date", "prompt_id", "workflow", "tags",
         zero_if_null("click_user_cnt").alias("click_user_cnt"),
         zero_if_null("chat_user_cnt").alias("chat_user_cnt"),
@@ -121,10 +126,10 @@ def chat_rounds_daily(t: Tables, days: DayRange) -> DataFrame:
     without users.
     """
     dim = dimension(t, days).groupBy("prompt_id", "workflow", "tags").agg(F.count(F.lit(1)).alias("dim_rows"))
-    chats = chat_counts(t, days)
+    chats = chat_counts(t, days, bots=dim)
     total = F.col("dim_rows") * zero_if_null("n_events")
     users = zero_if_null("n_users")
-    return spread_over_days(dim, days).join(chats, KEYS, "left").select(
+    return daily_values(dim, chats, days).select(
         "event_date", "prompt_id", "workflow", "tags",
         total.alias("total_chat_events"),
         users.alias("unique_users"),

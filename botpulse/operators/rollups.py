@@ -21,7 +21,8 @@ from botpulse.functions.constants import (
 from botpulse.functions.dates import DayRange, within
 from botpulse.functions.metrics import ratio
 from botpulse.operators import prompt_metrics as pm
-from botpulse.operators.grouped import rows_per_prompt, weighted_rollup
+from botpulse.operators.grouped import rows_per_prompt, weighted_rollup, weighted_stack
+from botpulse.operators.summaries import bot_day_facts
 from botpulse.operators.tags import dimension, tags_exploded
 from botpulse.sources.catalog import Tables
 
@@ -78,8 +79,18 @@ WORKFLOW_METRICS = {
 
 
 def metrics_by_workflow(t: Tables, days: DayRange, metric_types=METRIC_TYPES) -> DataFrame:
-    """The chosen workflow metrics stacked into one long table."""
-    return _stack(WORKFLOW_METRICS, t, days, metric_types)
+    """The chosen workflow metrics as one long table, from one pass over each event table."""
+    chosen = _chosen(WORKFLOW_METRICS, metric_types)
+    if len(chosen) == 1:
+        return WORKFLOW_METRICS[chosen[0]](t, days)
+    copies = F.col("we")
+    sums = {
+        CLICK_RATE: (copies * F.col("viewers"), copies * F.col("card_viewers")),
+        CHAT_START_RATE: (copies * F.col("pair_rows"), copies * F.col("pair_hits")),
+        CHAT_DEPTH_USER: (F.col("n_events"), F.col("chatters")),
+    }
+    return _finish_stack(weighted_stack(_raw_fanout(t, days), bot_day_facts(t, days), days, "workflow",
+                                        {m: sums[m] for m in chosen}), "workflow", chosen)
 
 
 # ---- by tag -------------------------------------------------------------------------
@@ -153,24 +164,43 @@ TAG_METRICS = {
 
 
 def metrics_by_tag(t: Tables, days: DayRange, metric_types=METRIC_TYPES, **daily: DataFrame) -> DataFrame:
-    """T4: the chosen tag metrics stacked into one long table.
+    """T4: the chosen tag metrics as one long table.
 
-    ``daily`` may pass stored per-prompt tables as ``click_rate=``,
-    ``chat_start=``, ``chat_rounds=``.
+    ``daily`` may pass stored per-prompt tables as ``click_rate=``, ``chat_start=``, ``chat_rounds=``; without
+    any, all metrics come from one summary of the events (and M1's distinct event ids).
     """
+    chosen = _chosen(TAG_METRICS, metric_types)
     inputs = {CLICK_RATE: "click_rate", CHAT_START_RATE: "chat_start", CHAT_DEPTH_USER: "chat_rounds"}
-    jobs = {m: (lambda t_, d_, m=m: TAG_METRICS[m](t_, d_, daily.get(inputs[m]))) for m in TAG_METRICS}
-    return _stack(jobs, t, days, metric_types)
+    if len(chosen) == 1 or any(d is not None for d in daily.values()):
+        frames = [TAG_METRICS[m](t, days, daily.get(inputs[m])) for m in chosen]
+        out = frames[0]
+        for f in frames[1:]:
+            out = out.unionByName(f)
+        return out
+    facts = bot_day_facts(t, days)
+    if CLICK_RATE in chosen:
+        facts = facts.join(pm.click_show_events(t, days), pm.KEYS, "full")
+    kinds, raw = F.col("wu"), F.col("we")  # distinct and raw dimension rows of the bot
+    sums = {
+        CLICK_RATE: lambda: (kinds * F.col("e"), kinds * F.col("u")),
+        CHAT_START_RATE: lambda: (kinds * F.col("pair_rows"), kinds * F.col("pair_hits")),
+        CHAT_DEPTH_USER: lambda: (raw * F.col("n_events"), kinds * F.col("chatters")),
+    }
+    return _finish_stack(weighted_stack(_tag_weights(t, days, True), facts, days, "tag", {m: sums[m]() for m in chosen}),
+                         "tag", chosen)
+
+
+def _chosen(jobs, metric_types) -> list[str]:
+    names = [metric_types] if isinstance(metric_types, str) else list(metric_types)
+    unknown = [m for m in names if m not in jobs]
+    if unknown or not names:
+        raise ValueError(f"unknown metric_type {unknown or metric_types!r}; expected one of {list(jobs)}")
+    return names
 
 
-def _stack(jobs, t: Tables, days: DayRange, metric_types) -> DataFrame:
-    if isinstance(metric_types, str):
-        metric_types = (metric_types,)
-    unknown = [m for m in metric_types if m not in jobs]
-    if unknown or not metric_types:
-        raise ValueError(f"unknown metric_type {unknown or metric_types!r}; expected one of {list(jobs)}")
-    frames = [jobs[m](t, days) for m in metric_types]
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+def _finish_stack(stacked: DataFrame, key: str, chosen: list[str]) -> DataFrame:
+    value = F.lit(None).cast("double")
+    for m in chosen:
+        value = F.when(F.col("metric_type") == m, _metric("total_events", "total_users", m)).otherwise(value)
+    return stacked.select("event_date", "metric_type", key, "total_events", "total_users", "prompt_count",
+                          value.alias("metric_value"))

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from botpulse.functions.constants import METHOD_REGENERATE
 from botpulse.functions.dates import DayRange, within
+from botpulse.functions.joins import only_bots
 from botpulse.sources.catalog import Tables
 
 KEYS = ["event_date", "user_id", "prompt_id"]
@@ -48,8 +49,38 @@ def summarize_shows(shows: DataFrame, days: DayRange) -> DataFrame:
     return within(shows, days).groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n_shows"))
 
 
-def chat_summary(t: Tables, days: DayRange) -> DataFrame:
-    return within(t.chat_summary, days) if t.chat_summary is not None else summarize_chats(t.chat_send, days)
+def bot_day_facts(t: Tables, days: DayRange) -> DataFrame:
+    """Per (day, bot), from one pass over each event table: ``viewers``, ``card_viewers`` and ``chatters``
+    (distinct users), ``n_events`` (messages with an event id), and ``pair_rows`` / ``pair_hits`` (rows and matched rows of
+    views LEFT JOIN chats on user and bot).
+
+    The three per (day, user, bot) summaries are stacked and summed to one row per (day, user, bot)."""
+    zero = F.lit(0).cast("long")
+    stacked = None
+    for summary, column in ((view_summary(t, days), "n_views"), (show_summary(t, days), "n_shows"),
+                            (chat_summary(t, days), "n_msgs")):
+        columns = {c: zero for c in ("n_views", "n_shows", "n_msgs", "n_events")} | {column: F.col(column)}
+        if column == "n_msgs":
+            columns["n_events"] = F.col("n_events")
+        part = summary.select(*KEYS, *[c.alias(n) for n, c in columns.items()])
+        stacked = part if stacked is None else stacked.unionByName(part)
+    user = stacked.groupBy(*KEYS).agg(*[F.sum(c).alias(c) for c in ("n_views", "n_shows", "n_msgs", "n_events")])
+    known, views, msgs = F.col("user_id").isNotNull(), F.col("n_views"), F.col("n_msgs")
+    return user.groupBy("event_date", "prompt_id").agg(
+        F.count(F.when(known & (views > 0), 1)).alias("viewers"),
+        F.count(F.when(known & (F.col("n_shows") > 0), 1)).alias("card_viewers"),
+        F.count(F.when(known & (msgs > 0), 1)).alias("chatters"),
+        F.sum("n_events").alias("n_events"),
+        F.sum(views * F.when(known, F.greatest(msgs, F.lit(1))).otherwise(1)).alias("pair_rows"),
+        F.sum(F.when(known, views * msgs).otherwise(0)).alias("pair_hits"))
+
+
+def chat_summary(t: Tables, days: DayRange, bots: DataFrame | None = None) -> DataFrame:
+    """The stored chat summary, or the chats summarised; of ``bots`` only where given."""
+    events = t.chat_summary if t.chat_summary is not None else t.chat_send
+    if bots is not None:
+        events = only_bots(events, bots, "prompt_id", KEYS)
+    return within(events, days) if t.chat_summary is not None else summarize_chats(events, days)
 
 
 def view_summary(t: Tables, days: DayRange) -> DataFrame:

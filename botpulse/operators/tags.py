@@ -9,9 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from botpulse.functions.constants import MAX_TAG_PIECES, TAG_SEPARATOR
+from botpulse.functions.constants import TAG_SEPARATOR
 from botpulse.functions.dates import DayRange, within
-from botpulse.functions.tagtext import is_luna_path, is_v5_path, leading_pieces, strip_v5_prefix
+from botpulse.functions.tagtext import is_luna_path, is_v5_path, pieces, strip_v5_prefix
 from botpulse.operators.summaries import show_summary
 from botpulse.sources.catalog import Tables
 
@@ -64,8 +64,9 @@ def v5_tags(t: Tables, days: DayRange, aigc_tag: DataFrame | None = None) -> Dat
 
 
 def dimension(t: Tables, days: DayRange) -> DataFrame:
-    """The AIGC dimension: the stored ``aigc_tag_v5`` if given, else derived (D2 → D3)."""
-    return t.aigc_tag_v5 if t.aigc_tag_v5 is not None else v5_tags(t, days)
+    """The AIGC dimension: the stored ``aigc_tag_v5`` if given, else derived (D2 → D3) from
+    every ``aigc_tag`` day up to the range's end, as the accumulated table holds them."""
+    return t.aigc_tag_v5 if t.aigc_tag_v5 is not None else v5_tags(t, days.back_to_start())
 
 
 def tags_exploded(t: Tables, days: DayRange) -> DataFrame:
@@ -75,39 +76,35 @@ def tags_exploded(t: Tables, days: DayRange) -> DataFrame:
     return dimension(t, days).select("prompt_id", F.col("tags").alias("tag")).distinct()
 
 
-def v5_tag_pieces(t: Tables, limit: int = MAX_TAG_PIECES) -> DataFrame:
-    """``(prompt_id, tag)``: each bot's V5 tag names, concatenated in name order,
-    split on commas, first ``limit`` pieces, trimmed, blanks dropped.
+def v5_tag_pieces(t: Tables, limit: int | None = None) -> DataFrame:
+    """``(prompt_id, tag)``: each bot's V5 tag names split on commas, trimmed, blanks dropped.
 
-    Every name yields at least one piece, so only a bot's first ``limit`` names
-    can contribute: a ``row_number() <= limit`` window keeps those (Spark plans a
-    partial per-partition limit before the shuffle, so a bot holding a large
-    share of all links never reaches one task whole) and the concatenation is
-    built from at most ``limit`` names per bot.
+    All pieces by default: a map-side explode of each name. With ``limit`` only the first ``limit`` pieces
+    of a bot in name order (the reports this replaces kept 20): every name yields at least one
+    piece, so a ``row_number() <= limit`` window keeps that many names before they are split.
     """
     names = t.prompt_tag_link.join(
         _tags_on_paths(t, is_v5_path).where(F.col("name").isNotNull()), "tag_id"
     ).select("prompt_id", "name")
-    first_names = names.withColumn(
-        "rn", F.row_number().over(Window.partitionBy("prompt_id").orderBy("name"))
-    ).where(F.col("rn") <= limit)
-    joined = first_names.groupBy("prompt_id").agg(
-        F.array_join(
-            F.transform(F.array_sort(F.collect_list(F.struct("rn", "name"))), lambda x: x["name"]),
-            TAG_SEPARATOR,
-        ).alias("tag_str")
-    )
-    return (
-        joined.select("prompt_id", F.explode(leading_pieces(F.col("tag_str"), limit)).alias("piece"))
-        .select("prompt_id", F.trim("piece").alias("tag"))
-        .where(F.col("tag") != "")
-    )
-
-
-def bot_tags_daily(t: Tables, days: DayRange) -> DataFrame:
+    if limit is None:
+        split = names.select("prompt_id", F.explode(pieces(F.col("name"))).alias("piece"))
+    else:
+        ranked = Window.partitionBy("prompt_id").orderBy("name")
+        first_names = names.withColumn("rn", F.row_number().over(ranked)).where(F.col("rn") <= limit)
+        joined = first_names.groupBy("prompt_id").agg(
+            F.array_join(
+                F.transform(F.array_sort(F.collect_list(F.struct("rn", "name"))), lambda x: x["name"]),
+                TAG_SEPARATOR,
+            ).alias("tag_str")
+        )
+        split = joined.select("prompt_id", F.explode(F.slice(pieces(F.col("tag_str")), 1, limit)).alias("piece"))
+    return split.select("prompt_id", F.trim("piece").alias("tag")).where(F.col("tag") != "")
+
+
+def bot_tags_daily(t: Tables, days: DayRange, limit: int | None = None) -> DataFrame:
     """C4: ``(event_date, prompt_id, tag)`` for every bot shown on the day.
 
-    Tags keep their "V5 " prefix; duplicates are kept; at most 20 pieces per bot.
+    Tags keep their "V5 " prefix; duplicates are kept; ``limit`` as in :func:`v5_tag_pieces`.
     """
     shown = show_summary(t, days).select("event_date", "prompt_id").distinct()
-    return shown.join(v5_tag_pieces(t), "prompt_id").select("event_date", "prompt_id", "tag")
+    return shown.join(v5_tag_pieces(t, limit), "prompt_id").select("event_date", "prompt_id", "tag")

@@ -3,19 +3,24 @@
 Levels (a level starts when the previous one is written; tables within a
 level are independent and run concurrently):
 
-0. ``aigc_tag`` — Luna tags (D2) [+ seed CSV (D1)]; the per (day, user, bot)
-   summaries of chats, bot views and card shows — the only reads of the event
-   tables except M1's distinct event ids
-1. ``aigc_tag_v5`` — V5 enrichment (D3)
+0. ``aigc_tag`` — Luna tags (D2); ``aigc_tag_seed`` — the seed CSV (D1), a table of its own so that
+   neither load replaces the other's days; the per (day, user, bot) summaries of chats, bot views
+   and card shows — the only reads of the event tables except M1's distinct event ids
+1. ``aigc_tag_v5`` — V5 enrichment (D3) of all stored days of both
 2. everything that needs only the dimension: D4, M1–M3, W4, C3, C4, A3
 3. everything that reads a table of level 2: T4 (M1–M3, D4), C1/A1 (M1),
    C2/A2 (M2), C5 (C4)
 
 Consumers read the *written* producer tables, as the original jobs read the
 warehouse: each write cuts the lineage, so a lost executor only recomputes
-work since the last written table. Day tables are written with dynamic
-partition overwrite (rerunning a range replaces exactly those days) or
-appended on request. A failing table is recorded and the run goes on.
+work since the last written table. Every day of the range is replaced, also one that has
+become empty (or rows are appended on request).
+
+Failures. A table that fails for the range is tried day by day, so one bad day costs that day only; the
+long tables W4 and T4 are likewise tried metric by metric. What failed is recorded and the run goes on.
+Without a dimension its consumers are skipped and recorded as such: they are never computed from a
+smaller one. Other producers that failed (summaries, M1–M3, C4) are replaced by the same computation from
+the sources, with the same result.
 """
 
 from __future__ import annotations
@@ -26,16 +31,17 @@ import time
 import traceback
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 
+from botpulse.functions.constants import METRIC_TYPES
 from botpulse.functions.dates import DayRange
 from botpulse.operators import compare, rollups, summaries, tags
 from botpulse.operators import prompt_metrics as pm
 from botpulse.sources.catalog import Tables
 from botpulse.sources.seed import seed_tags
-from botpulse.sources.sinks import read_table, write_table
+from botpulse.sources.sinks import read_table, table_exists, write_table
 
 log = logging.getLogger(__name__)
 
@@ -43,6 +49,9 @@ UNDATED = {"aigc_tag_v5", "tags_exploded"}
 # Run-internal inputs of the reports: always replaced per day, also in append mode
 # (appending them would double every count derived from them).
 INTERMEDIATE = {"chat_user_bot_daily", "view_user_bot_daily", "show_user_bot_daily"}
+# Tables that only mean something with the whole dimension, and the dimension with its tags.
+NEEDS = {"aigc_tag_v5": ("aigc_tag", "aigc_tag_seed")}
+DIMENSION = "aigc_tag_v5"
 
 
 @dataclass(frozen=True)
@@ -51,6 +60,11 @@ class TableStatus:
     rows: int | None = None
     seconds: float = 0.0
     error: str | None = None
+    failures: dict[str, str] = field(default_factory=dict)  # day or "day metric" → error
+
+
+class Skipped(Exception):
+    """A table whose producer failed."""
 
 
 def run_reports(
@@ -61,39 +75,76 @@ def run_reports(
     seed_csv: str | None = None,
     seed_date: dt.date | str | None = None,
     parallelism: int = 4,
+    jobs: set[str] | None = None,
 ) -> dict[str, TableStatus]:
-    """Compute and write every table for ``days`` (default: yesterday) under ``out``.
+    """Compute and write every table (or those of ``jobs``) for ``days`` (default: yesterday) under ``out``.
 
     Tables run in dependency levels; the tables of one level are submitted
     concurrently from ``parallelism`` driver threads (Spark schedules their jobs
     side by side), a level starts when the previous one is written. Returns a
     status per table: rows written (from an ``Observation`` on the write),
-    duration, or the error. A consumer whose producer failed derives that input
-    from the sources instead of reading a stale table. ``seed_csv`` adds the
-    bot → workflow seed list (D1) to ``aigc_tag`` stamped with ``seed_date``.
+    duration, or the error. ``seed_csv`` is loaded as the seed list (D1) of ``seed_date``
+    (default: the last day). With ``jobs``, a dimension stored by an earlier run under ``out`` (or in ``t``) is used;
+    without one it is derived from all days up to the range's end.
     """
     days = days or DayRange.yesterday()
     spark = t.spark
+    unknown = set(jobs or ()) - set(_ORDER)
+    if unknown:
+        raise ValueError(f"no such job: {sorted(unknown)}; expected some of {_ORDER}")
     path = {name: f"{out.rstrip('/')}/{name}" for name in _ORDER}
     status: dict[str, TableStatus] = {}
+    schema_of: dict[str, object] = {}
 
     def stored(name: str) -> DataFrame | None:
-        """The table written by this run, or None when its step failed."""
-        return read_table(spark, name, path[name]) if status.get(name, TableStatus(False)).ok else None
+        """The table written by this run, or None when its step failed or wasn't asked for."""
+        if not status.get(name, TableStatus(False)).ok:
+            return None
+        return read_table(spark, name, path[name], schema_of.get(name))
 
-    def step(name: str, build: Callable[[], DataFrame]) -> None:
+    def write(name: str, frame: DataFrame, when: DayRange, how: str) -> int:
+        if name in INTERMEDIATE:
+            schema_of[name] = frame.schema  # ids in their delivered types
+        return write_table(frame, path[name], mode=how, partitioned=name not in UNDATED, days=when)
+
+    def attempt(name: str, build: Callable[..., DataFrame], how: str) -> TableStatus:
         t0 = time.perf_counter()
+
+        def done(ok: bool, rows: int | None, error: str | None = None, failures: dict[str, str] | None = None):
+            return TableStatus(ok, rows, round(time.perf_counter() - t0, 3), error, failures or {})
+
         try:
-            table_mode = "overwrite" if name in INTERMEDIATE else mode
-            rows = write_table(build(), path[name], mode=table_mode, partitioned=name not in UNDATED)
-            status[name] = TableStatus(True, rows, round(time.perf_counter() - t0, 3))
-            log.info("wrote %s: %d rows", name, rows)
-        except Exception as exc:  # per-table isolation: record and continue
-            status[name] = TableStatus(False, None, round(time.perf_counter() - t0, 3),
-                                       f"{type(exc).__name__}: {exc}")
+            for producer in NEEDS.get(name, (DIMENSION,) if name in _FROM_DIMENSION else ()):
+                if producer in status and not status[producer].ok:
+                    raise Skipped(f"skipped: {producer} failed")
+            return done(True, write(name, build(days), days, how))
+        except Skipped as exc:
+            return done(False, None, str(exc))
+        except Exception as exc:  # isolate: by day, and by metric for the long tables
             log.error("table %s failed: %s", name, traceback.format_exc())
+            whole = f"{type(exc).__name__}: {exc}"
+        metrics = METRIC_TYPES if name in _LONG else (None,)
+        if name in UNDATED or (days.n_days == 1 and metrics == (None,)):
+            return done(False, None, whole)
+        rows, failures = 0, {}
+        for day in days.days():
+            one, first = DayRange.of(day), True
+            for metric in metrics:
+                try:
+                    frame = build(one) if metric is None else build(one, metric)
+                    rows += write(name, frame, one, how if first else "append")
+                    first = False
+                except Exception as exc:
+                    failures[f"{day} {metric}" if metric else str(day)] = f"{type(exc).__name__}: {exc}"
+        return done(not failures, rows, whole if failures else None, failures)
 
-    def level(steps: list[tuple[str, Callable[[], DataFrame]]]) -> None:
+    def step(name: str, build: Callable[..., DataFrame]) -> None:
+        if jobs is not None and name not in jobs:
+            return
+        status[name] = attempt(name, build, "overwrite" if name in INTERMEDIATE else mode)
+        log.info("%s: %s", name, status[name])
+
+    def level(steps: list[tuple[str, Callable[..., DataFrame]]]) -> None:
         if parallelism <= 1 or len(steps) == 1:
             for name, build in steps:
                 step(name, build)
@@ -101,56 +152,65 @@ def run_reports(
         with ThreadPoolExecutor(max_workers=parallelism, thread_name_prefix="botpulse") as pool:
             list(pool.map(lambda s: step(*s), steps))
 
-    def aigc_tag() -> DataFrame:
-        rows = tags.luna_tags(t, days)
-        if seed_csv is not None:
-            rows = rows.unionByName(seed_tags(spark, seed_csv, seed_date or days.end))
-        return rows
-
-    # The V5 dimension has no date: rebuilt as a whole from every stored aigc_tag day
+    # The V5 dimension has no date: rebuilt as a whole from every stored day of both tag tables
     # (idempotent), or, in append mode, the run's days appended as the original does.
-    def aigc_tag_v5() -> DataFrame:
-        source = read_table(spark, "aigc_tag", path["aigc_tag"])
+    def aigc_tag_v5(_: DayRange) -> DataFrame:
+        sources = [read_table(spark, "aigc_tag", path[n]) for n in ("aigc_tag", "aigc_tag_seed")
+                   if table_exists(spark, path[n])]
+        if not sources:
+            raise Skipped("skipped: no tag table")
+        source = sources[0] if len(sources) == 1 else sources[0].unionByName(sources[1])
         if mode != "overwrite":
             source = source.where(source.event_date.between(days.start, days.end))
         return tags.enrich_v5(t, source)
 
     level([
-        ("aigc_tag", aigc_tag),
-        ("chat_user_bot_daily", lambda: summaries.summarize_chats(t.chat_send, days)),
-        ("view_user_bot_daily", lambda: summaries.summarize_views(t.bot_view, days)),
-        ("show_user_bot_daily", lambda: summaries.summarize_shows(t.show_prompt_card, days)),
+        ("aigc_tag", lambda d: tags.luna_tags(t, d)),
+        ("chat_user_bot_daily", lambda d: summaries.summarize_chats(t.chat_send, d)),
+        ("view_user_bot_daily", lambda d: summaries.summarize_views(t.bot_view, d)),
+        ("show_user_bot_daily", lambda d: summaries.summarize_shows(t.show_prompt_card, d)),
     ])
+    if seed_csv is not None and (jobs is None or "aigc_tag_seed" in jobs):
+        stamp = DayRange.of(seed_date or days.end)
+        try:
+            rows = write_table(seed_tags(spark, seed_csv, stamp.start), path["aigc_tag_seed"], mode=mode, days=stamp)
+            status["aigc_tag_seed"] = TableStatus(True, rows)
+        except Exception as exc:
+            status["aigc_tag_seed"] = TableStatus(False, error=f"{type(exc).__name__}: {exc}")
     t = t.with_(chat_summary=stored("chat_user_bot_daily"), view_summary=stored("view_user_bot_daily"),
                 show_summary=stored("show_user_bot_daily"))
-    level([("aigc_tag_v5", aigc_tag_v5)])
-    dim = t.with_(aigc_tag_v5=stored("aigc_tag_v5"))
+    level([(DIMENSION, aigc_tag_v5)])
+    written = stored(DIMENSION)
+    if written is None and jobs is not None and DIMENSION not in jobs and table_exists(spark, path[DIMENSION]):
+        written = read_table(spark, DIMENSION, path[DIMENSION])
+    dim = t.with_(aigc_tag_v5=written) if written is not None else t
     level([
-        ("tags_exploded", lambda: tags.tags_exploded(dim.with_(tags_exploded=None), days)),
-        ("click_rate_daily", lambda: pm.click_rate_daily(dim, days)),
-        ("chat_start_daily", lambda: pm.chat_start_daily(dim, days)),
-        ("chat_rounds_daily", lambda: pm.chat_rounds_daily(dim, days)),
-        ("metrics_by_workflow", lambda: rollups.metrics_by_workflow(dim, days)),
-        ("chat_depth_compare", lambda: compare.chat_depth_compare(dim, days)),
-        ("bot_tags_daily", lambda: tags.bot_tags_daily(dim, days)),
-        ("chat_depth_total_compare", lambda: compare.chat_depth_total_compare(dim, days)),
+        ("tags_exploded", lambda d: tags.tags_exploded(dim.with_(tags_exploded=None), d)),
+        ("click_rate_daily", lambda d: pm.click_rate_daily(dim, d)),
+        ("chat_start_daily", lambda d: pm.chat_start_daily(dim, d)),
+        ("chat_rounds_daily", lambda d: pm.chat_rounds_daily(dim, d)),
+        ("metrics_by_workflow", lambda d, m=METRIC_TYPES: rollups.metrics_by_workflow(dim, d, m)),
+        ("chat_depth_compare", lambda d: compare.chat_depth_compare(dim, d)),
+        ("bot_tags_daily", lambda d: tags.bot_tags_daily(dim, d)),
+        ("chat_depth_total_compare", lambda d: compare.chat_depth_total_compare(dim, d)),
     ])
     dim = dim.with_(tags_exploded=stored("tags_exploded"))
     m1, m2, m3 = stored("click_rate_daily"), stored("chat_start_daily"), stored("chat_rounds_daily")
     level([
-        ("metrics_by_tag", lambda: rollups.metrics_by_tag(dim, days, click_rate=m1, chat_start=m2, chat_rounds=m3)),
-        ("chat_start_compare", lambda: compare.chat_start_compare(dim, days, m2)),
-        ("click_compare", lambda: compare.click_compare(dim, days, m1)),
-        ("chat_depth_by_tag", lambda: compare.chat_depth_by_tag(dim, days, stored("bot_tags_daily"))),
-        ("click_total_compare", lambda: compare.click_total_compare(dim, days, m1)),
-        ("chat_start_total_compare", lambda: compare.chat_start_total_compare(dim, days, m2)),
+        ("metrics_by_tag", lambda d, m=METRIC_TYPES: rollups.metrics_by_tag(
+            dim, d, m, click_rate=m1, chat_start=m2, chat_rounds=m3)),
+        ("chat_start_compare", lambda d: compare.chat_start_compare(dim, d, m2)),
+        ("click_compare", lambda d: compare.click_compare(dim, d, m1)),
+        ("chat_depth_by_tag", lambda d: compare.chat_depth_by_tag(dim, d, stored("bot_tags_daily"))),
+        ("click_total_compare", lambda d: compare.click_total_compare(dim, d, m1)),
+        ("chat_start_total_compare", lambda d: compare.chat_start_total_compare(dim, d, m2)),
     ])
     return {name: status[name] for name in _ORDER if name in status}
 
 
 _ORDER = [
     "chat_user_bot_daily", "view_user_bot_daily", "show_user_bot_daily",
-    "aigc_tag", "aigc_tag_v5", "tags_exploded",
+    "aigc_tag", "aigc_tag_seed", "aigc_tag_v5", "tags_exploded",
     "click_rate_daily", "chat_start_daily", "chat_rounds_daily",
     "metrics_by_workflow", "metrics_by_tag",
     "chat_depth_compare", "chat_start_compare", "click_compare",
@@ -158,36 +218,54 @@ _ORDER = [
     "click_total_compare", "chat_start_total_compare", "chat_depth_total_compare",
 ]
 
+_FROM_DIMENSION = set(_ORDER[_ORDER.index("tags_exploded"):]) - {"bot_tags_daily"}
+_LONG = {"metrics_by_workflow", "metrics_by_tag"}
+
 
 def main(argv: list[str] | None = None) -> int:
     """``spark-submit run_daily.py --inputs BASE --out OUT [--start D] [--end D]``
     (or ``python -m botpulse.plans.daily_run ...``).
 
-    Reads every input from ``BASE/<input>`` (Parquet), runs all tables for the
-    range (default: yesterday) and exits non-zero if any table failed.
+    Reads every input from ``BASE/<input>`` (Parquet) or, with ``--catalog``, from the tables of a metastore
+    database; runs all tables, or those named with ``--job``, for the range (default: yesterday) and exits
+    non-zero if any table failed. Failed days and metrics are printed below their table.
     """
     import argparse
 
     from pyspark.sql import SparkSession
 
     from botpulse.session import configure
+    from botpulse.sources import schemas
 
-    parser = argparse.ArgumentParser(description="Write every KPI table for a range of days.")
-    parser.add_argument("--inputs", required=True, help="folder holding one Parquet folder per input table")
+    parser = argparse.ArgumentParser(description="Write KPI tables for a range of days.")
+    source = parser.add_mutually_exclusive_group(required=True)
+    source.add_argument("--inputs", help="folder holding one Parquet folder per input table")
+    source.add_argument("--catalog", help="metastore database holding the input tables")
     parser.add_argument("--out", required=True, help="folder for the output tables")
     parser.add_argument("--start", help="first day, YYYY-MM-DD (default: yesterday)")
     parser.add_argument("--end", help="last day, YYYY-MM-DD (default: --start)")
+    parser.add_argument("--job", action="append", choices=_ORDER, help="run this table only (may be repeated)")
+    parser.add_argument("--dimension", help="stored aigc_tag_v5 table to use instead of deriving one")
     parser.add_argument("--mode", choices=["overwrite", "append"], default="overwrite")
-    parser.add_argument("--seed-csv", help="bot → workflow seed CSV (id,workflow) added to aigc_tag")
+    parser.add_argument("--seed-csv", help="bot → workflow seed CSV (id,workflow)")
+    parser.add_argument("--seed-date", help="day of the seed rows (default: the last day)")
     parser.add_argument("--parallelism", type=int, default=4)
     args = parser.parse_args(argv)
 
     days = DayRange.of(args.start, args.end) if args.start else DayRange.yesterday()
     spark = configure(SparkSession.builder.appName("botpulse-daily").getOrCreate())
-    status = run_reports(Tables.from_parquet(spark, args.inputs), days, args.out, mode=args.mode,
-                         seed_csv=args.seed_csv, parallelism=args.parallelism)
+    if args.inputs:
+        tables = Tables.from_parquet(spark, args.inputs)
+    else:
+        tables = Tables.from_catalog(spark, **{name: f"{args.catalog}.{name}" for name in schemas.INPUTS})
+    if args.dimension:
+        tables = tables.with_(aigc_tag_v5=read_table(spark, DIMENSION, args.dimension))
+    status = run_reports(tables, days, args.out, mode=args.mode, seed_csv=args.seed_csv, seed_date=args.seed_date,
+                         parallelism=args.parallelism, jobs=set(args.job) if args.job else None)
     for name, s in status.items():
         print(f"{name}\t{'ok' if s.ok else 'FAILED'}\t{s.rows if s.ok else s.error}\t{s.seconds}s")
+        for what, error in s.failures.items():
+            print(f"  {what}\t{error}")
     return 0 if all(s.ok for s in status.values()) else 1
 
 

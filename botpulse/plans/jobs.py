@@ -9,9 +9,8 @@ from pyspark.sql import DataFrame
 from botpulse.functions.dates import DayRange
 from botpulse.operators import compare, rollups, tags
 from botpulse.operators import prompt_metrics as pm
-from botpulse.session import ensure_checkpoint_dir
 from botpulse.sources.catalog import Tables
-from botpulse.sources.seed import export_seed_csv, seed_tags
+from botpulse.sources.seed import clean_seed, through_csv
 
 Job = Callable[[Tables, DayRange], DataFrame]
 
@@ -19,12 +18,9 @@ SEED_DATE = "2025-05-10"  # fixed stamp of the seed load
 
 
 def seed_tags_roundtrip(t: Tables, days: DayRange) -> DataFrame:
-    """D1 over the test data: the Luna bot → workflow rows exported as a seed CSV
-    to the shared checkpoint folder, then loaded like the original seed file."""
-    spark = t.spark
-    folder = ensure_checkpoint_dir(spark)
-    path = export_seed_csv(tags.luna_tags(t, days), folder)
-    return seed_tags(spark, path, SEED_DATE)
+    """D1 over the test data: the Luna bot → workflow rows as CSV records, parsed and cleaned as
+    the seed file's are."""
+    return clean_seed(through_csv(tags.luna_tags(t, days)), SEED_DATE)
 
 
 JOBS: dict[str, Job] = {

@@ -69,9 +69,12 @@ def local_session(cores: int | str = "8", shuffle_partitions: int = 8, app: str
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for lineage cuts: ``spark.checkpoint.dir`` as the cluster
-    sets it; only when unset (local tests) a fresh temporary folder."""
+    sets it. Only a local session without one gets a fresh temporary folder; on a cluster
+    that would be one machine's disk, so a missing setting is an error there."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.conf.get("spark.master", "").startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="botpulse-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     try:  # classic sessions: make DataFrame.checkpoint() use the same folder

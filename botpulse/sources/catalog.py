@@ -95,15 +95,26 @@ def _read_parquet(spark: SparkSession, path: str, schema) -> DataFrame:
     folder (nothing to infer from) is read with ``schema`` directly."""
     try:
         df = spark.read.parquet(path)
-    except AnalysisException:
+    except AnalysisException as exc:
+        if exc.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
         return spark.read.schema(schema).parquet(path)
     return _conform(df, schema)
 
 
 def _conform(df: DataFrame, schema) -> DataFrame:
     """The declared columns, cast to the declared types (no-ops where they already match;
-    e.g. a TIMESTAMP ``created_at`` becomes TIMESTAMP_NTZ in the session time zone)."""
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    e.g. a TIMESTAMP ``created_at`` becomes TIMESTAMP_NTZ in the session time zone).
+
+    Ids keep the type they are delivered in (they are only compared and counted), and a day
+    delivered as text stays text until the range filter has been applied to it (``within``)."""
+    def conformed(f):
+        c = F.col(f.name)
+        as_delivered = f.name in schemas.IDS or (
+            f.name == "event_date" and df.schema[f.name].dataType.typeName() == "string")
+        return c if as_delivered else c.cast(f.dataType).alias(f.name)
+
+    return df.select(*[conformed(f) for f in schema.fields])
 
 
 _QUOTED = re.compile(r'^"(.*)"$')

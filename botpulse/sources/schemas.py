@@ -21,6 +21,9 @@ PROMPT_TAG = _schema(("id", S), ("name", S), ("path_id", I), ("created_at", T.Ti
 PROMPT_TAG_PATH = _schema(("id", I), ("path", S))
 SEED_CSV = _schema(("id", S), ("workflow", S))
 
+# Columns that are only compared and counted: kept in the type they are delivered in.
+IDS = frozenset({"event_id", "user_id", "prompt_id", "bot_id", "tag_id", "id", "path_id"})
+
 INPUTS = {
     "show_prompt_card": SHOW_PROMPT_CARD,
     "bot_view": BOT_VIEW,
@@ -82,6 +85,7 @@ OUTPUTS = {
     "view_user_bot_daily": VIEW_USER_BOT_DAILY,
     "show_user_bot_daily": SHOW_USER_BOT_DAILY,
     "aigc_tag": AIGC_TAG,
+    "aigc_tag_seed": AIGC_TAG,
     "aigc_tag_v5": AIGC_TAG_V5,
     "tags_exploded": TAGS_EXPLODED,
     "bot_tags_daily": BOT_TAGS_DAILY,

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,14 +23,13 @@ def _missing_to_null(name: str):
     return F.when(c.isin(*PANDAS_NA_TOKENS), F.lit(None).cast("string")).otherwise(c).alias(name)
 
 
-def seed_tags(spark: SparkSession, path: str, stamp: dt.date | str) -> DataFrame:
-    """``id,workflow`` CSV → ``aigc_tag`` rows ``(prompt_id, tag, event_date)``.
+# pandas' dialect: quotes are doubled inside quoted fields, which may hold line breaks.
+CSV_OPTIONS = {"quote": '"', "escape": '"'}
 
-    Header row, any line ending. Rows with a missing id or workflow are
-    dropped; other odd ids (e.g. spreadsheet error strings) are kept as they are.
-    """
+
+def clean_seed(raw: DataFrame, stamp: dt.date | str) -> DataFrame:
+    """``(id, workflow)`` as read → ``aigc_tag`` rows; rows with a missing id or workflow are dropped."""
     stamp = dt.date.fromisoformat(str(stamp)) if not isinstance(stamp, dt.date) else stamp
-    raw = spark.read.schema(schemas.SEED_CSV).option("header", True).csv(path)
     return (
         raw.select(_missing_to_null("id"), _missing_to_null("workflow"))
         .withColumnsRenamed({"id": "prompt_id", "workflow": "tag"})
@@ -40,13 +38,18 @@ def seed_tags(spark: SparkSession, path: str, stamp: dt.date | str) -> DataFrame
     )
 
 
-def export_seed_csv(df: DataFrame, folder: str) -> str:
-    """Write ``(prompt_id, tag)`` rows as an ``id,workflow`` CSV (header, CRLF) under ``folder``.
+def seed_tags(spark: SparkSession, path: str, stamp: dt.date | str) -> DataFrame:
+    """``id,workflow`` CSV → ``aigc_tag`` rows ``(prompt_id, tag, event_date)``.
 
-    The reverse of :func:`seed_tags`; used to hand a bot → workflow list to the
-    seed load. Returns the written directory.
+    Header row, any line ending, quoted fields as pandas reads them. Rows with a missing id or
+    workflow are dropped; other odd ids (e.g. spreadsheet error strings) are kept as they are.
     """
-    path = f"{folder.rstrip('/')}/seed-{uuid.uuid4().hex}"
-    (df.select(F.col("prompt_id").alias("id"), F.col("tag").alias("workflow"))
-       .write.option("header", True).option("lineSep", "\r\n").csv(path))
-    return path
+    raw = (spark.read.schema(schemas.SEED_CSV).options(header=True, multiLine=True, **CSV_OPTIONS).csv(path))
+    return clean_seed(raw, stamp)
+
+
+def through_csv(df: DataFrame) -> DataFrame:
+    """``(prompt_id, tag)`` rows written as CSV records and parsed again, as one lazy expression."""
+    record = F.to_csv(F.struct(F.col("prompt_id").alias("id"), F.col("tag").alias("workflow")), CSV_OPTIONS)
+    schema = "id string, workflow string"
+    return df.select(F.from_csv(record, schema, CSV_OPTIONS).alias("seed")).select("seed.id", "seed.workflow")

@@ -1,23 +1,40 @@
-"""Parquet sinks: idempotent per-day overwrite, or append."""
+"""Parquet sinks: idempotent replacement of days or whole tables, or append."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from botpulse.functions.dates import DayRange
 from botpulse.sources import schemas
 
 PARTITION_COL = "event_date"
 
 
-def write_table(df: DataFrame, path: str, mode: str = "overwrite", partitioned: bool = True) -> int:
+def _located(spark, path: str):
+    """The Hadoop file system of ``path`` and the path on it."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+
+
+def table_exists(spark, path: str) -> bool:
+    fs, located = _located(spark, path)
+    return fs.exists(located)
+
+
+def write_table(df: DataFrame, path: str, mode: str = "overwrite", partitioned: bool = True,
+                days: DayRange | None = None) -> int:
     """Write ``df`` to ``path`` and return the number of rows written.
 
-    ``mode="overwrite"`` on a day-partitioned table replaces only the
-    ``event_date`` partitions present in ``df`` (dynamic partition overwrite), so
-    rerunning any range of days is safe; ``mode="append"`` adds rows. Tables
-    without a day column are replaced (or appended to) as a whole. The row count
-    comes from an ``Observation`` on the write itself, not from a second pass.
+    ``mode="overwrite"`` on a day-partitioned table replaces every day of ``days``: the
+    ``event_date`` partitions in ``df`` by dynamic partition overwrite, and days of the range for which ``df``
+    has no rows are removed afterwards, so a rerun leaves no stale day. Without ``days`` only the days in
+    ``df`` are replaced. ``mode="append"`` adds rows. A table without a day column is written beside the
+    old one and takes its place when it is complete. The row count and the days come from an
+    ``Observation`` on the write itself, not from a second pass.
 
     Day-partitioned writes go through a ``rebalance`` on ``event_date``: AQE then
     sizes the write tasks (small days coalesced into few files, a large day split
@@ -26,18 +43,36 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partitioned:
     if mode not in ("overwrite", "append"):
         raise ValueError(f"unsupported write mode {mode!r}")
     obs = Observation()
-    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    if partitioned:
-        observed = observed.hint("rebalance", PARTITION_COL)
-    writer = observed.write.mode(mode)
+    seen = [F.count(F.lit(1)).alias("rows")]
     if partitioned:
-        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(PARTITION_COL)
-    writer.parquet(path)
-    return int(obs.get.get("rows", 0))
+        seen.append(F.collect_set(F.col(PARTITION_COL).cast("string")).alias("days"))  # one entry a day
+    observed = df.observe(obs, *seen)
+    spark = df.sparkSession
+    if not partitioned:
+        if mode == "append":
+            observed.write.mode("append").parquet(path)
+        else:
+            beside = f"{path.rstrip('/')}.next-{uuid.uuid4().hex}"
+            observed.write.parquet(beside)
+            fs, target = _located(spark, path)
+            fs.delete(target, True)
+            if not fs.rename(_located(spark, beside)[1], target):
+                raise OSError(f"could not move {beside} to {path}")
+        return int(obs.get.get("rows", 0))
+    writer = observed.hint("rebalance", PARTITION_COL).write.mode(mode)
+    writer.option("partitionOverwriteMode", "dynamic").partitionBy(PARTITION_COL).parquet(path)
+    found = obs.get
+    if mode == "overwrite" and days is not None:
+        written = set(found.get("days") or [])
+        for day in days.days():
+            if day.isoformat() not in written:
+                fs, partition = _located(spark, f"{path.rstrip('/')}/{PARTITION_COL}={day.isoformat()}")
+                fs.delete(partition, True)
+    return int(found.get("rows", 0))
 
 
-def read_table(spark, name: str, path: str) -> DataFrame:
-    """Read back a table written by :func:`write_table` with its declared schema and column order
-    (the reader puts partition columns last)."""
-    schema = schemas.OUTPUTS[name]
+def read_table(spark, name: str, path: str, schema: StructType | None = None) -> DataFrame:
+    """Read back a table written by :func:`write_table` with its declared schema (or the one it was written
+    with) and column order (the reader puts partition columns last)."""
+    schema = schema or schemas.OUTPUTS[name]
     return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())

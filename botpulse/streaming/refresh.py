@@ -13,7 +13,6 @@ that stops when the folder is drained; ``processingTime`` keeps refreshing
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -22,7 +21,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from botpulse.functions.dates import DayRange
 from botpulse.plans.daily_run import run_reports
-from botpulse.session import ensure_checkpoint_dir
 from botpulse.sources.catalog import Tables
 
 
@@ -47,21 +45,19 @@ def start_refresh(
     day_stream: DataFrame,
     tables: Callable[[], Tables],
     out: str,
-    checkpoint: str | None = None,
+    checkpoint: str,
     trigger: dict | None = None,
-    mode: str = "overwrite",
 ) -> StreamingQuery:
     """Rerun every report for the days seen in ``day_stream`` (a streaming frame
     with an ``event_date`` column). ``tables()`` builds the batch inputs per
     micro-batch, so newly landed files are included. A failing table fails the
-    batch, which the query then replays from its checkpoint.
+    batch, which the query then replays from ``checkpoint``, a folder to keep across restarts.
+    Days are always replaced, never appended: a replayed batch would append its rows twice.
     """
-    spark = day_stream.sparkSession
-    location = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/refresh-{uuid.uuid4().hex}"
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         for days in touched_days(batch):
-            status = run_reports(tables(), days, out, mode=mode)
+            status = run_reports(tables(), days, out)
             failed = {k: s.error for k, s in status.items() if not s.ok}
             if failed:
                 raise RuntimeError(f"batch {batch_id}, days {days}: failed tables {failed}")
@@ -69,7 +65,7 @@ def start_refresh(
     writer = (
         day_stream.select("event_date")
         .writeStream.foreachBatch(on_batch)
-        .option("checkpointLocation", location)
+        .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
     )
     return writer.start()

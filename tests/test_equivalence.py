@@ -115,7 +115,7 @@ def test_invariants(spark, fixed):
         "event_date", F.col("total_clicks").alias("c"), F.col("total_shows").alias("s"))
     assert rows(c1) == rows(a1)
 
-    c4 = tags.bot_tags_daily(fixed, days)
+    c4 = tags.bot_tags_daily(fixed, days, limit=20)
     assert c4.groupBy("event_date", "prompt_id").count().where("count > 20").count() == 0
 
     dim_rows = fixed.aigc_tag_v5.distinct().count()
@@ -174,8 +174,8 @@ def test_daily_run_with_seed_csv(spark, tmp_path):
     out = str(tmp_path / "out")
     status = run_reports(t, DayRange.of("2024-01-01"), out, seed_csv=str(seed), seed_date="2024-01-01")
     assert all(s.ok for s in status.values())
-    aigc = rows(read_table(spark, "aigc_tag", f"{out}/aigc_tag").where("prompt_id = 'p150'"))
-    assert aigc == [("p150", "seeded", dt.date(2024, 1, 1))]
+    seeds = rows(read_table(spark, "aigc_tag_seed", f"{out}/aigc_tag_seed"))
+    assert seeds == [("p150", "seeded", dt.date(2024, 1, 1))]
     v5 = read_table(spark, "aigc_tag_v5", f"{out}/aigc_tag_v5").where("workflow = 'seeded'")
     assert v5.count() >= 1
     m1 = read_table(spark, "click_rate_daily", f"{out}/click_rate_daily").where("prompt_id = 'p150'")
@@ -198,3 +198,119 @@ def test_command_line_entry(spark, tmp_path, capsys):
     assert "click_rate_daily\tok\t1\t" in capsys.readouterr().out
     assert rows(read_table(spark, "click_rate_daily", f"{out}/click_rate_daily"),
                 "prompt_id", "workflow", "tags", "click_event_cnt", "show_event_cnt") == [("p1", "flow", "x", 1, 1)]
+
+
+# ---- the daily run writes no wrong table as ok ----------------------------------------------------------
+def _two_days(spark, second_day=True):
+    from helpers import D1, D2, make_tables
+
+    made = dt.datetime(2024, 1, 1, 9), dt.datetime(2024, 1, 2, 9)
+    more = second_day
+    return make_tables(
+        spark, shows=[(D1, 1, "p1", 1)] + [(D2, 2, "p2", 1)] * more, views=[(D1, 3, "p1", 1)] + [(D2, 4, "p2", 1)] * more,
+        chats=[(D1, 5, "p1", 1, None)] + [(D2, 6, "p2", 1, None)] * more,
+        links=[("p1", "w1"), ("p1", "v"), ("p2", "w2"), ("p2", "v"), ("p3", "v")],
+        tags=[("w1", "flow", 2, made[0]), ("w2", "flow", 2, made[1]), ("v", "V5 x", 1, made[0])])
+
+
+BOTH = DayRange("2024-01-01", "2024-01-02")
+SECOND = DayRange.of("2024-01-02")
+
+
+def test_failed_dimension_skips_its_consumers(spark, tmp_path, monkeypatch):
+    t, out = _two_days(spark), str(tmp_path / "out")
+    assert all(s.ok for s in run_reports(t, BOTH, out, parallelism=1).values())
+    before = rows(read_table(spark, "click_rate_daily", f"{out}/click_rate_daily"))
+
+    def boom(*_args, **_kwargs):
+        raise RuntimeError("simulated failure")
+
+    monkeypatch.setattr(tags, "enrich_v5", boom)
+    status = run_reports(t, SECOND, out, parallelism=1)
+    assert not status["aigc_tag_v5"].ok
+    assert status["click_rate_daily"].error == "skipped: aigc_tag_v5 failed" and not status["metrics_by_tag"].ok
+    assert status["bot_tags_daily"].ok  # needs no dimension
+    assert rows(read_table(spark, "click_rate_daily", f"{out}/click_rate_daily")) == before
+
+
+def test_failed_tags_fail_the_dimension(spark, tmp_path, monkeypatch):
+    t, out = _two_days(spark), str(tmp_path / "out")
+
+    def boom(*_args, **_kwargs):
+        raise RuntimeError("simulated failure")
+
+    monkeypatch.setattr(tags, "luna_tags", boom)
+    status = run_reports(t, SECOND, out, parallelism=1, jobs={"aigc_tag", "aigc_tag_v5"})
+    assert status["aigc_tag_v5"].error == "skipped: aigc_tag failed"
+
+
+def test_emptied_days_are_replaced(spark, tmp_path):
+    out = str(tmp_path / "out")
+    only = {"chat_user_bot_daily", "bot_tags_daily", "chat_depth_total_compare", "chat_depth_compare"}
+    assert all(s.ok for s in run_reports(_two_days(spark), BOTH, out, parallelism=1, jobs=only).values())
+    assert all(s.ok for s in run_reports(_two_days(spark, False), BOTH, out, parallelism=1, jobs=only).values())
+    for name in ("chat_depth_total_compare", "bot_tags_daily", "chat_depth_compare"):
+        left = read_table(spark, name, f"{out}/{name}").select("event_date").distinct()
+        assert rows(left) == [(dt.date(2024, 1, 1),)], name
+
+
+def test_seed_rows_and_luna_rows_do_not_replace_each_other(spark, tmp_path):
+    t, out = _two_days(spark), str(tmp_path / "out")
+    seed = tmp_path / "seed.csv"
+    seed.write_bytes(b"id,workflow\np3,seeded\n")
+    only = {"aigc_tag", "aigc_tag_seed", "aigc_tag_v5"}
+
+    def bots():
+        return rows(read_table(spark, "aigc_tag_v5", f"{out}/aigc_tag_v5"), "prompt_id", "workflow")
+
+    everything = [("p1", "flow"), ("p2", "flow"), ("p3", "seeded")]
+    run_reports(t, DayRange.of("2024-01-01"), out, jobs=only)
+    # the seed's day lies outside the run's days, and Luna rows of that day stay
+    assert all(s.ok for s in run_reports(t, SECOND, out, seed_csv=str(seed), seed_date="2024-01-01", jobs=only).values())
+    assert bots() == everything
+    assert all(s.ok for s in run_reports(t, BOTH, out, jobs=only).values())  # a rerun without the seed
+    assert bots() == everything
+
+
+def test_one_bad_metric_keeps_the_others(spark, tmp_path, monkeypatch):
+    t, out = _two_days(spark), str(tmp_path / "out")
+    real = rollups.metrics_by_workflow
+
+    def broken(t_, days, metrics):
+        if "click_rate" in metrics:  # the whole list or the metric itself
+            raise RuntimeError("simulated failure")
+        return real(t_, days, metrics)
+
+    monkeypatch.setattr(rollups, "metrics_by_workflow", broken)
+    status = run_reports(t, BOTH, out, parallelism=1, jobs={"aigc_tag", "aigc_tag_v5", "metrics_by_workflow"})["metrics_by_workflow"]
+    assert not status.ok and set(status.failures) == {"2024-01-01 click_rate", "2024-01-02 click_rate"}
+    kept = read_table(spark, "metrics_by_workflow", f"{out}/metrics_by_workflow")
+    assert rows(kept.select("event_date", "metric_type").distinct()) == [
+        (d, m) for d in BOTH.days() for m in ("chat_depth_user", "chat_start_rate")]
+
+
+def test_one_job_from_the_command_line(spark, tmp_path, capsys):
+    from botpulse.plans.daily_run import main
+    from botpulse.sources import schemas
+
+    t = _two_days(spark)
+    for name in schemas.INPUTS:
+        getattr(t, name).write.parquet(str(tmp_path / "in" / name))
+    out = str(tmp_path / "out")
+    assert main(["--inputs", str(tmp_path / "in"), "--out", out, "--start", "2024-01-02", "--job", "click_rate_daily"]) == 0
+    printed = capsys.readouterr().out.strip().splitlines()
+    assert len(printed) == 1 and printed[0].startswith("click_rate_daily\tok\t2\t")
+
+
+def test_stream_needs_a_checkpoint_and_never_appends(spark, tmp_path):
+    from botpulse.streaming.refresh import start_refresh
+
+    with pytest.raises(TypeError):
+        start_refresh(None, None, "out")
+    with pytest.raises(TypeError):
+        start_refresh(None, None, "out", checkpoint="c", mode="append")
+    t, out = _two_days(spark), str(tmp_path / "out")
+    for _ in range(2):  # a replayed batch
+        run_reports(t, SECOND, out, parallelism=1, jobs={"aigc_tag", "aigc_tag_v5", "click_rate_daily"})
+    once = read_table(spark, "click_rate_daily", f"{out}/click_rate_daily")
+    assert once.count() == once.distinct().count() > 0

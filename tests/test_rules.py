@@ -174,13 +174,15 @@ def test_explode_commas_blanks_prefix_kept(spark):
     assert rows(tags.bot_tags_daily(t, DAY1), "tag") == [("V5 a",), ("V5 c",), ("b",)]
 
 
-def test_explode_caps_at_20_pieces(spark):
+def test_explode_keeps_all_pieces_unless_limited(spark):
     t = _shown_with_names(spark, [f"n{i:02d}" for i in range(25)])
-    got = rows(tags.bot_tags_daily(t, DAY1), "tag")
-    assert got == [(f"n{i:02d}",) for i in range(20)]
-    # the cap counts pieces, not names
+    everything = tags.bot_tags_daily(t, DAY1)
+    assert rows(everything, "tag") == [(f"n{i:02d}",) for i in range(25)]
+    assert "Window" not in everything._jdf.queryExecution().executedPlan().toString()
+    assert rows(tags.bot_tags_daily(t, DAY1, limit=20), "tag") == [(f"n{i:02d}",) for i in range(20)]
+    # a limit counts pieces, not names
     t = _shown_with_names(spark, [f"{c}1,{c}2,{c}3" for c in "abcdefghij"])
-    got = [r[0] for r in rows(tags.bot_tags_daily(t, DAY1), "tag")]
+    got = [r[0] for r in rows(tags.bot_tags_daily(t, DAY1, limit=20), "tag")]
     assert len(got) == 20 and "g2" in got and "g3" not in got and "h1" not in got
 
 
@@ -285,6 +287,25 @@ def test_seed_csv(spark, tmp_path):
     assert got == [("#NAME?", "wfA", dt.date(2025, 5, 10)), ("p5", "工作流", dt.date(2025, 5, 10))]
 
 
+def test_seed_csv_quotes_and_line_breaks(spark, tmp_path):
+    import pandas as pd
+
+    path = tmp_path / "seed.csv"
+    path.write_bytes(b'id,workflow\r\np1,"a ""q"" b"\r\np2,"x\ny"\r\np3,"u,v"\r\n"p,4",w\r\n')
+    got = rows(seed_tags(spark, str(path), "2025-05-10"), "prompt_id", "tag")
+    assert got == sorted(pd.read_csv(path).itertuples(index=False, name=None))
+    assert ("p1", 'a "q" b') in got and ("p2", "x\ny") in got
+
+
+def test_seed_records_survive_the_round_trip(spark):
+    from botpulse.sources.seed import clean_seed, through_csv
+
+    pairs = [("p1", 'a "q" b'), ("p2", "x,y"), ("p3", "工作流"), ("p4", ""), ("p5", None), ("p6", "NA")]
+    got = rows(clean_seed(through_csv(spark.createDataFrame(pairs, "prompt_id string, tag string")), "2025-05-10"),
+               "prompt_id", "tag")
+    assert got == [("p1", 'a "q" b'), ("p2", "x,y"), ("p3", "工作流")]
+
+
 # ---- P2, W4, T4: arguments ------------------------------------------------------------------------
 def test_day_range_rules():
     assert DayRange.of("2024-01-03").n_days == 1
@@ -385,3 +406,39 @@ def test_from_parquet_accepts_local_timestamps(spark, tmp_path):
     back = Tables.from_parquet(spark, str(tmp_path))
     assert dict(back.prompt_tag.dtypes)["created_at"] == "timestamp_ntz"
     assert rows(tags.luna_tags(back, DAY1)) == [("p1", "wf", D1)]
+
+
+def test_inputs_as_delivered(spark, tmp_path):
+    """Text ids stay text, and a text day is filtered in the scan."""
+    import contextlib
+    import io
+
+    from helpers import make_tables
+
+    from botpulse.sources import schemas
+    from botpulse.sources.catalog import Tables
+
+    t = make_tables(spark, shows=[(D1, 1, "p1", 1), (D2, 2, "p1", 1)], views=[(D1, 3, "p1", 1)], v5=[("p1", "wf", "a")],
+                    chats=[(D1, 4, "p1", 1, None)])
+    for name in schemas.INPUTS:
+        df = getattr(t, name)
+        for c in ("event_id", "user_id"):
+            if c in df.columns:
+                df = df.withColumn(c, F.concat(F.lit("u"), F.col(c).cast("string")))
+        if "event_date" in df.columns:
+            df = df.withColumn("event_date", F.col("event_date").cast("string"))
+        df.write.parquet(str(tmp_path / name))
+    back = Tables.from_parquet(spark, str(tmp_path)).with_(aigc_tag_v5=t.aigc_tag_v5)
+    m1 = pm.click_rate_daily(back, DAY1)
+    assert rows(m1, "event_date", "prompt_id", "click_event_cnt", "show_event_cnt") == [(D1, "p1", 1, 1)]
+    assert rows(pm.chat_start_daily(back, DAY1), "click_user_cnt", "chat_user_cnt") == [(1, 1)]
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        m1.explain(mode="formatted")
+    assert "GreaterThanOrEqual(event_date,2024-01-01)" in text.getvalue()
+
+
+def test_dimension_is_derived_from_all_days_so_far(spark):
+    t = make_tables(spark, shows=[(D2, 1, "p1", 1)], links=[("p1", "w"), ("p1", "v")],
+                    tags=[("w", "flow", 2, CREATED), ("v", "V5 x", 1, CREATED)])
+    assert rows(pm.click_rate_daily(t, DayRange.of(D2)), "prompt_id", "show_event_cnt") == [("p1", 1)]

@@ -1,7 +1,7 @@
 """Quality rules: divergence of a document's distributions from its language's references.
 
 Per document two histograms are taken over the whole text: character classes (code
-points) and the language's common words (plus "any other word"). Each is compared
+points, digits left out) and the language's common words (plus "any other word"). Each is compared
 with the reference of the document's language by the Jensen-Shannon distance
 (base 2, in [0, 1]). A histogram is judged only when the text is long enough for it
 (minimum-length guards); a short text that passes the base rules is kept.
@@ -103,6 +103,7 @@ def features(text: str, lang: str) -> tuple:
     words = text.encode("utf-8", "surrogatepass").split()  # bytes.split() splits at ASCII white space
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
     classes = np.bincount(_TABLE[np.minimum(codes, _LATIN_END)], minlength=N_CLASSES)
+    classes[_DIGIT] = 0  # numbers are content: a phone number in a short text is no sign of junk
     common = []
     if lang in COMMON_WORDS:
         lower = text.lower().split()
@@ -178,7 +179,7 @@ def _distances(references: dict, name: str):
     return distance
 
 
-def judge(found: DataFrame, references: dict, class_min_words: int = 60, class_limit: float = 0.175,
+def judge(found: DataFrame, references: dict, class_min_words: int = 80, class_limit: float = 0.175,
           common_min_words: int = 100, common_limit: float = 0.33) -> DataFrame:
     """``found`` (of :func:`quality_features`) with both distances and ``kept``."""
     n, profile = F.col("quality_features.n_words"), F.col("quality_profile")

@@ -81,7 +81,7 @@ def test_quality_values(docs):
     rows = quality.quality_rules(docs).collect()
     empty = [r for r in rows if r.doc_id in (3, 4, 5)]
     assert all(r.n_words == 0 and r.base_failed and not r.kept for r in empty)
-    assert all(r.kept == (not r.base_failed) for r in rows if r.n_words < 60)
+    assert all(r.kept == (not r.base_failed) for r in rows if r.n_words < 80)
 
 
 def test_line_dedup_keeps_repeated_rows_and_cuts_later_copies(docs):

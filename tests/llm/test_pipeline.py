@@ -52,7 +52,7 @@ def test_quality(outputs):
     def kept(x, references):
         _, profile, n, failed, classes, common = x
         reference = references.get(profile, ([], []))
-        return not (failed or (n >= 60 and _distance(classes, reference[0]) > 0.175)
+        return not (failed or (n >= 80 and _distance(classes, reference[0]) > 0.175)
                     or (n >= 100 and common and _distance(common, reference[1]) > 0.33))
 
     def summary(of, function):

@@ -73,7 +73,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     that would be one machine's disk, so a missing setting is an error there."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        if not spark.conf.get("spark.master", "").startswith("local["):
+        master = spark.conf.get("spark.master", "")
+        if master != "local" and not master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="botpulse-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)

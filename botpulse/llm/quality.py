@@ -4,7 +4,8 @@ Per document two histograms are taken over the whole text: character classes (co
 points, digits left out) and the language's common words (plus "any other word"). Each is compared
 with the reference of the document's language by the Jensen-Shannon distance
 (base 2, in [0, 1]). A histogram is judged only when the text is long enough for it
-(minimum-length guards); a short text that passes the base rules is kept.
+(minimum-length guards: 20 words for the classes, 100 for the common words); a shorter text that
+passes the base rules is kept.
 
 The references are trained on the corpus itself, each document with the same weight
 whatever its length: first the median of each bin over the language's documents that pass the base
@@ -179,7 +180,7 @@ def _distances(references: dict, name: str):
     return distance
 
 
-def judge(found: DataFrame, references: dict, class_min_words: int = 80, class_limit: float = 0.175,
+def judge(found: DataFrame, references: dict, class_min_words: int = 20, class_limit: float = 0.175,
           common_min_words: int = 100, common_limit: float = 0.33) -> DataFrame:
     """``found`` (of :func:`quality_features`) with both distances and ``kept``."""
     n, profile = F.col("quality_features.n_words"), F.col("quality_profile")

@@ -1,0 +1,27 @@
+"""Cases that shortcuts of the operators once left out."""
+
+from __future__ import annotations
+
+import random
+
+from botpulse.llm import quality
+
+
+
+# 2 quality
+
+def test_short_junk_is_judged(spark):
+    rnd = random.Random(21)
+    letters = "etaoinshrdlu"
+
+    def prose(n):
+        return " ".join(rnd.choice(quality.COMMON_WORDS["en"]) if rnd.random() < 0.4 else
+                        "".join(rnd.choice(letters) for _ in range(rnd.randrange(2, 8))) for _ in range(n))
+
+    good = [(i, prose(rnd.randrange(20, 200)), "en") for i in range(60)]
+    junk = [(100 + i, " ".join(w + rnd.choice(["###", "$$$"]) for w in prose(n).split()), "en")
+            for i, n in enumerate(range(20, 80, 5))]
+    below = [(200, " ".join(w + "###" for w in prose(19).split()), "en")]  # the guard itself
+    df = spark.createDataFrame(good + junk + below, "doc_id long, text string, lang string")
+    kept = {r.doc_id for r in quality.quality_rules(df).collect() if r.kept}
+    assert kept == {i for i, _, _ in good + below}

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import random
 
-from botpulse.llm import quality
+from botpulse.llm import decontaminate, quality
+
+from .test_bruteforce import frame
 
 
 
@@ -25,3 +27,30 @@ def test_short_junk_is_judged(spark):
     df = spark.createDataFrame(good + junk + below, "doc_id long, text string, lang string")
     kept = {r.doc_id for r in quality.quality_rules(df).collect() if r.kept}
     assert kept == {i for i, _, _ in good + below}
+
+
+# 5 decontamination
+
+def _leaked(spark, rows, items):
+    found = decontaminate.find_leaks(frame(spark, rows), spark.createDataFrame(items, "item_id long, text string"))
+    return {(r.doc_id, r.item_id) for r in found.collect()}
+
+
+def test_values_of_other_numbers_of_words_are_found(spark):
+    item = ("the train to Paris goes at 90 km/h for 4 hours and then it waits there while all those "
+            "people who came with 5kg of fruit walk home")
+    rows = [(1, item),
+            (2, item.replace("Paris", "New York").replace("90 km/h", "50 mph").replace("4 hours", "1/2 h").replace("5kg", "5 lb")),
+            (3, item.replace("Paris", "Las Palmas").replace("4 hours", "3-5 Stunden").replace("5kg", "7 kilos")),
+            (4, "the train to Paris goes home")]
+    assert _leaked(spark, rows, [(1, item)]) == {(1, 1), (2, 1), (3, 1)}
+    three_slots = "who has seen how Bob went from old Rome over the hill to see Eve on that day"
+    swapped = three_slots.replace("Bob", "Ann Lee").replace("Rome", "New York").replace("Eve", "Mary Ann Poe")
+    assert _leaked(spark, [(1, f"so {swapped} again")], [(1, three_slots)]) == {(1, 1)}
+
+
+def test_items_shorter_than_the_window_are_found(spark):
+    items = [(1, "how tall is that tower"), (2, "Where does Bob keep his red car"), (3, "is Bob in")]
+    rows = [(1, "they asked how tall is that tower today"), (2, "tell me: Where does Ann Lee keep his red car?"),
+            (3, "how tall was that tower, is Bob in")]
+    assert _leaked(spark, rows, items) == {(1, 1), (2, 2)}  # item 3 has too few words of its own

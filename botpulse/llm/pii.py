@@ -142,7 +142,8 @@ def candidates(text: str) -> tuple[list[tuple], list[tuple]]:
     has_digit = re.search("[0-9]", text) is not None
     base, runs = base_spans(text) if has_digit or "@" in text else ([], [])
     more = [(4, a, b) for a, b in runs] + [(5, a, b) for a, b in names(text)]
-    if " at " in text or "(at)" in text or "[at]" in text:
+    lower = text.lower()
+    if " at " in lower or "(at)" in lower or "[at]" in lower:
         more += [(6, m.start(), m.end()) for m in _MAILTO.finditer(text)]
     if more and base:
         taken = bytearray(len(text))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import random
 
-from botpulse.llm import decontaminate, quality
+from botpulse.llm import decontaminate, pii, quality
 
 from .test_bruteforce import frame
 
@@ -54,3 +54,10 @@ def test_items_shorter_than_the_window_are_found(spark):
     rows = [(1, "they asked how tall is that tower today"), (2, "tell me: Where does Ann Lee keep his red car?"),
             (3, "how tall was that tower, is Bob in")]
     assert _leaked(spark, rows, items) == {(1, 1), (2, 2)}  # item 3 has too few words of its own
+
+
+# 7 personal data
+
+def test_emails_in_words_of_any_case():
+    for text in ("john (AT) example (DOT) com", "john [At] example [Dot] com", "JOHN AT EXAMPLE DOT COM"):
+        assert [(k, text[a:b]) for k, a, b, *_ in pii.candidates(text)[1]] == [(6, text)]

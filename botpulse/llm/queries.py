@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from botpulse.llm import (
-    dart_minhash, decontaminate, license_scan, line_dedup, mixing, pii, quality, secrets, substring_dedup, token_counts)
+    dart_minhash, decontaminate, license_scan, line_dedup, merkle, mixing, pii, quality, secrets, substring_dedup,
+    token_counts)
 from botpulse.llm.common import read_documents
 
 
@@ -115,6 +116,67 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.substring_dedup(read_documents(spark, sf_dir), window=35, keep_text=False)
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    claimed = {"n_chars": F.when(tampered, F.col("n_chars") + 1).otherwise(F.col("n_chars"))}
+    return merkle.merkle_manifest(read_documents(spark, sf_dir), claimed=claimed).select(
+        "doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+# Nodes of all levels by recursion, paths by the index shifted right, folding by list_reduce; CRC-32 bit by bit.
+OP11_SQL = r"""
+WITH RECURSIVE given AS (
+  SELECT doc_id, coalesce('1' || lang, '0') AS g,
+         coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+         || coalesce(strlen(lang) || ':' || lang, '-') AS head,
+         coalesce(strlen(text) || ':' || text, '-') AS body, n_chars,
+         list_reduce(list_concat([4294967295::UBIGINT], list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::UBIGINT)),
+                     lambda c, b: list_reduce(list_concat([xor(c, b)], list_transform(range(8), lambda k: k::UBIGINT)),
+                                           lambda x, k: xor(x >> 1, 3988292384::UBIGINT * (x & 1::UBIGINT)))) AS crc
+  FROM documents
+), hashed AS (
+  SELECT doc_id, g, sha256(head || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') || body) AS leaf,
+         CASE WHEN xor(crc, 4294967295::UBIGINT) % 7 = 0
+              THEN sha256(head || coalesce(strlen((n_chars + 1)::VARCHAR) || ':' || (n_chars + 1), '-') || body) END AS changed
+  FROM given
+), leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY g) AS n
+  FROM hashed
+), nodes AS (
+  SELECT g, 0 AS level, i, n, leaf AS digest FROM leaves
+  UNION ALL
+  SELECT g, any_value(level) + 1, i // 2, any_value((n + 1) // 2), sha256(string_agg(digest, '' ORDER BY i))
+  FROM nodes WHERE n > 1 GROUP BY g, i // 2
+), subroots AS (
+  SELECT g, digest AS subroot, row_number() OVER (ORDER BY g) - 1 AS i, count(*) OVER () AS n FROM nodes WHERE n = 1
+), tops AS (
+  SELECT 0 AS level, i, n, subroot AS digest FROM subroots
+  UNION ALL
+  SELECT any_value(level) + 1, i // 2, any_value((n + 1) // 2), sha256(string_agg(digest, '' ORDER BY i))
+  FROM tops WHERE n > 1 GROUP BY i // 2
+), steps AS (
+  SELECT l.g, l.i, s.level, (l.i >> s.level) % 2 AS slot, coalesce(o.digest, '') AS sibling
+  FROM leaves l JOIN (SELECT DISTINCT g, level FROM nodes WHERE n > 1) s ON l.g = s.g
+  LEFT JOIN nodes o ON o.g = l.g AND o.level = s.level AND o.i = xor(l.i >> s.level, 1)
+  UNION ALL
+  SELECT l.g, l.i, 1000 + s.level, (r.i >> s.level) % 2, coalesce(o.digest, '')
+  FROM leaves l JOIN subroots r ON l.g = r.g CROSS JOIN (SELECT DISTINCT level FROM tops WHERE n > 1) s
+  LEFT JOIN tops o ON o.level = s.level AND o.i = xor(r.i >> s.level, 1)
+), proofs AS (
+  SELECT g, i, string_agg(sibling, '' ORDER BY level) AS proof, list(slot || sibling ORDER BY level) AS path FROM steps GROUP BY g, i
+), joined AS (
+  SELECT l.*, r.subroot, coalesce(p.proof, '') AS proof, coalesce(p.path, []) AS path, (SELECT digest FROM tops WHERE n = 1) AS root
+  FROM leaves l JOIN subroots r ON l.g = r.g LEFT JOIN proofs p ON p.g = l.g AND p.i = l.i
+), done AS (
+  SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256,
+         list_reduce(list_concat([coalesce(changed, leaf)], path), lambda acc, s:
+           CASE WHEN s[1] = '1' THEN sha256(s[2:] || acc) ELSE sha256(acc || s[2:]) END) AS folded_root
+  FROM joined
+)
+SELECT *, folded_root = root AS verified FROM done
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_quality": op2_quality,
@@ -126,8 +188,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_tokens": op8_tokens,
     "op9_mixing": op9_mixing,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_merkle": op11_merkle,
 }
 
 ORACLES: dict[str, str] = {
     "op1_line_dedup": OP1_SQL,
+    "op11_merkle": OP11_SQL,
 }

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from botpulse.llm import (
-    dart_minhash, decontaminate, license_scan, line_dedup, merkle, mixing, pii, quality, secrets, substring_dedup,
-    token_counts)
+    dart_minhash, decontaminate, lexical_search, license_scan, line_dedup, merkle, mixing, pii, quality, secrets,
+    substring_dedup, token_counts)
 from botpulse.llm.common import read_documents
 
 
@@ -176,6 +176,38 @@ WITH RECURSIVE given AS (
 SELECT *, folded_root = root AS verified FROM done
 """
 
+def op12_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.lexical_search(read_documents(spark, sf_dir), read_documents(spark, sf_dir, "benchmark"))
+
+
+# Every pair of item and document that shares a term, scored.
+OP12_SQL = r"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents
+), sized AS (
+  SELECT doc_id, row_number() OVER () AS row, terms, len(terms) AS n FROM words WHERE len(terms) > 0
+), total AS (
+  SELECT count(*) AS n_docs, sum(n)::BIGINT AS n_terms FROM sized
+), held AS (
+  SELECT row, doc_id, n, term, count(*) AS tf FROM (SELECT row, doc_id, n, unnest(terms) AS term FROM sized) GROUP BY ALL
+), weights AS (
+  SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM held, total
+  GROUP BY term, n_docs
+), asked AS (
+  SELECT DISTINCT item, item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM (SELECT *, row_number() OVER () AS item FROM benchmark)
+), scored AS (
+  SELECT item, item_id, row, doc_id,
+         sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // n_terms))))::BIGINT AS score
+  FROM asked JOIN weights USING (term) JOIN held USING (term), total GROUP BY item, item_id, row, doc_id
+), ranked AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id) AS rank, doc_id, score FROM scored WHERE score > 0
+)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 50
+"""
+
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
@@ -189,9 +221,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_mixing": op9_mixing,
     "op10_substring_dedup": op10_substring_dedup,
     "op11_merkle": op11_merkle,
+    "op12_search": op12_search,
 }
 
 ORACLES: dict[str, str] = {
     "op1_line_dedup": OP1_SQL,
     "op11_merkle": OP11_SQL,
+    "op12_search": OP12_SQL,
 }

@@ -33,12 +33,10 @@ def only_bots(events: DataFrame, bots: DataFrame, bot_col: str, spread: list[str
 def hot_keys(rows: DataFrame, key: str, shares: int = SHARES) -> list:
     """The values of ``key`` held by more than one in ``shares`` rows (fewer than ``shares`` values). Null is never one.
 
-    One count per key, combined map-side; only the hot values reach the driver.
+    Two counts, combined map-side; only the hot values reach the driver.
     """
     counts = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    total = rows.agg(F.count(F.lit(1)).alias("total"))
-    hot = counts.join(F.broadcast(total), F.col("n") * shares > F.col("total"))  # one row against the counts
-    return [r[0] for r in hot.select(key).collect()]
+    return [r[0] for r in counts.where(F.col("n") * shares > rows.count()).select(key).collect()]
 
 
 def _one_of(key: str, values: list) -> Column:
@@ -72,7 +70,9 @@ def split_join(rows: DataFrame, build: DataFrame, key: str, how: str = "inner",
     if _counted_bytes(few) <= limit:
         warm = rows.where(_one_of(key, hot)).join(F.broadcast(few), key, how)
     else:
-        salted = rows.where(_one_of(key, hot)).withColumn("salt_", F.floor(F.rand() * shares).cast("int"))
+        # by content and task, so that a repeated task deals its rows out as before
+        salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns], F.spark_partition_id()), F.lit(shares))
+        salted = rows.where(_one_of(key, hot)).withColumn("salt_", salt.cast("int"))
         copied = few.withColumn("salt_", F.explode(F.sequence(F.lit(0), F.lit(shares - 1))))
         warm = salted.join(copied, [key, "salt_"], how)
     return cold.unionByName(warm.select(*columns))

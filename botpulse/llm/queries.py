@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from botpulse.llm import (
     dart_minhash, decontaminate, lexical_search, license_scan, line_dedup, merkle, mixing, pii, quality, secrets,
-    substring_dedup, token_counts)
+    substring_dedup, token_counts, url_filter)
 from botpulse.llm.common import read_documents
 
 
@@ -208,6 +208,15 @@ WITH words AS (
 SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 50
 """
 
+URL_RULES: list[url_filter.Rule] = [
+    ("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
+    ("allow", "com", "/fr/"), ("block", "com", "/de/"),
+]
+
+
+def op13_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.url_verdicts(read_documents(spark, sf_dir, "pages"), URL_RULES)
+
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
@@ -222,6 +231,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_substring_dedup": op10_substring_dedup,
     "op11_merkle": op11_merkle,
     "op12_search": op12_search,
+    "op13_urls": op13_urls,
 }
 
 ORACLES: dict[str, str] = {

@@ -1,0 +1,107 @@
+"""Ranked search against scoring every pair, and the bounds of the blocks."""
+
+from __future__ import annotations
+
+import math
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from botpulse.llm import lexical_search as ls
+
+TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+
+def terms(text):
+    lowered = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    return Counter(re.findall(TERM, lowered))
+
+
+def ranking(docs, items, k):
+    counted = [(i, terms(t)) for i, t in docs]
+    counted = [(i, c, sum(c.values())) for i, c in counted if c]
+    n_docs, n_terms = len(counted), sum(n for _, _, n in counted)
+    df = Counter(t for _, c, _ in counted for t in c)
+    out = Counter()
+    for item, text in items:
+        scored = []
+        for i, c, n in counted:
+            m = 100 - 50 + ((50 * n * n_docs) // n_terms)
+            score = sum(math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1))) * ((1_000_000_000 * c[t]) // (1000 * c[t] + 20 * m))
+                        for t in terms(text) if t in c)
+            if score > 0:
+                scored.append((-score, i is None, i))
+        for rank, (score, _, i) in enumerate(sorted(scored)[:k], 1):
+            out[item, rank, i, -score] += 1
+    return out
+
+
+def made(seed, n_docs, n_words):
+    rnd = random.Random(seed)
+    words = [f"w{i}" for i in range(n_words)] + ["Été", "ÀB", "x1"]
+    weights = [1 / (i + 1) for i in range(len(words))]
+
+    def text(n):
+        return "".join(rnd.choice([" ", ", ", "\n", "-"]) + w for w in rnd.choices(words, weights, k=n))
+
+    docs = [(i, text(rnd.randrange(1, 60))) for i in range(n_docs)]
+    docs += [(n_docs + i, docs[rnd.randrange(20)][1]) for i in range(n_docs // 3)]  # copies: equal scores
+    items = [(i, text(rnd.randrange(1, 25)).upper()) for i in range(12)]
+    return docs, items
+
+
+def search(spark, docs, items, **options):
+    d = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    i = spark.createDataFrame(items, "item_id long, text string")
+    return Counter(tuple(r) for r in ls.lexical_search(d, i, **options).collect())
+
+
+@pytest.mark.parametrize("block,queries", [(1, 1000), (4, 3), (32, 1000)])
+def test_ranking_against_all_pairs(spark, block, queries):
+    docs, items = made(block, 240, 80)
+    assert search(spark, docs, items, k=7, block=block, queries=queries) == ranking(docs, items, 7)
+
+
+def test_edges(spark):
+    docs = [(1, "Alpha beta"), (1, "Alpha beta"), (2, None), (3, ""), (None, "alpha"), (4, "!!"), (5, "alpha " * 30_000), (6, "gamma")]
+    items = [(1, "alpha"), (1, "alpha"), (2, None), (3, ""), (None, "BETA gamma beta"), (4, "nowhere")]
+    assert search(spark, docs, items) == ranking(docs, items, 50)
+    assert not search(spark, [], items) and not search(spark, docs, [])
+
+
+def test_text_ids_and_clashing_names(spark):
+    docs = spark.createDataFrame([("b", "x y"), ("a", "x y"), ("c", "z")], "item_id string, body string").withColumns(
+        {c: F.lit(1) for c in ("id", "key", "n", "terms", "counts", "rank", "score", "text")})
+    items = spark.createDataFrame([("q", "x")], "doc_id string, body string").withColumn("key", F.lit(2))
+    out = ls.lexical_search(docs, items, id_col="item_id", text_col="body", item_col="doc_id", item_text_col="body")
+    assert [(r.item_id, r.rank, r.doc_id) for r in out.orderBy("rank").collect()] == [("q", 1, "a"), ("q", 2, "b")]
+
+
+def test_summaries_bound_every_document_and_blocks_are_skipped():
+    rnd = np.random.default_rng(5)
+    n, v = 600, 40
+    topic = rnd.integers(0, 6, n)  # documents of a topic share their terms
+    held = (rnd.random((n, v)) < 0.03) | ((np.arange(v)[None, :] % 6 == topic[:, None]) & (rnd.random((n, v)) < 0.6))
+    rows, cols = np.nonzero(held)
+    weights = rnd.integers(1, 5000, v).astype(np.int64)
+    shard = ls.Shard(rows, cols, rnd.integers(1, 900_000, len(rows)), n, weights, 16)
+    columns = np.arange(v)
+    for term in range(v):
+        docs, starts, summaries = shard.blocks(term, columns)
+        assert sorted(docs) == sorted(np.flatnonzero(held[:, term]))
+        for block, summary in zip(np.split(docs, starts[1:]), summaries):
+            assert (shard.impacts[block] <= summary).all()
+    skipped = 0
+    for _ in range(30):
+        own = rnd.choice(v, 8, replace=False)
+        own = own[np.argsort(-weights[own], kind="stable")]
+        query = ls.Query(own, 1, 5)
+        skipped += query.search(shard, list(range(n)), {t: columns for t in range(v)})
+        scores = shard.impacts[:, own].astype(np.int64) @ weights[own]
+        best = sorted((-s, i) for i, s in enumerate(scores) if s > 0)[:5]
+        assert [(s, i) for s, _, i in query.best] == best
+    assert skipped > 0

@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 from botpulse.llm.common import staged
 
 IN_ROW = 100_000  # offsets of so many (partition, group) pairs are broadcast (about 100 bytes each); beyond, joined
+SMALL = 2 << 20  # bytes up to which the upper levels of a tree, whose rows are known in number, are broadcast
+DIGEST = 66  # bytes of a digest in a path
 CHAINED = 5  # levels of paths in one job
 
 
@@ -58,7 +60,7 @@ def numbered(rows: DataFrame, group: str, order: list[str]) -> DataFrame:
         *rows.columns, (F.col("at") - F.col("first") + F.col("before")).alias("i"), "n")
 
 
-def with_siblings(nodes: DataFrame, arity: int) -> DataFrame:
+def with_siblings(nodes: DataFrame, arity: int, small: bool = False) -> DataFrame:
     """Nodes ``(g, i, n, digest)`` with ``left`` and ``right``, the joined digests of the run's other nodes."""
     slot = F.col("i") % arity
     found, columns = nodes, []
@@ -66,7 +68,7 @@ def with_siblings(nodes: DataFrame, arity: int) -> DataFrame:
         sibling = F.col("i").bitwiseXOR(F.lit(1)) if arity == 2 else F.col("i") - slot + (slot + offset) % arity
         other = nodes.select(F.col("g").alias("g_"), F.col("i").alias("i_"), F.col("digest").alias(f"d{offset}"))
         found = found.withColumn("at_", sibling).join(
-            other, (F.col("g") == F.col("g_")) & (F.col("at_") == F.col("i_")), "left").drop("g_", "i_", "at_")
+            F.broadcast(other) if small else other, (F.col("g") == F.col("g_")) & (F.col("at_") == F.col("i_")), "left").drop("g_", "i_", "at_")
         columns.append(F.struct(((slot + offset) % arity).alias("slot"), F.col(f"d{offset}").alias("digest")))
     others = F.array_sort(F.filter(F.array(*columns), lambda s: s.digest.isNotNull()))
 
@@ -90,28 +92,35 @@ class Forest:
     levels: list[DataFrame]
     roots: DataFrame
     arity: int
+    rows: list[int]  # of each level at most
 
     @classmethod
     def grown(cls, leaves: DataFrame, arity: int) -> Forest:
         if arity < 2:
             raise ValueError("arity must be 2 or more")
-        most = leaves.agg(F.max("n")).first()[0] or 0
-        levels, nodes = [], leaves.select("g", "i", "n", "digest")
+        most, total, trees = leaves.agg(F.coalesce(F.max("n"), F.lit(0)), F.count("*"), F.count(F.when(F.col("i") == 0, 1))).first()
+        levels, rows, nodes = [], [], leaves.select("g", "i", "n", "digest")
         roots = nodes.where("n = 1").select("g", "digest", F.lit(0).alias("height"))
         while most > 1:
-            levels.append(staged(with_siblings(nodes.where("n > 1"), arity), "merkle-level"))
+            rows.append(total // arity ** len(levels) + trees)
+            small = rows[-1] * 200 <= SMALL
+            level = with_siblings(nodes.where("n > 1"), arity, small)
+            levels.append(staged(level.coalesce(1) if small else level, "merkle-level"))
             nodes, most = _parents(levels[-1], arity), -(-most // arity)
             roots = roots.unionByName(nodes.where("n = 1").select("g", "digest", F.lit(len(levels)).alias("height")))
-        return cls(levels, staged(roots, "merkle-roots"), arity)
+        return cls(levels, staged(roots, "merkle-roots"), arity, rows)
 
     def paths(self, above: DataFrame) -> DataFrame:
         """``(g, i, digest, path)`` of every leaf. ``above`` has ``(g, path)``: what follows a tree's own path."""
         tops = self.roots.join(above, "g").select("g", F.lit(0).cast("long").alias("i"), "digest", "path", "height")
-        if self.levels and len(self.levels) > CHAINED:
+        if len(self.levels) > CHAINED:
             tops = staged(tops, "merkle-tops")
         found = tops.where(F.col("height") == len(self.levels)).drop("height")
         for at in reversed(range(len(self.levels))):
             up = found.select(F.col("g").alias("g_"), F.col("i").alias("i_"), F.col("path").alias("rest"))
+            above_here = len(self.levels) - at + 20  # digests of a path, with those over the groups
+            if at + 1 < len(self.rows) and self.rows[at + 1] * above_here * DIGEST <= SMALL:
+                up = F.broadcast(up)
             down = self.levels[at].withColumn("p_", F.floor(F.col("i") / self.arity))
             found = down.join(up, (F.col("g") == F.col("g_")) & (F.col("p_") == F.col("i_"))).select(
                 "g", "i", "digest", F.concat("left", F.lit(","), "right", F.lit(";"), "rest").alias("path"))
@@ -155,11 +164,10 @@ def merkle_manifest(docs: DataFrame, id_col: str = "doc_id", group_col: str = "l
     leaves = staged(docs.select(
         column(id_col).alias("id"), column(group_col).alias("name"), group.alias("g"),
         leaf_digest(*[column(f) for f in fields]).alias("digest"), leaf_digest(*now.values()).alias("claim")), "leaves")
-    leaves = staged(numbered(leaves, "g", ["id", "digest"]), "numbered-leaves")
+    leaves = numbered(leaves, "g", ["id", "digest"])
     forest = Forest.grown(leaves, arity)
-    groups = staged(forest.roots.select("g", "digest", F.lit("").alias("all")), "groups")
-    groups = staged(numbered(groups, "all", ["g"]).select(F.col("g").alias("name"), F.col("all").alias("g"), "i", "n", "digest"),
-                    "numbered-groups")
+    groups = numbered(forest.roots.select("g", "digest", F.lit("").alias("all")), "all", ["g"]).select(
+        F.col("g").alias("name"), F.col("all").alias("g"), "i", "n", "digest")
     top = Forest.grown(groups, arity)
     root = top.roots.select("digest").first()
     over = top.paths(top.roots.select("g", F.lit("").alias("path"))).select(F.col("i").alias("i_"), "path")

@@ -63,6 +63,11 @@ class DayRange:
         """Every day up to this range's end."""
         return DayRange(dt.date(1000, 1, 1), self.end)
 
+    def halves(self) -> tuple[DayRange, DayRange]:
+        """The range's two halves (two days at least)."""
+        middle = self.start + dt.timedelta(days=(self.n_days - 1) // 2)
+        return DayRange(self.start, middle), DayRange(middle + dt.timedelta(days=1), self.end)
+
     def days(self) -> list[dt.date]:
         return [self.start + dt.timedelta(days=i) for i in range(self.n_days)]
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from botpulse.functions.constants import TAG_SEPARATOR
 from botpulse.functions.dates import DayRange, within
+from botpulse.functions.joins import split_join
 from botpulse.functions.tagtext import is_luna_path, is_v5_path, pieces, strip_v5_prefix
 from botpulse.operators.summaries import show_summary
 from botpulse.sources.catalog import Tables
@@ -19,7 +20,7 @@ from botpulse.sources.catalog import Tables
 def _tags_on_paths(t: Tables, path_filter) -> DataFrame:
     """``prompt_tag`` rows whose path matches, as ``(tag_id, name, created_at)``."""
     paths = t.prompt_tag_path.where(path_filter(F.col("path"))).select(F.col("id").alias("path_id"))
-    return t.prompt_tag.join(paths, "path_id").select(F.col("id").alias("tag_id"), "name", "created_at")
+    return split_join(t.prompt_tag, paths, "path_id").select(F.col("id").alias("tag_id"), "name", "created_at")
 
 
 def luna_tags(t: Tables, days: DayRange) -> DataFrame:
@@ -33,20 +34,25 @@ def luna_tags(t: Tables, days: DayRange) -> DataFrame:
             "tag_id", F.col("name").alias("tag"), F.to_date("created_at").alias("event_date")),
         days,
     )
-    return t.prompt_tag_link.join(tags, "tag_id").select("prompt_id", "tag", "event_date")
+    return split_join(t.prompt_tag_link, tags, "tag_id").select("prompt_id", "tag", "event_date")
 
 
-def enrich_v5(t: Tables, aigc_tag: DataFrame) -> DataFrame:
-    """``aigc_tag`` rows (bot → workflow, per day) joined to each bot's V5 tags.
+def bot_v5(t: Tables) -> DataFrame:
+    """Distinct ``(prompt_id, tags)``: each bot's V5 tags without their prefix."""
+    v5 = _tags_on_paths(t, is_v5_path).select("tag_id", strip_v5_prefix(F.col("name")).alias("tags"))
+    return split_join(t.prompt_tag_link, v5, "tag_id").select("prompt_id", "tags").distinct()
+
 
-    Distinct per day, then the days are stacked without their date.
+def enrich_v5(t: Tables, aigc_tag: DataFrame, pairs: DataFrame | None = None, dated: bool = False) -> DataFrame:
+    """``aigc_tag`` rows (bot → workflow, per day) joined to each bot's V5 tags (``pairs``, if they are stored).
+
+    Distinct per day, then the days are stacked without their date (unless ``dated``).
     """
     # Both sides are made distinct before the join (same result as distinct after it):
     # repeated copies of a link or an aigc row collapse map-side instead of multiplying.
     aigc = aigc_tag.select("event_date", "prompt_id", F.col("tag").alias("workflow")).distinct()
-    v5 = _tags_on_paths(t, is_v5_path).select("tag_id", strip_v5_prefix(F.col("name")).alias("tags"))
-    bot_v5 = t.prompt_tag_link.join(v5, "tag_id").select("prompt_id", "tags").distinct()
-    return aigc.join(bot_v5, "prompt_id").select("prompt_id", "workflow", "tags")
+    joined = aigc.join(pairs if pairs is not None else bot_v5(t), "prompt_id")
+    return joined.select("prompt_id", "workflow", "tags", *["event_date"] * dated)
 
 
 def v5_tags(t: Tables, days: DayRange, aigc_tag: DataFrame | None = None) -> DataFrame:
@@ -83,8 +89,8 @@ def v5_tag_pieces(t: Tables, limit: int | None = None) -> DataFrame:
     of a bot in name order (the reports this replaces kept 20): every name yields at least one
     piece, so a ``row_number() <= limit`` window keeps that many names before they are split.
     """
-    names = t.prompt_tag_link.join(
-        _tags_on_paths(t, is_v5_path).where(F.col("name").isNotNull()), "tag_id"
+    names = split_join(
+        t.prompt_tag_link, _tags_on_paths(t, is_v5_path).where(F.col("name").isNotNull()), "tag_id"
     ).select("prompt_id", "name")
     if limit is None:
         split = names.select("prompt_id", F.explode(pieces(F.col("name"))).alias("piece"))

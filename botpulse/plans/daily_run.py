@@ -6,7 +6,7 @@ level are independent and run concurrently):
 0. ``aigc_tag`` — Luna tags (D2); ``aigc_tag_seed`` — the seed CSV (D1), a table of its own so that
    neither load replaces the other's days; the per (day, user, bot) summaries of chats, bot views
    and card shows — the only reads of the event tables except M1's distinct event ids
-1. ``aigc_tag_v5`` — V5 enrichment (D3) of all stored days of both
+1. ``aigc_tag_v5`` — V5 enrichment (D3), kept up to date with all stored days of both (:mod:`botpulse.plans.dimension`)
 2. everything that needs only the dimension: D4, M1–M3, W4, C3, C4, A3
 3. everything that reads a table of level 2: T4 (M1–M3, D4), C1/A1 (M1),
    C2/A2 (M2), C5 (C4)
@@ -16,8 +16,9 @@ warehouse: each write cuts the lineage, so a lost executor only recomputes
 work since the last written table. Every day of the range is replaced, also one that has
 become empty (or rows are appended on request).
 
-Failures. A table that fails for the range is tried day by day, so one bad day costs that day only; the
-long tables W4 and T4 are likewise tried metric by metric. What failed is recorded and the run goes on.
+Failures. A table that fails for the range is tried by halves of the range, and again by halves of what fails, so k bad
+days of n cost about ``2 k log2 n`` jobs and only those days; the long tables W4 and T4 are first tried metric by metric. What failed is
+recorded and the run goes on.
 Without a dimension its consumers are skipped and recorded as such: they are never computed from a
 smaller one. Other producers that failed (summaries, M1–M3, C4) are replaced by the same computation from
 the sources, with the same result.
@@ -39,13 +40,15 @@ from botpulse.functions.constants import METRIC_TYPES
 from botpulse.functions.dates import DayRange
 from botpulse.operators import compare, rollups, summaries, tags
 from botpulse.operators import prompt_metrics as pm
+from botpulse.plans.dimension import refresh_dimension
+from botpulse.sources import published
 from botpulse.sources.catalog import Tables
 from botpulse.sources.seed import seed_tags
 from botpulse.sources.sinks import read_table, table_exists, write_table
 
 log = logging.getLogger(__name__)
 
-UNDATED = {"aigc_tag_v5", "tags_exploded"}
+UNDATED = {"tags_exploded"}
 # Run-internal inputs of the reports: always replaced per day, also in append mode
 # (appending them would double every count derived from them).
 INTERMEDIATE = {"chat_user_bot_daily", "view_user_bot_daily", "show_user_bot_daily"}
@@ -76,6 +79,7 @@ def run_reports(
     seed_date: dt.date | str | None = None,
     parallelism: int = 4,
     jobs: set[str] | None = None,
+    run_id: str | None = None,
 ) -> dict[str, TableStatus]:
     """Compute and write every table (or those of ``jobs``) for ``days`` (default: yesterday) under ``out``.
 
@@ -86,6 +90,9 @@ def run_reports(
     duration, or the error. ``seed_csv`` is loaded as the seed list (D1) of ``seed_date``
     (default: the last day). With ``jobs``, a dimension stored by an earlier run under ``out`` (or in ``t``) is used;
     without one it is derived from all days up to the range's end.
+
+    Every table is published by a switch (``sinks.read_table`` reads it); versions that are out of use for a day are removed.
+    With a ``run_id``, ``mode="append"`` takes each piece of the run in once: the same id again adds only what is missing.
     """
     days = days or DayRange.yesterday()
     spark = t.spark
@@ -102,41 +109,84 @@ def run_reports(
             return None
         return read_table(spark, name, path[name], schema_of.get(name))
 
-    def write(name: str, frame: DataFrame, when: DayRange, how: str) -> int:
+    def write(name: str, frame: DataFrame, when: DayRange, how: str, piece: str | None = None) -> int:
         if name in INTERMEDIATE:
             schema_of[name] = frame.schema  # ids in their delivered types
-        return write_table(frame, path[name], mode=how, partitioned=name not in UNDATED, days=when)
+        return write_table(frame, path[name], mode=how, partitioned=name not in UNDATED, days=when, run_id=piece)
 
-    def attempt(name: str, build: Callable[..., DataFrame], how: str) -> TableStatus:
+    def attempt(name: str, build: Callable[..., DataFrame | int], how: str) -> TableStatus:
         t0 = time.perf_counter()
-
-        def done(ok: bool, rows: int | None, error: str | None = None, failures: dict[str, str] | None = None):
-            return TableStatus(ok, rows, round(time.perf_counter() - t0, 3), error, failures or {})
+        failures: dict[str, str] = {}
+        once = run_id is not None and how == "append"
+        taken = set(published.current(spark, path[name]).runs) if once else set()
+
+        def done(ok: bool, rows: int | None, error: str | None = None):
+            return TableStatus(ok, rows, round(time.perf_counter() - t0, 3), error, failures)
+
+        def piece(when: DayRange, metric: str | None) -> str | None:
+            return f"{run_id}:{when.start}:{when.end}:{metric or ''}" if once else None
+
+        def partly(when: DayRange, metric: str | None) -> bool:
+            """Whether an earlier try of this run took in a part of it."""
+            for other in taken - {piece(when, metric)}:
+                if other.startswith(f"{run_id}:"):
+                    start, end, what = other[len(run_id) + 1:].split(":")
+                    if start >= str(when.start) and end <= str(when.end) and (metric is None or what == metric):
+                        return True
+            return False
+
+        def tried(when: DayRange, metric: str | None, how: str) -> int:
+            if piece(when, metric) not in taken and partly(when, metric):
+                raise RuntimeError("a part of it was written before")
+            made = build(when) if metric is None else build(when, metric)
+            return made if isinstance(made, int) else write(name, made, when, how, piece(when, metric))
+
+        def by_metric(when: DayRange, how: str) -> tuple[int, list[tuple[str, Exception]]]:
+            rows, bad = 0, []
+            for metric in METRIC_TYPES:
+                try:
+                    rows += tried(when, metric, how)
+                    how = "append"  # the first one replaced the days
+                except Exception as exc:
+                    bad.append((metric, exc))
+            return rows, bad
+
+        def halved(when: DayRange, metric: str | None, how: str, error: Exception) -> int:
+            """The rows written of a range that failed as a whole."""
+            if when.n_days == 1:
+                if metric is None and name in _LONG:
+                    rows, bad = by_metric(when, how)
+                    failures.update({f"{when.start} {m}": f"{type(e).__name__}: {e}" for m, e in bad})
+                    return rows
+                failures[f"{when.start} {metric}" if metric else str(when.start)] = f"{type(error).__name__}: {error}"
+                return 0
+            rows = 0
+            for half in when.halves():
+                try:
+                    rows += tried(half, metric, how)
+                except Exception as exc:
+                    rows += halved(half, metric, how, exc)
+            return rows
 
         try:
             for producer in NEEDS.get(name, (DIMENSION,) if name in _FROM_DIMENSION else ()):
                 if producer in status and not status[producer].ok:
                     raise Skipped(f"skipped: {producer} failed")
-            return done(True, write(name, build(days), days, how))
+            return done(True, tried(days, None, how))
         except Skipped as exc:
             return done(False, None, str(exc))
-        except Exception as exc:  # isolate: by day, and by metric for the long tables
+        except Exception as exc:  # isolate: by days, and by metric for the long tables
             log.error("table %s failed: %s", name, traceback.format_exc())
-            whole = f"{type(exc).__name__}: {exc}"
-        metrics = METRIC_TYPES if name in _LONG else (None,)
-        if name in UNDATED or (days.n_days == 1 and metrics == (None,)):
+            first = exc
+        whole = f"{type(first).__name__}: {first}"
+        if name in UNDATED or name == DIMENSION or (days.n_days == 1 and name not in _LONG):
             return done(False, None, whole)
-        rows, failures = 0, {}
-        for day in days.days():
-            one, first = DayRange.of(day), True
-            for metric in metrics:
-                try:
-                    frame = build(one) if metric is None else build(one, metric)
-                    rows += write(name, frame, one, how if first else "append")
-                    first = False
-                except Exception as exc:
-                    failures[f"{day} {metric}" if metric else str(day)] = f"{type(exc).__name__}: {exc}"
-        return done(not failures, rows, whole if failures else None, failures)
+        rows, bad = by_metric(days, how) if name in _LONG else (0, [])
+        if name in _LONG and len(bad) < len(METRIC_TYPES):
+            rows += sum(halved(days, metric, "append", exc) for metric, exc in bad)
+        else:
+            rows += halved(days, None, how, first)
+        return done(not failures, rows, whole if failures else None)
 
     def step(name: str, build: Callable[..., DataFrame]) -> None:
         if jobs is not None and name not in jobs:
@@ -152,17 +202,11 @@ def run_reports(
         with ThreadPoolExecutor(max_workers=parallelism, thread_name_prefix="botpulse") as pool:
             list(pool.map(lambda s: step(*s), steps))
 
-    # The V5 dimension has no date: rebuilt as a whole from every stored day of both tag tables
-    # (idempotent), or, in append mode, the run's days appended as the original does.
-    def aigc_tag_v5(_: DayRange) -> DataFrame:
-        sources = [read_table(spark, "aigc_tag", path[n]) for n in ("aigc_tag", "aigc_tag_seed")
-                   if table_exists(spark, path[n])]
-        if not sources:
+    def aigc_tag_v5(_: DayRange) -> int:
+        rows = refresh_dimension(t, path, days, mode, run_id)
+        if rows is None:
             raise Skipped("skipped: no tag table")
-        source = sources[0] if len(sources) == 1 else sources[0].unionByName(sources[1])
-        if mode != "overwrite":
-            source = source.where(source.event_date.between(days.start, days.end))
-        return tags.enrich_v5(t, source)
+        return rows
 
     level([
         ("aigc_tag", lambda d: tags.luna_tags(t, d)),
@@ -173,7 +217,7 @@ def run_reports(
     if seed_csv is not None and (jobs is None or "aigc_tag_seed" in jobs):
         stamp = DayRange.of(seed_date or days.end)
         try:
-            rows = write_table(seed_tags(spark, seed_csv, stamp.start), path["aigc_tag_seed"], mode=mode, days=stamp)
+            rows = write_table(seed_tags(spark, seed_csv, stamp.start), path["aigc_tag_seed"], mode=mode, days=stamp, run_id=run_id)
             status["aigc_tag_seed"] = TableStatus(True, rows)
         except Exception as exc:
             status["aigc_tag_seed"] = TableStatus(False, error=f"{type(exc).__name__}: {exc}")
@@ -205,6 +249,8 @@ def run_reports(
         ("click_total_compare", lambda d: compare.click_total_compare(dim, d, m1)),
         ("chat_start_total_compare", lambda d: compare.chat_start_total_compare(dim, d, m2)),
     ])
+    for name in [*status, "aigc_tag_v5_pairs"]:
+        published.vacuum(spark, f"{out.rstrip('/')}/{name}")
     return {name: status[name] for name in _ORDER if name in status}
 
 
@@ -249,6 +295,7 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--mode", choices=["overwrite", "append"], default="overwrite")
     parser.add_argument("--seed-csv", help="bot → workflow seed CSV (id,workflow)")
     parser.add_argument("--seed-date", help="day of the seed rows (default: the last day)")
+    parser.add_argument("--run-id", help="with --mode append: rows of a run id are taken in once")
     parser.add_argument("--parallelism", type=int, default=4)
     args = parser.parse_args(argv)
 
@@ -261,7 +308,7 @@ def main(argv: list[str] | None = None) -> int:
     if args.dimension:
         tables = tables.with_(aigc_tag_v5=read_table(spark, DIMENSION, args.dimension))
     status = run_reports(tables, days, args.out, mode=args.mode, seed_csv=args.seed_csv, seed_date=args.seed_date,
-                         parallelism=args.parallelism, jobs=set(args.job) if args.job else None)
+                         parallelism=args.parallelism, jobs=set(args.job) if args.job else None, run_id=args.run_id)
     for name, s in status.items():
         print(f"{name}\t{'ok' if s.ok else 'FAILED'}\t{s.rows if s.ok else s.error}\t{s.seconds}s")
         for what, error in s.failures.items():

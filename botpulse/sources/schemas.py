@@ -37,6 +37,7 @@ INPUTS = {
 # ---- derived tables -----------------------------------------------------------
 AIGC_TAG = _schema(("prompt_id", S), ("tag", S), ("event_date", D))
 AIGC_TAG_V5 = _schema(("prompt_id", S), ("workflow", S), ("tags", S))
+BOT_V5 = _schema(("prompt_id", S), ("tags", S))
 TAGS_EXPLODED = _schema(("prompt_id", S), ("tag", S))
 BOT_TAGS_DAILY = _schema(("event_date", D), ("prompt_id", S), ("tag", S))
 

@@ -1,78 +1,93 @@
-"""Parquet sinks: idempotent replacement of days or whole tables, or append."""
+"""Sinks: replacement of days or whole tables, or append, each published by one switch."""
 
 from __future__ import annotations
 
-import uuid
+from collections.abc import Iterable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from botpulse.functions.dates import DayRange
-from botpulse.sources import schemas
+from botpulse.sources import published, schemas
 
 PARTITION_COL = "event_date"
 
 
-def _located(spark, path: str):
-    """The Hadoop file system of ``path`` and the path on it."""
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
-
-
 def table_exists(spark, path: str) -> bool:
-    fs, located = _located(spark, path)
-    return fs.exists(located)
+    return published.Store(spark, path).exists()
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", partitioned: bool = True,
-                days: DayRange | None = None) -> int:
+                days: DayRange | Iterable[str] | None = None, run_id: str | None = None,
+                notes: dict[str, str | None] | None = None) -> int:
     """Write ``df`` to ``path`` and return the number of rows written.
 
-    ``mode="overwrite"`` on a day-partitioned table replaces every day of ``days``: the
-    ``event_date`` partitions in ``df`` by dynamic partition overwrite, and days of the range for which ``df``
-    has no rows are removed afterwards, so a rerun leaves no stale day. Without ``days`` only the days in
-    ``df`` are replaced. ``mode="append"`` adds rows. A table without a day column is written beside the
-    old one and takes its place when it is complete. The row count and the days come from an
-    ``Observation`` on the write itself, not from a second pass.
+    The rows go to a new version beside the old ones and are published last (:mod:`botpulse.sources.published`): until then,
+    and after a crash at any point, readers see the whole old table.
+    ``mode="overwrite"`` on a day-partitioned table replaces every day of ``days``, also those for which ``df`` has no
+    rows, so a rerun leaves no stale day; without ``days`` only the days in ``df``. ``mode="append"`` adds rows.
+    A table without a day column is replaced or added to as a whole. With a ``run_id`` rows are taken
+    in once: a repeated run id writes nothing and returns the rows of the first time. ``notes`` are kept with the publication (None
+    removes one).
 
-    Day-partitioned writes go through a ``rebalance`` on ``event_date``: AQE then
-    sizes the write tasks (small days coalesced into few files, a large day split
-    into several), instead of every task writing a file for every day it holds.
+    The row count and the days come from an ``Observation`` on the write itself, not from a second pass.
+    Day-partitioned writes go through a ``rebalance`` on ``event_date``: AQE then sizes the write tasks (small days
+    coalesced into few files, a large day split into several), instead of every task writing a file for every day it holds.
     """
     if mode not in ("overwrite", "append"):
         raise ValueError(f"unsupported write mode {mode!r}")
+    spark = df.sparkSession
+    before = published.current(spark, path)
+    if run_id is not None and run_id in before.runs:
+        return before.runs[run_id]
+    if not before.number and _holds_plain_files(spark, path):
+        raise ValueError(f"{path} holds plain Parquet files: read it and write it to a new folder")
     obs = Observation()
     seen = [F.count(F.lit(1)).alias("rows")]
     if partitioned:
         seen.append(F.collect_set(F.col(PARTITION_COL).cast("string")).alias("days"))  # one entry a day
     observed = df.observe(obs, *seen)
-    spark = df.sparkSession
-    if not partitioned:
-        if mode == "append":
-            observed.write.mode("append").parquet(path)
-        else:
-            beside = f"{path.rstrip('/')}.next-{uuid.uuid4().hex}"
-            observed.write.parquet(beside)
-            fs, target = _located(spark, path)
-            fs.delete(target, True)
-            if not fs.rename(_located(spark, beside)[1], target):
-                raise OSError(f"could not move {beside} to {path}")
-        return int(obs.get.get("rows", 0))
-    writer = observed.hint("rebalance", PARTITION_COL).write.mode(mode)
-    writer.option("partitionOverwriteMode", "dynamic").partitionBy(PARTITION_COL).parquet(path)
-    found = obs.get
-    if mode == "overwrite" and days is not None:
-        written = set(found.get("days") or [])
-        for day in days.days():
-            if day.isoformat() not in written:
-                fs, partition = _located(spark, f"{path.rstrip('/')}/{PARTITION_COL}={day.isoformat()}")
-                fs.delete(partition, True)
-    return int(found.get("rows", 0))
-
-
-def read_table(spark, name: str, path: str, schema: StructType | None = None) -> DataFrame:
-    """Read back a table written by :func:`write_table` with its declared schema (or the one it was written
-    with) and column order (the reader puts partition columns last)."""
+    version = published.new_version()
+    target = published.version_path(path, version)
+    if partitioned:
+        observed.hint("rebalance", PARTITION_COL).write.partitionBy(PARTITION_COL).parquet(target)
+    else:
+        observed.write.parquet(target)
+    got = obs.get
+    rows = int(got.get("rows", 0))
+    found = set(got.get("days") or []) if partitioned else {""}
+    if days is None:
+        replaced = found
+    else:
+        replaced = {d.isoformat() for d in days.days()} if isinstance(days, DayRange) else set(days)
+
+    def change(now: published.Publication) -> published.Publication | None:
+        if run_id is not None and run_id in now.runs:
+            return None
+        new = now.adding(version, found) if mode == "append" else now.replacing(replaced | found, version, found)
+        noted = {k: v for k, v in {**now.notes, **(notes or {})}.items() if v is not None}
+        return replace(new, notes=noted, runs=now.runs | ({run_id: rows} if run_id is not None else {}))
+
+    return published.publish(spark, path, change).runs.get(run_id, rows)
+
+
+def _holds_plain_files(spark, path: str) -> bool:
+    names = published.Store(spark, path).names()
+    return any(n.endswith(".parquet") or n.startswith(f"{PARTITION_COL}=") for n in names)
+
+
+def read_table(spark, name: str, path: str, schema: StructType | None = None, days: Iterable[str] | None = None) -> DataFrame:
+    """The published rows of a table of :func:`write_table` (of ``days`` only, if given), with its declared schema (or the
+    one it was written with) and column order. A plain Parquet folder is read as it is."""
     schema = schema or schemas.OUTPUTS[name]
-    return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
+    now = published.current(spark, path)
+    if not now.number:
+        return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
+    folders = sorted(published.version_path(path, v) + (f"/{PARTITION_COL}={day}" if day else "")
+                     for day, versions in now.parts.items() if days is None or day in days for v in versions)
+    if not folders:
+        return spark.createDataFrame([], schema)
+    stored = spark.read.schema(schema).option("basePath", f"{path.rstrip('/')}/data").parquet(*folders)
+    return stored.select(*schema.fieldNames())

@@ -210,9 +210,9 @@ def run_reports(
 
     level([
         ("aigc_tag", lambda d: tags.luna_tags(t, d)),
-        ("chat_user_bot_daily", lambda d: summaries.summarize_chats(t.chat_send, d)),
-        ("view_user_bot_daily", lambda d: summaries.summarize_views(t.bot_view, d)),
-        ("show_user_bot_daily", lambda d: summaries.summarize_shows(t.show_prompt_card, d)),
+        ("chat_user_bot_daily", lambda d: summaries.chat_summary(t, d)),
+        ("view_user_bot_daily", lambda d: summaries.view_summary(t, d)),
+        ("show_user_bot_daily", lambda d: summaries.show_summary(t, d)),
     ])
     if seed_csv is not None and (jobs is None or "aigc_tag_seed" in jobs):
         stamp = DayRange.of(seed_date or days.end)
@@ -295,6 +295,7 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--mode", choices=["overwrite", "append"], default="overwrite")
     parser.add_argument("--seed-csv", help="bot → workflow seed CSV (id,workflow)")
     parser.add_argument("--seed-date", help="day of the seed rows (default: the last day)")
+    parser.add_argument("--chunk-gb", type=float, help="run in chunks of days of so much event data, resumed after a crash")
     parser.add_argument("--run-id", help="with --mode append: rows of a run id are taken in once")
     parser.add_argument("--parallelism", type=int, default=4)
     args = parser.parse_args(argv)
@@ -307,8 +308,20 @@ def main(argv: list[str] | None = None) -> int:
         tables = Tables.from_catalog(spark, **{name: f"{args.catalog}.{name}" for name in schemas.INPUTS})
     if args.dimension:
         tables = tables.with_(aigc_tag_v5=read_table(spark, DIMENSION, args.dimension))
+    if args.chunk_gb:
+        from botpulse.plans.backfill import run_backfill
+
+        if args.mode != "overwrite" or args.job or args.dimension:
+            parser.error("--chunk-gb replaces whole days of all tables")
+        parts = run_backfill(tables, days, args.out, int(args.chunk_gb * (1 << 30)), args.seed_csv, args.seed_date, args.parallelism)
+        status = {f"{key} {name}": s for key, part in parts.items() for name, s in part.items()}
+        return _printed(status)
     status = run_reports(tables, days, args.out, mode=args.mode, seed_csv=args.seed_csv, seed_date=args.seed_date,
                          parallelism=args.parallelism, jobs=set(args.job) if args.job else None, run_id=args.run_id)
+    return _printed(status)
+
+
+def _printed(status: dict[str, TableStatus]) -> int:
     for name, s in status.items():
         print(f"{name}\t{'ok' if s.ok else 'FAILED'}\t{s.rows if s.ok else s.error}\t{s.seconds}s")
         for what, error in s.failures.items():

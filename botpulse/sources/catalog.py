@@ -9,6 +9,7 @@ having a job recompute it.
 from __future__ import annotations
 
 import dataclasses
+import datetime as dt
 import re
 from dataclasses import dataclass
 
@@ -16,6 +17,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from botpulse.functions.dates import DayRange
 from botpulse.sources import schemas
 
 
@@ -73,16 +75,24 @@ class Tables:
 
     @classmethod
     def from_jdbc(cls, spark: SparkSession, url: str, properties: dict[str, str], tables: dict[str, str],
-                  partitioning: dict[str, dict[str, str]] | None = None) -> Tables:
+                  partitioning: dict[str, dict[str, str]] | None = None, days: DayRange | None = None,
+                  day_columns: dict[str, str] | None = None, splits: dict[str, tuple[str, int]] | None = None) -> Tables:
         """Read every input over JDBC (e.g. from a MySQL-protocol warehouse).
 
-        ``tables[input]`` is the remote table or a parenthesised query; pass
-        ``partitioning[input] = {"partitionColumn": ..., "lowerBound": ..., "upperBound": ...,
-        "numPartitions": ...}`` for large event tables so the read is split over tasks.
+        ``tables[input]`` is the remote table or a parenthesised query. With ``days`` the event tables are read day by
+        day: a predicate per day (:func:`day_predicates`) splits the read over tasks and is the source's own filter, so
+        other days never leave it. ``day_columns[input]`` names the day column as the source spells it (default
+        ``event_date``), ``splits[input] = (integer column, n)`` cuts each day further. For other tables, and without ``days``, pass
+        ``partitioning[input] = {"partitionColumn": ..., "lowerBound": ..., "upperBound": ..., "numPartitions": ...}``.
         Only a driver on the classpath is needed; nothing else changes downstream.
         """
         frames = {}
-        for name in schemas.INPUTS:
+        for name, schema in schemas.INPUTS.items():
+            if days is not None and "event_date" in schema.fieldNames():
+                where = day_predicates(days, (day_columns or {}).get(name, "event_date"), *(splits or {}).get(name, (None, 1)))
+                read = spark.read.jdbc(url, tables[name], predicates=where, properties=properties)
+                frames[name] = _conform(normalize_mirror_columns(read), schema)
+                continue
             reader = spark.read.format("jdbc").option("url", url).option("dbtable", tables[name])
             for key, value in {**properties, **(partitioning or {}).get(name, {})}.items():
                 reader = reader.option(key, value)
@@ -90,6 +100,21 @@ class Tables:
         return cls(**frames)
 
 
+def day_predicates(days: DayRange, column: str = "event_date", split_by: str | None = None, n: int = 1) -> list[str]:
+    """One SQL predicate per day (and split) of the range, which no row meets twice.
+
+    A half-open interval rather than an equality, so that a date and a time stamp column are both met whole
+    and an index on the column serves. Splits are the remainders of an integer column; rows where it is null are in the first.
+    """
+    if n < 1 or (n > 1 and split_by is None):
+        raise ValueError("splits need a column and a number of 1 or more")
+    out = []
+    for day in days.days():
+        span = f"{column} >= DATE '{day}' AND {column} < DATE '{day + dt.timedelta(days=1)}'"
+        out += [span] if n == 1 else [f"{span} AND MOD(ABS(COALESCE({split_by}, 0)), {n}) = {i}" for i in range(n)]
+    return out
+
+
 def _read_parquet(spark: SparkSession, path: str, schema) -> DataFrame:
     """Parquet with the file's own column types conformed to ``schema``; an empty
     folder (nothing to infer from) is read with ``schema`` directly."""

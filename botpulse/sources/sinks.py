@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, Observation
@@ -20,8 +20,9 @@ def table_exists(spark, path: str) -> bool:
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", partitioned: bool = True,
-                days: DayRange | Iterable[str] | None = None, run_id: str | None = None,
-                notes: dict[str, str | None] | None = None) -> int:
+                days: DayRange | Iterable[str] | None = None, run_id: str | list[str] | None = None,
+                notes: dict[str, str | None] | None = None, mark: bool = False,
+                guard: Callable[[published.Publication], bool] | None = None) -> int:
     """Write ``df`` to ``path`` and return the number of rows written.
 
     The rows go to a new version beside the old ones and are published last (:mod:`botpulse.sources.published`): until then,
@@ -29,8 +30,9 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partitioned:
     ``mode="overwrite"`` on a day-partitioned table replaces every day of ``days``, also those for which ``df`` has no
     rows, so a rerun leaves no stale day; without ``days`` only the days in ``df``. ``mode="append"`` adds rows.
     A table without a day column is replaced or added to as a whole. With a ``run_id`` rows are taken
-    in once: a repeated run id writes nothing and returns the rows of the first time. ``notes`` are kept with the publication (None
-    removes one).
+    in once: a repeated run id (or list of ids, taken in together) writes nothing and returns the rows of the first time.
+    ``notes`` are kept with the publication (None removes one); ``mark`` notes the version of each day found. Where ``guard``
+    doesn't hold for the table as it is when the rows are published, ``Superseded`` is raised and nothing changes.
 
     The row count and the days come from an ``Observation`` on the write itself, not from a second pass.
     Day-partitioned writes go through a ``rebalance`` on ``event_date``: AQE then sizes the write tasks (small days
@@ -40,8 +42,16 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partitioned:
         raise ValueError(f"unsupported write mode {mode!r}")
     spark = df.sparkSession
     before = published.current(spark, path)
-    if run_id is not None and run_id in before.runs:
-        return before.runs[run_id]
+    ids = [run_id] if isinstance(run_id, str) else list(run_id or [])
+
+    def taken(now: published.Publication) -> bool:
+        known = [i in now.runs for i in ids]
+        if any(known) and not all(known):
+            raise Superseded(f"some of the run ids are in {path} already")
+        return any(known)
+
+    if taken(before):
+        return sum(before.runs[i] for i in ids)
     if not before.number and _holds_plain_files(spark, path):
         raise ValueError(f"{path} holds plain Parquet files: read it and write it to a new folder")
     obs = Observation()
@@ -64,13 +74,21 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partitioned:
         replaced = {d.isoformat() for d in days.days()} if isinstance(days, DayRange) else set(days)
 
     def change(now: published.Publication) -> published.Publication | None:
-        if run_id is not None and run_id in now.runs:
+        if taken(now):
             return None
+        if guard is not None and not guard(now):
+            raise Superseded(f"{path} has changed meanwhile")
         new = now.adding(version, found) if mode == "append" else now.replacing(replaced | found, version, found)
-        noted = {k: v for k, v in {**now.notes, **(notes or {})}.items() if v is not None}
-        return replace(new, notes=noted, runs=now.runs | ({run_id: rows} if run_id is not None else {}))
+        marks = {d: version for d in found} if mark else {}
+        noted = {k: v for k, v in {**now.notes, **(notes or {}), **marks}.items() if v is not None}
+        return replace(new, notes=noted, runs=now.runs | {i: 0 for i in ids[1:]} | {i: rows for i in ids[:1]})
+
+    now = published.publish(spark, path, change)
+    return sum(now.runs[i] for i in ids) if ids else rows
+
 
-    return published.publish(spark, path, change).runs.get(run_id, rows)
+class Superseded(Exception):
+    """What a write was made for has changed."""
 
 
 def _holds_plain_files(spark, path: str) -> bool:

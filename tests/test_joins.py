@@ -1,0 +1,83 @@
+"""The split join: the same rows as the plain join, and no task with a whole hot key."""
+
+from __future__ import annotations
+
+import random
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from botpulse.functions import joins
+from botpulse.operators import tags
+from helpers import CREATED, make_tables, rows
+
+
+def made(spark, seed=1, n=3000):
+    rnd = random.Random(seed)
+    keys = [rnd.choice(["hot", "hot", "warm", None, *[f"k{i}" for i in range(200)]]) for _ in range(n)]
+    left = spark.createDataFrame([(k, i, "same") for i, k in enumerate(keys)], "k string, i long, x string").repartition(6)
+    right = spark.createDataFrame([("hot", 1), ("hot", 2), ("warm", 3), ("alone", 4), (None, 5)] + [(f"k{i}", i) for i in range(0, 200, 2)],
+                                  "k string, y long").repartition(3)
+    return left, right
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+@pytest.mark.parametrize("options", [
+    {}, {"limit": 0, "split_from": 0}, {"limit": 0}, {"limit": 0, "split_from": 0, "shares": 20}, {"limit": 100, "split_from": 0, "shares": 4},
+    {"hot": ["hot", "k3", "nowhere"], "limit": 0, "shares": 5}, {"hot": []}])
+def test_same_rows_as_the_plain_join(spark, how, options):
+    left, right = made(spark)
+    assert rows(joins.split_join(left, right, "k", how, **options)) == rows(left.join(right, "k", how))
+
+
+def test_other_joins_are_refused(spark):
+    left, right = made(spark, n=3)
+    with pytest.raises(ValueError):
+        joins.split_join(left, right, "k", "full")
+
+
+def test_hot_keys_are_those_above_the_share(spark):
+    left, _ = made(spark)
+    counts = Counter(r.k for r in left.collect())
+    assert set(joins.hot_keys(left, "k", 100)) == {k for k, n in counts.items() if k is not None and n * 100 > 3000}
+    assert joins.hot_keys(left.limit(0), "k") == []
+
+
+@pytest.mark.parametrize("limit", [joins.BROADCAST_LIMIT, 0])
+def test_no_task_takes_a_whole_hot_tag(spark, limit):
+    """A third of all links have one tag: largest task of the joined rows, hot rows broadcast against or salted."""
+    n, shares = 30_000, 64
+    links = spark.range(n, numPartitions=16).select(
+        F.concat(F.lit("p"), "id").alias("prompt_id"),
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("t"), F.col("id") % 5000)).alias("tag_id"))
+    names = spark.range(5000).select(F.concat(F.lit("t"), "id").alias("tag_id"), F.lit("n").alias("name")).union(
+        spark.createDataFrame([("hot", "h")], "tag_id string, name string"))
+    old = {k: spark.conf.get(k, None) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", 64)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # nothing but the join's own dealing
+    try:
+        def largest(df):
+            return max(r["count"] for r in df.groupBy(F.spark_partition_id().alias("task")).count().collect())
+
+        plain = largest(links.join(names, "tag_id"))
+        split = joins.split_join(links, names, "tag_id", hot=joins.hot_keys(links, "tag_id", shares), shares=shares, limit=limit)
+        assert plain >= n // 3 and largest(split) <= n // 10
+        assert split.count() == n
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
+def test_tag_jobs_with_a_hot_tag_and_path(spark, monkeypatch):
+    """The tag jobs give the same rows when every join of theirs is split."""
+    rnd = random.Random(2)
+    links = [(f"p{i}", rnd.choice(["v0", "v0", "w0", *[f"v{j}" for j in range(9)], "w1", "gone"])) for i in range(400)]
+    made_tags = [(f"v{j}", f"V5 name{j}", 1, CREATED) for j in range(9)] + [("w0", "flow", 2, CREATED), ("w1", None, 2, CREATED), ("z", "z", 3, CREATED)]
+    t = make_tables(spark, links=links + [(f"p{i}", "w0") for i in range(0, 400, 3)], tags=made_tags)
+    from botpulse.functions.dates import DayRange
+
+    days = DayRange.of("2024-01-01")
+    plain = [rows(tags.luna_tags(t, days)), rows(tags.v5_tags(t, days)), rows(tags.v5_tag_pieces(t))]
+    monkeypatch.setattr(tags, "split_join", lambda a, b, key: joins.split_join(a, b, key, shares=10, limit=0, split_from=0))
+    assert [rows(tags.luna_tags(t, days)), rows(tags.v5_tags(t, days)), rows(tags.v5_tag_pieces(t))] == plain and all(plain)

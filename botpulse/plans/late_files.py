@@ -24,7 +24,7 @@ from botpulse.sources.catalog import Tables
 from botpulse.sources.sinks import read_table, write_table
 from botpulse.streaming.refresh import contiguous_ranges
 
-ALL_DAYS = DayRange(dt.date(1, 1, 1), dt.date(9999, 12, 31))
+ALL_DAYS = DayRange(dt.date(1000, 1, 1), dt.date(9999, 12, 31))
 SUMMARIES = {  # event table → its summary, the summing function, the bot's column
     "chat_send": ("chat_user_bot_daily", summaries.summarize_chats, "prompt_id"),
     "bot_view": ("view_user_bot_daily", summaries.summarize_views, "bot_id"),

@@ -1,0 +1,338 @@
+"""Incremental upkeep against full reruns: the dimension, failed ranges, repeated run ids, backfills, late files, JDBC days."""
+
+from __future__ import annotations
+
+import datetime as dt
+import random
+from collections import Counter
+
+import pytest
+
+from botpulse.functions.dates import DayRange
+from botpulse.operators import prompt_metrics as pm
+from botpulse.operators import rollups, tags
+from botpulse.plans import backfill, daily_run
+from botpulse.plans.backfill import chunks, run_backfill
+from botpulse.plans.daily_run import run_reports
+from botpulse.plans.late_files import EventStore
+from botpulse.sources import published, schemas
+from botpulse.sources.catalog import Tables, day_predicates
+from botpulse.sources.sinks import Superseded, read_table
+from helpers import LUNA_PATH, V5_PATH, frame, make_tables, rows
+
+START = dt.date(2024, 1, 1)
+DIMENSION_JOBS = {"aigc_tag", "aigc_tag_seed", "aigc_tag_v5"}
+
+
+def day(i: int) -> dt.date:
+    return START + dt.timedelta(days=i)
+
+
+def catalogue(links, flows, v5) -> dict:
+    """flows: tag id → (name, day number); v5: tag id → name."""
+    made = [(i, name, 2, dt.datetime.combine(day(n), dt.time(9))) for i, (name, n) in flows.items()]
+    made += [(i, name, 1, dt.datetime(2024, 1, 1)) for i, name in v5.items()]
+    return {"links": sorted(links), "tags": made, "paths": (V5_PATH, LUNA_PATH)}
+
+
+def dimension(spark, out):
+    return rows(read_table(spark, "aigc_tag_v5", f"{out}/aigc_tag_v5"))
+
+
+# ---- D3 by day --------------------------------------------------------------------------------------------
+@pytest.mark.parametrize("seed", [1, 2])
+def test_dimension_equals_a_full_rebuild_after_any_sequence_of_runs(spark, tmp_path, monkeypatch, seed):
+    rnd = random.Random(seed)
+    out = str(tmp_path / "out")
+    flows = {f"w{i}": (rnd.choice(["flow", "other", None]), i % 6) for i in range(8)}
+    v5 = {"v1": "V5 x", "v2": "V5 y", "v3": None}
+    links = {(f"p{rnd.randrange(12)}", rnd.choice([*flows, *v5])) for _ in range(50)}
+    real, read, calls = tags.enrich_v5, [], []
+
+    def counted(t, source, *args, **options):
+        calls.append(sorted({r[0] for r in source.select("event_date").collect()}))
+        read.append(source.count())
+        return real(t, source, *args, **options)
+
+    monkeypatch.setattr(tags, "enrich_v5", counted)
+    csv = tmp_path / "seed.csv"
+    csv.write_bytes(b"id,workflow\np1,seeded\np3,seeded\n")
+    for turn in range(6):
+        kind = rnd.choice(["links", "tag day moves", "nothing", "seed"]) if turn else "nothing"
+        if kind == "links":
+            links = links ^ {(f"p{rnd.randrange(12)}", rnd.choice([*v5])) for _ in range(2)}
+        if kind == "tag day moves":
+            name = rnd.choice(sorted(flows))
+            flows[name] = (flows[name][0], rnd.randrange(6))
+        t = make_tables(spark, **catalogue(links, flows, v5))
+        first = rnd.randrange(6)
+        run = DayRange(day(first), day(rnd.randrange(first, 6)))
+        options = {"seed_csv": str(csv), "seed_date": day(rnd.randrange(6))} if kind == "seed" else {}
+        status = run_reports(t, run, out, jobs=DIMENSION_JOBS, parallelism=1, **options)
+        assert all(s.ok for s in status.values())
+        source = read_table(spark, "aigc_tag", f"{out}/aigc_tag")
+        if published.current(spark, f"{out}/aigc_tag_seed").number:
+            source = source.unionByName(read_table(spark, "aigc_tag", f"{out}/aigc_tag_seed"))
+        assert dimension(spark, out) == rows(real(t, source)), (turn, kind)
+    assert dimension(spark, out)
+
+
+def test_rows_read_for_the_dimension_do_not_grow_with_history(spark, tmp_path, monkeypatch):
+    out, seen = str(tmp_path / "out"), []
+    flows = {f"w{i}": ("flow", i) for i in range(10)}
+    links = {(f"p{i}_{j}", f"w{i}") for i in range(10) for j in range(5)} | {(f"p{i}_{j}", "v") for i in range(10) for j in range(5)}
+    t = make_tables(spark, **catalogue(links, flows, {"v": "V5 x"}))
+    real = tags.enrich_v5
+
+    def counted(t_, source, *args, **options):
+        seen.append(source.count())
+        return real(t_, source, *args, **options)
+
+    monkeypatch.setattr(tags, "enrich_v5", counted)
+    for i in range(10):
+        status = run_reports(t, DayRange.of(day(i)), out, jobs=DIMENSION_JOBS, parallelism=1)
+        assert status["aigc_tag_v5"].rows == 5
+    assert seen == [5] * 10 and len(dimension(spark, out)) == 50
+    changed = make_tables(spark, **catalogue(links - {("p3_1", "v")}, flows, {"v": "V5 x"}))
+    run_reports(changed, DayRange.of(day(9)), out, jobs=DIMENSION_JOBS, parallelism=1)
+    assert seen[-1] == 10 and len(dimension(spark, out)) == 49  # the run's day and the changed bot's day
+
+
+def test_days_of_a_run_that_broke_off_are_made_up_for(spark, tmp_path, monkeypatch):
+    out = str(tmp_path / "out")
+    t = make_tables(spark, **catalogue({("p1", "w"), ("p1", "v"), ("p2", "u"), ("p2", "v")}, {"w": ("flow", 0), "u": ("flow", 1)}, {"v": "V5 x"}))
+    real = tags.enrich_v5
+    monkeypatch.setattr(tags, "enrich_v5", lambda *a, **b: 1 / 0)
+    assert not run_reports(t, DayRange.of(day(0)), out, jobs=DIMENSION_JOBS, parallelism=1)["aigc_tag_v5"].ok
+    monkeypatch.setattr(tags, "enrich_v5", real)
+    assert run_reports(t, DayRange.of(day(1)), out, jobs=DIMENSION_JOBS, parallelism=1)["aigc_tag_v5"].ok
+    assert dimension(spark, out) == [("p1", "flow", "x"), ("p2", "flow", "x")]
+
+
+# ---- P5: halves -------------------------------------------------------------------------------------------
+def events_tables(spark, n_days):
+    return make_tables(spark, shows=[(day(i), i, "p1", 1) for i in range(n_days)], views=[(day(i), i, "p1", 1) for i in range(n_days)],
+                       chats=[(day(i), i, "p1", i % 3, None) for i in range(n_days)],
+                       **catalogue({("p1", "w"), ("p1", "v")}, {"w": ("flow", 0)}, {"v": "V5 x"}))
+
+
+@pytest.mark.parametrize("bad", [[17], [0, 63]])
+def test_a_bad_day_of_64_is_found_by_halves(spark, tmp_path, monkeypatch, bad):
+    t, out, tried = events_tables(spark, 64), str(tmp_path / "out"), []
+    real = pm.chat_rounds_daily
+
+    def broken(t_, days):
+        tried.append(days)
+        if any(days.start <= day(b) <= days.end for b in bad):
+            raise RuntimeError("simulated failure")
+        return real(t_, days)
+
+    monkeypatch.setattr(pm, "chat_rounds_daily", broken)
+    status = run_reports(t, DayRange(day(0), day(63)), out, parallelism=1, jobs=DIMENSION_JOBS | {"chat_rounds_daily"})["chat_rounds_daily"]
+    assert not status.ok and set(status.failures) == {str(day(b)) for b in bad}
+    assert len(tried) <= 1 + 12 * len(bad)
+    left = read_table(spark, "chat_rounds_daily", f"{out}/chat_rounds_daily")
+    assert status.rows == left.count()
+    assert {r[0] for r in left.select("event_date").collect()} == {day(i) for i in range(64)} - {day(b) for b in bad}
+
+
+def test_a_bad_metric_of_a_bad_day(spark, tmp_path, monkeypatch):
+    t, out = events_tables(spark, 8), str(tmp_path / "out")
+    real = rollups.metrics_by_workflow
+
+    def broken(t_, days, metrics):
+        if days.start <= day(5) <= days.end and "click_rate" in metrics:
+            raise RuntimeError("simulated failure")
+        return real(t_, days, metrics)
+
+    monkeypatch.setattr(rollups, "metrics_by_workflow", broken)
+    status = run_reports(t, DayRange(day(0), day(7)), out, parallelism=1, jobs=DIMENSION_JOBS | {"metrics_by_workflow"})["metrics_by_workflow"]
+    assert set(status.failures) == {f"{day(5)} click_rate"}
+    left = Counter((r.event_date, r.metric_type) for r in read_table(spark, "metrics_by_workflow", f"{out}/metrics_by_workflow").collect())
+    metrics = ("click_rate", "chat_start_rate", "chat_depth_user")
+    assert set(left) == {(day(i), m) for i in range(8) for m in metrics} - {(day(5), "click_rate")} and set(left.values()) == {1}
+
+
+# ---- run ids ----------------------------------------------------------------------------------------------
+def test_a_repeated_run_id_adds_nothing_and_fills_what_was_missing(spark, tmp_path, monkeypatch):
+    t, out = events_tables(spark, 4), str(tmp_path / "out")
+    jobs = DIMENSION_JOBS | {"chat_rounds_daily", "metrics_by_workflow"}
+    real = pm.chat_rounds_daily
+
+    def broken(t_, days):
+        if days.start <= day(2) <= days.end:
+            raise RuntimeError("simulated failure")
+        return real(t_, days)
+
+    def run(run_id):
+        return run_reports(t, DayRange(day(0), day(3)), out, mode="append", parallelism=1, jobs=jobs, run_id=run_id)
+
+    monkeypatch.setattr(pm, "chat_rounds_daily", broken)
+    assert set(run("a")["chat_rounds_daily"].failures) == {str(day(2))}
+    monkeypatch.setattr(pm, "chat_rounds_daily", real)
+    assert run("a")["chat_rounds_daily"].ok  # the missing day only
+    for _ in range(2):
+        assert all(s.ok for s in run("a").values())
+    for name in ("chat_rounds_daily", "metrics_by_workflow", "aigc_tag_v5"):
+        stored = read_table(spark, name, f"{out}/{name}")
+        assert stored.count() == stored.distinct().count() == {"chat_rounds_daily": 4, "metrics_by_workflow": 12, "aigc_tag_v5": 1}[name]
+    run("b")  # another run accumulates
+    assert read_table(spark, "aigc_tag_v5", f"{out}/aigc_tag_v5").count() == 2
+
+
+# ---- P2: chunks and the ledger ----------------------------------------------------------------------------
+def test_chunks_are_sized_by_bytes():
+    sizes = {str(day(i)): s for i, s in enumerate([5, 5, 5, 40, 0, 1, 1, 9, 2])}
+    found = chunks(sizes, 10)
+    assert [(c.start, c.end) for c in found] == [(day(0), day(1)), (day(2), day(2)), (day(3), day(3)), (day(4), day(6)), (day(7), day(7)), (day(8), day(8))]
+    assert chunks({}, 10) == []
+
+
+def test_day_bytes_of_folders_and_of_rows(spark, tmp_path):
+    t = events_tables(spark, 3)
+    by_rows = backfill.day_bytes(t.chat_send, DayRange(day(0), day(3)))
+    assert len(set(list(by_rows.values())[:3])) == 1 and by_rows[str(day(0))] > 0 and by_rows[str(day(3))] == 0
+    path = str(tmp_path / "chat")
+    t.chat_send.write.partitionBy("event_date").parquet(path)
+    by_files = backfill.day_bytes(spark.read.parquet(path), DayRange(day(0), day(3)))
+    assert by_files[str(day(1))] == sum(f.stat().st_size for f in (tmp_path / "chat" / f"event_date={day(1)}").glob("*.parquet"))
+
+
+def test_a_killed_backfill_resumes_at_the_first_open_chunk(spark, tmp_path, monkeypatch):
+    t, out, whole = events_tables(spark, 6), str(tmp_path / "out"), str(tmp_path / "whole")
+    days = DayRange(day(0), day(5))
+    only = {"chat_user_bot_daily", "aigc_tag", "aigc_tag_v5", "tags_exploded", "chat_rounds_daily", "chat_depth_total_compare"}
+    monkeypatch.setattr(backfill, "_ORDER", [n for n in daily_run._ORDER if n in only])
+    size = backfill.day_bytes(t.chat_send, days)
+    per_chunk = 3 * 2 * max(size.values())  # two days of the three event tables, about
+    real, ran = backfill.run_reports, []
+
+    def killed(t_, part, *args, **options):
+        ran.append(part)
+        if part.start == day(2) and len(ran) < 5 and "kill" in armed:
+            armed.clear()
+            raise KeyboardInterrupt
+        return real(t_, part, *args, **options)
+
+    armed = {"kill"}
+    monkeypatch.setattr(backfill, "run_reports", killed)
+    with pytest.raises(KeyboardInterrupt):
+        run_backfill(t, days, out, per_chunk, parallelism=1)
+    before = published.current(spark, f"{out}/chat_rounds_daily")
+    done = ran[:-1]
+    ran.clear()
+    status = run_backfill(t, days, out, per_chunk, parallelism=1)
+    assert all(s.ok for part in status.values() for s in part.values())
+    assert not set(done) & set(ran) and ran[0].start == day(2)
+    after = published.current(spark, f"{out}/chat_rounds_daily")
+    assert all(after.parts[d] == v for d, v in before.parts.items())  # finished chunks' files are the same
+    run_reports(t, days, whole, parallelism=1, jobs=only)
+    for name in only:
+        schema = read_table(spark, name, f"{whole}/{name}").schema
+        assert rows(read_table(spark, name, f"{out}/{name}", schema)) == rows(read_table(spark, name, f"{whole}/{name}", schema)), name
+    assert run_backfill(t, days, out, per_chunk, parallelism=1) == {}
+    again = run_backfill(t, days, out, per_chunk, parallelism=1, again=True)
+    assert set(again) == {"dimension", *(f"{p.start}_{p.end}" for p in done[1:]), *status}
+
+
+# ---- late files -------------------------------------------------------------------------------------------
+def test_late_files_in_any_order_equal_a_full_rerun(spark, tmp_path):
+    rnd = random.Random(8)
+    schema = {"show_prompt_card": schemas.SHOW_PROMPT_CARD, "bot_view": schemas.BOT_VIEW, "chat_send": schemas.CHAT_SEND}
+
+    def event(table):
+        row = (day(rnd.randrange(3)), rnd.choice([None, *range(12)]), rnd.choice(["p1", "p2", "p9"]), rnd.choice([None, 1, 2, 3]))
+        return (*row, rnd.choice([None, "send", "regenerate"])) if table == "chat_send" else row
+
+    files = {table: {f"{table}-{i}": [event(table) for _ in range(rnd.randrange(1, 12))] for i in range(5)} for table in schema}
+    base = catalogue({("p1", "w"), ("p1", "v"), ("p2", "w"), ("p2", "v")}, {"w": ("flow", 0)}, {"v": "V5 x"})
+    everything = {table: [e for events in files[table].values() for e in events] for table in schema}
+    t = make_tables(spark, shows=everything["show_prompt_card"], views=everything["bot_view"], chats=everything["chat_send"], **base)
+    jobs = {"chat_user_bot_daily", "view_user_bot_daily", "show_user_bot_daily", "aigc_tag", "aigc_tag_v5", "click_rate_daily",
+            "chat_start_daily", "metrics_by_workflow", "chat_depth_compare", "chat_start_total_compare"}
+    run_reports(t, DayRange(day(0), day(2)), str(tmp_path / "full"), jobs=jobs)
+    store, none = EventStore(spark, str(tmp_path / "store")), make_tables(spark, **base)
+    order = [(table, name) for table in schema for name in files[table]]
+    rnd.shuffle(order)
+    out = str(tmp_path / "out")
+    for at, (table, name) in enumerate(order):
+        batch = {name: frame(spark, files[table][name], schema[table])}
+        if at % 3 == 2:  # a replay, alone or together with a new file
+            old_table, old = order[at - 1]
+            if old_table == table:
+                batch[old] = frame(spark, files[table][old], schema[table])
+            else:
+                assert store.ingest(old_table, {old: frame(spark, files[old_table][old], schema[old_table])}) == 0
+        store.ingest(table, batch)
+        if at == 7:
+            assert all(s.ok for part in store.refresh(none, out, jobs=jobs).values() for s in part.values())
+            assert store.compact("chat_send", from_versions=2) or store.compact("bot_view", from_versions=2)
+    assert all(s.ok for part in store.refresh(none, out, jobs=jobs).values() for s in part.values())
+    assert store.refresh(none, out, jobs=jobs) == {}
+    assert store.ingest("chat_send", {n: frame(spark, e, schema["chat_send"]) for n, e in files["chat_send"].items()}) == 0
+    assert store.refresh(none, out, jobs=jobs) == {}  # replays touch nothing
+    for name in jobs:
+        assert rows(read_table(spark, name, f"{out}/{name}")) == rows(read_table(spark, name, f"{tmp_path}/full/{name}")), name
+
+
+def test_compaction_gives_way_to_an_addition(spark, tmp_path, monkeypatch):
+    store = EventStore(spark, str(tmp_path / "store"))
+
+    def chat(user):
+        return frame(spark, [(day(0), 1, "p1", user, None)], schemas.CHAT_SEND)
+
+    store.ingest("chat_send", {"a": chat(1)})
+    store.ingest("chat_send", {"b": chat(1)})
+    real = EventStore.merged
+
+    def late(self, table, days=None):
+        found = real(self, table, days)
+        self.ingest("chat_send", {"c": chat(2)})
+        return found
+
+    monkeypatch.setattr(EventStore, "merged", late)
+    with pytest.raises(Superseded):
+        store.compact("chat_send", from_versions=2)
+    monkeypatch.setattr(EventStore, "merged", real)
+    assert rows(store.merged("chat_send"), "user_id", "n_msgs") == [(1, 2), (2, 1)]
+    assert store.compact("chat_send", from_versions=2) == [str(day(0))]
+    assert rows(store.merged("chat_send"), "user_id", "n_msgs") == [(1, 2), (2, 1)]
+
+
+# ---- JDBC days --------------------------------------------------------------------------------------------
+def test_day_predicates_meet_every_row_of_the_range_once(spark):
+    days = DayRange(day(0), day(2))
+    for column in ("d", "at"):
+        for split in ((), ("u", 3)):
+            where = day_predicates(days, column, *split)
+            assert len(where) == 3 * (split[1] if split else 1)
+            df = spark.createDataFrame([(day(i), dt.datetime.combine(day(i), dt.time(h, 59, 59)), u) for i in range(-1, 5) for h in (0, 23) for u in (None, 0, -4, 5)],
+                                       "d date, at timestamp, u long")
+            met = [sum(df.where(w).count() for w in where), df.where(" OR ".join(f"({w})" for w in where)).count()]
+            assert met == [24, 24]
+    with pytest.raises(ValueError):
+        day_predicates(days, "d", n=2)
+
+
+def test_event_tables_are_read_over_jdbc_day_by_day(spark, monkeypatch):
+    from pyspark.sql.readwriter import DataFrameReader
+
+    t, asked, options = make_tables(spark, chats=[(day(0), 1, "p1", 1, None)]), {}, {}
+    names = {name: f"app.{name}" for name in schemas.INPUTS}
+
+    def jdbc(self, url, table, predicates=None, properties=None, **_):
+        asked[table] = predicates
+        return getattr(t, table.removeprefix("app."))
+
+    def load(self, *_args, **_kwargs):
+        options["load"] = options.get("load", 0) + 1
+        return [t.prompt_tag_link, t.prompt_tag, t.prompt_tag_path][options["load"] - 1]
+
+    monkeypatch.setattr(DataFrameReader, "jdbc", jdbc)
+    monkeypatch.setattr(DataFrameReader, "load", load)
+    got = Tables.from_jdbc(spark, "jdbc:x", {"user": "u"}, names, days=DayRange(day(0), day(1)),
+                           day_columns={"chat_send": '"eventDate"'}, splits={"bot_view": ("user_id", 2)})
+    assert got.chat_send.count() == 1
+    assert asked["app.chat_send"] == ["\"eventDate\" >= DATE '2024-01-01' AND \"eventDate\" < DATE '2024-01-02'",
+                                      "\"eventDate\" >= DATE '2024-01-02' AND \"eventDate\" < DATE '2024-01-03'"]
+    assert len(asked["app.bot_view"]) == 4 and len(asked) == 4 and options["load"] == 3

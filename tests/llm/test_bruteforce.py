@@ -202,6 +202,50 @@ def test_dart_signatures_estimate_the_weighted_similarity():
         assert abs(np.mean(agreed) - np.mean(true)) < 0.025
 
 
+def test_links_beside_a_hot_core(spark):
+    """Pairs at similarity 0.8 that share a hot core which is alike to neither (too short, or just below)."""
+    rows, partner = [], {}
+    for family in range(10):
+        core = [f"c{family}_{i}" for i in range(104)]
+        rows += [(len(rows) + i, " ".join([*core[:103 - i], *[f"e{family}_{i}_{j}" for j in range(i + 1)]][:104])) for i in range(0, 3)]
+        for copy in range(27):
+            rows.append((len(rows), " ".join([*core[:-1], f"end{family}_{copy}"])))
+        for pair in range(24):
+            shared = [f"s{family}_{pair}_{i}" for i in range(12)]
+            for side in "ab":
+                rows.append((len(rows), " ".join([*core, *shared, *[f"{side}{family}_{pair}_{i}" for i in range(14)]])))
+            partner[len(rows) - 1] = len(rows) - 2
+    got = {r.doc_id: r.class_id for r in dart_minhash.near_duplicate_classes(frame(spark, rows)).collect()}
+    assert len(partner) == 240 and [k for k, other in partner.items() if got[k] != got[other]] == []
+    assert len({got[k] for k in partner}) == 240  # no two pairs in one class
+
+
+def test_links_inside_a_longer_centre(spark):
+    """Truncations of one text: each is alike to the next, none to the whole text, and all they share lies in it."""
+    words = [f"w{i}" for i in range(900)]
+    rows = [(i, " ".join(words[:n])) for i, n in enumerate([900, 899, 898, 897, 500, 450, 400, 150, 140, 130, 120])]
+    rows += [(100 + i, " ".join([*words[:896], f"x{i}"])) for i in range(20)]
+    sets = {i: Counter(tuple(t.split()[k:k + 5]) for k in range(len(t.split()) - 4)) for i, t in rows}
+    root = {i: i for i in sets}
+    for a in sorted(sets):
+        for b in sorted(sets):
+            if a < b and sum((sets[a] & sets[b]).values()) / sum((sets[a] | sets[b]).values()) >= 0.8:
+                low, high = sorted((root[a], root[b]))
+                root = {k: low if r == high else r for k, r in root.items()}
+    got = {r.doc_id: r.class_id for r in dart_minhash.near_duplicate_classes(frame(spark, rows)).collect()}
+    assert got == root and len(set(root.values())) == 3
+
+
+def test_prefix_of_repeated_foreign_shingles():
+    a = np.sort(np.array([1] * 8 + [2, 3, 4, 5, 6], np.uint64))
+    centre = np.array([7, 8, 9], np.uint64)
+    assert set(dart_minhash.foreign_part(a, centre, False, 0.8)) == {1}  # 11 of 13 must be hit: three occurrences do
+    assert set(dart_minhash.foreign_part(a, centre, True, 0.8)) == {1, 2, 3, 4, 5, 6}
+    inside = np.array([7, 8], np.uint64)
+    assert set(dart_minhash.foreign_part(inside, centre, False, 0.8)) == {dart_minhash.INSIDE}
+    assert set(dart_minhash.foreign_part(np.array([7, 10], np.uint64), centre, False, 0.8)) == {10}
+
+
 # 5 decontamination
 
 def test_reparameterised_items_are_found(spark):

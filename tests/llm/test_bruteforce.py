@@ -236,14 +236,19 @@ def test_links_inside_a_longer_centre(spark):
     assert got == root and len(set(root.values())) == 3
 
 
-def test_prefix_of_repeated_foreign_shingles():
-    a = np.sort(np.array([1] * 8 + [2, 3, 4, 5, 6], np.uint64))
-    centre = np.array([7, 8, 9], np.uint64)
-    assert set(dart_minhash.foreign_part(a, centre, False, 0.8)) == {1}  # 11 of 13 must be hit: three occurrences do
-    assert set(dart_minhash.foreign_part(a, centre, True, 0.8)) == {1, 2, 3, 4, 5, 6}
-    inside = np.array([7, 8], np.uint64)
-    assert set(dart_minhash.foreign_part(inside, centre, False, 0.8)) == {dart_minhash.INSIDE}
-    assert set(dart_minhash.foreign_part(np.array([7, 10], np.uint64), centre, False, 0.8)) == {10}
+def test_groups_around_a_centre():
+    tokens = dart_minhash.tokens
+    a = tokens(np.sort(np.array([1] * 8 + [2, 3, 4, 5, 6], np.uint64)))
+    assert len(a) == 13  # occurrences are tokens
+    centre = tokens(np.array([7, 8, 9], np.uint64))
+    linked, foreign, prefix = dart_minhash.around_centre(a, centre, 0.8)
+    assert (linked, len(foreign), prefix) == (False, 13, 3)  # a partner hits 11 of the 13, so one of any three
+    linked, foreign, prefix = dart_minhash.around_centre(tokens(np.array([7, 8], np.uint64)), centre, 0.8)
+    assert (linked, foreign.tolist(), prefix) == (False, [dart_minhash.INSIDE], 0)
+    linked, foreign, _ = dart_minhash.around_centre(tokens(np.array([7, 10], np.uint64)), centre, 0.8)
+    assert not linked and len(foreign) == 1 and dart_minhash.INSIDE not in foreign
+    linked, foreign, prefix = dart_minhash.around_centre(tokens(np.arange(4, dtype=np.uint64)), tokens(np.arange(5, dtype=np.uint64)), 0.8)
+    assert (linked, foreign.tolist(), prefix) == (True, [dart_minhash.INSIDE], 0)
 
 
 # 5 decontamination

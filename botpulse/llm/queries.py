@@ -19,7 +19,7 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
-# Runs of three lines: content of each window, its first place, lines covered by later places.
+# Runs of three lines, or of fewer with 8 words: content of each, its first place, lines covered by later places.
 OP1_SQL = r"""
 WITH raw AS (
   SELECT doc_id, coalesce(text, '') AS text FROM documents
@@ -29,18 +29,25 @@ WITH raw AS (
 ), stripped AS (
   SELECT *, trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS body FROM parts
 ), numbered AS (
-  SELECT doc_id, place, body, row_number() OVER (PARTITION BY doc_id ORDER BY place) AS number
+  SELECT doc_id, place, body, len(regexp_extract_all(body, '[^\x20\x09-\x0D]+')) AS n_words,
+         row_number() OVER (PARTITION BY doc_id ORDER BY place) AS number
   FROM stripped WHERE body <> ''
-), windows AS (
-  SELECT doc_id, place, number,
-         body || chr(10) || lead(body, 1) OVER w || chr(10) || lead(body, 2) OVER w AS content
+), following AS (
+  SELECT *, lead(body, 1) OVER w AS second, lead(body, 2) OVER w AS third, lead(n_words, 1) OVER w AS n_second
   FROM numbered WINDOW w AS (PARTITION BY doc_id ORDER BY number)
+), runs AS (
+  SELECT doc_id, number, 1 AS lines, body AS content FROM following WHERE n_words >= 8
+  UNION ALL
+  SELECT doc_id, number, 2, body || chr(10) || second FROM following WHERE n_words + n_second >= 8
+  UNION ALL
+  SELECT doc_id, number, 3, body || chr(10) || second || chr(10) || third FROM following WHERE third IS NOT NULL
 ), ranked AS (
-  SELECT doc_id, place, number, content IS NOT NULL
-         AND row_number() OVER (PARTITION BY content ORDER BY doc_id, number) > 1 AS later FROM windows
+  SELECT doc_id, number, lines, row_number() OVER (PARTITION BY lines, content ORDER BY doc_id, number) > 1 AS later FROM runs
+), covered AS (
+  SELECT DISTINCT doc_id, number + unnest(range(lines)) AS number FROM ranked WHERE later
 ), lines_out AS (
-  SELECT doc_id, place, max(later::INT) OVER (PARTITION BY doc_id ORDER BY number
-         ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS gone FROM ranked
+  SELECT n.doc_id, n.place, (c.number IS NOT NULL)::INT AS gone FROM numbered n
+  LEFT JOIN covered c ON c.doc_id = n.doc_id AND c.number = n.number
 ), marked AS (
   SELECT s.doc_id, s.place, s.line, coalesce(l.gone, 0) AS gone
   FROM stripped s LEFT JOIN lines_out l ON s.doc_id = l.doc_id AND s.place = l.place

@@ -47,6 +47,52 @@ def test_line_dedup(spark):
     assert any(n for _, n in expected.values())
 
 
+def deleted_lines(bodies, run=3, words=8):
+    """Line numbers that go, per document: bodies are (key, stripped lines) in the order of places."""
+    first: dict[tuple, tuple] = {}
+    gone = {i: set() for i, _ in bodies}
+    for i, body in bodies:
+        for k in range(len(body)):
+            for n in range(1, run + 1):
+                part = tuple(body[k:k + n])
+                if len(part) == n and (n == run or sum(len(re.findall(WORD, s)) for s in part) >= words):
+                    if first.setdefault(part, (i, k)) != (i, k):
+                        gone[i] |= set(range(k, k + n))
+    return gone
+
+
+@pytest.mark.parametrize("run, words", [(3, 8), (2, 4), (4, 6), (1, 1)])
+def test_line_dedup_by_words(spark, run, words):
+    rnd = random.Random(run)
+    pool = ["a", "b c", " d e f", "g h i j ", "k l m n o p", "q r s t u v w x y", "z " * 9, "", "\u00a0 \u2003 x"]
+    rows = [(i, "\n".join(rnd.choice(pool) if rnd.random() < 0.7 else f"own {rnd.random()} line" for _ in range(rnd.randrange(0, 12))))
+            for i in range(150)]
+    bodies = [(i, [s for line in t.split("\n") if (s := line.strip(" \t\n\x0b\x0c\r"))]) for i, t in rows]
+    gone = deleted_lines(bodies, run, words)
+    got = {r.doc_id: r for r in line_dedup.line_dedup(frame(spark, rows), run=run, words=words).collect()}
+    for i, body in bodies:
+        kept = [s for line in got[i].kept_text.split("\n") if (s := line.strip(" \t\n\x0b\x0c\r"))]
+        assert got[i].n_removed == len(gone[i]) and kept == [s for k, s in enumerate(body) if k not in gone[i]]
+    assert any(gone.values())
+
+
+def test_passage_written_as_one_line_and_pairs_of_lines(spark):
+    passage = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, passage), (2, f"new\n{passage}\nend"), (3, "five words are in here\nand four in here"),
+            (4, "five words are in here\nand four in here\nmore"), (5, "short line"), (6, "short line")]
+    got = {r.doc_id: (r.kept_text, r.n_removed) for r in line_dedup.line_dedup(frame(spark, rows)).collect()}
+    assert got[2] == ("new\nend", 1) and got[4] == ("more", 2) and got[6] == ("short line", 0)
+    assert got[1][1] == got[3][1] == got[5][1] == 0
+
+
+def test_fingerprints_are_fewer_than_windows_and_in_every_window():
+    h = np.random.default_rng(4).integers(0, 2 ** 63, 3000).astype(np.uint64)
+    at = line_dedup.fingerprints(h, np.ones(3000, np.int64), 3, 8)
+    assert np.diff(np.concatenate([[-1], at, [3000]])).max() <= 3
+    assert len(at) < 0.6 * 3000
+    assert len(line_dedup.fingerprints(h[:2], np.ones(2, np.int64), 3, 8)) == 0
+
+
 # 2 quality
 
 def test_quality_base_figures():

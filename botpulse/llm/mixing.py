@@ -8,11 +8,14 @@ that weighted tokens match the targets. The decision of a document depends on it
 seed only.
 
 Cells are summed with map-side combining. Up to ``MAX_CELLS`` of them are raked on the driver; more are
-raked by the same steps as joins and sums of the cell table.
+raked by the same steps, with the same stop rule and normalisation, as joins and sums of the cell table. If the
+targets are not met after ``ROUNDS`` rounds (cells that they need may not exist), an ``UnmetTargets`` warning says by how much.
 """
 
 from __future__ import annotations
 
+import warnings
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,6 +26,17 @@ DIMENSIONS = ("source", "lang", "topic")
 MAX_CELLS = 100_000
 ROUNDS, TOLERANCE = 60, 1e-10
 MISSING = "(null)"
+NO_GOAL = "no value of a dimension has a positive target"
+NO_CELL = "the targets exclude each other: no cell is left"
+
+
+class UnmetTargets(UserWarning):
+    """Raking ended with sums that differ from their targets."""
+
+
+def _report(error: float) -> None:
+    if error >= TOLERANCE:
+        warnings.warn(f"after {ROUNDS} rounds a share still differs from its target by {error:.3g}", UnmetTargets, stacklevel=4)
 
 
 def topic_of(text: Column) -> Column:
@@ -45,13 +59,15 @@ def target_shares(totals: dict[str, float], given: dict[str, float] | None, temp
     raw = {v: float((given or {}).get(v, 0.0)) if given is not None else t ** temperature for v, t in totals.items()}
     total = sum(raw.values())
     if total <= 0:
-        raise ValueError("no value of a dimension has a positive target")
+        raise ValueError(NO_GOAL)
     return {v: x / total for v, x in raw.items()}
 
 
-def rake(tokens: np.ndarray, codes: list[np.ndarray], targets: list[np.ndarray]) -> np.ndarray:
-    """Cell weights (sum 1) whose sums along each dimension approach the targets."""
+def rake(tokens: np.ndarray, codes: list[np.ndarray], targets: list[np.ndarray]) -> tuple[np.ndarray, float]:
+    """Cell weights (sum 1) whose sums along each dimension approach the targets, and the largest
+    difference between a sum and its target in the last round."""
     w = tokens / tokens.sum()
+    worst = 0.0
     for _ in range(ROUNDS):
         worst = 0.0
         for code, target in zip(codes, targets):
@@ -60,7 +76,9 @@ def rake(tokens: np.ndarray, codes: list[np.ndarray], targets: list[np.ndarray])
             w = w * np.divide(target, now, out=np.zeros_like(target), where=now > 0)[code]
         if worst < TOLERANCE:
             break
-    return w / w.sum()
+    if not w.sum() > 0:
+        raise ValueError(NO_CELL)
+    return w / w.sum(), worst
 
 
 def scale_to_budget(tokens: np.ndarray, ratio: np.ndarray, budget: float) -> float:
@@ -94,7 +112,9 @@ def _raked_on_driver(cells: DataFrame, names: list[str], targets: dict, temperat
         shares = target_shares(totals, targets.get(n), temperature)
         codes.append(code)
         wanted.append(np.array([shares[v] for v in values]))
-    ratio = rake(tokens, codes, wanted) / tokens
+    w, error = rake(tokens, codes, wanted)
+    _report(error)
+    ratio = w / tokens
     factor = scale_to_budget(tokens, ratio, fraction * tokens.sum())
     if np.isinf(factor):
         factor = 1.0 / ratio[ratio > 0].min()
@@ -119,20 +139,26 @@ def _raked_by_joins(cells: DataFrame, names: list[str], targets: dict, temperatu
             goal = totals_of(cells, n, "tokens").select(n, F.pow(F.col("sum").cast("double"), temperature).alias("goal"))
         all_goals = staged(goal, "mix-targets")
         whole = all_goals.agg(F.sum("goal")).first()[0]
+        if not whole > 0:
+            raise ValueError(NO_GOAL)
         wanted[n] = all_goals.select(n, (F.col("goal") / whole).alias("goal"))
     whole = cells.agg(F.sum("tokens")).first()[0]
     now = staged(cells.withColumn("w", F.col("tokens") / whole), "mix-cells")
+    worst = 0.0
     for _ in range(ROUNDS):
-        before = now
+        worst = 0.0
         for n in names:
-            factor = totals_of(now, n, "w").join(wanted[n], n).select(n, F.when(F.col("sum") > 0, F.col("goal") / F.col("sum"))
-                                                                      .otherwise(0.0).alias("f"))
-            now = now.join(factor, n).withColumn("w", F.col("w") * F.col("f")).drop("f")
-        now = staged(now, "mix-cells")
-        moved = now.alias("x").join(before.alias("y"), names).agg(F.max(F.abs(F.col("x.w") - F.col("y.w")))).first()[0]
-        if moved < TOLERANCE:
+            sums = staged(totals_of(now, n, "w").join(wanted[n], n), "mix-sums")
+            worst = max(worst, sums.agg(F.max(F.abs(F.col("sum") - F.col("goal")))).first()[0])
+            factor = sums.select(n, F.when(F.col("sum") > 0, F.col("goal") / F.col("sum")).otherwise(0.0).alias("f"))
+            now = staged(now.join(factor, n).withColumn("w", F.col("w") * F.col("f")).drop("f"), "mix-cells")
+        if worst < TOLERANCE:
             break
-    rated = staged(now.withColumn("ratio", F.col("w") / F.col("tokens")), "mix-ratios")
+    reached = now.agg(F.sum("w")).first()[0]
+    if not reached > 0:
+        raise ValueError(NO_CELL)
+    _report(worst)
+    rated = staged(now.withColumn("ratio", F.col("w") / reached / F.col("tokens")), "mix-ratios")
     low, high = 0.0, 1.0 / rated.where("ratio > 0").agg(F.min("ratio")).first()[0]
     for _ in range(60):  # the budget's factor by bisection
         middle = (low + high) / 2
@@ -144,14 +170,17 @@ def _raked_by_joins(cells: DataFrame, names: list[str], targets: dict, temperatu
 
 def mix(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, temperature: float = 0.5,
         fraction: float = 0.5, seed: int = 17, id_col: str = "doc_id", text_col: str = "text",
-        max_cells: int = MAX_CELLS) -> DataFrame:
+        max_cells: int = MAX_CELLS, tokens_col: str | None = None) -> DataFrame:
     """Every row of ``docs`` with ``topic``, ``n_tokens``, ``probability``, ``weight`` and ``kept``.
 
     ``targets[dimension]`` maps values to shares; a dimension without an entry is flattened with
     ``temperature``. ``fraction`` of the tokens is kept in expectation. A null source or language is
     the value "(null)"; a column "topic" of ``docs`` is used where there is one, else the topic is the
-    text's form. Null text has one token. Rows without an id are decided by their text, repeated rows
+    text's form. Tokens are those of ``tokens_col`` (as of ``token_counts``; at least one, null: one), else a quarter of the
+    text's bytes. Null text has one token; texts are taken whole, of any length. Rows without an id are decided by their text, repeated rows
     alike. Other columns with these names are replaced; an empty table gives an empty one.
+    Targets without a positive share, or that no cell can meet, are a ``ValueError``; targets missed
+    after the last round an ``UnmetTargets`` warning.
     """
     targets = targets or {}
     unknown = set(targets) - set(DIMENSIONS)
@@ -160,12 +189,14 @@ def mix(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, tem
     named = Numbered(docs)
     has_topic, source_col, lang_col = "topic" in docs.columns, named("source"), named("lang")
     topic_col = named("topic") if has_topic else None
+    counted = named(tokens_col) if tokens_col else None
     docs, id_col, text_col = named.frame, named(id_col), named(text_col)
     text = text_of(docs, text_col)
+    tokens = F.greatest(F.lit(1), F.coalesce(docs[counted].cast("long"), F.lit(1))).cast("long") if counted else estimated_tokens(text)
     topic = docs[topic_col].cast("string") if has_topic else topic_of(text)
     own = F.col(f"`{id_col}`")
     base = docs.withColumns({
-        "topic": F.coalesce(topic, F.lit(MISSING)), "n_tokens": estimated_tokens(text),
+        "topic": F.coalesce(topic, F.lit(MISSING)), "n_tokens": tokens,
         "__source": F.coalesce(docs[source_col].cast("string"), F.lit(MISSING)),
         "__lang": F.coalesce(docs[lang_col].cast("string"), F.lit(MISSING)),
         "__u": F.shiftrightunsigned(F.xxhash64(F.lit(seed), own, F.when(own.isNull(), text)), 11) * F.lit(2.0 ** -53)})

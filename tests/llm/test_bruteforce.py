@@ -451,6 +451,34 @@ def test_raking_meets_the_targets(spark):
     assert all(abs(p - by_joins[i]) < 1e-6 for i, p in zip(pdf.doc_id, pdf.probability))
 
 
+def _random_cells(seed):
+    rnd = random.Random(seed)
+    return [(i, rnd.choice("abcd"), rnd.choice(["en", "de", None]), rnd.choice("pqr"), rnd.randrange(1, 900)) for i in range(400)]
+
+
+@pytest.mark.parametrize("targets", [{}, {"source": {"a": 3, "b": 1, "c": 1, "d": 1}, "topic": {"p": 0.2, "q": 0.8}}])
+def test_raking_is_alike_at_every_size(spark, monkeypatch, targets):
+    monkeypatch.setattr(mixing, "ROUNDS", 4)  # also where the rounds end first
+    rows = spark.createDataFrame(_random_cells(5), "doc_id long, source string, lang string, topic string, n long").withColumn("text", F.lit("x"))
+    small, large = ({r.doc_id: r for r in mixing.mix(rows, targets, max_cells=m, tokens_col="n").collect()} for m in (1000, 0))
+    assert len(small) == len(large) == 400
+    for i, r in small.items():
+        assert r.n_tokens == r.n and abs(r.probability - large[i].probability) < 1e-9 and abs(r.weight - large[i].weight) < 1e-9
+
+
+@pytest.mark.parametrize("max_cells", [1000, 0])
+def test_targets_that_cannot_be_met(spark, monkeypatch, max_cells):
+    rows = spark.createDataFrame([(1, "x" * 40, "a", "en", "p"), (2, "x" * 40, "b", "de", "p")],
+                                 "doc_id long, text string, source string, lang string, topic string")
+    monkeypatch.setattr(mixing, "ROUNDS", 2)
+    with pytest.raises(ValueError, match="positive target"):
+        mixing.mix(rows, {"source": {"c": 1.0}}, max_cells=max_cells)
+    with pytest.raises(ValueError, match="exclude each other"):
+        mixing.mix(rows, {"source": {"a": 1.0}, "lang": {"de": 1.0}}, max_cells=max_cells)
+    with pytest.warns(mixing.UnmetTargets):
+        mixing.mix(rows, {"source": {"a": 0.5, "b": 0.5}, "lang": {"en": 0.9, "de": 0.1}}, max_cells=max_cells)
+
+
 # 10 substring dedup
 
 def brute_windows(texts, window):

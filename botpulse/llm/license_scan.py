@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 
 from botpulse.llm.common import text_of
 
-# Short public license notices.
+# Short public license notices and names.
 TEMPLATES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0",
     "Apache-2.0-notice": (
@@ -46,7 +46,48 @@ TEMPLATES = {
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0",
     "CC-BY-4.0": "Licensed under CC BY 4.0",
     "CC-BY-SA-4.0": "Licensed under CC BY-SA 4.0",
+    "Apache-2.0-name": "Apache License, Version 2.0",
+    "MIT-licensed": "Licensed under the MIT License",
+    "MIT-name": "The MIT License",
+    "MIT-title": "The MIT License (MIT)",
+    "GPL-2.0-notice": (
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General "
+        "Public License as published by the Free Software Foundation; either version 2 of the License"),
+    "GPL-2.0-name": "GNU General Public License, version 2",
+    "GPL-3.0-name": "GNU General Public License, version 3",
+    "LGPL-2.1-notice": (
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+        "Public License as published by the Free Software Foundation; either version 2.1 of the License"),
+    "LGPL-2.1-name": "GNU Lesser General Public License, version 2.1",
+    "LGPL-3.0-name": "GNU Lesser General Public License, version 3",
+    "AGPL-3.0-notice": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General "
+        "Public License as published by the Free Software Foundation, either version 3 of the License"),
+    "AGPL-3.0-name": "GNU Affero General Public License, version 3",
+    "MPL-2.0-notice": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
+        "distributed with this file, You can obtain one at"),
+    "MPL-2.0-name": "Mozilla Public License, version 2.0",
+    "EPL-2.0-name": "Eclipse Public License, version 2.0",
+    "ISC-grant": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+        "granted, provided that the above copyright notice and this permission notice appear in all copies"),
+    "ISC-name": "The ISC License",
+    "BSD-name": "Licensed under the BSD License",
+    "BSD-3-Clause-name": "BSD 3-Clause License",
+    "BSD-2-Clause-name": "BSD 2-Clause License",
+    "Unlicense-notice": "This is free and unencumbered software released into the public domain",
+    "CC0-1.0-name": "CC0 1.0 Universal",
+    "CC-BY-4.0-name": "Creative Commons Attribution 4.0 International License",
+    "CC-BY-SA-4.0-name": "Creative Commons Attribution-ShareAlike 4.0 International License",
+    "CC-BY-NC-4.0-name": "Creative Commons Attribution-NonCommercial 4.0 International License",
 }
+# Identifiers of license tags.
+SPDX = (
+    "Apache-2.0 MIT MIT-0 GPL-2.0-only GPL-2.0-or-later GPL-3.0-only GPL-3.0-or-later LGPL-2.1-only LGPL-2.1-or-later "
+    "LGPL-3.0-only LGPL-3.0-or-later AGPL-3.0-only AGPL-3.0-or-later MPL-2.0 EPL-2.0 ISC BSD-2-Clause BSD-3-Clause 0BSD "
+    "Unlicense CC0-1.0 CC-BY-4.0 CC-BY-SA-4.0 CC-BY-NC-4.0 BSL-1.0 Zlib")
+TEMPLATES |= {f"{name}-tag": f"SPDX-License-Identifier: {name}" for name in SPDX.split()}
 STOP_WORDS = frozenset("the of and to a in is that it for on with as by this or be you may not any at from an are".split())
 _WORD = re.compile(r"[\w+-]+(?:\.\d+)*")
 MIN_COVERAGE, MIN_DENSITY = 0.85, 0.7
@@ -189,7 +230,8 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                  templates: dict[str, str] | None = None, **limits) -> DataFrame:
     """One row per row of ``docs``: its id and ``licenses``, an array of (license, start, end, coverage).
 
-    Null text is empty (no licenses). Repeated rows and null ids keep their rows; an empty table gives an
+    Null text is empty (no licenses). Of overlapping matches the one with more covered words stays; on ties the one with the
+    higher coverage, the earlier one, the first by name. Repeated rows and null ids keep their rows; an empty table gives an
     empty one; texts are scanned whole. Other columns are not read.
     """
     known = dict(templates if templates is not None else TEMPLATES)

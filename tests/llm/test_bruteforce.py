@@ -344,6 +344,61 @@ def test_longest_increasing_and_alignment():
         assert all(x[0] < y[0] and x[1] < y[1] for x, y in zip(pairs, pairs[1:]))
 
 
+def common_words(a, b):
+    """Length of a longest common subsequence, by the whole table."""
+    row = [0] * (len(b) + 1)
+    for x in a:
+        new = [0]
+        for j, y in enumerate(b):
+            new.append(row[j] + 1 if x == y else max(row[j + 1], new[j]))
+        row = new
+    return row[-1]
+
+
+def test_planted_licenses_against_the_whole_table(spark):
+    rnd = random.Random(31)
+    filler = [f"w{i}" for i in range(300)] + ["the", "of", "software", "public", "license", "permission", "version"]
+    rows, planted = [], {}
+    for i, (name, template) in enumerate(license_scan.TEMPLATES.items()):
+        for j in range(4):
+            words = template.split()
+            if len(words) >= 15 and j:  # a word more, a word less
+                words.insert(rnd.randrange(1, len(words) - 1), "extra")
+                del words[rnd.randrange(2, len(words) - 2)]
+            before, after = ([rnd.choice(filler[:300] if j < 2 else filler) for _ in range(rnd.randrange(3, 60))] for _ in "ab")
+            rows.append((4 * i + j, " ".join([*before, "head", *words, "tail", *after])))
+            planted[4 * i + j] = (name, len(" ".join([*before, "head"])) + 1, " ".join(words))
+    got = {r.doc_id: r.licenses for r in license_scan.license_scan(frame(spark, rows)).collect()}
+    for i, text in rows:
+        name, start, passage = planted[i]
+        template = license_scan.words_with_offsets(license_scan.TEMPLATES[name])[0]
+        assert any(m.start < start + len(passage) and m.end > start and (m.license == name or m.coverage >= 0.85)
+                   for m in got[i]), (name, got[i])
+        if passage == license_scan.TEMPLATES[name]:
+            same = {n for n, t in license_scan.TEMPLATES.items() if license_scan.words_with_offsets(t)[0] == template}
+            assert any(m.license in same and m.coverage == 1.0 for m in got[i]), (name, got[i])
+        for m in got[i]:
+            whole = license_scan.words_with_offsets(license_scan.TEMPLATES[m.license])[0]
+            part = license_scan.words_with_offsets(text[m.start:m.end])[0]
+            assert common_words(part, whole) >= round(m.coverage * len(whole)) >= 0.85 * len(whole) - 1e-9
+            assert round(m.coverage * len(whole)) >= 0.7 * len(part)
+
+
+def test_tags_and_short_forms():
+    ready = [license_scan.Template(n, t) for n, t in license_scan.TEMPLATES.items()]
+
+    def names(text):
+        return [m[0] for m in license_scan.scan_text(text, ready)]
+
+    assert names("// SPDX-License-Identifier: LGPL-3.0-or-later\nint x;") == ["LGPL-3.0-or-later-tag"]
+    assert names("# SPDX-License-Identifier: MIT\n# SPDX-License-Identifier: Zlib") == ["MIT-tag", "Zlib-tag"]
+    assert names("The MIT License (MIT) Copyright") == ["MIT-title"]
+    assert names("It is Licensed under the MIT License.") == ["MIT-licensed"]
+    assert names("under the GNU Affero General Public License, version 3, as") == ["AGPL-3.0-name"]
+    assert names("GNU General Public License, version 2") == ["GPL-2.0-name"]
+    assert names("a license to drive, the public domain of the city, and MIT in Boston") == []
+
+
 def test_licenses_in_text(spark):
     notice = license_scan.TEMPLATES["GPL-3.0-notice"]
     edited = notice.replace("redistribute it", "share and redistribute it").replace("modify", "change")

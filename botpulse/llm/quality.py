@@ -225,7 +225,8 @@ def quality_rules(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
 def keep_quality(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", **limits) -> DataFrame:
     """The rows of ``docs`` that :func:`quality_rules` keeps, with the columns of ``docs``.
 
-    The references are fitted first, from a staged table of figures without texts."""
+    The references are fitted first, from a staged table of figures without texts. Null and empty texts go, repeated
+    rows go or stay together, an empty table gives an empty one; texts are read whole, of any length."""
     own = Numbered(docs)
     found = quality_features(own.frame, own(text_col), own(lang_col))
     fitted = fit_references(staged(found.select("quality_profile", "quality_features", "base_failed"),

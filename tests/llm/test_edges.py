@@ -134,6 +134,17 @@ def test_leaks(spark, docs, items):
     assert decontaminate.find_leaks(docs.limit(0), own).collect() == []
 
 
+def test_leaks_with_clashing_names(spark, docs):
+    own = spark.createDataFrame([(9, PROSE)], "item_id long, text string")
+    for name, id_name, item_name in (("id", "id", "item_id"), ("key", "doc_key", "item_key"), ("covered", "doc_covered", "item_covered")):
+        rows, items = docs.select(docs.doc_id.alias(name), "text"), own.withColumnRenamed("item_id", name)
+        found = decontaminate.find_leaks(rows, items, id_col=name, item_col=name)
+        assert found.columns[:3] == [id_name, "key", item_name] and len(set(found.columns)) == 8
+        assert sorted(str(r[id_name]) for r in found.collect()) == ["1", "2", "None"]
+        left = decontaminate.without_leaks(rows, items, id_col=name, item_col=name)
+        assert left.columns == rows.columns and left.count() == len(ROWS) - 4
+
+
 @pytest.mark.parametrize("number", range(5))
 def test_stages(spark, docs, items, tmp_path, number):
     items.write.parquet(str(tmp_path / "benchmark.parquet"))

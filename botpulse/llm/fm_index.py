@@ -1,8 +1,8 @@
 """A compressed FM-index over one shard of word sequences, in numpy.
 
 The index holds the Burrows-Wheeler transform of the shard as a wavelet tree laid out
-level by level (a wavelet matrix): one packed bit vector per bit of the alphabet with a
-running count per 64-bit block. Suffixes are sorted to ``depth`` words, which is enough
+level by level (a wavelet matrix): one compressed bit vector per bit of the alphabet. The text itself
+and the suffix order are not kept. Suffixes are sorted to ``depth`` words, which is enough
 for patterns up to that length. All searches advance together, one word a step.
 """
 
@@ -14,22 +14,48 @@ _ONE = np.uint64(1)
 
 
 class _Bits:
-    """A packed bit vector with constant-time rank."""
+    """A compressed bit vector with constant-time rank.
+
+    Only 64-bit blocks with both zeros and ones are stored, each with the ones in the stored blocks before it. All other
+    blocks are runs of equal bits, of which the transform of repetitive text has many; they cost two bits each, which tell
+    for a group of 64 blocks which are stored and which are full of ones.
+    """
 
     def __init__(self, bits: np.ndarray):
         n = len(bits)
         packed = np.packbits(bits, bitorder="little")
-        self.blocks = np.zeros(n // 64 + 1, np.uint64)
-        self.blocks.view(np.uint8)[: len(packed)] = packed
-        self.before = np.zeros(len(self.blocks), np.uint32)
-        np.cumsum(np.bitwise_count(self.blocks[:-1]), out=self.before[1:], dtype=np.uint32)
-        self.zeros = n - int(bits.sum())
+        blocks = np.zeros(-(-(n + 1) // 4096) * 64, np.uint64)  # whole groups
+        blocks.view(np.uint8)[: len(packed)] = packed
+        ones = np.bitwise_count(blocks)
+        mixed, full = (ones > 0) & (ones < 64), ones == 64
+        self.stored = np.append(blocks[mixed], np.uint64(0))
+        self.ones_before = np.concatenate([[0], np.cumsum(ones[mixed], dtype=np.int64)]).astype(np.uint32)
+        self.mixed, self.mixed_before = _groups(mixed)
+        self.full, self.full_before = _groups(full)
+        self.zeros = n - int(ones.sum(dtype=np.int64))
 
     def rank(self, at: np.ndarray) -> np.ndarray:
         """Ones before each position."""
-        block = at >> 6
-        mask = (_ONE << (at & 63).astype(np.uint64)) - _ONE
-        return self.before[block] + np.bitwise_count(self.blocks[block] & mask).astype(np.int64)
+        block, offset = at >> 6, at & 63
+        group, place = block >> 6, (block & 63).astype(np.uint64)
+        behind = (_ONE << place) - _ONE
+        mixed, full = self.mixed[group], self.full[group]
+        slot = self.mixed_before[group] + np.bitwise_count(mixed & behind)
+        runs = self.full_before[group] + np.bitwise_count(full & behind).astype(np.int64)
+        part = np.bitwise_count(self.stored[slot] & ((_ONE << offset.astype(np.uint64)) - _ONE))
+        inside = np.where((mixed >> place) & _ONE, part, np.where((full >> place) & _ONE, offset, 0))
+        return self.ones_before[slot] + 64 * runs + inside
+
+    @property
+    def nbytes(self) -> int:
+        return sum(x.nbytes for x in (self.stored, self.ones_before, self.mixed, self.mixed_before, self.full, self.full_before))
+
+
+def _groups(marks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The marks as one word per group of 64 blocks, and the marks before each group."""
+    words = np.packbits(marks, bitorder="little").view(np.uint64)
+    counts = np.bitwise_count(words)
+    return words, (np.cumsum(counts, dtype=np.int64) - counts).astype(np.uint32)
 
 
 def suffix_order(symbols: np.ndarray, depth: int) -> np.ndarray:
@@ -54,83 +80,119 @@ def suffix_order(symbols: np.ndarray, depth: int) -> np.ndarray:
 
 
 class FMIndex:
-    """Counts occurrences of word sequences among ``sequences`` (arrays of 64-bit word hashes)."""
+    """Finds stretches of words that occur twice or more in ``sequences`` (arrays of 64-bit word hashes).
+
+    ``copied`` marks the sequences that stand for two or more equal ones: each place in them counts twice. ``depth`` is the
+    greatest length of a stretch that is asked for.
+    """
 
-    def __init__(self, sequences: list[np.ndarray], depth: int):
+    def __init__(self, sequences: list[np.ndarray], depth: int, copied: np.ndarray | None = None):
         lengths = np.array([len(s) for s in sequences], np.int64)
-        self.starts = np.concatenate([[0], np.cumsum(lengths + 1)])[:-1]  # each is followed by a separator
-        self.lengths = lengths
-        words = np.concatenate(sequences)
-        _, ids = np.unique(words, return_inverse=True)
+        starts = np.concatenate([[0], np.cumsum(lengths + 1)])[:-1]  # each is followed by a separator
+        self.alphabet, ids = np.unique(np.concatenate(sequences), return_inverse=True)
         text = np.zeros(int(lengths.sum() + len(lengths)), np.int64)  # 0 separates
         inside = np.ones(len(text), bool)
-        inside[self.starts + lengths] = False
+        inside[starts + lengths] = False
         text[inside] = ids + 1
-        self.text = text
-        sigma = int(text.max()) + 1
+        self.size = len(text)
+        sigma = len(self.alphabet) + 1
         order = suffix_order(text, depth)
+        twice = np.zeros(len(lengths), np.uint8) if copied is None else np.asarray(copied).astype(np.uint8)
+        self.twice = _Bits(np.repeat(twice, lengths + 1)[order])
         bwt = text[order - 1]  # the word before each suffix; before the first comes the last separator
         self.smaller = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=sigma))])
         self.levels: list[_Bits] = []
-        bits_of = max(1, (sigma - 1).bit_length())
-        for level in range(bits_of - 1, -1, -1):
+        self.bits_of = max(1, (sigma - 1).bit_length())
+        for level in range(self.bits_of - 1, -1, -1):
             bit = (bwt >> level) & 1
             self.levels.append(_Bits(bit.astype(np.uint8)))
             bwt = np.concatenate([bwt[bit == 0], bwt[bit == 1]])
-        self.bits_of = bits_of
         self.first = self._descend(np.arange(sigma), np.zeros(sigma, np.int64))
 
+    @property
+    def nbytes(self) -> int:
+        """Bytes of the bit vectors."""
+        return self.twice.nbytes + sum(b.nbytes for b in self.levels)
+
     def _descend(self, symbol: np.ndarray, at: np.ndarray) -> np.ndarray:
         for depth, bits in enumerate(self.levels):
             ones = bits.rank(at)
             at = np.where((symbol >> (self.bits_of - 1 - depth)) & 1, bits.zeros + ones, at - ones)
         return at
 
+    def encode(self, words: np.ndarray) -> np.ndarray:
+        """The words' symbols; 0 for a word that the shard lacks."""
+        at = np.minimum(np.searchsorted(self.alphabet, words), len(self.alphabet) - 1)
+        return np.where(self.alphabet[at] == words, at + 1, 0)
+
     def extend_left(self, symbol: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """One step of backward search for each interval [low, high)."""
+        """One step of backward search for each interval [low, high); empty for symbol 0."""
         n = len(symbol)
         at = self._descend(np.concatenate([symbol, symbol]), np.concatenate([low, high]))
         base = self.smaller[symbol] - self.first[symbol]
-        return base + at[:n], base + at[n:]
-
-    def repeated_windows(self, queries: np.ndarray, window: int) -> list[tuple[int, int, int]]:
-        """Runs ``(sequence, first window, end window)`` of windows that occur twice or more in the shard.
-
-        ``queries`` are numbers of sequences in the index. A window is searched from its last word to
-        its first; where the part ``[f, e]`` turns out to occur once only, every window that holds it is
-        out, so the search goes on with the window that starts behind ``f``.
+        return base + at[:n], base + np.where(symbol > 0, at[n:], at[:n])
+
+    def longest(self, symbols: np.ndarray, end: np.ndarray, limit: np.ndarray) -> np.ndarray:
+        """For each position ``end`` the length of the longest stretch that ends there, starts at ``limit`` or
+        later and occurs twice or more in the shard: the matching statistic, cut at ``limit``."""
+        length = np.zeros(len(end), np.int64)
+        live, at = np.arange(len(end)), np.asarray(end, np.int64)
+        low, high = np.zeros(len(end), np.int64), np.full(len(end), self.size, np.int64)
+        while len(live):
+            low, high = self.extend_left(symbols[at], low, high)
+            few = np.flatnonzero(high - low < 2)  # these occur twice only in a copied sequence
+            again = np.ones(len(live), bool)
+            if len(few):
+                ends = self.twice.rank(np.concatenate([low[few], high[few]]))
+                again[few] = high[few] - low[few] + ends[len(few):] - ends[:len(few)] >= 2
+            length[live[again]] += 1
+            more = again & (at > limit[live])
+            live, at, low, high = live[more], at[more] - 1, low[more], high[more]
+        return length
+
+    def matching_statistics(self, document: np.ndarray) -> np.ndarray:
+        """For each word of a document the length of the longest stretch that ends there and occurs twice or more."""
+        symbols = self.encode(document)
+        return self.longest(symbols, np.arange(len(symbols)), np.zeros(len(symbols), np.int64))
+
+    def repeated_windows(self, documents: list[np.ndarray], window: int) -> list[tuple[int, int, int]]:
+        """Runs ``(document, first window, end window)`` of windows that occur twice or more in the shard.
+
+        These are the intervals whose matching statistics reach ``window``. Only the ends that decide are searched: first a
+        document's last word, back as far as it goes (all windows within that stretch are in), then, from the left, the end of each
+        window before it; where its stretch breaks off behind word ``f``, every window that holds ``[f, end]`` is out,
+        so the search goes on with the window that starts behind ``f``.
         """
-        number = np.asarray(queries, np.int64)
-        number = number[self.lengths[number] >= window]
-        begin, last = self.starts[number], self.lengths[number] - window
-        start = np.zeros(len(number), np.int64)
-        step = np.zeros(len(number), np.int64)
-        low, high = np.zeros(len(number), np.int64), np.full(len(number), len(self.text), np.int64)
-        found_at: list[np.ndarray] = []
-        found_of: list[np.ndarray] = []
-        while len(number):
-            symbol = self.text[begin + start + (window - 1) - step]
-            low, high = self.extend_left(symbol, low, high)
-            lost = high - low < 2
-            step = step + 1
-            done = ~lost & (step == window)
-            if done.any():
-                found_of.append(number[done])
-                found_at.append(start[done])
-            over = lost | done
-            # behind f = start + window - step when lost, else the next window
-            start = np.where(lost, start + window - step + 1, start + done)
-            step = np.where(over, 0, step)
-            low = np.where(over, 0, low)
-            high = np.where(over, len(self.text), high)
-            live = start <= last
-            number, begin, last, start, step, low, high = (
-                x[live] for x in (number, begin, last, start, step, low, high))
-        if not found_of:
+        lengths = np.array([len(d) for d in documents], np.int64)
+        number = np.flatnonzero(lengths >= window)
+        if not len(number):
+            return []
+        begin = (np.cumsum(lengths) - lengths)[number]
+        symbols = self.encode(np.concatenate(documents))
+        last = begin + lengths[number] - 1
+        reach = self.longest(symbols, last, begin)
+        free = last - reach  # windows from here to the left are open
+        long = reach >= window
+        found_of, found_at, found_end = [number[long]], [(free - begin + 1)[long]], [(last - begin + 2 - window)[long]]
+        stop = np.minimum(free, last - window + 1)
+        start = begin.copy()
+        while True:
+            live = start <= stop
+            if not live.any():
+                break
+            number, begin, start, stop = number[live], begin[live], start[live], stop[live]
+            end = start + window - 1
+            reach = self.longest(symbols, end, start)
+            hit = reach == window
+            found_of.append(number[hit])
+            found_at.append((start - begin)[hit])
+            found_end.append((start - begin)[hit] + 1)
+            start = np.where(hit, start + 1, end - reach + 1)
+        of, at, to = np.concatenate(found_of), np.concatenate(found_at), np.concatenate(found_end)
+        if not len(of):
             return []
-        of, at = np.concatenate(found_of), np.concatenate(found_at)
         order = np.lexsort((at, of))
-        of, at = of[order], at[order]
-        new = np.flatnonzero(np.concatenate([[True], (of[1:] != of[:-1]) | (at[1:] != at[:-1] + 1)]))
+        of, at, to = of[order], at[order], to[order]
+        new = np.flatnonzero(np.concatenate([[True], (of[1:] != of[:-1]) | (at[1:] != to[:-1])]))
         ends = np.concatenate([new[1:], [len(of)]]) - 1
-        return [(int(of[a]), int(at[a]), int(at[b]) + 1) for a, b in zip(new, ends)]
+        return [(int(of[a]), int(at[a]), int(to[b])) for a, b in zip(new, ends)]

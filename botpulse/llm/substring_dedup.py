@@ -8,15 +8,17 @@ from all its places; windows are judged on the input.
    ties). Equal windows have equal anchors, so only segments with the same anchor can
    hold the same window. A row is (document, place, anchor, digest of the segment).
 2. *Count.* Anchors are counted with map-side combining. An anchor that occurs once has no
-   repeated window; where all segments of an anchor are equal, all of them repeat whole.
-   What remains are anchors with different segments.
-3. *Search.* The different segments of those anchors, each once whatever its copies, go to
-   shards by anchor. A shard is indexed (``fm_index``), and each segment that occurs
-   once is streamed against the index; backward search gives its runs of repeated windows. The
+   repeated window. The segments of the others are counted by their digest: a kind of segment is kept once, with
+   its number of copies.
+3. *Search.* The kinds go to shards by anchor. A shard is indexed (``fm_index``): a bit vector marks the places in copied
+   kinds, which count twice. Every kind is streamed against the index; backward search computes matching
+   statistics, and the intervals that reach the window's length are its runs of repeated windows. The
    number of shards follows the measured number of words, so a shard has a bounded size.
-4. An anchor with more than ``hot`` different segments (a phrase in ever new surroundings) would
+4. An anchor with more than ``hot`` kinds (a phrase in ever new surroundings) would
    overfill one shard. Its windows are spread by their own digests and counted instead:
    the exact way for hot anchors.
+5. The runs of a kind are joined to all its segments. Anchors, digests and windows that hold many rows
+   are known from the counts; their rows are joined apart, by broadcast of the few build rows or over salts.
 
 No step holds a group of copies in one task: copies meet only in sums.
 """
@@ -33,12 +35,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from botpulse.functions.joins import SHARES, split_join
 from botpulse.llm.common import staged, text_of
 from botpulse.llm.fm_index import FMIndex
 
 GRAM = 8
-HOT = 1_000  # different segments of an anchor above which windows are counted one by one
+HOT = 1_000  # kinds of segments of an anchor above which windows are counted one by one
 SHARD_WORDS = 400_000
+STREAM = 4_096  # segments streamed against an index at once
+CROWDS = 100_000  # hot anchors up to which their table is broadcast
 
 _BASE = 0x9E3779B97F4A7C15
 _LOW32 = np.uint64(0xFFFFFFFF)
@@ -148,7 +153,8 @@ def _cut_rows(window: int, gram: int):
 
 
 _CONTENT = "anchor long, digest long, copies long, r1 long, r2 long, first int, n int, words binary"
-_WINDOWS = "anchor long, mark long, digest long, copies long, r1 long, r2 long, at int"
+_WINDOWS = "anchor long, mark long, digest long, copies long, at int"
+_RUNS = "anchor long, digest long, start int, end int, kind string"  # windows start to end - 1 of a segment
 
 
 def _contents(window: int):
@@ -177,75 +183,90 @@ def _windows(window: int):
                 h = np.frombuffer(row["words"], np.uint64)
                 at = np.arange(row["n"])
                 mark = _Digests(h).of(at, at + window)
-                same = {k: pa.array([row[k]] * len(at), pa.int64()) for k in ("anchor", "digest", "copies", "r1", "r2")}
+                same = {k: pa.array([row[k]] * len(at), pa.int64()) for k in ("anchor", "digest", "copies")}
                 yield pa.RecordBatch.from_arrays(
-                    [same["anchor"], pa.array(mark.view(np.int64)), same["digest"], same["copies"], same["r1"],
-                     same["r2"], pa.array((row["first"] + at).astype(np.int32))],
-                    names=[f.split()[0] for f in _WINDOWS.split(", ")])
+                    [same["anchor"], pa.array(mark.view(np.int64)), same["digest"], same["copies"],
+                     pa.array(at.astype(np.int32))], names=[f.split()[0] for f in _WINDOWS.split(", ")])
 
     return run
 
 
-def _search(window: int):
+def _search(window: int, depth: int):
     def run(shard: pd.DataFrame) -> pd.DataFrame:
         shard = shard.drop_duplicates(["anchor", "digest"])  # identical input rows give a segment twice
         words = [np.frombuffer(w, np.uint64) for w in shard["words"]]
-        single = np.flatnonzero(shard["copies"].to_numpy() == 1)
-        if not len(single) or len(words) < 2:
-            return pd.DataFrame({k: pd.Series([], dtype="int64") for k in ("r1", "r2", "start", "end")})
-        runs = FMIndex(words, window).repeated_windows(single, window)
-        r1, r2, first = (shard[c].to_numpy() for c in ("r1", "r2", "first"))
+        index = FMIndex(words, depth, shard["copies"].to_numpy() > 1)
+        runs: list[tuple[int, int, int]] = []
+        for at in range(0, len(words), STREAM):
+            runs += [(at + q, a, b) for q, a, b in index.repeated_windows(words[at:at + STREAM], window)]
+        of = np.array([q for q, _, _ in runs], np.int64)
         return pd.DataFrame({
-            "r1": [r1[q] for q, _, _ in runs], "r2": [r2[q] for q, _, _ in runs],
-            "start": [int(first[q]) + a for q, a, _ in runs],
-            "end": [int(first[q]) + b - 1 + window for q, _, b in runs]}).astype("int64")
+            "anchor": shard["anchor"].to_numpy()[of], "digest": shard["digest"].to_numpy()[of],
+            "start": np.array([a for _, a, _ in runs], np.int32), "end": np.array([b for _, _, b in runs], np.int32),
+            "kind": "index"})
 
     return run
 
 
-def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 35,
-                   gram: int = GRAM, hot: int = HOT, shard_words: int = SHARD_WORDS) -> DataFrame:
-    """Word spans ``(r1, r2, start, end)`` of rows, each a union of repeated windows (they may overlap)."""
+def _held(counts: DataFrame, key: str, n: str, total: int) -> list:
+    """The keys with more than one in ``SHARES`` of ``total`` rows by a table of counts: fewer than ``SHARES``."""
+    return [r[0] for r in counts.where(F.col(n) * SHARES > total).select(key).collect()]
+
+
+def repeated_segments(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 35,
+                      gram: int = GRAM, hot: int = HOT, shard_words: int = SHARD_WORDS) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The segments whose anchor occurs again, their kinds ``(anchor, digest, copies, one)``, and the runs
+    ``(anchor, digest, start, end, kind)`` of repeated windows in each kind, found by the index or by counting."""
     if not 1 <= gram <= window:
         raise ValueError("the anchor must fit into the window")
     text = text_of(docs, text_col)
     rows = docs.select(*row_key(docs, id_col, text), text.alias("text"))
     segments = staged(rows.mapInArrow(_cut_rows(window, gram),
                                       "r1 long, r2 long, first int, n int, anchor long, digest long"), "segments")
-    anchors = (segments.groupBy("anchor")
-               .agg(F.count("*").alias("c"), F.min("digest").alias("a"), F.max("digest").alias("b"))
-               .where("c > 1").select("anchor", (F.col("a") != F.col("b")).alias("mixed")))
-    # Written tables on both sides: nothing but exchanges below the joins, so hot anchors can be split.
-    again = staged(segments.join(staged(anchors, "anchors"), "anchor"), "repeated-anchors")
-
-    mixed = again.where("mixed")
-    kinds = staged(mixed.groupBy("anchor", "digest").agg(
+    anchors = staged(segments.groupBy("anchor").agg(F.count("*").alias("c")).where("c > 1"), "anchors")
+    # Written tables on both sides, here and below: only exchanges below the joins, so that AQE can split them too.
+    again = staged(split_join(segments, anchors.select("anchor"), "anchor", hot=_held(anchors, "anchor", "c", segments.count())),
+                   "repeated-anchors")
+    kinds = staged(again.groupBy("anchor", "digest").agg(
         F.count("*").alias("copies"), F.min(F.struct("r1", "r2", "first", "n")).alias("one")), "segment-kinds")
-    crowds = staged(kinds.groupBy("anchor").agg(F.count("*").alias("kinds")).where(F.col("kinds") > hot), "crowds")
+    crowds = staged(kinds.groupBy("anchor").agg(F.count("*").alias("kinds")).where(F.col("kinds") > hot)
+                    .select("anchor", F.lit(True).alias("hot")), "crowds")
     wanted = (kinds.groupBy("one.r1", "one.r2")
               .agg(F.collect_list(F.struct("anchor", "digest", "copies", "one.first", "one.n")).alias("segments")))
-    contents = staged(rows.select("r1", "r2", _packed("text").alias("packed")).join(wanted, ["r1", "r2"])
-                      .select("r1", "r2", "packed", "segments").mapInArrow(_contents(window), _CONTENT)
-                      .join(crowds.select("anchor", F.lit(True).alias("hot")), "anchor", "left"), "segment-words")
-    total = contents.where("hot is null").agg(F.sum(F.length("words"))).first()[0] or 0
+    words = staged(rows.select("r1", "r2", _packed("text").alias("packed")).join(wanted, ["r1", "r2"])
+                   .select("r1", "r2", "packed", "segments").mapInArrow(_contents(window), _CONTENT), "segment-words")
+    contents = words.join(F.broadcast(crowds), "anchor", "left") if crowds.count() <= CROWDS else split_join(
+        words, crowds, "anchor", "left")
+    total = words.agg(F.sum(F.length("words"))).first()[0] or 0
     shards = max(1, -(-total // (8 * shard_words)))
-    searched = (contents.where("hot is null").drop("hot")
+    longest = 2 * window - gram  # a segment's windows share a shingle
+    searched = (contents.where("hot is null").select("anchor", "digest", "copies", "words")
                 .withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards)))
-                .groupBy("shard").applyInPandas(_search(window), "r1 long, r2 long, start long, end long"))
-
-    windows = (contents.where("hot").drop("hot").dropDuplicates(["anchor", "digest"])
-               .mapInArrow(_windows(window), _WINDOWS))
-    counted = windows.groupBy("anchor", "mark").agg(F.count("*").alias("c")).where("c > 1").drop("c")
-    crowded = (windows.where("copies = 1").join(counted, ["anchor", "mark"], "left_semi")
-               .select("r1", "r2", F.col("at").cast("long").alias("start"),
-                       (F.col("at") + window).cast("long").alias("end")))
-
-    copied = mixed.join(kinds.where("copies > 1").select("anchor", "digest"), ["anchor", "digest"], "left_semi")
-    whole = again.where("not mixed").select("r1", "r2", "first", "n").unionByName(
-        copied.select("r1", "r2", "first", "n"))
-    return whole.select("r1", "r2", F.col("first").cast("long").alias("start"),
-                        (F.col("first") + F.col("n") - 1 + window).cast("long").alias("end")
-                        ).unionByName(searched).unionByName(crowded)
+                .groupBy("shard").applyInPandas(_search(window, longest), _RUNS))
+
+    windows = staged(contents.where("hot").drop("hot").dropDuplicates(["anchor", "digest"])
+                     .mapInArrow(_windows(window), _WINDOWS), "hot-windows")
+    marks = staged(windows.groupBy("mark", "anchor").agg(F.count("*").alias("c"), F.sum("copies").alias("places"))
+                   .where("places > 1"), "hot-marks")
+    # Windows of a copied segment repeat as it does; those of the others are looked up.
+    crowded = split_join(windows.where("copies = 1"), marks.select("mark", F.col("anchor").alias("of")), "mark",
+                         hot=_held(marks, "mark", "c", windows.count())).where("anchor = of")
+    counted = crowded.select("anchor", "digest", F.col("at").alias("start"), (F.col("at") + 1).alias("end"),
+                             F.lit("hot").alias("kind"))
+    copied = windows.where("copies > 1").groupBy("anchor", "digest").agg(
+        F.lit(0).alias("start"), (F.max("at") + 1).alias("end")).withColumn("kind", F.lit("hot"))
+    return again, kinds, staged(searched.unionByName(counted).unionByName(copied), "runs")
+
+
+def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 35,
+                   **options) -> DataFrame:
+    """Word spans ``(r1, r2, start, end)`` of rows, each a union of repeated windows (they may overlap)."""
+    again, kinds, runs = repeated_segments(docs, id_col, text_col, window, **options)
+    hot = _held(kinds.groupBy("digest").agg(F.sum("copies").alias("c")), "digest", "c", again.count())
+    found = runs.select("digest", F.col("anchor").alias("of"), "start", "end")
+    return split_join(again, found, "digest", hot=hot).where("anchor = of").select(
+        "r1", "r2", (F.col("first") + F.col("start")).cast("long").alias("start"),
+        (F.col("first") + F.col("end") - 1 + window).cast("long").alias("end"))
 
 
 def remove_spans(text: str, spans) -> tuple[int, int, str]:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from botpulse.llm import (
     dart_minhash, decontaminate, license_scan, line_dedup, mixing, pii, quality, secrets, substring_dedup, token_counts)
-from botpulse.llm.fm_index import FMIndex
+from botpulse.llm.fm_index import FMIndex, _Bits
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -564,12 +564,56 @@ def test_substring_dedup(spark, options):
     assert got == sorted((str(i), *b) for (i, _), b in zip(rows, brute_windows([t for _, t in rows], 10)))
 
 
-def test_fm_index_counts_windows():
+def places(sequences, copies):
+    """How often each stretch of words occurs in the sequences, those marked counted twice."""
+    return Counter(tuple(s[i:j].tolist()) for s, c in zip(sequences, copies) for _ in range(1 + c)
+                   for i in range(len(s)) for j in range(i + 1, len(s) + 1))
+
+
+@pytest.mark.parametrize("share", [0.0, 0.3])
+def test_fm_index_matching_statistics(share):
     rng = np.random.default_rng(16)
     for sigma in (2, 5, 300):
-        sequences = [rng.integers(1, sigma + 1, rng.integers(1, 60)).astype(np.uint64) for _ in range(40)]
+        sequences = [rng.integers(1, sigma + 1, rng.integers(1, 40)).astype(np.uint64) for _ in range(30)]
         sequences += [sequences[3][:20], np.concatenate([sequences[4], sequences[5]])]
-        counts = Counter(tuple(s[i:i + 6].tolist()) for s in sequences for i in range(len(s) - 5))
-        expected = {(q, i) for q, s in enumerate(sequences) for i in range(len(s) - 5) if counts[tuple(s[i:i + 6].tolist())] > 1}
-        runs = FMIndex(sequences, 6).repeated_windows(np.arange(len(sequences)), 6)
+        copied = rng.random(len(sequences)) < share
+        counts = places(sequences, copied)
+        documents = sequences + [rng.integers(1, sigma + 4, 50).astype(np.uint64) for _ in range(8)]  # also unknown words
+        documents.append(np.zeros(0, np.uint64))
+        index = FMIndex(sequences, 100, copied)
+        for d in documents:
+            longest = [max([n for n in range(1, e + 2) if counts[tuple(d[e + 1 - n:e + 1].tolist())] > 1], default=0)
+                       for e in range(len(d))]
+            assert index.matching_statistics(d).tolist() == longest
+        expected = {(q, i) for q, d in enumerate(documents) for i in range(len(d) - 5) if counts[tuple(d[i:i + 6].tolist())] > 1}
+        runs = index.repeated_windows(documents, 6)
         assert {(q, i) for q, a, b in runs for i in range(a, b)} == expected
+        assert len(runs) == len({(q, a) for q, a, _ in runs}) and all(
+            (q, b) not in expected and (q, a - 1) not in expected for q, a, b in runs)  # whole runs
+
+
+def test_fm_index_bits():
+    rng = np.random.default_rng(17)
+    for n in (0, 1, 63, 64, 65, 4095, 4096, 70_000):
+        for share in (0, 0.001, 0.5, 1):
+            bits = (rng.random(n) < share).astype(np.uint8)
+            assert _Bits(bits).rank(np.arange(n + 1)).tolist() == np.concatenate([[0], np.cumsum(bits)]).tolist()
+    runs = np.repeat(rng.integers(0, 2, 700), 1000).astype(np.uint8)
+    assert _Bits(runs).nbytes * 8 < 0.2 * len(runs)  # long runs take a fraction of their bits
+
+
+def test_substring_dedup_through_the_index(spark):
+    """Copies and partial repeats are found by the index; only anchors above ``hot`` are counted."""
+    words = [f"w{i}" for i in range(400)]
+    rnd = random.Random(18)
+    passage = " ".join(rnd.choice(words) for _ in range(60))
+    rows = [(i, " ".join(rnd.choice(words) for _ in range(40)) + (f" {passage} tail{i}" if i < 20 else "")) for i in range(40)]
+    rows += [(100 + i, rows[30][1]) for i in range(30)]
+    docs = frame(spark, rows)
+    kinds = {hot: {r.kind for r in substring_dedup.repeated_segments(docs, hot=hot)[2].select("kind").distinct().collect()}
+             for hot in (5, 1000)}
+    assert kinds[1000] == {"index"} and "hot" in kinds[5]
+    expected = sorted((i, *b) for (i, _), b in zip(rows, brute_windows([t for _, t in rows], 35)))
+    for hot in (5, 1000):
+        got = substring_dedup.substring_dedup(docs, hot=hot).collect()
+        assert sorted((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in got) == expected

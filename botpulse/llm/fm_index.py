@@ -11,6 +11,8 @@ from __future__ import annotations
 import numpy as np
 
 _ONE = np.uint64(1)
+LONG = 8  # words of a stretch from which what lies before it is searched from the right too
+_BITS = _ONE << np.arange(64, dtype=np.uint64)
 
 
 class _Bits:
@@ -29,22 +31,28 @@ class _Bits:
         ones = np.bitwise_count(blocks)
         mixed, full = (ones > 0) & (ones < 64), ones == 64
         self.stored = np.append(blocks[mixed], np.uint64(0))
-        self.ones_before = np.concatenate([[0], np.cumsum(ones[mixed], dtype=np.int64)]).astype(np.uint32)
+        self.ones_before = np.concatenate([[0], np.cumsum(ones[mixed], dtype=np.int64)]).astype(np.int32)
         self.mixed, self.mixed_before = _groups(mixed)
         self.full, self.full_before = _groups(full)
         self.zeros = n - int(ones.sum(dtype=np.int64))
 
     def rank(self, at: np.ndarray) -> np.ndarray:
         """Ones before each position."""
-        block, offset = at >> 6, at & 63
-        group, place = block >> 6, (block & 63).astype(np.uint64)
-        behind = (_ONE << place) - _ONE
-        mixed, full = self.mixed[group], self.full[group]
-        slot = self.mixed_before[group] + np.bitwise_count(mixed & behind)
-        runs = self.full_before[group] + np.bitwise_count(full & behind).astype(np.int64)
-        part = np.bitwise_count(self.stored[slot] & ((_ONE << offset.astype(np.uint64)) - _ONE))
-        inside = np.where((mixed >> place) & _ONE, part, np.where((full >> place) & _ONE, offset, 0))
-        return self.ones_before[slot] + 64 * runs + inside
+        block = at >> 6
+        group = block >> 6
+        place = (block & 63).astype(np.uint64)
+        bit = _BITS.take(place)
+        behind = bit - _ONE
+        mixed, full = self.mixed.take(group), self.full.take(group)
+        slot = self.mixed_before.take(group) + np.bitwise_count(mixed & behind)
+        runs = self.full_before.take(group) + np.bitwise_count(full & behind)
+        offset = at & 63
+        part = np.bitwise_count(self.stored.take(slot) & (_BITS.take(offset) - _ONE))
+        part[(mixed & bit) == 0] = 0
+        whole = np.flatnonzero(full & bit)
+        if len(whole):
+            part[whole] = offset[whole]
+        return self.ones_before.take(slot) + (runs << 6) + part
 
     @property
     def nbytes(self) -> int:
@@ -55,7 +63,7 @@ def _groups(marks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The marks as one word per group of 64 blocks, and the marks before each group."""
     words = np.packbits(marks, bitorder="little").view(np.uint64)
     counts = np.bitwise_count(words)
-    return words, (np.cumsum(counts, dtype=np.int64) - counts).astype(np.uint32)
+    return words, (np.cumsum(counts, dtype=np.int64) - counts).astype(np.int32)
 
 
 def suffix_order(symbols: np.ndarray, depth: int) -> np.ndarray:
@@ -117,7 +125,7 @@ class FMIndex:
     def _descend(self, symbol: np.ndarray, at: np.ndarray) -> np.ndarray:
         for depth, bits in enumerate(self.levels):
             ones = bits.rank(at)
-            at = np.where((symbol >> (self.bits_of - 1 - depth)) & 1, bits.zeros + ones, at - ones)
+            at = np.where((symbol >> (self.bits_of - 1 - depth)) & 1, ones + np.int32(bits.zeros), at - ones)
         return at
 
     def encode(self, words: np.ndarray) -> np.ndarray:
@@ -158,37 +166,37 @@ class FMIndex:
     def repeated_windows(self, documents: list[np.ndarray], window: int) -> list[tuple[int, int, int]]:
         """Runs ``(document, first window, end window)`` of windows that occur twice or more in the shard.
 
-        These are the intervals whose matching statistics reach ``window``. Only the ends that decide are searched: first a
-        document's last word, back as far as it goes (all windows within that stretch are in), then, from the left, the end of each
-        window before it; where its stretch breaks off behind word ``f``, every window that holds ``[f, end]`` is out,
-        so the search goes on with the window that starts behind ``f``.
+        These are the intervals whose matching statistics reach ``window``. Only the ends that decide are searched. An interval of
+        open windows is first searched from its right end back to its first window: all windows within the stretch found are
+        in. Where it breaks off at a word ``f``, the windows left of ``f`` and those that hold it are open intervals still. These are
+        searched from the left, by the end of their first window: if it breaks off at a word ``g``, every window that
+        holds ``[g, end]`` is out, and the interval starts behind ``g``; else the rest is searched from the right again.
         """
         lengths = np.array([len(d) for d in documents], np.int64)
-        number = np.flatnonzero(lengths >= window)
-        if not len(number):
+        of = np.flatnonzero(lengths >= window)
+        if not len(of):
             return []
-        begin = (np.cumsum(lengths) - lengths)[number]
         symbols = self.encode(np.concatenate(documents))
-        last = begin + lengths[number] - 1
-        reach = self.longest(symbols, last, begin)
-        free = last - reach  # windows from here to the left are open
-        long = reach >= window
-        found_of, found_at, found_end = [number[long]], [(free - begin + 1)[long]], [(last - begin + 2 - window)[long]]
-        stop = np.minimum(free, last - window + 1)
-        start = begin.copy()
-        while True:
-            live = start <= stop
-            if not live.any():
-                break
-            number, begin, start, stop = number[live], begin[live], start[live], stop[live]
-            end = start + window - 1
-            reach = self.longest(symbols, end, start)
-            hit = reach == window
-            found_of.append(number[hit])
-            found_at.append((start - begin)[hit])
-            found_end.append((start - begin)[hit] + 1)
-            start = np.where(hit, start + 1, end - reach + 1)
-        of, at, to = np.concatenate(found_of), np.concatenate(found_at), np.concatenate(found_end)
+        first = np.cumsum(lengths) - lengths
+        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # document, first window, end window
+        low, high = first[of], first[of] + lengths[of] - window  # open windows, by their first word
+        right = np.ones(len(of), bool)
+        while len(of):
+            end = np.where(right, high, low) + window - 1
+            begin = end - self.longest(symbols, end, low) + 1
+            last = end - window + 1
+            hit = begin <= last
+            found.append((of[hit], begin[hit], last[hit] + 1))
+            f = begin - 1  # from the right: the word at which the stretch breaks off, or that before the interval
+            long = end - f >= LONG
+            parts = [(right, low, f - window, long),
+                     (right & (begin > low), np.maximum(low, f - window + 1), np.minimum(high - 1, f), np.zeros(len(of), bool)),
+                     (~right, np.where(hit, low + 1, begin), high, hit)]
+            keep = [on & (a <= b) for on, a, b, _ in parts]
+            of, low, high, right = (np.concatenate(x) for x in zip(*[
+                (of[k], a[k], b[k], r[k]) for k, (_, a, b, r) in zip(keep, parts)]))
+        of, at, to = (np.concatenate(x) for x in zip(*found))
+        at, to = at - first[of], to - first[of]
         if not len(of):
             return []
         order = np.lexsort((at, of))

@@ -41,8 +41,8 @@ from botpulse.llm.fm_index import FMIndex
 
 GRAM = 8
 HOT = 1_000  # kinds of segments of an anchor above which windows are counted one by one
-SHARD_WORDS = 400_000
-STREAM = 4_096  # segments streamed against an index at once
+SHARD_WORDS = 1_000_000
+STREAM = 65_536  # segments streamed against an index at once
 CROWDS = 100_000  # hot anchors up to which their table is broadcast
 
 _BASE = 0x9E3779B97F4A7C15

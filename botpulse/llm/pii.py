@@ -1,7 +1,7 @@
 """Personal data by weak supervision: labelers vote, EM weighs them, a classifier decides.
 
 Base kinds (email, ip, card, phone) are fixed patterns and always stay. The method adds spans of the
-kinds account, person and mailto (an email in words). Candidates of all kinds, base ones included, get the
+kinds account, person, mailto (an email in words) and iban (with right check digits). Candidates of all kinds, base ones included, get the
 votes (+1, 0, -1) of six labelers: strict pattern, check digit, gazetteer, context words, digit grouping,
 and personal data nearby.
 
@@ -10,8 +10,8 @@ maximisation of a two-class model with independent labelers on these counts esti
 of real personal data and each labeler's reliability, hence a probability per pattern.
 
 *Classifier.* Those probabilities are the soft labels of a logistic regression over the candidates'
-features (kind, number of digits, separators, context, neighbours: at most ``CELLS`` different cells, counted the
-same way). It is trained by Newton steps on the counted cells, which is exact for all candidates, and
+features (kind, number of digits, separators, context, neighbours, check digit, known name or title: at most ``CELLS``
+different cells, counted the same way). It is trained by Newton steps on the counted cells, which is exact for all candidates, and
 accepts or rejects each cell.
 
 Both counts cover every text; only these bounded tables reach the driver.
@@ -29,19 +29,30 @@ from pyspark.sql import functions as F
 
 from botpulse.llm.common import staged, text_of
 
-KINDS = ("email", "ip", "card", "phone", "account", "person", "mailto")
+KINDS = ("email", "ip", "card", "phone", "account", "person", "mailto", "iban")
 N_BASE = 4
 LABELERS = ("pattern", "checksum", "gazetteer", "context", "grouping", "nearby")
 
-# Small gazetteers and context words.
-FIRST_NAMES = frozenset(
-    "James John Robert Michael William David Richard Thomas Mary Patricia Jennifer Linda Elizabeth Susan Anna Sarah "
-    "Peter Paul Hans Klaus Juergen Wolfgang Ursula Monika Sabine Pierre Jean Jacques Marie Claire Sophie Juan Carlos "
-    "Jose Luis Maria Carmen Pablo Lucia".split())
-HONORIFICS = frozenset("Mr Mr. Mrs Mrs. Ms Ms. Dr Dr. Prof Prof. Herr Frau Monsieur Madame Mme Señor Señora Sr. Sra.".split())
-FOR = re.compile(r"(?i)\b(?:phone|tel|telefon|teléfono|téléphone|call|mobile|fax|email|mail|card|carte|karte|tarjeta|"
-                 r"iban|konto|account|compte|cuenta|contact|name|nom|ssn|passport)\b")
-AGAINST = re.compile(r"(?i)\b(?:version|isbn|issn|order|page|chapter|figure|table|year|doi|build|port|rev|section)\b")
+# Common first names of the four languages, titles and context words. Longer lists go in as ``names=``.
+FIRST_NAMES = frozenset((
+    "James John Robert Michael William David Richard Joseph Thomas Charles Christopher Daniel Matthew Anthony Mark Steven Paul "
+    "Andrew Kevin Brian George Edward Mary Patricia Jennifer Linda Elizabeth Barbara Susan Jessica Sarah Karen Nancy Emily "
+    "Margaret Sandra Ashley Emma Olivia Rachel Laura Helen "
+    "Hans Klaus Jürgen Juergen Wolfgang Peter Stefan Andreas Matthias Uwe Dieter Heinz Karl Günter Jonas Lukas Felix Ursula "
+    "Monika Sabine Petra Gabriele Renate Birgit Andrea Claudia Katrin Heike Anke Hannah Lena Anna Lea "
+    "Pierre Jean Jacques Michel Philippe Alain Nicolas Laurent Julien François Luc Antoine Mathieu Guillaume Hugo Marie Claire "
+    "Sophie Nathalie Isabelle Catherine Camille Céline Élodie Chloé Manon Juliette Amélie Louise Brigitte "
+    "Juan Carlos José Jose Luis Antonio Manuel Francisco Javier Miguel Pedro Alejandro Fernando Diego Pablo Sergio Jorge Rafael "
+    "Maria María Carmen Lucia Lucía Ana Isabel Dolores Pilar Teresa Rosa Cristina Marta Elena Sofía Paula").split())
+HONORIFICS = frozenset("Mr Mr. Mrs Mrs. Ms Ms. Dr Dr. Prof Prof. Sir Herr Herrn Frau Monsieur Madame Mademoiselle Mme Mlle Me "
+                       "Señor Señora Señorita Sr. Sra. Srta. Don Doña".split())
+FOR = re.compile(r"(?i)\b(?:phone|tel|telefon|handy|mobil|teléfono|móvil|téléphone|portable|call|mobile|fax|email|e-mail|mail|correo|"
+                 r"courriel|card|carte|karte|kreditkarte|tarjeta|iban|konto|kontonummer|account|compte|cuenta|contact|kontakt|"
+                 r"contacto|name|nom|nombre|ssn|passport|passnummer|passeport|pasaporte|kundennummer|patient|customer|client|"
+                 r"cliente|kunde|signed|dear|regards|liebe|lieber|cher|chère|querido|querida)\b")
+AGAINST = re.compile(r"(?i)\b(?:version|isbn|issn|order|page|chapter|figure|table|year|doi|build|port|rev|section|invoice|ticket|"
+                     r"issue|serial|seite|kapitel|jahr|bestellung|rechnung|página|capítulo|año|pedido|factura|chapitre|"
+                     r"année|commande|facture)\b")
 REACH, NEAR = 30, 60  # characters of context before a candidate; distance to other personal data
 
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
@@ -50,6 +61,7 @@ _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _MAILTO = re.compile(r"(?i)\b[a-z0-9._%+-]{1,64} ?(?:\(at\)|\[at\]| at ) ?[a-z0-9-]{1,63} ?(?:\(dot\)|\[dot\]| dot ) ?[a-z]{2,10}\b")
 _NAME = re.compile(r"[^\W\d_]+")
+_IBAN = re.compile(r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b")
 
 
 def luhn(digits: str) -> bool:
@@ -62,6 +74,12 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def mod97(iban: str) -> bool:
+    """Whether the check digits of an account number in international form are right."""
+    body = iban.replace(" ", "")
+    return int("".join(str(int(c, 36)) for c in body[4:] + body[:4])) % 97 == 1
+
+
 def _digits(s: str) -> str:
     return "".join(c for c in s if "0" <= c <= "9")
 
@@ -107,11 +125,11 @@ def base_spans(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, i
     return out, runs
 
 
-def names(text: str) -> list[tuple[int, int]]:
+def names(text: str, known: frozenset = FIRST_NAMES) -> list[tuple[int, int]]:
     """A title or a known first name and the capitalised words behind it."""
     words = set(text.split())
     found = []
-    for head in (words & FIRST_NAMES) | (words & HONORIFICS):
+    for head in (words & known) | (words & HONORIFICS):
         at = text.find(head)
         while at >= 0:
             end = at + len(head)
@@ -133,15 +151,17 @@ def _bucket(n: int) -> int:
     return 0 if n == 0 else 1 if n < 7 else 2 if n < 10 else 3 if n < 13 else 4 if n < 17 else 5
 
 
-_SIZES = (len(KINDS), 6, 3, 3, 2)  # kind, digits, separators, context, neighbour
+_SIZES = (len(KINDS), 6, 3, 3, 2, 3, 3)  # kind, digits, separators, context, neighbour, check digit, known name or title
 CELLS = int(np.prod(_SIZES))
 
 
-def candidates(text: str) -> tuple[list[tuple], list[tuple]]:
+def candidates(text: str, known: frozenset = FIRST_NAMES) -> tuple[list[tuple], list[tuple]]:
     """Base spans, and all candidates as (kind, start, end, vote pattern, cell)."""
     has_digit = re.search("[0-9]", text) is not None
     base, runs = base_spans(text) if has_digit or "@" in text else ([], [])
-    more = [(4, a, b) for a, b in runs] + [(5, a, b) for a, b in names(text)]
+    ibans = [(7, m.start(), m.end()) for m in _IBAN.finditer(text) if mod97(m[0])] if has_digit else []
+    more = ibans + [(4, a, b) for a, b in runs if not any(a < j and i < b for _, i, j in ibans)]
+    more += [(5, a, b) for a, b in names(text, known)]
     lower = text.lower()
     if " at " in lower or "(at)" in lower or "[at]" in lower:
         more += [(6, m.start(), m.end()) for m in _MAILTO.finditer(text)]
@@ -160,16 +180,20 @@ def candidates(text: str) -> tuple[list[tuple], list[tuple]]:
         before = text[max(0, a - REACH):a]
         context = 1 if FOR.search(before) else -1 if AGAINST.search(before) else 0
         near = any(0 <= j < len(order) and min(abs(order[j][1] - b), abs(a - order[j][2])) <= NEAR for j in (i - 1, i + 1))
+        words = body.split() if kind == 5 else []
+        title, named = bool(words) and words[0] in HONORIFICS, not known.isdisjoint(words)
+        check = 1 if kind == 7 else 0 if not 13 <= len(d) <= 19 or kind in (0, 1, 3) else 1 if luhn(d) else -1
         votes = (
-            1 if kind < N_BASE else -1 if kind == 4 else 0,
-            0 if not 13 <= len(d) <= 19 or kind in (0, 1, 3) else 1 if luhn(d) else -1,
-            1 if kind == 5 and body.split()[0] in FIRST_NAMES else 1 if kind == 0 else 0,
+            1 if kind < N_BASE or title else -1 if kind == 4 else 0,
+            check,
+            1 if named or kind == 0 else 0,
             context,
-            -1 if d and (len(set(d)) == 1 or d in "01234567890123456789") else 1 if kind in (2, 3, 4) and seps else 0,
+            -1 if d and (len(set(d)) == 1 or d in "01234567890123456789") else 1 if kind in (2, 3, 4, 7) and seps else 0,
             1 if near else 0,
         )
         pattern = sum((v + 1) * 3 ** k for k, v in enumerate(votes))
-        cell = int(np.ravel_multi_index((kind, _bucket(len(d)), min(seps, 2), context + 1, int(near)), _SIZES))
+        cell = int(np.ravel_multi_index((kind, _bucket(len(d)), min(seps, 2), context + 1, int(near), check + 1,
+                                         named + 2 * title if not (named and title) else 1), _SIZES))
         out.append((kind, a, b, pattern, cell))
     return base, out
 
@@ -240,28 +264,32 @@ def fit(found: DataFrame) -> dict:
     return {"prior": prior, "reliability": reliability, "posterior": posterior, "accepted": accepted}
 
 
-def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    base_kind = pa.list_(pa.struct([(k, pa.int32()) for k in ("kind", "start", "end")]))
-    full_kind = pa.list_(pa.struct([(k, pa.int32()) for k in ("kind", "start", "end", "pattern", "cell")]))
-    for batch in batches:
-        found = [candidates(t.as_py()) for t in batch.column("text")]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("id"),
-             pa.array([[dict(zip(("kind", "start", "end"), s)) for s in b] for b, _ in found], base_kind),
-             pa.array([[dict(zip(("kind", "start", "end", "pattern", "cell"), s)) for s in c] for _, c in found], full_kind)],
-            names=["id", "base", "candidates"])
+def _extract(known: frozenset):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        base_kind = pa.list_(pa.struct([(k, pa.int32()) for k in ("kind", "start", "end")]))
+        full_kind = pa.list_(pa.struct([(k, pa.int32()) for k in ("kind", "start", "end", "pattern", "cell")]))
+        for batch in batches:
+            found = [candidates(t.as_py(), known) for t in batch.column("text")]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id"),
+                 pa.array([[dict(zip(("kind", "start", "end"), s)) for s in b] for b, _ in found], base_kind),
+                 pa.array([[dict(zip(("kind", "start", "end", "pattern", "cell"), s)) for s in c] for _, c in found], full_kind)],
+                names=["id", "base", "candidates"])
+
+    return run
 
 
-def pii_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: dict | None = None) -> DataFrame:
+def pii_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: dict | None = None,
+              names: frozenset = FIRST_NAMES) -> DataFrame:
     """One row per row of ``docs``: its id and ``spans``, an array of (kind number, start, end), sorted.
 
-    ``model`` is a fitted model, else one is fitted to ``docs``. Offsets are code points, end exclusive; kinds
+    ``model`` is a fitted model, else one is fitted to ``docs``. ``names`` is the gazetteer of first names. Offsets are code points, end exclusive; kinds
     are numbered as in ``KINDS``. Null text is empty. Repeated rows and null ids keep their rows; an empty table
     gives an empty one; texts are searched whole. Other columns are not read.
     """
     id_type = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(docs[f"`{id_col}`"].alias("id"), text_of(docs, text_col).alias("text"))
-    found = staged(rows.mapInArrow(_extract, (
+    found = staged(rows.mapInArrow(_extract(names), (
         f"id {id_type}, base array<struct<kind:int,start:int,end:int>>,"
         " candidates array<struct<kind:int,start:int,end:int,pattern:int,cell:int>>")), "pii-candidates")
     accepted = (model or fit(found))["accepted"]

@@ -6,6 +6,8 @@ import math
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 import corpus_pipeline
@@ -17,13 +19,31 @@ SF = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="module")
-def outputs(spark, tmp_path_factory):
+def sf(tmp_path_factory):
+    """The smallest test data and, as the line dedup leaves none of its copies, near copies written as one line: those of the first
+    20 documents of 80 words and several lines, with the word in the middle changed."""
+    folder = tmp_path_factory.mktemp("tables")
+    docs = pq.read_table(f"{SF}/documents.parquet")
+    long = [r for r in docs.to_pylist() if len((r["text"] or "").split()) >= 80 and "\n" in r["text"].strip()]
+    copies = []
+    for i, r in enumerate(long[:20]):
+        words = r["text"].split()
+        words[len(words) // 2] = "other"
+        text = " ".join(words)
+        copies.append(r | {"doc_id": 1_000_000 + i, "text": text, "n_chars": len(text)})
+    pq.write_table(pa.concat_tables([docs, pa.Table.from_pylist(copies, docs.schema)]), folder / "documents.parquet")
+    pq.write_table(pq.read_table(f"{SF}/benchmark.parquet"), folder / "benchmark.parquet")
+    return str(folder)
+
+
+@pytest.fixture(scope="module")
+def outputs(spark, sf, tmp_path_factory):
     """The rows before the first and after each stage."""
     folder = tmp_path_factory.mktemp("stages")
-    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
     found = [[r.asDict() for r in docs.collect()]]
     for i, (_, stage) in enumerate(corpus_pipeline.STAGES):
-        stage(spark, docs, SF).write.parquet(str(folder / str(i)))
+        stage(spark, docs, sf).write.parquet(str(folder / str(i)))
         docs = spark.read.parquet(str(folder / str(i)))
         found.append([r.asDict() for r in docs.collect()])
     return found
@@ -116,8 +136,8 @@ def _leaks(text, item):
     return False
 
 
-def test_decontamination(spark, outputs):
-    items = [_template(r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+def test_decontamination(spark, sf, outputs):
+    items = [_template(r.text) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
     clean = [r["doc_id"] for r in outputs[3] if not any(_leaks(r["text"], item) for item in items)]
     assert sorted(r["doc_id"] for r in outputs[4]) == sorted(clean)
 
@@ -159,6 +179,6 @@ def test_mixing(spark, outputs):
     assert {r["doc_id"] for r in outputs[4] if p[r["source"], r["lang"], topics[r["doc_id"]]] >= 1} <= ids
 
 
-def test_run_is_the_stages_in_order(spark, outputs):
-    got = corpus_pipeline.run(spark, SF).collect()
+def test_run_is_the_stages_in_order(spark, sf, outputs):
+    got = corpus_pipeline.run(spark, sf).collect()
     assert sorted(map(str, (r.asDict() for r in got))) == sorted(map(str, outputs[5]))

@@ -115,6 +115,20 @@ def test_jensen_shannon():
     assert np.allclose(quality.jensen_shannon(p, q), [1, 0, 0])
 
 
+def test_quality_keeps_by_one_python_worker_a_task(spark):
+    """Figures and distances come from one Python evaluation, and the rows kept are those of the rules."""
+    rnd = random.Random(3)
+    rows = [(i, "en" if i % 3 else "xx", " ".join(rnd.choice(quality.COMMON_WORDS["en"]) if rnd.random() < 0.4 else
+                                                 "".join(rnd.choice("abcdefghij") for _ in range(5)) for _ in range(rnd.randrange(5, 160))))
+            for i in range(60)]
+    rows += [(100 + i, "en", "#{}!! %%0x&& " * (20 + i)) for i in range(5)] + [(200, None, None), (201, "en", "")]
+    df = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    kept = quality.keep_quality(df)
+    assert kept._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython ") == 1
+    found = {r.doc_id for r in kept.collect()}
+    assert found == {r.doc_id for r in quality.quality_rules(df).collect() if r.kept} and 0 < len(found) < 60
+
+
 def test_quality_rejects_junk_and_keeps_prose(spark):
     rnd = random.Random(3)
     letters = "etaoinshrdlu"

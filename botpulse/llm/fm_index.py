@@ -1,7 +1,8 @@
 """A compressed FM-index over one shard of word sequences, in numpy.
 
 The index holds the Burrows-Wheeler transform of the shard as a wavelet tree laid out
-level by level (a wavelet matrix): one compressed bit vector per bit of the alphabet. The text itself
+level by level (a wavelet matrix), one bit vector a level. The tree is shaped by a prefix code: a frequent word
+has a short code and lies on few levels, so index and searches take about the entropy of the words. The text itself
 and the suffix order are not kept. Suffixes are sorted to ``depth`` words, which is enough
 for patterns up to that length. All searches advance together, one word a step.
 """
@@ -13,6 +14,7 @@ import numpy as np
 _ONE = np.uint64(1)
 LONG = 8  # words of a stretch from which what lies before it is searched from the right too
 _BITS = _ONE << np.arange(64, dtype=np.uint64)
+_BELOW = _BITS - _ONE
 
 
 class _Bits:
@@ -20,7 +22,8 @@ class _Bits:
 
     Only 64-bit blocks with both zeros and ones are stored, each with the ones in the stored blocks before it. All other
     blocks are runs of equal bits, of which the transform of repetitive text has many; they cost two bits each, which tell
-    for a group of 64 blocks which are stored and which are full of ones.
+    for a group of 64 blocks which are stored and which are full of ones. Where over three quarters of the blocks hold both,
+    leaving out the others saves little: all are stored, and rank takes half the steps.
     """
 
     def __init__(self, bits: np.ndarray):
@@ -29,34 +32,40 @@ class _Bits:
         blocks = np.zeros(-(-(n + 1) // 4096) * 64, np.uint64)  # whole groups
         blocks.view(np.uint8)[: len(packed)] = packed
         ones = np.bitwise_count(blocks)
+        self.zeros = n - int(ones.sum(dtype=np.int64))
         mixed, full = (ones > 0) & (ones < 64), ones == 64
+        used = n // 64 + 1
+        self.dense = 4 * int(mixed.sum()) > 3 * used
+        if self.dense:
+            self.stored = blocks[:used].copy()
+            self.ones_before = np.concatenate([[0], np.cumsum(ones[:used - 1], dtype=np.int64)]).astype(np.int32)
+            return
         self.stored = np.append(blocks[mixed], np.uint64(0))
         self.ones_before = np.concatenate([[0], np.cumsum(ones[mixed], dtype=np.int64)]).astype(np.int32)
         self.mixed, self.mixed_before = _groups(mixed)
         self.full, self.full_before = _groups(full)
-        self.zeros = n - int(ones.sum(dtype=np.int64))
 
     def rank(self, at: np.ndarray) -> np.ndarray:
-        """Ones before each position."""
+        """Ones before each position, in an array of any shape."""
         block = at >> 6
+        if self.dense:
+            return self.ones_before.take(block) + np.bitwise_count(self.stored.take(block) & _BELOW.take(at & 63))
         group = block >> 6
         place = (block & 63).astype(np.uint64)
-        bit = _BITS.take(place)
-        behind = bit - _ONE
+        bit, behind = _BITS.take(place), _BELOW.take(place)
         mixed, full = self.mixed.take(group), self.full.take(group)
         slot = self.mixed_before.take(group) + np.bitwise_count(mixed & behind)
         runs = self.full_before.take(group) + np.bitwise_count(full & behind)
         offset = at & 63
-        part = np.bitwise_count(self.stored.take(slot) & (_BITS.take(offset) - _ONE))
+        part = np.bitwise_count(self.stored.take(slot) & _BELOW.take(offset))
         part[(mixed & bit) == 0] = 0
-        whole = np.flatnonzero(full & bit)
-        if len(whole):
-            part[whole] = offset[whole]
+        np.copyto(part, offset, where=(full & bit) != 0, casting="unsafe")
         return self.ones_before.take(slot) + (runs << 6) + part
 
     @property
     def nbytes(self) -> int:
-        return sum(x.nbytes for x in (self.stored, self.ones_before, self.mixed, self.mixed_before, self.full, self.full_before))
+        groups = () if self.dense else (self.mixed, self.mixed_before, self.full, self.full_before)
+        return sum(x.nbytes for x in (self.stored, self.ones_before, *groups))
 
 
 def _groups(marks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -67,24 +76,50 @@ def _groups(marks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def suffix_order(symbols: np.ndarray, depth: int) -> np.ndarray:
-    """Suffix starts sorted by their first ``depth`` symbols or more (prefix doubling)."""
+    """Suffix starts sorted by their first ``depth`` symbols or more (prefix doubling, only of suffixes still tied)."""
     n = len(symbols)
     rank = symbols.astype(np.int64) + 1
-    width = 1
+    order, tied, width = np.arange(n), np.arange(n), 0
+    second = np.zeros(n, np.int64)  # by the first symbol
     while True:
-        key = rank * np.int64(rank.max() + 1)
-        key[: n - width] += rank[width:] if width < n else 0
-        if width >= n:
-            key = rank
-        order = np.argsort(key, kind="stable")
-        step = np.empty(n, np.int64)
-        step[0] = 1
-        np.not_equal(key[order][1:], key[order][:-1], out=step[1:], casting="unsafe")
-        rank = np.empty(n, np.int64)
-        rank[order] = np.cumsum(step)
-        width *= 2
-        if width >= depth or rank.max() == n:
+        at = order[tied]
+        key = rank[at] * np.int64(max(n, int(rank.max())) + 2) + second
+        by = np.argsort(key)
+        at, key = at[by], key[by]
+        order[tied] = at
+        new = np.concatenate([[True], key[1:] != key[:-1]])
+        rank[at] = tied[np.flatnonzero(new)[np.cumsum(new) - 1]]  # the first place of the suffix's group
+        width = 2 * width or 1
+        tied = tied[~(new & np.append(new[1:], True))]
+        if width >= depth or not len(tied):
             return order
+        at = order[tied] + width
+        second = np.where(at < n, rank[np.minimum(at, n - 1)] + 1, 0)
+
+
+def code_lengths(counts: np.ndarray) -> np.ndarray:
+    """Lengths of the words of a prefix code for symbols that occur so often: Shannon's, cut as far as Kraft's inequality allows."""
+    bits = np.log2(counts.sum() / counts)
+    for cut in np.arange(15, -1, -1) / 16:
+        lengths = np.maximum(1, np.ceil(bits - cut)).astype(np.uint8)
+        if np.exp2(-lengths.astype(float)).sum() <= 1:
+            return lengths
+    raise AssertionError("Shannon's lengths always fit")
+
+
+def prefix_code(lengths: np.ndarray) -> np.ndarray:
+    """The code words, at the upper end of 32 bits. On each level of a wavelet matrix the symbols that end there come last,
+    so they are cut off and the places of the others stay."""
+    codes = np.zeros(len(lengths), np.uint32)
+    nodes = np.zeros(1, np.uint32)  # open nodes in the matrix's order
+    for level in range(1, int(lengths.max()) + 1):
+        nodes = np.concatenate([nodes << 1, nodes << 1 | 1])
+        here = np.flatnonzero(lengths == level)
+        inner = len(nodes) - len(here)
+        codes[here] = nodes[inner:] << (32 - level)
+        needed = int(np.ceil(np.exp2(level - lengths[lengths > level].astype(float)).sum()))
+        nodes = nodes[:min(inner, needed)]
+    return codes
 
 
 class FMIndex:
@@ -109,13 +144,16 @@ class FMIndex:
         self.twice = _Bits(np.repeat(twice, lengths + 1)[order])
         bwt = text[order - 1]  # the word before each suffix; before the first comes the last separator
         self.smaller = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=sigma))])
+        counts = np.bincount(text, minlength=sigma)
+        self.lengths = code_lengths(counts)
+        self.codes = prefix_code(self.lengths)
         self.levels: list[_Bits] = []
-        self.bits_of = max(1, (sigma - 1).bit_length())
-        for level in range(self.bits_of - 1, -1, -1):
-            bit = (bwt >> level) & 1
-            self.levels.append(_Bits(bit.astype(np.uint8)))
-            bwt = np.concatenate([bwt[bit == 0], bwt[bit == 1]])
-        self.first = self._descend(np.arange(sigma), np.zeros(sigma, np.int64))
+        rest = self.codes[bwt]
+        for level in range(int(self.lengths.max())):
+            bit = (rest >> (31 - level) & 1).astype(bool)
+            self.levels.append(_Bits(bit))
+            rest = np.concatenate([rest[~bit], rest[bit]])[:counts[self.lengths > level + 1].sum()]
+        self.first = self._descend(np.arange(sigma), np.zeros((sigma, 1), np.int64))[:, 0]
 
     @property
     def nbytes(self) -> int:
@@ -123,10 +161,19 @@ class FMIndex:
         return self.twice.nbytes + sum(b.nbytes for b in self.levels)
 
     def _descend(self, symbol: np.ndarray, at: np.ndarray) -> np.ndarray:
-        for depth, bits in enumerate(self.levels):
-            ones = bits.rank(at)
-            at = np.where((symbol >> (self.bits_of - 1 - depth)) & 1, ones + np.int32(bits.zeros), at - ones)
-        return at
+        """Each symbol's places in its leaf of the tree, for a row of places ``at``."""
+        lengths = self.lengths[symbol]
+        order = np.argsort(~lengths, kind="stable")  # long codes first: those that end are behind the others
+        open_ = len(order) - np.cumsum(np.bincount(lengths))
+        code, at = self.codes[symbol[order]], at[order]
+        for level, live in enumerate(open_[:-1]):
+            part, bits = at[:live], self.levels[level]
+            ones = bits.rank(part)
+            one = (code[:live] >> (31 - level) & 1).astype(bool)
+            at[:live] = np.where(one[:, None], ones + bits.zeros, part - ones)
+        out = np.empty_like(at)
+        out[order] = at
+        return out
 
     def encode(self, words: np.ndarray) -> np.ndarray:
         """The words' symbols; 0 for a word that the shard lacks."""
@@ -135,10 +182,9 @@ class FMIndex:
 
     def extend_left(self, symbol: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """One step of backward search for each interval [low, high); empty for symbol 0."""
-        n = len(symbol)
-        at = self._descend(np.concatenate([symbol, symbol]), np.concatenate([low, high]))
+        at = self._descend(symbol, np.stack([low, high], axis=1))
         base = self.smaller[symbol] - self.first[symbol]
-        return base + at[:n], base + np.where(symbol > 0, at[n:], at[:n])
+        return base + at[:, 0], base + np.where(symbol > 0, at[:, 1], at[:, 0])
 
     def longest(self, symbols: np.ndarray, end: np.ndarray, limit: np.ndarray) -> np.ndarray:
         """For each position ``end`` the length of the longest stretch that ends there, starts at ``limit`` or

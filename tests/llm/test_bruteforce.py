@@ -680,6 +680,43 @@ def test_fm_index_bits():
     assert _Bits(runs).nbytes * 8 < 0.2 * len(runs)  # long runs take a fraction of their bits
 
 
+def test_fm_index_takes_the_entropy():
+    """Frequent words lie on few levels: the levels hold about the entropy of the words, not the bits of the alphabet."""
+    rng = np.random.default_rng(19)
+    words = np.minimum(rng.geometric(0.4, 50_000), 40).astype(np.uint64)
+    words[:3000] = np.arange(3000) + 100  # rare words
+    index = FMIndex([words], 60)
+    counts = np.unique(words, return_counts=True)[1]
+    entropy = -(counts / len(words) * np.log2(counts / len(words))).sum()
+    taken = index.codes, index.lengths
+    assert (index.lengths[1:] * counts).sum() / len(words) < 1.15 * entropy < 0.5 * np.log2(len(counts))
+    assert 8 * index.nbytes < 1.8 * 1.15 * entropy * len(words)  # counts and half-empty blocks included
+    starts = sorted((int(c), int(c) + (1 << (32 - int(n)))) for c, n in zip(*taken))
+    assert all(end <= start for (_, end), (start, _) in zip(starts, starts[1:]))  # no code begins another
+    pair = Counter(zip(words.tolist(), words[1:].tolist()))
+    found = index.matching_statistics(words[-500:])
+    assert all((n > 1) == (pair[tuple(words[i - 1:i + 1].tolist())] > 1) for i, n in zip(range(len(words) - 500, len(words)), found) if i > len(words) - 500)
+
+
+def test_fm_index_of_repetitive_text():
+    """Long runs of equal bits in the transform: hundreds of near copies, intervals searched at both ends at once."""
+    rng = np.random.default_rng(20)
+    passage = rng.integers(1, 30, 60).astype(np.uint64)
+    sequences = []
+    for i in range(1500):
+        s = passage.copy()
+        s[rng.integers(0, 60, 2)] = 1000 + rng.integers(0, 900, 2)
+        sequences.append(s[rng.integers(0, 5):])
+    index = FMIndex(sequences, 70)
+    assert not all(b.dense for b in index.levels)
+    counts = Counter(s[i:i + 12].tobytes() for s in sequences for i in range(len(s) - 11))
+    expected = {(q, i) for q, s in enumerate(sequences) for i in range(len(s) - 11) if counts[s[i:i + 12].tobytes()] > 1}
+    assert {(q, i) for q, a, b in index.repeated_windows(sequences, 12) for i in range(a, b)} == expected
+    bits = _Bits(np.repeat(np.array([0, 1, 0, 1, 1], np.uint8), 300))
+    at = np.arange(1500).reshape(-1, 2)
+    assert not bits.dense and bits.rank(at).ravel().tolist() == bits.rank(at.ravel()).tolist()
+
+
 def test_substring_dedup_through_the_index(spark):
     """Copies and partial repeats are found by the index; only anchors above ``hot`` are counted."""
     words = [f"w{i}" for i in range(400)]

@@ -280,6 +280,33 @@ def test_links_beside_a_hot_core(spark):
     assert len({got[k] for k in partner}) == 240  # no two pairs in one class
 
 
+def test_settled_centres_are_not_looked_at_again(spark, monkeypatch):
+    """A later round holds the groups around the centres of its new pairs only; no link is lost by that."""
+    rows, partner, held = [], {}, []
+    for family in range(2):
+        core = [f"c{family}_{i}" for i in range(104)]
+        rows += [(len(rows) + i, " ".join([*core[:-1], f"end{family}_{i}"])) for i in range(20)]
+        for pair in range(12):
+            shared = [f"s{family}_{pair}_{i}" for i in range(12)]
+            for side in "ab":
+                rows.append((len(rows), " ".join([*core, *shared, *[f"{side}{family}_{pair}_{i}" for i in range(14)]])))
+            partner[len(rows) - 1] = len(rows) - 2
+    staged = dart_minhash.staged
+
+    def counted(df, name):
+        out = staged(df, name)
+        if name == "foreign-tokens":
+            held.append(out.count())
+        return out
+
+    monkeypatch.setattr(dart_minhash, "staged", counted)
+    monkeypatch.setattr(dart_minhash, "FEW", 0)  # every group goes through rounds of centres
+    got = {r.doc_id: r.class_id for r in dart_minhash.near_duplicate_classes(frame(spark, rows)).collect()}
+    assert [k for k, other in partner.items() if got[k] != got[other]] == []
+    assert len({got[k] for k in partner}) == 24
+    assert held[0] > 0 and sum(held[1:]) <= held[0] // 2
+
+
 def test_links_inside_a_longer_centre(spark):
     """Truncations of one text: each is alike to the next, none to the whole text, and all they share lies in it."""
     words = [f"w{i}" for i in range(900)]

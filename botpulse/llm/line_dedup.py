@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from botpulse.llm.common import WHITE, Numbered, staged, text_of
+from botpulse.llm.common import WHITE, Numbered, once, staged, text_of
 from botpulse.llm.substring_dedup import _mixed, row_key
 
 RUN, WORDS = 3, 8
@@ -183,9 +183,9 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     base = base.withColumns({"__r1": r1, "__r2": r2})
     joined = base.join(spans, (F.col("__r1") == spans.r1) & (F.col("__r2") == spans.r2), "left")
     whole = text_of(joined, text_col)
-    # only texts with matches go through Python
+    # only texts with matches go through Python, once: a filter on the result would take a second worker beside the first
     nothing = F.array().cast("array<struct<start:int,length:int>>")
-    edited = _edited(F.when(F.col("__spans").isNotNull(), whole), F.coalesce("__spans", nothing))
+    edited = once(_edited(F.when(F.col("__spans").isNotNull(), whole), F.coalesce("__spans", nothing)))
 
     def grown(a: Column, s: Column) -> Column:
         end = F.greatest(a.end, s.start + s.length)

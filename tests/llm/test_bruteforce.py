@@ -85,6 +85,16 @@ def test_passage_written_as_one_line_and_pairs_of_lines(spark):
     assert got[1][1] == got[3][1] == got[5][1] == 0
 
 
+def test_line_dedup_edits_by_one_python_worker_a_task(spark):
+    """A filter on the edited texts doesn't edit them a second time, and only texts of which no line is left go."""
+    rows = [(1, "one two three four five six seven eight\nown words"), (2, "one two three four five six seven eight"),
+            (3, "before\none two three four five six seven eight\nafter"), (4, None), (5, " \n"), (None, "alone"), (6, "own")]
+    kept = line_dedup.deduplicated(frame(spark, rows))
+    assert kept._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython ") == 1
+    assert {(r.doc_id, r.text) for r in kept.collect()} == {
+        rows[0], (3, "before\nafter"), (4, None), (5, " \n"), (None, "alone"), (6, "own")}
+
+
 def test_fingerprints_are_fewer_than_windows_and_in_every_window():
     h = np.random.default_rng(4).integers(0, 2 ** 63, 3000).astype(np.uint64)
     at = line_dedup.fingerprints(h, np.ones(3000, np.int64), 3, 8)

@@ -333,6 +333,64 @@ def test_links_inside_a_longer_centre(spark):
     assert got == root and len(set(root.values())) == 3
 
 
+def test_texts_are_signed_together(monkeypatch):
+    """Texts of any lengths have the same signatures together as one by one; the steps are those of one text."""
+    rng = np.random.default_rng(3)
+    texts = [np.sort(rng.integers(0, 2**64, n, dtype=np.uint64)) for n in (1, 2, 7, 130, 517, 20000)]
+    texts.append(np.sort(np.repeat(texts[3], 3)))
+    together = dart_minhash.signatures(texts, 130)
+    assert all((one == dart_minhash.signature(t, 130)).all() for one, t in zip(together, texts))
+    mixed, calls = dart_minhash._mixed, []
+    monkeypatch.setattr(dart_minhash, "_mixed", lambda x: calls.append(len(x)) or mixed(x))
+    dart_minhash.signatures([texts[3]] * 200, 130)
+    assert len(calls) <= 200 + 5 * 8
+
+
+def test_hashed_words(monkeypatch):
+    """A word has one hash wherever it stands, also where the text is read in pieces; other words have others."""
+    text = "a b  ab\tba \x1c é\x0bé " + "w" * 64 + " " + "w" * 65 + "\n" + "w" * 300 + " a b\r" + " " * 200 + "end " + "w" * 65
+    words = text.encode().split()
+    for piece in (1 << 16, 70, 64, 5):
+        monkeypatch.setattr(dart_minhash, "_PIECE", piece)
+        monkeypatch.setattr(dart_minhash, "_LONG", min(64, piece - 1))
+        found = dart_minhash._hashed_words(text)
+        assert len(found) == len(words)
+        assert len(set(zip(words, found.tolist()))) == len(set(words)) == len(set(found.tolist()))
+    assert not len(dart_minhash._hashed_words("")) and not len(dart_minhash._hashed_words(" \n"))
+
+
+def test_few_rows_of_large_groups_need_no_rounds(spark, monkeypatch):
+    """Groups with many strangers, but few pairs beside the members, are compared at once, each pair listed once."""
+    rows, partner, listed, rounds = [], {}, [], []
+    core = [f"c{i}" for i in range(104)]
+    rows += [(i, " ".join([*core[:-1], f"end{i}"])) for i in range(20)]
+    for pair in range(12):
+        shared = [f"s{pair}_{i}" for i in range(12)]
+        for side in "ab":
+            rows.append((len(rows), " ".join([*core, *shared, *[f"{side}{pair}_{i}" for i in range(14)]])))
+        partner[len(rows) - 1] = len(rows) - 2
+    # ten unlike texts of one foreign passage around the same core, in one group of more than FEW strangers
+    passage = [f"p{i}" for i in range(30)]
+    for i in range(10):
+        rows.append((len(rows), " ".join([*core, *passage, *[f"q{i}_{j}" for j in range(30)]])))
+    rows += [(len(rows) + i, " ".join(f"z{i // 2}_{j}" for j in range(60 + i % 2))) for i in range(2000)]
+    staged = dart_minhash.staged
+
+    def counted(df, name):
+        out = staged(df, name)
+        if name == "pairs":
+            rounds.append(out.count())
+        if name == "few":
+            listed.append((out.count(), out.distinct().count()))
+        return out
+
+    monkeypatch.setattr(dart_minhash, "staged", counted)
+    monkeypatch.setattr(dart_minhash, "FEW", 4)
+    got = {r.doc_id: r.class_id for r in dart_minhash.near_duplicate_classes(frame(spark, rows)).collect()}
+    assert [k for k, other in partner.items() if got[k] != got[other]] == []
+    assert rounds[0] > 0 and sum(rounds[1:]) == 0 and listed[0][0] == listed[0][1] > 0
+
+
 def test_groups_around_a_centre():
     tokens = dart_minhash.tokens
     a = tokens(np.sort(np.array([1] * 8 + [2, 3, 4, 5, 6], np.uint64)))
